@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .times import micros
@@ -23,6 +23,7 @@ ROTATION_C = -2.35
 SOLAR_RADIUS_KM = 695_700.0
 AU_KM = 149_597_870.7
 AXIS_TILT_DEG = 7.25
+VIEW = ("__sun_distance", "__sun_tilt")
 ARCSEC = 3600.0 * 180.0 / math.pi
 
 
@@ -59,33 +60,35 @@ def disc_xy(lon: Column, lat: Column) -> tuple[Column, Column]:
     return F.sin(F.radians(lon)) * F.cos(F.radians(lat)), F.sin(F.radians(lat))
 
 
-def earth_view(ts: Column) -> tuple[Column, Column]:
-    """Sun-Earth distance in solar radii and tilt B0 in radians.
+def with_earth_view(df: DataFrame, ts: str) -> DataFrame:
+    """Add Sun-Earth distance in solar radii and tilt B0 in radians at ``ts`` (columns of ``VIEW``).
 
-    Low-precision solar position (Meeus, Astronomical Algorithms, chapters 25 and 29).
+    Low-precision solar position (Meeus, Astronomical Algorithms, chapters 25 and 29), staged over
+    columns so that each intermediate value is computed once.
     """
-    century = (micros(ts) / F.lit(86_400_000_000.0) - F.lit(10_957.5)) / F.lit(36_525.0)
-    anomaly = F.radians(F.lit(357.52911) + century * 35_999.05029 - century * century * 0.0001537)
+    c, m, e = F.col("__century"), F.col("__anomaly"), F.col("__centre")
+    staged = df.withColumn("__century", (micros(F.col(ts)) / F.lit(86_400_000_000.0) - F.lit(10_957.5)) / F.lit(36_525.0))
+    staged = staged.withColumn("__anomaly", F.radians(F.lit(357.52911) + c * 35_999.05029 - c * c * 0.0001537))
     centre = (
-        (F.lit(1.914602) - century * 0.004817 - century * century * 0.000014) * F.sin(anomaly)
-        + (F.lit(0.019993) - century * 0.000101) * F.sin(anomaly * 2)
-        + F.lit(0.000289) * F.sin(anomaly * 3)
+        (F.lit(1.914602) - c * 0.004817 - c * c * 0.000014) * F.sin(m)
+        + (F.lit(0.019993) - c * 0.000101) * F.sin(m * 2)
+        + F.lit(0.000289) * F.sin(m * 3)
     )
-    mean_longitude = F.lit(280.46646) + century * 36_000.76983 + century * century * 0.0003032
-    longitude = F.radians(mean_longitude + centre - 0.00569)
-    eccentricity = F.lit(0.016708634) - century * 0.000042037 - century * century * 0.0000001267
-    true_anomaly = anomaly + F.radians(centre)
+    staged = staged.withColumn("__centre", centre)
+    eccentricity = F.lit(0.016708634) - c * 0.000042037 - c * c * 0.0000001267
     distance_au = F.lit(1.000001018) * (F.lit(1.0) - eccentricity * eccentricity) / (
-        F.lit(1.0) + eccentricity * F.cos(true_anomaly)
+        F.lit(1.0) + eccentricity * F.cos(m + F.radians(e))
     )
-    node = F.radians(F.lit(73.6667) + (century * 36_525.0 + 2_451_545.0 - 2_396_758.0) * (1.3958333 / 36_525.0))
+    longitude = F.radians(F.lit(280.46646) + c * 36_000.76983 + c * c * 0.0003032 + e - 0.00569)
+    node = F.radians(F.lit(73.6667) + (c * 36_525.0 + 2_451_545.0 - 2_396_758.0) * (1.3958333 / 36_525.0))
     tilt = F.asin(F.sin(longitude - node) * math.sin(math.radians(AXIS_TILT_DEG)))
-    return distance_au * (AU_KM / SOLAR_RADIUS_KM), tilt
+    staged = staged.withColumns({VIEW[0]: distance_au * (AU_KM / SOLAR_RADIUS_KM), VIEW[1]: tilt})
+    return staged.drop("__century", "__anomaly", "__centre")
 
 
-def hgs_to_hpc(lon: Column, lat: Column, ts: Column) -> tuple[Column, Column]:
-    """Stonyhurst degrees to helioprojective arcseconds as seen from Earth at ``ts``."""
-    distance, tilt = earth_view(ts)
+def hgs_to_hpc(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Stonyhurst degrees to helioprojective arcseconds as seen from Earth; needs ``with_earth_view``."""
+    distance, tilt = (F.col(c) for c in VIEW)
     l, b = F.radians(lon), F.radians(lat)
     x = F.cos(b) * F.sin(l)
     y = F.sin(b) * F.cos(tilt) - F.cos(b) * F.cos(l) * F.sin(tilt)
@@ -95,9 +98,9 @@ def hgs_to_hpc(lon: Column, lat: Column, ts: Column) -> tuple[Column, Column]:
     return tx * ARCSEC, ty * ARCSEC
 
 
-def hpc_to_hgs(tx: Column, ty: Column, ts: Column) -> tuple[Column, Column]:
-    """Inverse of ``hgs_to_hpc`` on the visible side; NULL off the disc."""
-    distance, tilt = earth_view(ts)
+def hpc_to_hgs(tx: Column, ty: Column) -> tuple[Column, Column]:
+    """Inverse of ``hgs_to_hpc`` on the visible side; NULL off the disc; needs ``with_earth_view``."""
+    distance, tilt = (F.col(c) for c in VIEW)
     px, py = tx / ARCSEC, ty / ARCSEC
     along = distance * F.cos(px) * F.cos(py)
     radicand = along * along - distance * distance + 1.0
@@ -110,6 +113,18 @@ def hpc_to_hgs(tx: Column, ty: Column, ts: Column) -> tuple[Column, Column]:
     return F.degrees(lon), F.degrees(lat)
 
 
+def add_hpc(df: DataFrame, lon: str, lat: str, ts: str, out: tuple[str, str] = ("x_hpc", "y_hpc")) -> DataFrame:
+    """Rows with the helioprojective position of a Stonyhurst position."""
+    x, y = hgs_to_hpc(F.col(lon), F.col(lat))
+    return with_earth_view(df, ts).withColumns({out[0]: x, out[1]: y}).drop(*VIEW)
+
+
+def add_hgs(df: DataFrame, x: str, y: str, ts: str, out: tuple[str, str] = ("fl_lon", "fl_lat")) -> DataFrame:
+    """Rows with the Stonyhurst position of a helioprojective position."""
+    lon, lat = hpc_to_hgs(F.col(x), F.col(y))
+    return with_earth_view(df, ts).withColumns({out[0]: lon, out[1]: lat}).drop(*VIEW)
+
+
 def rotation_lon_delta(lat: Column, days: Column) -> Column:
     """Longitude gained by solar rotation at a latitude over a number of days."""
     s2 = F.pow(F.sin(F.radians(lat)), F.lit(2.0))
@@ -159,18 +174,22 @@ def fill_location_from_centroid(text: Column, centroid: Column) -> tuple[Column,
 
 
 def location_with_source(
-    own_text: Column, own_lon: Column, own_lat: Column, second_xy: tuple[Column, Column],
-    third_xy: tuple[Column, Column], ts: Column,
-) -> list[Column]:
-    """Own location, else the second source, else the third, with a source tag."""
-    second_lon, second_lat = hpc_to_hgs(*second_xy, ts)
-    third_lon, third_lat = hpc_to_hgs(*third_xy, ts)
-    has_own, has_second, has_third = own_text.isNotNull(), second_xy[0].isNotNull(), third_xy[0].isNotNull()
-    lon = F.when(has_own, own_lon).when(has_second, second_lon).when(has_third, third_lon)
-    lat = F.when(has_own, own_lat).when(has_second, second_lat).when(has_third, third_lat)
-    text = F.when(has_own, own_text).otherwise(format_point(lon, lat, style="pair"))
+    df: DataFrame, own: tuple[str, str, str], second: tuple[str, str], third: tuple[str, str], ts: str
+) -> DataFrame:
+    """Own location (text, lon, lat columns), else the second source's x and y, else the third's, with a tag."""
+    text, own_lon, own_lat = own
+    has_own, has_second, has_third = (F.col(c).isNotNull() for c in (text, second[0], third[0]))
+    x = F.when(has_second, F.col(second[0])).otherwise(F.col(third[0]))
+    y = F.when(has_second, F.col(second[1])).otherwise(F.col(third[1]))
+    moved = add_hgs(df.withColumns({"__lx": x, "__ly": y}), "__lx", "__ly", ts, ("__lon", "__lat"))
+    lon = F.when(has_own, F.col(own_lon)).otherwise(F.col("__lon"))
+    lat = F.when(has_own, F.col(own_lat)).otherwise(F.col("__lat"))
     source = F.when(has_own, "GOES").when(has_second, "SSW").when(has_third, "XRT").otherwise("NoLocation")
-    return [text.alias("fl_location"), lon.alias("fl_lon"), lat.alias("fl_lat"), source.alias("fl_loc_src")]
+    shown = F.when(has_own, F.col(text)).otherwise(format_point(F.col("__lon"), F.col("__lat"), style="pair"))
+    out = moved.withColumns({"__text": shown, "__flon": lon, "__flat": lat, "fl_loc_src": source})
+    return out.drop("fl_location", "fl_lon", "fl_lat", "__lx", "__ly", "__lon", "__lat").withColumnsRenamed(
+        {"__text": "fl_location", "__flon": "fl_lon", "__flat": "fl_lat"}
+    )
 
 
 def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import normalize_key_number_offset
-from ..functions.places import consolidate_location, distance, fill_location_from_centroid, hgs_to_hpc, location_with_source
+from ..functions.keys import normalize_key_number_offset, numeric_coerce
+from ..functions.places import (
+    add_hpc, consolidate_location, distance, fill_location_from_centroid, format_point, location_with_source, parse_compass,
+)
+from ..functions.times import combine_date_and_time, fix_midnight_rollover, parse_time
 from ..operators.asof import attach_centroid
 from ..operators.interval import EVENT, overlap_candidates, resolve_secondary_matches, verify_matches
 
@@ -21,8 +24,7 @@ def prepare_secondary(events: DataFrame, location: str = "ssw_location") -> Data
         "noaa_active_region": normalize_key_number_offset(F.col("noaa_active_region")),
         "fl_location": text, "fl_lon": lon, "fl_lat": lat,
     })
-    x, y = hgs_to_hpc(F.col("fl_lon"), F.col("fl_lat"), F.col("start_time"))
-    return rows.withColumns({"x_hpc": x, "y_hpc": y})
+    return add_hpc(rows, "fl_lon", "fl_lat", "start_time")
 
 
 def prepare_primary(events: DataFrame, regions: DataFrame, region_key: str = "region_number", region_time: str = "date") -> DataFrame:
@@ -31,8 +33,7 @@ def prepare_primary(events: DataFrame, regions: DataFrame, region_key: str = "re
     located = attach_centroid(events, keyed, ["noaa_active_region"], "peak_time", region_time)
     text, lon, lat = fill_location_from_centroid(F.col("goes_location"), F.col("centroid"))
     located = located.withColumns({"fl_location": text, "fl_lon": lon, "fl_lat": lat})
-    x, y = hgs_to_hpc(F.col("fl_lon"), F.col("fl_lat"), F.col("start_time"))
-    return located.withColumns({"x_hpc": x, "y_hpc": y}).drop("centroid", "centroid_lon", "centroid_lat")
+    return add_hpc(located, "fl_lon", "fl_lat", "start_time").drop("centroid", "centroid_lon", "centroid_lat")
 
 
 def assemble_match_table(primary: DataFrame, second: DataFrame, third: DataFrame, threshold: float = 275.0, near: float = 50.0) -> DataFrame:
@@ -57,10 +58,29 @@ def assemble_match_table(primary: DataFrame, second: DataFrame, third: DataFrame
     table = primary.join(flat, "id", "left")
     pair = distance(F.col("ssw_x_hpc"), F.col("ssw_y_hpc"), F.col("hinode_x_hpc"), F.col("hinode_y_hpc"))
     table = verify_matches(table.withColumn("ssw_hinode_dist", pair), "min_ssw_dist", "min_hinode_dist", "ssw_hinode_dist", threshold)
-    location = location_with_source(
-        F.col("fl_location"), F.col("fl_lon"), F.col("fl_lat"), (F.col("ssw_x_hpc"), F.col("ssw_y_hpc")),
-        (F.col("hinode_x_hpc"), F.col("hinode_y_hpc")), F.col("peak_time"),
+    table = location_with_source(
+        table, ("fl_location", "fl_lon", "fl_lat"), ("ssw_x_hpc", "ssw_y_hpc"), ("hinode_x_hpc", "hinode_y_hpc"), "peak_time"
     )
-    kept = [c for c in table.columns if c not in ("fl_location", "fl_lon", "fl_lat")]
     ars = F.array(*[F.col(c).cast("int") for c in ("noaa_active_region", "ssw_ar", "hinode_ar")])
-    return table.select(*kept, *location, ars.alias("candidate_ars"))
+    return table.withColumn("candidate_ars", ars)
+
+
+def clean_scraped_events(raw: DataFrame, time_format: str = "yyyy/MM/dd HH:mm:ss") -> DataFrame:
+    """Scraped event rows to catalogue rows.
+
+    Peak and stop come as clock times and take the start's date, passing midnight where needed.
+    The region number stands in parentheses and is 0 when unreadable; the compass position becomes a point text.
+    """
+    start = parse_time(F.trim("Start"), time_format)
+    peak = combine_date_and_time(F.col("Start"), F.col("Peak"), time_format)
+    end = combine_date_and_time(F.col("Start"), F.col("Stop"), time_format)
+    timed = raw.withColumns({"start_time": start, "peak_time": peak, "end_time": end})
+    fixed_peak, fixed_end = fix_midnight_rollover(F.col("start_time"), F.col("peak_time"), F.col("end_time"))
+    timed = timed.withColumns({"end_time": fixed_end, "peak_time": fixed_peak})
+    lon, lat = parse_compass(F.col("Derived Position"))
+    number = numeric_coerce(F.regexp_replace("NOAA_AR", "[() ]", ""), "bigint")
+    timed = timed.withColumns({
+        "noaa_active_region": F.coalesce(number, F.lit(0)), "goes_class": F.col("GOES Class"),
+        "goes_location": format_point(lon.cast("int"), lat.cast("int")),
+    })
+    return timed.drop("Derived Position", "Peak", "Start", "Stop", "GOES Class", "NOAA_AR")
