@@ -21,6 +21,7 @@ def local_session(cpus: str = "8", app: str = "eventloom", memory: str = "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
