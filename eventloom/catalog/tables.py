@@ -20,13 +20,13 @@ HOUR = timedelta(hours=1)
 CTES: dict[str, str] = {}
 
 
-def r6(col):
-    """Six digits, negative zero removed."""
-    return F.round(col, 6) + F.lit(0.0)
+def r6(col, scale: float = 1e6):
+    """Six digits, by arithmetic that both engines do alike on ties."""
+    return F.floor(col * scale + 0.5) / scale
 
 
-def R(expr: str) -> str:
-    return f"(round({expr}, 6) + 0.0)"
+def R(expr: str, scale: str = "1e6") -> str:
+    return f"(floor(({expr}) * {scale}::DOUBLE + 0.5::DOUBLE) / {scale}::DOUBLE)"
 
 
 CTES["cat"] = """
@@ -148,6 +148,13 @@ class Tables:
 
         return regrid(self.hourly, ["user_id"], "ts", HOUR)
 
+    @cached_property
+    def placed(self) -> DataFrame:
+        """Grid times with position and length of the series."""
+        from ..operators.series import regrid
+
+        return regrid(self.hourly, ["user_id"], "ts", HOUR, placed=True)
+
     @cached_property
     def header(self) -> DataFrame:
         i = F.col("event_id")

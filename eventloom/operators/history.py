@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classes import NO_LABEL, build_label, class_letter, verification_tag
 from ..functions.keys import pick_key_source
+from ..functions.times import floor_time
 from .asof import between_join
 from .interval import match_by_location
 
@@ -77,10 +80,17 @@ def events_in_slots(events: DataFrame, series: DataFrame, by: list[str], peak: s
 
 def count_events_in_slots(
     series: DataFrame, events: DataFrame, by: list[str], on: str, peak: str, cls: str, label: Column | None = None,
-    event_id: str = "id", classes: tuple[str, ...] = CLASSES, suffix: str = "",
+    event_id: str = "id", classes: tuple[str, ...] = CLASSES, suffix: str = "", grid: timedelta | None = None,
 ) -> DataFrame:
-    """Series with a count per class and slot and, given ``label``, the ``;``-joined labels in id order."""
-    slotted = events_in_slots(events, series, by, peak, on).withColumnRenamed("slot", on)
+    """Series with a count per class and slot and, given ``label``, the ``;``-joined labels in id order.
+
+    With ``grid`` the series is regular, its times are multiples of that width and it has ``pos`` and ``n``: the
+    slot then follows from the peak alone, and the series is read once.
+    """
+    if grid is None:
+        slotted = events_in_slots(events, series, by, peak, on).withColumnRenamed("slot", on)
+    else:
+        slotted = events.where(F.col(peak).isNotNull()).withColumn(on, floor_time(F.col(peak), grid))
     letter = class_letter(F.col(cls))
     aggs = [F.count_if(letter == c).alias(f"{c}FLARE{suffix}") for c in classes]
     if label is not None:
@@ -90,6 +100,9 @@ def count_events_in_slots(
             aggs.append(F.array_join(F.transform(items, lambda e: e["__label"]), ";").alias(f"{c}FLARE_LABEL{suffix}"))
     counts = slotted.groupBy(*by, on).agg(*aggs)
     out = series.join(counts, [*by, on], "left")
+    if grid is not None:
+        open_slot = F.col("pos") < F.col("n") - 1
+        out = out.withColumns({c: F.when(open_slot, F.col(c)) for c in counts.columns if c not in (*by, on)})
     fills = {f"{c}FLARE{suffix}": F.coalesce(f"{c}FLARE{suffix}", F.lit(0)) for c in classes}
     if label is not None:
         fills |= {
@@ -101,7 +114,7 @@ def count_events_in_slots(
 
 def event_history(
     series: DataFrame, events: DataFrame, key_map: DataFrame, by: str, on: str, mode: str = "key", labels: bool = True,
-    sources: tuple[str, str, str] = ("noaa_active_region", "hinode_ar", "ssw_ar"), keys: str = "keys",
+    sources: tuple[str, str, str] = ("noaa_active_region", "hinode_ar", "ssw_ar"), keys: str = "keys", grid: timedelta | None = None,
 ) -> DataFrame:
     """Per-slot counts and labels of the events matched to a series by number or by location.
 
@@ -112,7 +125,8 @@ def event_history(
         pairs = join_by_any_key(events, key_map, by, keys, list(sources))
     else:
         pairs = match_by_location(events.select("id", "start_time", "end_time", F.col("fl_lat").alias("lat"), F.col("fl_lon").alias("lon")), series, [by], on)
-    matched = events.join(pairs, "id").join(key_map.select(by, keys), by, "left")
+    flags = ["primary_verified", "secondary_verified"] if labels else []
+    matched = events.select("id", "peak_time", "goes_class", *sources, *flags).join(pairs, "id").join(key_map.select(by, keys), by, "left")
     region, source = pick_key_source(*[F.col(c) for c in sources], F.col(keys))
     matched = matched.withColumns({"__region": region, "__source": source})
     if mode == "key":
@@ -124,7 +138,7 @@ def event_history(
     slim = matched.select("id", by, "peak_time", "goes_class", *([label.alias("__lab")] if labels else []))
     return count_events_in_slots(
         series, slim, [by], on, "peak_time", "goes_class", F.col("__lab") if labels else None,
-        suffix="" if mode == "key" else "_LOC",
+        suffix="" if mode == "key" else "_LOC", grid=grid,
     )
 
 

@@ -184,23 +184,33 @@ def verify_matches(df: DataFrame, second_dist: str, third_dist: str, pair_dist:
 
 def exists_in_window(
     windows: DataFrame, events: DataFrame, win_start: str, win_end: str, event_on: str, event_cols: list[str], prefix: str = "ev_",
+    reach: timedelta = timedelta(days=36500), width: timedelta = TIME_CELL,
 ) -> DataFrame:
     """First event strictly inside each window, NULL columns when there is none.
 
-    Windows repeat across series on a common grid, so the search runs once per distinct start:
-    the first event after the start is found by an as-of join and tested against the end.
+    Between one event and the next, every window start has the same next event. So each distinct event
+    time becomes the range of starts it answers for, listed by time cell, and windows find
+    their range by cell: the windows are read once and no window meets more than the events of one cell.
     """
-    from .asof import asof_join
-
-    starts = windows.select(F.col(win_start).alias("__ws")).where(F.col("__ws").isNotNull()).distinct()
-    hits = asof_join(starts, events, [], "__ws", event_on, event_cols, direction="next", prefix="__e_", match_time="__et")
-    hits = hits.where(F.col("__et").isNotNull())
-    joined = windows.join(hits, F.col(win_start) == F.col("__ws"), "left").drop("__ws")
-    inside = F.col("__et") < F.col(win_end)
+    times = events.where(F.col(event_on).isNotNull()).groupBy(F.col(event_on).alias("__et")).agg(
+        F.min(F.struct(*event_cols)).alias("__rec")
+    )
+    ranges = neighbours(times, [], "__et", ["__et"], want=("prev",))
+    upper = micros(F.col("__et"))
+    lower = F.coalesce(micros(F.col("prev___et")), upper - us(reach))
+    lower = F.greatest(lower, upper - us(reach))
+    ranges = ranges.withColumns({"__hi": upper, "__lo": lower}).withColumn(
+        "__cell", F.explode(F.sequence(cell_start(F.col("__lo"), width), cell_start(F.col("__hi"), width), F.lit(us(width))))
+    )
+    ranges = ranges.select("__et", "__rec", "__lo", "__hi", "__cell")
+    start = micros(F.col(win_start))
+    keyed = windows.withColumn("__cell", cell_start(start, width)).withColumn("__start", start)
+    same = (keyed["__cell"] == ranges["__cell"]) & (F.col("__start") >= F.col("__lo")) & (F.col("__start") < F.col("__hi"))
+    same = same & (F.col("__et") < F.col(win_end))
+    joined = keyed.join(ranges, same, "left")
     return joined.select(
-        *[F.col(c) for c in windows.columns],
-        F.when(inside, F.col("__et")).alias(f"{prefix}time"),
-        *[F.when(inside, F.col("__e_" + c)).alias(prefix + c) for c in event_cols],
+        *[F.col(c) for c in windows.columns], F.col("__et").alias(f"{prefix}time"),
+        *[F.col(f"__rec.{c}").alias(prefix + c) for c in event_cols],
     )
 
 

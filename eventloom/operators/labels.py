@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import NO_LABEL, class_letter, verified_only
 from .interval import exists_in_window
-from .scan import positions
-from .series import chunked
+from .series import _placed, chunked
 
 
 @dataclass(frozen=True)
@@ -36,7 +35,7 @@ class WindowConfig:
 
 def slice_starts(series: DataFrame, by: list[str], on: str, cfg: WindowConfig) -> DataFrame:
     """Start position and time of every slice: 0, step, 2 step ... below n - (obs + lat)."""
-    placed = positions(series.select(*by, on), by, on)
+    placed = _placed(series, by, on)
     fits = (F.col("pos") % cfg.step == 0) & (F.col("pos") < F.col("n") - (cfg.obs + cfg.lat))
     return placed.where(fits).select(*by, F.col("pos").alias("slice_pos"), F.col(on).alias("obs_start"))
 
@@ -59,7 +58,7 @@ def window_frames(
     a maximum over the few blocks of the frame. Frames never span more than one chunk of blocks.
     """
     u = cfg.unit
-    prepared = positions(series, by, on).select(
+    prepared = _placed(series, by, on).select(
         *by, F.col(on).alias("__ts"), "pos", "n",
         F.coalesce(F.col(trusted), F.lit(False)).alias("__ok"),
         sum((F.coalesce(F.col(c), F.lit(0)) for c in counts), F.lit(0)).alias("__large"),
@@ -152,7 +151,7 @@ def label_instances(frames: DataFrame, unmatched: DataFrame, cfg: WindowConfig,
 def explode_observations(instances: DataFrame, series: DataFrame, by: list[str], on: str, obs: int) -> DataFrame:
     """The observation rows of each instance."""
     wanted = instances.select(*by, "slice_pos", F.explode(F.sequence(F.col("slice_pos"), F.col("slice_pos") + (obs - 1))).alias("pos"))
-    return wanted.join(positions(series, by, on).drop("n"), [*by, "pos"])
+    return wanted.join(_placed(series, by, on).drop("n"), [*by, "pos"])
 
 
 def filter_counts(instances: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .scan import running_sum
 
 COUNT_COLUMNS = ["BFLARE", "CFLARE", "MFLARE", "XFLARE"]
@@ -40,12 +41,13 @@ def breakpoints(counts: DataFrame, k: int, cell: timedelta = timedelta(days=1))
     mx = F.col("MFLARE") + F.col("XFLARE")
     flaring = counts.select("st", "et", "__key", mx.alias("__mx")).where(mx > 0)
     sums = running_sum(flaring, [], "et", F.col("__mx"), "__sum", tie=("__key",), total="__total", cell=cell)
+    sums = materialize(sums.select("__sum", "__total", "st"), "running-sums")
     cuts, last = [], F.lit(0)
     for _ in range(k - 1):
         target = F.col("__total") / k - 1
-        cut = sums.where(F.col("__sum") >= last + target).agg(F.min(F.struct("__sum", "st")).alias("c"))
-        cuts.append(cut.select(F.col("c.st").alias("st")).scalar())
-        last = cut.select(F.col("c.__sum").alias("s")).scalar()
+        cut = sums.where(F.col("__sum") >= last + target).agg(F.min(F.struct("__sum", "st")).alias("c")).scalar()
+        cuts.append(cut["st"])
+        last = cut["__sum"]
     return cuts
 
 
@@ -56,10 +58,11 @@ def balanced_time_partitions(
     """Series counts with their partition number 1 .. k.
 
     A series goes to partition i when it starts in ``(break i-1, break i]``; everything after the
-    last cut belongs to partition k. Cuts are taken in end-time order, so their start times
+    last cut belongs to partition k. The counts (one row per series) are stored once, because every
+    cut reads them. Cuts are taken in end-time order, so their start times
     may go backwards; a series inside two such intervals is in both partitions.
     """
-    based = counts.withColumn("__key", F.col(key))
+    based = materialize(counts.withColumn("__key", F.col(key)), "series-counts")
     low, high = (F.lit(t).cast("timestamp_ntz") for t in (lower, upper))
     edges = [low, *breakpoints(based, k, cell), high]
     edged = based.withColumn("__edges", F.array(*edges))

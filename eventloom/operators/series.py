@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.times import cell_start, micros, rows_to_hours, us
+from ..functions.times import cell_start, micros, rows_to_hours, shift, us
 from .scan import CELL, T, carry_scan, key_stats, neighbours, positions
 
 CADENCE = timedelta(minutes=12)
@@ -31,27 +31,25 @@ def _griddable(cadence: timedelta) -> Column:
     return (F.pmod(micros(F.col("last_ts")) - micros(F.col("first_ts")), F.lit(us(cadence))) == 0) & (F.col("per_time") == 1)
 
 
-def regrid(series: DataFrame, by: list[str], on: str, cadence: timedelta = CADENCE) -> DataFrame:
+def regrid(series: DataFrame, by: list[str], on: str, cadence: timedelta = CADENCE, placed: bool = False) -> DataFrame:
     """Rows on a regular grid from the first to the last time; gaps become NULL rows.
 
-    Rows between grid points disappear. Keys listed by ``regrid_rejects`` are left out.
+    Rows between grid points disappear. Keys listed by ``regrid_rejects`` are left out. With ``placed``
+    every row carries its position ``pos`` and the series length ``n``, which spares later
+    operators the search for them.
     """
-    grid = (
-        series_spans(series, by, on)
-        .where(_griddable(cadence))
-        .select(*by, F.explode(F.sequence("first_ts", "last_ts", F.lit(cadence))).alias(on))
-    )
+    points = F.sequence("first_ts", "last_ts", F.lit(cadence))
+    spans = series_spans(series, by, on).where(_griddable(cadence)).select(*by, points.alias("__points"))
+    if placed:
+        grid = spans.select(*by, F.size("__points").cast("long").alias("n"), F.posexplode("__points").alias("pos", on))
+        grid = grid.withColumn("pos", F.col("pos").cast("long"))
+    else:
+        grid = spans.select(*by, F.explode("__points").alias(on))
     return grid.join(series, [*by, on], "left")
 
 
-def slot_flux_stats(
-    slots: DataFrame, flux: DataFrame, slot_on: str, flux_on: str, value: str, before: timedelta = timedelta(minutes=6),
-    after: timedelta = timedelta(minutes=5), untrusted: float = UNTRUSTED,
-) -> DataFrame:
-    """Per distinct slot time: trusted average and maximum, all values, trusted count, 0/1 text.
-
-    The window is ``[t - before, t + after]``. NULL, NaN and ``untrusted`` values count as not trusted.
-    """
+def _minutes_of_slots(slots, flux, slot_on, flux_on, value, before, after) -> DataFrame:
+    """(slot, flux time, flux value) for every distinct slot time and flux row in its window."""
     width = before + after + timedelta(minutes=1)
     times = slots.select(F.col(slot_on).alias("__slot")).where(F.col("__slot").isNotNull()).distinct()
     low, high = micros(F.col("__slot")) - us(before), micros(F.col("__slot")) + us(after)
@@ -61,8 +59,36 @@ def slot_flux_stats(
         "__cell", cell_start(micros(F.col("__ft")), width)
     )
     hit = F.col("__ft").between(F.col("__slot") - F.lit(before), F.col("__slot") + F.lit(after))
+    return spread.join(minutes, "__cell").where(hit)
+
+
+def _minutes_of_grid(flux, flux_on, value, before, after, grid: timedelta) -> DataFrame:
+    """The same for all slots that are multiples of ``grid``, from the flux alone."""
+    t = micros(F.col(flux_on))
+    first = cell_start(t - us(after) + (us(grid) - 1), grid)
+    last = cell_start(t + us(before), grid)
+    slots = F.when(first <= last, F.sequence(first, last, F.lit(us(grid))))
+    rows = flux.where(F.col(flux_on).isNotNull()).select(
+        F.col(flux_on).alias("__ft"), F.col(value).alias("__fv"), t.alias("__us"), F.explode(slots).alias("__at")
+    )
+    return rows.select(shift(F.col("__ft"), F.col("__at") - F.col("__us")).alias("__slot"), "__ft", "__fv")
+
+
+def slot_flux_stats(
+    slots: DataFrame | None, flux: DataFrame, slot_on: str, flux_on: str, value: str, before: timedelta = timedelta(minutes=6),
+    after: timedelta = timedelta(minutes=5), untrusted: float = UNTRUSTED, grid: timedelta | None = None,
+) -> DataFrame:
+    """Per distinct slot time: trusted average and maximum, all values, trusted count, 0/1 text.
+
+    The window is ``[t - before, t + after]``. NULL, NaN and ``untrusted`` values count as not trusted.
+    With ``grid`` the slots are all multiples of that width and ``slots`` is not read.
+    """
+    found = (
+        _minutes_of_slots(slots, flux, slot_on, flux_on, value, before, after) if grid is None
+        else _minutes_of_grid(flux, flux_on, value, before, after, grid)
+    )
     trusted = F.col("__fv").isNotNull() & ~F.isnan("__fv") & (F.col("__fv") != untrusted)
-    rows = spread.join(minutes, "__cell").where(hit).withColumn("__ok", F.coalesce(trusted, F.lit(False)))
+    rows = found.withColumn("__ok", F.coalesce(trusted, F.lit(False)))
     ordered = F.sort_array(F.collect_list(F.struct("__ft", "__fv", "__ok")))
     stats = rows.groupBy("__slot").agg(
         F.avg(F.when(F.col("__ok"), F.col("__fv"))).alias("xr_avg"),
@@ -83,13 +109,14 @@ def slot_flux_stats(
 def slot_stats_join(
     series: DataFrame, flux: DataFrame, on: str, flux_on: str, value: str, cols: tuple[str, ...] = ("xr_max", "xr_qual"),
     before: timedelta = timedelta(minutes=6), after: timedelta = timedelta(minutes=5), untrusted: float = UNTRUSTED,
+    grid: timedelta | None = None,
 ) -> DataFrame:
     """Series rows with the flux statistics of their slot.
 
     Statistics depend on the slot time alone, so they are computed once per distinct time, however
-    many series share it.
+    many series share it. With ``grid`` (series times are multiples of it) the series is read once only.
     """
-    stats = slot_flux_stats(series, flux, on, flux_on, value, before, after, untrusted).select(on, *cols)
+    stats = slot_flux_stats(series, flux, on, flux_on, value, before, after, untrusted, grid).select(on, *cols)
     out = series.join(stats, on, "left")
     fill = {"xr_avg": F.lit(untrusted), "xr_max": F.lit(untrusted), "xr_qual": F.lit(0).cast("long"), "xr_all": F.lit(""), "xr_qual_str": F.lit("")}
     return out.withColumns({c: F.coalesce(F.col(c), fill[c]) for c in cols})
@@ -135,19 +162,29 @@ def availability_ratio(series: DataFrame, by: list[str], on: str, cadence: timed
     return out.withColumn("flagged", F.coalesce(F.col("availability") > 1, F.lit(True))).drop("first_ts", "last_ts")
 
 
+def _has_place(series: DataFrame) -> bool:
+    return {"pos", "n"} <= set(series.columns)
+
+
+def _placed(series: DataFrame, by: list[str], on: str, cell: timedelta = CELL) -> DataFrame:
+    """Series with ``pos`` and ``n``, computed only when they are not there yet."""
+    return series if _has_place(series) else positions(series, by, on, cell=cell)
+
+
 def interpolate_linear(series: DataFrame, by: list[str], on: str, cols: list[str], cell: timedelta = CELL) -> DataFrame:
     """Gaps filled linearly by row position, then forward, then backward."""
-    placed = positions(series, by, on, cell=cell, pos="__pos", total="__n").withColumn(T, micros(F.col(on)))
-    sources = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("__pos").alias("p"), F.col(c).alias("x"))) for c in cols}
+    placed = _placed(series, by, on, cell).withColumn(T, micros(F.col(on)))
+    sources = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("pos").alias("p"), F.col(c).alias("x"))) for c in cols}
     scanned = carry_scan(placed, by, sources, cell=cell)
 
     def filled(c: str) -> Column:
         a, b = F.col(f"prev_{c}.v"), F.col(f"next_{c}.v")
-        share = (F.col("__pos") - a["p"]) / (b["p"] - a["p"])
+        share = (F.col("pos") - a["p"]) / (b["p"] - a["p"])
         return F.coalesce(F.col(c), a["x"] + (b["x"] - a["x"]) * share, a["x"], b["x"])
 
     out = scanned.withColumns({c: filled(c) for c in cols})
-    return out.drop(T, "__pos", "__n", *[f"{d}_{c}" for c in cols for d in ("prev", "next")])
+    added = [] if _has_place(series) else ["pos", "n"]
+    return out.drop(T, *added, *[f"{d}_{c}" for c in cols for d in ("prev", "next")])
 
 
 def scale(series: DataFrame, by: list[str], on: str, cols: list[str], cell: timedelta = CELL) -> DataFrame:
@@ -178,7 +215,7 @@ def chunked(placed: DataFrame, reach_back: int, reach_ahead: int, pos: str = "po
 
 def rolling_mean(series: DataFrame, by: list[str], on: str, cols: list[str], n: int = 11) -> DataFrame:
     """Mean of the last ``n`` rows; missing until ``n`` values exist."""
-    rows = chunked(positions(series, by, on), n - 1, 0)
+    rows = chunked(_placed(series, by, on), n - 1, 0)
     frame = Window.partitionBy(*by, "__chunk").orderBy("pos").rowsBetween(-(n - 1), 0)
     means = {f"{c}_mean": F.when(F.count(c).over(frame) == n, F.avg(c).over(frame)) for c in cols}
     return rows.withColumns(means).where("__home").drop("__chunk", "__home", "pos", "n")
@@ -186,7 +223,7 @@ def rolling_mean(series: DataFrame, by: list[str], on: str, cols: list[str], n:
 
 def trim_edges(series: DataFrame, by: list[str], on: str, head: int, tail: int) -> DataFrame:
     """Series without their first ``head`` and last ``tail`` rows."""
-    placed = positions(series, by, on)
+    placed = _placed(series, by, on)
     return placed.where((F.col("pos") >= head) & (F.col("pos") < F.col("n") - tail)).drop("pos", "n")
 
 
