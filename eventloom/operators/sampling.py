@@ -50,10 +50,10 @@ def _draws(need: DataFrame, seed: int) -> DataFrame:
     return spread.withColumn("__pos", number % F.col("__m")).drop("__block", "__draw", "__m")
 
 
-def oversample(df: DataFrame, n: int, ids: list[str], seed: int = 13) -> DataFrame:
+def oversample(df: DataFrame, n: int | Column, ids: list[str], seed: int = 13) -> DataFrame:
     """All rows plus random draws with replacement until there are ``n``; column ``draw`` is NULL on originals."""
     placed = _ranked(df, [], ids, seed)
-    need = df.agg(F.count(F.lit(1)).alias("__m")).withColumn("__draw", F.lit(n) - F.col("__m"))
+    need = df.agg(F.count(F.lit(1)).alias("__m")).withColumn("__draw", (n if isinstance(n, Column) else F.lit(n)) - F.col("__m"))
     extra = placed.join(_draws(need, seed), "__pos")
     return placed.withColumn("draw", F.lit(None).cast("long")).unionByName(extra).drop(*HIDDEN)
 

@@ -16,8 +16,13 @@ DASHED_TIME = "yyyy-MM-dd HH:mm:ss"
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss"
 
 
+FILE_NUMBER = r"(\d+)\.\w+$"
+REPORT_DAY = r"(\d{8})SRS\.txt$"
+
+
 def _file_key(pattern: str) -> Column:
-    return F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
+    """Part of the file path, e.g. a series number or a day."""
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 
 def read_events(
@@ -48,19 +53,25 @@ def read_hinode_events(spark: SparkSession, path: str, columns: list[str] = XRT_
     return out if after is None else out.where(F.col("start_time") > F.lit(after).cast("timestamp_ntz"))
 
 
-def read_series(spark: SparkSession, folder: str, schema=SERIES_RAW, time_format: str = DEFAULT_TIME, key: str = "harpnum") -> DataFrame:
-    """All series of a folder in one scan; the key is the file name, the time column is ``ts``."""
-    raw = spark.read.csv(f"{folder}/*.csv", schema=schema, header=True, sep="\t", nullValue="NaN", enforceSchema=True)
-    named = raw.withColumn(key, _file_key(r"^(\d+)").try_cast("int"))
+def read_series(
+    spark: SparkSession, folder: str, schema=SERIES_RAW, time_format: str = DEFAULT_TIME, key: str = "harpnum", files: str = "*.csv",
+    key_pattern: str = FILE_NUMBER,
+) -> DataFrame:
+    """All series of a folder in one scan; the key comes from the file path, the time column is ``ts``."""
+    raw = spark.read.csv(f"{folder}/{files}", schema=schema, header=True, sep="\t", nullValue="NaN", enforceSchema=False)
+    named = raw.withColumn(key, _file_key(key_pattern).try_cast("int"))
     return named.withColumn("ts", parse_time(F.col("Timestamp"), time_format)).drop("Timestamp")
 
 
-def read_series_header(spark: SparkSession, folder: str, key: str = "harpnum", fields: list[str] = HEADER_FIELDS) -> DataFrame:
+def read_series_header(
+    spark: SparkSession, folder: str, key: str = "harpnum", fields: list[str] = HEADER_FIELDS, files: str = "*.txt",
+    key_pattern: str = FILE_NUMBER,
+) -> DataFrame:
     """Header tables of a folder; times cut to the minute, listed columns kept as numbers."""
-    raw = spark.read.csv(f"{folder}/*.txt", schema=text_schema(fields), header=True, sep="\t", nullValue="NaN", enforceSchema=False)
+    raw = spark.read.csv(f"{folder}/{files}", schema=text_schema(fields), header=True, sep="\t", nullValue="NaN", enforceSchema=False)
     minute = F.substring(F.regexp_replace(fields[0], "[T_]", " "), 1, 16)
     return raw.select(
-        _file_key(r"^(\d+)").try_cast("int").alias(key), parse_time(minute, "yyyy-MM-dd HH:mm").alias("ts"),
+        _file_key(key_pattern).try_cast("int").alias(key), parse_time(minute, "yyyy-MM-dd HH:mm").alias("ts"),
         *[numeric_coerce(F.col(c)).alias(c) for c in fields[1:]],
     )
 
@@ -78,19 +89,21 @@ def read_fixed_width_regions(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(*[F.trim(F.substring("value", at, size)).try_cast(to).alias(name) for name, at, size, to in REGION_FIXED_WIDTH])
 
 
-def _report_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of daily reports with their day and number; one report is one small file."""
-    raw = spark.read.text(f"{folder}/*SRS.txt", wholetext=True)
-    day = F.to_date(_file_key(r"^(\d{8})"), "yyyyMMdd")
+def _report_lines(spark: SparkSession, folder: str, files: str, day_pattern: str) -> DataFrame:
+    """Lines of daily reports with their day; one report is one small file."""
+    raw = spark.read.text(f"{folder}/{files}", wholetext=True)
+    day = F.to_date(_file_key(day_pattern), "yyyyMMdd")
     return raw.select(day.alias("date"), F.split("value", r"\r?\n").alias("lines"))
 
 
 SPOTS, PLAGES, RETURN = "I.  Regions with Sunspots.", "IA. H-alpha Plages without Spots.", "II. Regions Due to Return"
 
 
-def read_sectioned_report(spark: SparkSession, folder: str, preamble: int = 9) -> DataFrame:
+def read_sectioned_report(
+    spark: SparkSession, folder: str, preamble: int = 9, files: str = "*SRS.txt", day_pattern: str = REPORT_DAY
+) -> DataFrame:
     """Daily region reports: spot and plage sections up to section II, numbers plus 10000."""
-    reports = _report_lines(spark, folder)
+    reports = _report_lines(spark, folder, files, day_pattern)
     plage_at = F.array_position(F.transform("lines", lambda l: F.startswith(l, F.lit(PLAGES))), True)
     stop_at = F.array_position(F.transform("lines", lambda l: F.startswith(l, F.lit(RETURN))), True)
     rows = reports.select("date", plage_at.alias("p"), stop_at.alias("s"), F.posexplode("lines").alias("i", "line"))
@@ -118,9 +131,9 @@ def read_sectioned_report(spark: SparkSession, folder: str, preamble: int = 9) -
 REGION_ROW = r"^(\d+)\s+(\w+)\s+(\d+)\s+(\d+)\s+(\w+)\s+(\d+)\s+(\d+)"
 
 
-def read_region_rows(spark: SparkSession, folder: str) -> DataFrame:
+def read_region_rows(spark: SparkSession, folder: str, files: str = "*SRS.txt", day_pattern: str = REPORT_DAY) -> DataFrame:
     """The sunspot section of daily reports by pattern, fields as text."""
-    reports = _report_lines(spark, folder)
+    reports = _report_lines(spark, folder, files, day_pattern)
     is_start = F.transform("lines", lambda l: F.contains(F.lower(l), F.lit("regions with sunspots")))
     begin = F.array_position(is_start, True)
     tail = F.slice("lines", begin + 2, F.size("lines"))
