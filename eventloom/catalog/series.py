@@ -207,22 +207,36 @@ def _(t):
     return filled(t).select("user_id", "ts", r6(F.col("p_max"), 1e9).alias("p_max"))
 
 
-CTES["scaled"] = """
-SELECT user_id, ts, pos, n, (p_max - lo) / CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END AS p_max FROM (
-  SELECT *, min(p_max) OVER (PARTITION BY user_id) AS lo, max(p_max) OVER (PARTITION BY user_id) AS hi FROM filled)
-"""
+@query("scale", "W10", f"""
+SELECT user_id, ts, {R("(p_max - lo) / CASE WHEN hi = lo THEN 1.0::DOUBLE ELSE hi - lo END")} AS p_max FROM (
+  SELECT *, min(p_max) OVER (PARTITION BY user_id) AS lo, max(p_max) OVER (PARTITION BY user_id) AS hi FROM grid)""")
+def _(t):
+    return S.scale(t.grid, U, "ts", ["p_max"]).select("user_id", "ts", r6(F.col("p_max")).alias("p_max"))
 
 
-@query("scale", "W10", f"SELECT user_id, ts, {R('p_max')} AS p_max FROM scaled")
+@query("rolling_mean", "W11", f"""
+SELECT user_id, ts, CASE WHEN count(v) OVER w = 11 THEN {R("sum(v) OVER w / 11", "1e9")} END AS v_mean FROM (SELECT user_id, ts, CAST(coalesce(p_n, 0) AS DOUBLE) AS v FROM grid)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 10 PRECEDING AND CURRENT ROW)""")
 def _(t):
-    return S.scale(filled(t), U, "ts", ["p_max"]).select("user_id", "ts", r6(F.col("p_max")).alias("p_max"))
+    rows = t.placed.select("user_id", "ts", "pos", "n", F.coalesce("p_n", F.lit(0)).cast("double").alias("v"))
+    return S.rolling_mean(rows, U, "ts", ["v"]).select("user_id", "ts", r6(F.col("v_mean"), 1e9).alias("v_mean"))
 
 
-@query("rolling_mean", "W11", f"""
-SELECT user_id, ts, CASE WHEN count(p_max) OVER w = 11 THEN {R("avg(p_max) OVER w", "1e9")} END AS p_max_mean FROM filled
-WINDOW w AS (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 10 PRECEDING AND CURRENT ROW)""")
+CTES["cut"] = """
+SELECT user_id, ts, pos, (p_max - lo) / CASE WHEN hi = lo THEN 1.0::DOUBLE ELSE hi - lo END AS v FROM (
+  SELECT *, min(p_max) OVER (PARTITION BY user_id) AS lo, max(p_max) OVER (PARTITION BY user_id) AS hi FROM filled WHERE pos >= 40 AND pos < n - 40)
+"""
+
+
+@query("smooth_series", "W9 W10 W11 W12", f"""
+SELECT user_id, ts, CASE WHEN k >= 11 THEN {R("m")} END AS p_max FROM (
+  SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY pos) AS k, avg(v) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) AS m FROM cut)
+WHERE k > 20""")
 def _(t):
-    return S.rolling_mean(filled(t), U, "ts", ["p_max"]).select("user_id", "ts", r6(F.col("p_max_mean"), 1e9).alias("p_max_mean"))
+    from ..plans.smooth import smooth_series
+
+    out = smooth_series(t.placed.select("user_id", "ts", "pos", "n", "p_max"), U, "ts", ["p_max"], edge=40, lead=20)
+    return out.select("user_id", "ts", r6(F.col("p_max")).alias("p_max"))
 
 
 @query("trim_edges", "W12", "SELECT user_id, ts FROM filled WHERE pos >= 20 AND pos < n - 30")

@@ -57,8 +57,8 @@ CTES["span"] = "SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts FROM hou
 CTES["gridpts"] = "SELECT user_id, unnest(generate_series(first_ts, last_ts, INTERVAL 1 HOUR)) AS ts FROM span"
 CTES["grid"] = "SELECT g.user_id, g.ts, h.p_avg, h.p_max, h.p_n FROM gridpts g LEFT JOIN hourly h ON g.user_id = h.user_id AND g.ts = h.ts"
 CTES["header"] = """
-SELECT user_id, ts AS hts, event_id AS hid, (event_id * 7919) % 61 - 60 AS lat_min, (event_id * 7919) % 61 AS lat_max,
-       (event_id * 104729) % 91 - 90 AS lon_min, (event_id * 104729) % 91 AS lon_max,
+SELECT user_id, ts AS hts, event_id AS hid, (event_id * 7919) % 91 - 50 AS lat_min, (event_id * 7919) % 91 - 38 AS lat_max,
+       (event_id * 104729) % 151 - 85 AS lon_min, (event_id * 104729) % 151 - 61 AS lon_max,
        CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS quality
 FROM events WHERE event_type = 'view'
 """
@@ -159,8 +159,8 @@ class Tables:
     def header(self) -> DataFrame:
         i = F.col("event_id")
         return self.events.where(F.col("event_type") == "view").select(
-            "user_id", F.col("ts").alias("hts"), i.alias("hid"), ((i * 7919) % 61 - 60).alias("lat_min"),
-            ((i * 7919) % 61).alias("lat_max"), ((i * 104729) % 91 - 90).alias("lon_min"), ((i * 104729) % 91).alias("lon_max"),
+            "user_id", F.col("ts").alias("hts"), i.alias("hid"), ((i * 7919) % 91 - 50).alias("lat_min"),
+            ((i * 7919) % 91 - 38).alias("lat_max"), ((i * 104729) % 151 - 85).alias("lon_min"), ((i * 104729) % 151 - 61).alias("lon_max"),
             F.when(i % 5 == 0, 1).otherwise(0).alias("quality"),
         )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Watts per square metre of class letter times one.
 CLASS_SCALE = {"A": 1e-8, "B": 1e-7, "C": 1e-6, "M": 1e-5, "X": 1e-4}
-LABEL_SCHEMA = "magnitude string, id long, NOAA_AR long, narn_source string, verification string"
+LABEL_FIELDS = "magnitude: string, id: bigint, NOAA_AR: bigint, narn_source: string, verification: string"
 NO_LABEL = "None"
 LOWEST_CLASS = "A1.0"
 VERIFIED = ("Primary", "Secondary")
@@ -78,28 +78,18 @@ def parse_label_max(
 
     The first of equal magnitudes wins; ``None`` passes through; NULL when nothing exceeds A1.0.
     """
-    events = F.transform(F.split(text, ";"), lambda item: F.from_json(item, LABEL_SCHEMA))
-    return F.when(text == NO_LABEL, NO_LABEL).otherwise(
-        label_of(greatest_event(events), with_verification, events if compat_last_verification else None)
-    )
-
-
-def greatest_event(events: Column) -> Column:
-    """First element of greatest magnitude above A1.0 in an array of label structs."""
-    start = F.struct(
-        F.lit(LOWEST_CLASS).alias("magnitude"), F.lit(None).cast("long").alias("id"),
-        F.lit(None).cast("long").alias("NOAA_AR"), F.lit(None).cast("string").alias("narn_source"),
-        F.lit(None).cast("string").alias("verification"),
-    )
-    return F.aggregate(events, start, lambda best, item: F.when(best["magnitude"] < item["magnitude"], item).otherwise(best))
-
-
-def label_of(event: Column, with_verification: bool, last_of: Column | None = None) -> Column:
-    text = F.concat(event["magnitude"], F.lit("@"), event["id"].cast("string"))
-    if not with_verification:
-        return text
-    verification = event["verification"] if last_of is None else F.element_at(last_of, -1)["verification"]
-    return F.when(event["id"].isNotNull(), F.concat(text, F.lit(":"), verification))
+    joined = F.concat(F.lit("["), F.replace(text, F.lit("};{"), F.lit("},{")), F.lit("]"))
+    events = F.from_json(F.when(text != NO_LABEL, joined), f"array<struct<{LABEL_FIELDS}>>")
+    last = F.element_at(events, -1)["verification"] if compat_last_verification else None
+
+    def ranked(event: Column, index: Column) -> Column:
+        shown = F.concat(event["magnitude"], F.lit("@"), event["id"].cast("string"))
+        if with_verification:
+            shown = F.concat(shown, F.lit(":"), event["verification"] if last is None else last)
+        entry = F.struct(event["magnitude"].alias("m"), (-index).alias("i"), shown.alias("label"))
+        return F.when(event["magnitude"] > LOWEST_CLASS, entry)
+
+    return F.when(text == NO_LABEL, NO_LABEL).otherwise(F.array_max(F.transform(events, ranked))["label"])
 
 
 def is_verified(label: Column) -> Column:

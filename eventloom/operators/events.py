@@ -200,10 +200,11 @@ def climatology(df: DataFrame, day: str = "start_time", peak: str = "peak_time",
     }
     flags = [F.bool_or(member[g]).alias(g) for g in CLIMATOLOGY]
     days = df.groupBy(F.to_date(peak).alias("__peak_day")).agg(*flags)
-    edges = df.agg(F.to_date(F.min(day)).alias("__first"), F.to_date(F.max(day)).alias("__last"))
-    tested = days.join(edges, (F.col("__peak_day") >= F.col("__first")) & (F.col("__peak_day") < F.col("__last")), "right")
-    points = F.datediff(F.first("__last"), F.first("__first")) + 1
-    wide = tested.agg(*[(F.count_if(F.col(g)) / points).alias(g) for g in CLIMATOLOGY])
+    first = df.agg(F.to_date(F.min(day)).alias("d")).scalar()
+    last = df.agg(F.to_date(F.max(day)).alias("d")).scalar()
+    tested = days.where((F.col("__peak_day") >= first) & (F.col("__peak_day") < last))
+    points = F.datediff(last, first) + 1
+    wide = tested.agg(*[F.count_if(F.col(g)).alias(g) for g in CLIMATOLOGY]).select(*[(F.col(g) / points).alias(g) for g in CLIMATOLOGY])
     return wide.unpivot([], list(CLIMATOLOGY), "class_group", "share")
 
 

@@ -11,6 +11,7 @@ from ..functions.places import heliocentric_angle, trust_flags
 from ..operators.asof import attach_header
 from ..operators.history import event_history
 from ..operators.series import CADENCE, regrid, slot_stats_join
+from ..session import materialize
 from ..sources.schemas import FINAL_COLUMNS
 
 
@@ -24,17 +25,20 @@ def add_trust_flags(series: DataFrame, limit: float = 70.0) -> DataFrame:
 
 def annotate_series(
     series: DataFrame, header: DataFrame, events: DataFrame, key_map: DataFrame, flux: DataFrame, key: str = "harpnum",
-    on: str = "ts", cadence: timedelta = CADENCE, final: bool = True,
+    on: str = "ts", cadence: timedelta = CADENCE, aligned: bool = False, final: bool = True,
 ) -> DataFrame:
-    """All annotation stages as one lazy plan.
+    """All annotation stages; gap rows of the regular grid have no header values and are never trusted.
 
-    Gap rows of the regular grid have no header values and are therefore never trusted.
+    With ``aligned`` (series times are multiples of the cadence) slots follow from times alone. The gridded series
+    is stored once, since both event histories and the flux statistics read it.
     """
-    located = attach_header(series, header, [key], on, "ts" if "ts" in header.columns else on)
-    gridded = add_trust_flags(regrid(located, [key], on, cadence))
-    by_key = event_history(gridded, events, key_map, key, on, "key")
-    by_place = event_history(by_key, events, key_map, key, on, "location")
-    fluxed = slot_stats_join(by_place, flux, on, "ts", "b_avg").withColumnsRenamed({"xr_max": "XR_MAX", "xr_qual": "XR_QUAL"})
-    if not final:
-        return fluxed
-    return fluxed.select(key, on, *FINAL_COLUMNS)
+    located = attach_header(series, header, [key], on, on)
+    gridded = materialize(add_trust_flags(regrid(located, [key], on, cadence, placed=True)), "gridded-series")
+    grid = cadence if aligned else None
+    history = event_history(gridded, events, key_map, key, on, "key", grid=grid)
+    places = gridded.select(key, on, "lat_min", "lat_max", "lon_min", "lon_max", "pos", "n")
+    by_place = event_history(places, events, key_map, key, on, "location", grid=grid)
+    history = history.join(by_place.select(key, on, *[c for c in by_place.columns if c.endswith("_LOC")]), [key, on])
+    fluxed = slot_stats_join(history, flux, on, "ts", "b_avg", grid=grid)
+    fluxed = fluxed.withColumnsRenamed({"xr_max": "XR_MAX", "xr_qual": "XR_QUAL"})
+    return fluxed.select(key, on, *FINAL_COLUMNS) if final else fluxed

@@ -179,4 +179,4 @@ def read_dataset(spark: SparkSession, path: str, split: str | None = None, label
     rows = spark.read.parquet(f"{path}/rows")
     if split is not None:
         rows = rows.where(F.col("split") == split)
-    return rows if label is None else rows.where(F.col("label") == label)
+    return rows if label is None else rows.where(F.col("role") == label)
