@@ -119,7 +119,7 @@ CTES["ch"] = cand_sql("xrt")
 SELECT id, located, c_id AS match_id, {R("dist")} AS dist, c_x AS match_x, c_y AS match_y, c_ar AS match_ar FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY coalesce(dist, 1e300), c_st, c_id) AS rn FROM cs) WHERE NOT located OR rn = 1""")
 def _(t):
-    return I.match_overlap_nearest(t.goes, t.ssw).withColumn("dist", r6(F.col("dist")))
+    return I.match_overlap_nearest(t.goes, t.ssw, radius=275.0).withColumn("dist", r6(F.col("dist")))
 
 
 @query("min_distance_overlap", "J8", f"""
@@ -131,7 +131,7 @@ def _(t):
 @query("min_distance_overlap_any_class", "J8", f"""
 SELECT id, {R("min(dist)")} AS fd_dist FROM ({cand_sql("xrt", eq="", time="r.start_time <= l.end_time AND r.end_time > l.start_time")}) GROUP BY 1""")
 def _(t):
-    return I.min_distance_overlap(t.goes, t.xrt, "fd_dist", eq_class=False).withColumn("fd_dist", r6(F.col("fd_dist")))
+    return I.min_distance_overlap(t.goes, t.xrt, "fd_dist", eq_class=False, radius=275.0).withColumn("fd_dist", r6(F.col("fd_dist")))
 
 
 CTES["pairs_ab"] = """

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import sampling as R_
+from ..session import materialize
 from .labels import mixed
 from .registry import query
 from .tables import CTES, R, r6
@@ -36,7 +37,7 @@ SELECT user_id, slice_pos, outcome, "partition" FROM (
          count(*) FILTER (outcome = 'FL') OVER (PARTITION BY "partition") AS fl FROM mixed WHERE outcome IN ('FL', 'NF'))
 WHERE outcome = 'FL' OR rn <= CAST(floor(fl * ((1 - 0.7::DOUBLE) / 0.7::DOUBLE)) AS BIGINT) + 1""")
 def _(t):
-    out = R_.undersample_to_ratio(mixed(t), "partition", ["user_id", "slice_pos"], keep_share=0.7)
+    out = R_.undersample_to_ratio(materialize(mixed(t), "slices"), "partition", ["user_id", "slice_pos"], keep_share=0.7)
     return out.select("user_id", "slice_pos", "outcome", "partition")
 
 

@@ -80,16 +80,18 @@ def parse_label_max(
     """
     joined = F.concat(F.lit("["), F.replace(text, F.lit("};{"), F.lit("},{")), F.lit("]"))
     events = F.from_json(F.when(text != NO_LABEL, joined), f"array<struct<{LABEL_FIELDS}>>")
-    last = F.element_at(events, -1)["verification"] if compat_last_verification else None
 
     def ranked(event: Column, index: Column) -> Column:
         shown = F.concat(event["magnitude"], F.lit("@"), event["id"].cast("string"))
-        if with_verification:
-            shown = F.concat(shown, F.lit(":"), event["verification"] if last is None else last)
+        if with_verification and not compat_last_verification:
+            shown = F.concat(shown, F.lit(":"), event["verification"])
         entry = F.struct(event["magnitude"].alias("m"), (-index).alias("i"), shown.alias("label"))
         return F.when(event["magnitude"] > LOWEST_CLASS, entry)
 
-    return F.when(text == NO_LABEL, NO_LABEL).otherwise(F.array_max(F.transform(events, ranked))["label"])
+    best = F.array_max(F.transform(events, ranked))["label"]
+    if with_verification and compat_last_verification:
+        best = F.concat(best, F.lit(":"), F.element_at(events, -1)["verification"])
+    return F.when(text == NO_LABEL, NO_LABEL).otherwise(best)
 
 
 def is_verified(label: Column) -> Column:

@@ -66,8 +66,12 @@ def combine_date_and_time(start_text: Column, time_text: Column, fmt: str = "yyy
 
 
 def parse_time(text: Column, fmt: str) -> Column:
-    """Text to a zone-free timestamp; NULL when it does not fit the format."""
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+    """Text to a zone-free timestamp; NULL when it does not fit the format.
+
+    The text is read as UTC and counted from the epoch, so clock changes of the session zone do not matter.
+    """
+    instant = F.try_to_timestamp(F.concat(text, F.lit("+00:00")), F.lit(fmt + "xxx"))
+    return shift(F.lit("1970-01-01").cast("timestamp_ntz"), F.unix_micros(instant))
 
 
 def rows_to_hours(rows: Column, cadence: timedelta = timedelta(minutes=12)) -> Column:

@@ -59,16 +59,25 @@ def _as_right(right: DataFrame) -> DataFrame:
     return right.select(*[F.col(c).alias("r_" + c) for c in EVENT])
 
 
-def overlap_candidates(left: DataFrame, right: DataFrame, eq_class: bool = True, closed: str = "none") -> DataFrame:
+def overlap_candidates(
+    left: DataFrame, right: DataFrame, eq_class: bool = True, closed: str = "none", radius: float | None = None
+) -> DataFrame:
     """All overlapping right events per left event with their distance (NULL without a location).
 
-    Both sides have the columns id, start_time, end_time, goes_class, x, y, ar.
+    Both sides have the columns id, start_time, end_time, goes_class, x, y, ar. With ``radius`` only located events are
+    searched, and only in the space cells of that size around them: every candidate up to that distance is
+    found, farther ones only by chance.
     """
     eq = [("goes_class", "r_goes_class")] if eq_class else []
-    pairs = overlap_pairs(
-        left.select("id", "start_time", "end_time", "goes_class", "x", "y"), _as_right(right),
-        ("start_time", "end_time"), ("r_start_time", "r_end_time"), eq, closed,
-    )
+    l, r = left.select("id", "start_time", "end_time", "goes_class", "x", "y"), _as_right(right)
+    if radius is not None:
+        steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
+        l = l.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+        l = l.withColumn("__sx", F.explode(F.transform(steps, lambda d: F.floor(F.col("x") / radius) + d)))
+        l = l.withColumn("__sy", F.explode(F.transform(steps, lambda d: F.floor(F.col("y") / radius) + d)))
+        r = r.withColumns({"__rx": F.floor(F.col("r_x") / radius), "__ry": F.floor(F.col("r_y") / radius)})
+        eq = [*eq, ("__sx", "__rx"), ("__sy", "__ry")]
+    pairs = overlap_pairs(l, r, ("start_time", "end_time"), ("r_start_time", "r_end_time"), eq, closed)
     gap = distance(F.col("r_x"), F.col("r_y"), F.col("x"), F.col("y"))
     located = F.col("x").isNotNull() & F.col("y").isNotNull()
     return pairs.select(
@@ -101,29 +110,61 @@ def is_near_duplicate(n: Column, first: Column, last: Column, threshold: float =
     return (n == 1) | ((n == 2) & close)
 
 
-def match_overlap_nearest(left: DataFrame, right: DataFrame, eq_class: bool = True, closed: str = "none") -> DataFrame:
+def match_overlap_nearest(
+    left: DataFrame, right: DataFrame, eq_class: bool = True, closed: str = "none", radius: float | None = None
+) -> DataFrame:
     """Closest overlapping event per located left event; for unlocated ones every candidate.
 
     Columns: id, located, match_id, dist, match_x, match_y, match_ar.
     """
-    cand = overlap_candidates(left, right, eq_class, closed)
-    far = F.coalesce(F.col("dist"), F.lit(float("inf")))
-    nearest = cand.where("located").groupBy("id").agg(F.min(_candidate(far.alias("dist"))).alias("m"))
-    one = nearest.select(
+    one = nearest_overlap(left, right, eq_class, closed, radius).select(
         "id", F.lit(True).alias("located"), F.col("m.id").alias("match_id"),
         F.nullif(F.col("m.dist"), F.lit(float("inf"))).alias("dist"),
         F.col("m.x").alias("match_x"), F.col("m.y").alias("match_y"), F.col("m.ar").alias("match_ar"),
     )
-    many = cand.where(~F.col("located")).select(
+    unlocated = left.where(F.col("x").isNull() | F.col("y").isNull())
+    many = overlap_candidates(unlocated, right, eq_class, closed).select(
         "id", "located", F.col("c_id").alias("match_id"), "dist", F.col("c_x").alias("match_x"),
         F.col("c_y").alias("match_y"), F.col("c_ar").alias("match_ar"),
     )
     return one.unionByName(many)
 
 
-def min_distance_overlap(left: DataFrame, right: DataFrame, out: str, eq_class: bool = True, closed: str = "left") -> DataFrame:
-    """Smallest distance to an overlapping right event, per left event that has one."""
-    return overlap_candidates(left, right, eq_class, closed).groupBy("id").agg(F.min("dist").alias(out))
+def min_distance_overlap(
+    left: DataFrame, right: DataFrame, out: str, eq_class: bool = True, closed: str = "left", radius: float | None = None
+) -> DataFrame:
+    """Smallest distance to an overlapping right event, per left event that has one.
+
+    ``radius`` works as in ``nearest_overlap``.
+    """
+    def least(candidates: DataFrame) -> DataFrame:
+        return candidates.groupBy("id").agg(F.min("dist").alias(out))
+
+    if radius is None:
+        return least(overlap_candidates(left, right, eq_class, closed))
+    close = least(overlap_candidates(left, right, eq_class, closed, radius)).where(F.col(out) <= radius)
+    rest = left.join(close, "id", "left_anti")
+    return close.unionByName(least(overlap_candidates(rest, right, eq_class, closed)))
+
+
+def nearest_overlap(
+    left: DataFrame, right: DataFrame, eq_class: bool = True, closed: str = "none", radius: float | None = None
+) -> DataFrame:
+    """Closest overlapping event of each located left event: id and the struct ``m``.
+
+    In a crowded class or hour nearly every event has a close partner. With ``radius`` those are found first, among
+    neighbouring space cells only; a partner within the radius is the nearest of all. Events without one
+    are then searched among all that overlap, so the result does not depend on the radius.
+    """
+    def nearest(candidates: DataFrame) -> DataFrame:
+        far = F.coalesce(F.col("dist"), F.lit(float("inf")))
+        return candidates.where("located").groupBy("id").agg(F.min(_candidate(far.alias("dist"))).alias("m"))
+
+    if radius is None:
+        return nearest(overlap_candidates(left, right, eq_class, closed))
+    close = nearest(overlap_candidates(left, right, eq_class, closed, radius)).where(F.col("m.dist") <= radius)
+    rest = left.where(F.col("x").isNotNull() & F.col("y").isNotNull()).join(close, "id", "left_anti")
+    return close.unionByName(nearest(overlap_candidates(rest, right, eq_class, closed)))
 
 
 def closest_pair(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -169,6 +210,23 @@ def resolve_secondary_matches(second: DataFrame, third: DataFrame, near: float =
     )
 
 
+def match_two_sources(base: DataFrame, second: DataFrame, third: DataFrame, near: float = 50.0, radius: float | None = 275.0) -> DataFrame:
+    """One candidate of each secondary source per event, searched by ``nearest_overlap`` for located events
+    and by ``resolve_secondary_matches`` for the others."""
+    is_located = F.col("x").isNotNull() & F.col("y").isNotNull()
+    plain = F.struct(*[F.col(f"m.{c}").alias(c) for c in ("start_time", "id", "x", "y", "ar")])
+
+    def side(right: DataFrame, name: str) -> DataFrame:
+        gap = F.nullif(F.col("m.dist"), F.lit(float("inf")))
+        return nearest_overlap(base.where(is_located), right, radius=radius).select("id", plain.alias(name), gap.alias(f"{name}_dist"))
+
+    located = side(second, "second").join(side(third, "third"), "id", "full_outer")
+    unlocated = base.where(~is_located)
+    return located.unionByName(
+        resolve_secondary_matches(overlap_candidates(unlocated, second), overlap_candidates(unlocated, third), near)
+    )
+
+
 def verify_matches(df: DataFrame, second_dist: str, third_dist: str, pair_dist: str, threshold: float = 275.0) -> DataFrame:
     """Verification flags by distance; a missing distance is False."""
     def near(name: str) -> Column:

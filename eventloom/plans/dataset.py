@@ -10,6 +10,7 @@ from ..operators.events import class_at_least
 from ..operators.labels import WindowConfig, label_instances, window_frames
 from ..operators.partition import apply_partitions, balanced_time_partitions, series_event_counts
 from ..operators.sampling import undersample_to_ratio
+from ..session import materialize
 
 LABELS = [f"{c}FLARE_LABEL" for c in "BCMX"]
 
@@ -31,5 +32,5 @@ def build_dataset(
 ) -> DataFrame:
     """Partitioned, labelled and undersampled instances."""
     parts = balanced_time_partitions(series_event_counts(annotated, [key], on), k, key)
-    slices = apply_partitions(labelled_slices(annotated, unmatched, key, on, cfg), parts, key)
+    slices = materialize(apply_partitions(labelled_slices(annotated, unmatched, key, on, cfg), parts, key), "slices")
     return undersample_to_ratio(slices, "partition", [key, "slice_pos"], keep_share=keep_share, seed=seed)

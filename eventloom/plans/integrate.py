@@ -11,7 +11,7 @@ from ..functions.places import (
 )
 from ..functions.times import combine_date_and_time, fix_midnight_rollover, parse_time
 from ..operators.asof import attach_centroid
-from ..operators.interval import EVENT, overlap_candidates, resolve_secondary_matches, verify_matches
+from ..operators.interval import EVENT, match_two_sources, verify_matches
 
 NO_POINT = "POINT(nan nan)"
 
@@ -36,7 +36,10 @@ def prepare_primary(events: DataFrame, regions: DataFrame, region_key: str = "re
     return add_hpc(located, "fl_lon", "fl_lat", "start_time").drop("centroid", "centroid_lon", "centroid_lat")
 
 
-def assemble_match_table(primary: DataFrame, second: DataFrame, third: DataFrame, threshold: float = 275.0, near: float = 50.0) -> DataFrame:
+def assemble_match_table(
+    primary: DataFrame, second: DataFrame, third: DataFrame, threshold: float = 275.0, near: float = 50.0,
+    radius: float | None = 275.0,
+) -> DataFrame:
     """The integrated catalogue: one row per primary event with its matches, flags and location.
 
     All inputs have id, start_time, peak_time, end_time, goes_class, x_hpc, y_hpc and noaa_active_region; the primary
@@ -46,9 +49,7 @@ def assemble_match_table(primary: DataFrame, second: DataFrame, third: DataFrame
         return df.withColumnsRenamed({"x_hpc": "x", "y_hpc": "y", "noaa_active_region": "ar"}).select(*EVENT)
 
     base = matching(primary)
-    found = resolve_secondary_matches(
-        overlap_candidates(base, matching(second)), overlap_candidates(base, matching(third)), near
-    )
+    found = match_two_sources(base, matching(second), matching(third), near, radius)
     flat = found.select(
         "id", F.col("second.id").alias("ssw_flare_id"), F.col("second_dist").alias("min_ssw_dist"),
         F.col("second.x").alias("ssw_x_hpc"), F.col("second.y").alias("ssw_y_hpc"), F.col("second.ar").alias("ssw_ar"),

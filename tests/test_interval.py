@@ -45,7 +45,8 @@ def test_candidates_equal_all_pairs(spark, closed, same_class):
     assert sorted((r.id, r.c_id) for r in got.collect()) == want
 
 
-def test_nearest_match_and_distance(spark):
+@pytest.mark.parametrize("radius", [None, 300.0])
+def test_nearest_match_and_distance(spark, radius):
     a, b = random_events(3, 80, 0), random_events(4, 80, 1000)
     l, r = spark.createDataFrame(a, EVENT), spark.createDataFrame(b, EVENT)
     want = {}
@@ -54,9 +55,11 @@ def test_nearest_match_and_distance(spark):
         if hits and e[4] is not None:
             best = min(hits, key=lambda x: (math.hypot(x[4] - e[4], x[5] - e[5]) if x[4] is not None else math.inf, x[1], x[0]))
             want[e[0]] = best[0]
-    got = I.match_overlap_nearest(l, r).where("located").collect()
+    got = I.match_overlap_nearest(l, r, radius=radius).where("located").collect()
     assert {x.id: x.match_id for x in got} == want
     assert all((x.dist is None) == (x.match_x is None) for x in got)
+    plain = I.min_distance_overlap(l, r, "d").collect()
+    assert sorted(map(tuple, plain), key=str) == sorted(map(tuple, I.min_distance_overlap(l, r, "d", radius=radius).collect()), key=str)
 
 
 def one_event(spark, candidates, located=False, near=50.0):

@@ -128,6 +128,15 @@ def test_micros_ignore_session_zone(spark):
     assert got[0] == got[1] == (1268533800123456, -1)
 
 
+def test_parse_time_ignores_session_zone(spark):
+    from datetime import datetime as d
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    got = one(spark, *[T.parse_time(F.lit(v), "yyyyMMdd_HHmmss") for v in ("20100314_023000", "junk", "20101107_013000")])
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == (d(2010, 3, 14, 2, 30), None, d(2010, 11, 7, 1, 30))
+
+
 def test_missing_distance_is_a_match(spark):
     null = F.lit(None).cast("double")
     assert one(spark, P.minkowski_within(F.lit(0.0), F.lit(0.0), null, F.lit(1.0), 15)) == (True,)
