@@ -60,7 +60,7 @@ def asof_join(
         scanned = halo_scan(both, by, source, us(tolerance), order=order, cell=cell)
     else:
         want = {"nearest": ("prev", "next"), "prev": ("prev",), "next": ("next",)}[direction]
-        scanned = carry_scan(both, by, {"r": source}, order=order, want=want, cell=cell)
+        scanned = carry_scan(both, by, {"r": source}, order=order, want=want, cell=cell, sparse=True)
 
     scanned = scanned.where(F.col(SIDE) == 1)
     have = set(scanned.columns)
@@ -101,7 +101,7 @@ def between_join(
 ) -> DataFrame:
     """Left rows with the right times around them: ``start <= left_on < following``; NULL outside."""
     both = _both_sides(left, right, by, left_on, right_on, [], unique=False)
-    scanned = carry_scan(both, by, {"r": F.col(RIGHT)}, order=(SIDE, RIGHT), cell=cell).where(F.col(SIDE) == 1)
+    scanned = carry_scan(both, by, {"r": F.col(RIGHT)}, order=(SIDE, RIGHT), cell=cell, sparse=True).where(F.col(SIDE) == 1)
     return scanned.select(
         f"{LEFT}.*",
         F.when(F.col(T).isNotNull(), F.col(f"prev_r.v.{RIGHT}.__ts")).alias(start),

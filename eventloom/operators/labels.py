@@ -53,11 +53,16 @@ def window_frames(
 ) -> DataFrame:
     """One row per slice with everything the labelling rules need.
 
-    All window boundaries are multiples of ``cfg.unit`` rows, so rows are first folded into
-    blocks of that many. Counts over a frame are differences of running sums; the best label is
-    a maximum over the few blocks of the frame. Frames never span more than one chunk of blocks.
+    Rows go into position chunks that overlap by the longest frame, which takes the only shuffle of this
+    step: folding, frames and sums all work inside (key, chunk). All window boundaries are multiples
+    of ``cfg.unit`` rows, so rows are first folded into blocks of that many. Counts over a frame
+    are differences of running sums; the best label is a maximum over the few blocks of the frame.
     """
     u = cfg.unit
+    obs, start, stop, clear = cfg.obs // u, (cfg.obs + cfg.lat) // u, (cfg.obs + cfg.lat + cfg.pred) // u, cfg.clear // u
+    back = 1 + (max(0, clear - start) if cfg.use_clear else 0)
+    ahead = stop + (clear if cfg.use_clear else 0)
+    size = max(1024, 8 * (back + ahead))
     prepared = _placed(series, by, on).select(
         *by, F.col(on).alias("__ts"), "pos", "n",
         F.coalesce(F.col(trusted), F.lit(False)).alias("__ok"),
@@ -67,17 +72,12 @@ def window_frames(
         _best(*[F.col(c) for c in large]).alias("__la"),
         _best(*[verified_only(F.col(c)) for c in small]).alias("__sv"),
     )
-    blocks = prepared.groupBy(*by, F.floor(F.col("pos") / u).alias("__b")).agg(
+    spread = chunked(prepared, back * u, ahead * u, rows=size * u).drop("__home").repartition(*by, "__chunk")
+    rows = spread.groupBy(*by, "__chunk", F.floor(F.col("pos") / u).alias("__b")).agg(
         F.first("n").alias("n"), F.min("__ts").alias("__t0"), F.max("__ts").alias("__t1"), F.count(F.lit(1)).alias("__rows"),
         F.count_if("__ok").alias("__ok"), F.sum("__large").alias("__large"), F.count_if("__low").alias("__low"),
         F.max("__lv").alias("__lv"), F.max("__la").alias("__la"), F.max("__sv").alias("__sv"),
     )
-    blocks = blocks.withColumn("__nb", F.floor((F.col("n") + (u - 1)) / u))
-    obs, start, stop, clear = cfg.obs // u, (cfg.obs + cfg.lat) // u, (cfg.obs + cfg.lat + cfg.pred) // u, cfg.clear // u
-    back = max(0, clear - start) if cfg.use_clear else 0
-    ahead = stop + (clear if cfg.use_clear else 0)
-    rows = chunked(blocks, back + 1, ahead, pos="__b", total="__nb", rows=1024)
-
     ordered = Window.partitionBy(*by, "__chunk").orderBy("__b")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
@@ -96,7 +96,7 @@ def window_frames(
 
     ahead_frame = ordered.rowsBetween(start, stop - 1)
     rows = rows.select(
-        *by, (F.col("__b") * u).alias("slice_pos"), "n", "__home", F.col("__t0").alias("obs_start"),
+        *by, (F.col("__b") * u).alias("slice_pos"), "n", (F.floor(F.col("__b") / size) == F.col("__chunk")).alias("__home"), F.col("__t0").alias("obs_start"),
         F.lead("__t1", obs - 1).over(ordered).alias("obs_end"),
         over_frame("__ok", 0, obs - 1).alias("obs_trusted"),
         over_frame("__rows", start, stop - 1).alias("pred_rows"),

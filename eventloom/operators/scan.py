@@ -41,12 +41,14 @@ def carry_scan(
     inclusive: bool = True,
     want: tuple[str, ...] = ("prev", "next"),
     cell: timedelta = CELL,
+    sparse: bool = False,
 ) -> DataFrame:
     """Latest earlier and earliest later non-NULL value of each source, per row.
 
     ``rows`` has the microsecond column ``__t``; ``order`` breaks its ties. For every source
     ``s`` the result has ``prev_s`` and/or ``next_s``, structs of (t, order columns, v).
     With ``inclusive`` a row's own value counts for ``prev``; ``next`` then starts after it.
+    ``sparse`` suits sources that are NULL on most rows: the summary then sorts only rows with a value.
     """
     key = [*by, CELL_COL]
     sort = [T, *order]
@@ -56,17 +58,20 @@ def carry_scan(
         packed = F.struct(*[F.col(c) for c in sort], value.alias("v"))
         base = base.withColumn(slots[name], F.when(value.isNotNull(), packed))
 
-    ends = base.groupBy(*key).agg(
+    held = base.where(F.col(next(iter(slots.values()))).isNotNull()) if sparse and len(slots) == 1 else base
+    ends = held.groupBy(*key).agg(
         *[F.max(s).alias(f"{s}_last") for s in slots.values()],
         *[F.min(s).alias(f"{s}_first") for s in slots.values()],
     )
+    if held is not base:
+        ends = base.select(*key).distinct().unionByName(ends, allowMissingColumns=True)
     merged = base.withColumn(ORD, F.lit(0))
     if "prev" in want:
-        earlier = Window.partitionBy(*by).orderBy(CELL_COL).rowsBetween(*BEFORE)
+        earlier = Window.partitionBy(*by).orderBy(CELL_COL).rangeBetween(*BEFORE)
         heads = ends.select(*key, F.lit(-1).alias(ORD), *[F.last(f"{s}_last", True).over(earlier).alias(s) for s in slots.values()])
         merged = merged.unionByName(heads, allowMissingColumns=True)
     if "next" in want:
-        later = Window.partitionBy(*by).orderBy(F.desc(CELL_COL)).rowsBetween(*BEFORE)
+        later = Window.partitionBy(*by).orderBy(F.desc(CELL_COL)).rangeBetween(*BEFORE)
         tails = ends.select(*key, F.lit(1).alias(ORD), *[F.last(f"{s}_first", True).over(later).alias(s) for s in slots.values()])
         merged = merged.unionByName(tails, allowMissingColumns=True)
     return _scan_cells(merged, key, [ORD, *sort], slots, inclusive, want).where(F.col(ORD) == 0).drop(

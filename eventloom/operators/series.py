@@ -205,7 +205,7 @@ def chunked(placed: DataFrame, reach_back: int, reach_ahead: int, pos: str = "po
     A frame over ``pos - reach_back .. pos + reach_ahead`` then needs only a window over
     (key, ``__chunk``), whatever the length of the series. ``__home`` marks the rows to keep.
     """
-    size = max(rows, 8 * (reach_back + reach_ahead))
+    size = rows if rows >= 8 * (reach_back + reach_ahead) else 8 * (reach_back + reach_ahead)
     low = F.greatest(F.floor((F.col(pos) - reach_ahead) / size), F.lit(0))
     high = F.least(F.floor((F.col(pos) + reach_back) / size), F.floor((F.col(total) - 1) / size))
     return placed.withColumn("__chunk", F.explode(F.sequence(low, high))).withColumn(
