@@ -12,6 +12,7 @@ from ..functions.places import (
 from ..functions.times import combine_date_and_time, fix_midnight_rollover, parse_time
 from ..operators.asof import attach_centroid
 from ..operators.interval import EVENT, match_two_sources, verify_matches
+from ..session import materialize
 
 NO_POINT = "POINT(nan nan)"
 
@@ -45,11 +46,13 @@ def assemble_match_table(
     All inputs have id, start_time, peak_time, end_time, goes_class, x_hpc, y_hpc and noaa_active_region; the primary
     also fl_location, fl_lon and fl_lat.
     """
-    def matching(df: DataFrame) -> DataFrame:
-        return df.withColumnsRenamed({"x_hpc": "x", "y_hpc": "y", "noaa_active_region": "ar"}).select(*EVENT)
+    def matching(df: DataFrame, name: str) -> DataFrame:
+        """The few columns the matching reads, stored once: several searches use them."""
+        return materialize(df.withColumnsRenamed({"x_hpc": "x", "y_hpc": "y", "noaa_active_region": "ar"}).select(*EVENT), name)
 
-    base = matching(primary)
-    found = match_two_sources(base, matching(second), matching(third), near, radius)
+    found = match_two_sources(
+        matching(primary, "primary-points"), matching(second, "second-points"), matching(third, "third-points"), near, radius
+    )
     flat = found.select(
         "id", F.col("second.id").alias("ssw_flare_id"), F.col("second_dist").alias("min_ssw_dist"),
         F.col("second.x").alias("ssw_x_hpc"), F.col("second.y").alias("ssw_y_hpc"), F.col("second.ar").alias("ssw_ar"),
