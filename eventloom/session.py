@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cpus: str = "8", app: str = "eventloom", memory: str = "16g") -> SparkSession:
-    """Session for tests and benchmarks on one machine."""
+def local_session(cpus: str = "8", app: str = "eventloom", memory: str = "16g", folder: str | None = None) -> SparkSession:
+    """Session for tests and benchmarks on one machine; ``folder`` (a new one if None) takes the intermediate tables."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -22,6 +24,7 @@ def local_session(cpus: str = "8", app: str = "eventloom", memory: str = "16g")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config(CHECKPOINT_CONF, folder or tempfile.mkdtemp(prefix="eventloom-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -29,19 +32,22 @@ def local_session(cpus: str = "8", app: str = "eventloom", memory: str = "16g")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can read and write.
+    """Folder every executor can read and write: the one that ``spark.checkpoint.dir`` names.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may fall back to a
-    folder of its own, because a machine-local folder is invisible to other executors.
+    Only a session on one machine may go without the setting; it then gets a folder for the life of its
+    application. On a cluster a missing setting is an error, because a machine-local folder is invisible to other executors.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="eventloom-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"{application}-")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
