@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from eventloom.session import shared_path
 
-from .common import part_bases
+from .common import lookup, part_bases
 from .tokens import END_ID, id_type, token_table
 
 BLOCK_IDS = 1 << 16
@@ -110,7 +110,7 @@ def write_coded(docs: DataFrame, tokenizer: str, text: str = "text", key: str =
     if clustered(tokens):
         parts = tokens.groupBy("part").agg(F.min("doc_id").alias("low"))
         named = parts.select("part", (F.row_number().over(Window.orderBy("low", "part")) - 1).cast("long").alias("rank"))
-        rows = tokens.join(named, "part").select(F.col("rank").alias("part"), "start", "doc_id", "ids")
+        rows = tokens.join(lookup(named), "part").select(F.col("rank").alias("part"), "start", "doc_id", "ids")
     else:
         n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
         rows = tokens.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "ids").select(F.lit(None).cast("long").alias("part"), F.lit(None).cast("long").alias("start"), "doc_id", "ids")
@@ -169,5 +169,5 @@ def read_coded(coded: Coded) -> DataFrame:
                     pa.array([raw[4 * a : 4 * b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())], pa.binary()),
                 ], names=["doc_id", "start", "n_tokens", "ids"])
 
-    placed = blocks.join(bases, "part").select((F.col("base") + F.col("start")).alias("start"), "doc_ids", "counts", "control", "data")
+    placed = blocks.join(lookup(bases), "part").select((F.col("base") + F.col("start")).alias("start"), "doc_ids", "counts", "control", "data")
     return placed.mapInArrow(run, DECODED_SCHEMA)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import eventloom
 from eventloom.session import shared_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,6 +23,23 @@ BATCH_BYTES = 4 << 20
 """Text bytes that a task turns into Python or numpy objects at once; one longer text is a batch of its own."""
 
 
+@lru_cache(maxsize=None)
+def _package(application: str) -> str:
+    """A zip file of this package, made once for each application."""
+    top = Path(eventloom.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix=f"{application}-")) / "eventloom.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    return str(path)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, which need not have it installed."""
+    spark.sparkContext.addPyFile(_package(spark.sparkContext.applicationId))
+    return spark
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder once, compressed, and go on from the files.
 
@@ -29,7 +51,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def words_in(text: Column) -> Column:
@@ -83,6 +105,11 @@ def binary_array(data: bytes, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype("<i8").tobytes()), pa.py_buffer(data)])
 
 
+def lookup(small: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A table that may be joined without a shuffle: marked for broadcast if it has at most ``rows`` (narrow) rows, else as it is."""
+    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+
+
 def part_bases(parts: DataFrame, order: list[Column], total: str = "total") -> DataFrame:
     """Running total of ``total`` before each row of a small table (one row per partition).
 

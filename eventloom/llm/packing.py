@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, part_bases
+from .common import binary_array, lookup, part_bases
 from .tokens import END_ID, id_type, token_table
 
 WINDOW = 2048
@@ -21,11 +21,11 @@ def with_positions(tokens: DataFrame) -> DataFrame:
     """Token table with ``position``: ids of all documents before, over all parts.
 
     First pass: ids of each part (one row per part). Second pass: their running totals meet the rows again;
-    a join on the part number, so nothing is shuffled while the totals are below Spark's broadcast threshold.
+    a join on the part number, so nothing is shuffled while the parts (one per input split) are few enough to be sent to every task.
     """
     parts = tokens.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     bases = part_bases(parts, [F.col("part")]).select("part", "base")
-    return tokens.join(bases, "part").withColumn("position", F.col("base") + F.col("start"))
+    return tokens.join(lookup(bases), "part").withColumn("position", F.col("base") + F.col("start"))
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int | None = END_ID, text: str = "text", key: str = "doc_id") -> DataFrame:

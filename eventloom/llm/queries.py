@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from .binary import read_coded, write_coded
 from .common import table
+from .mixing import mix, taken_rows
 from .packing import pack
+from .quality import Rules, assess, train
+from .secrets import scan
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -25,9 +28,26 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_rows(mix(table(spark, sf_dir, "documents")))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged = assess(docs, Rules(train(docs, labels)))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_binary_ids": op2_binary_ids,
     "op3_packing": op3_packing,
+    "op5_mixing": op5_mixing,
+    "op6_secrets": op6_secrets,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
