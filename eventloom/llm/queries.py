@@ -8,14 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import toxicity
+from .attribution import section_counts
 from .binary import read_coded, write_coded
 from .common import table
+from .density import main_text
 from .mixing import mix, taken_rows
+from .neighbours import search
 from .packing import pack
 from .quality import Rules, assess, train
-from .secrets import scan
+from .secret_scan import scan
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
 
 
 def op2_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +45,21 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.train(docs, labels, ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def op9_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_counts(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     judged = assess(docs, Rules(train(docs, labels)))
@@ -43,10 +67,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op2_binary_ids": op2_binary_ids,
     "op3_packing": op3_packing,
     "op5_mixing": op5_mixing,
     "op6_secrets": op6_secrets,
+    "op7_toxicity": op7_toxicity,
+    "op8_main_text": op8_main_text,
+    "op9_section_tokens": op9_section_tokens,
     "op10_quality": op10_quality,
 }
 
