@@ -98,6 +98,35 @@ def utf8(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+class RangeHash:
+    """64-bit polynomial hashes of byte ranges of one buffer, by prefix sums modulo 2^64."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self) -> None:
+        self._grow(1 << 16)
+
+    def _grow(self, n: int) -> None:
+        up, down = np.full(n, self.BASE, np.uint64), np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+    def of(self, data: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """One hash for each range; equal bytes have equal hashes wherever they lie."""
+        if len(data) >= len(self.up):
+            self._grow(len(data) + 1 + len(data) // 4)
+        running = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=running[1:])
+        return (running[stops] - running[begins]) * self.down[begins] + (stops - begins).astype(np.uint64)
+
+
+def scramble(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that leaves no visible order (the finalizer of splitmix64)."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
 def binary_array(data: bytes, offsets: np.ndarray) -> pa.Array:
     """Arrow binary values cut from one buffer; 64-bit offsets only where the buffer needs them."""
     if len(data) < 2**31:

@@ -13,6 +13,7 @@ from .attribution import section_counts
 from .binary import read_coded, write_coded
 from .common import table
 from .density import main_text
+from .jaccard import group_documents
 from .mixing import mix, taken_rows
 from .neighbours import search
 from .packing import pack
@@ -37,6 +38,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_rows(mix(table(spark, sf_dir, "documents")))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_binary_ids": op2_binary_ids,
     "op3_packing": op3_packing,
+    "op4_jaccard": op4_jaccard,
     "op5_mixing": op5_mixing,
     "op6_secrets": op6_secrets,
     "op7_toxicity": op7_toxicity,

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import binary_array, store, text_slices, utf8
+from .common import RangeHash, binary_array, store, text_slices, utf8
 
 SPACE, LETTER, DIGIT, OTHER = range(4)
 END_ID = 1
@@ -54,7 +54,7 @@ class PieceEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
-        self._powers(1 << 16)
+        self.hashes = RangeHash()
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
@@ -63,12 +63,6 @@ class PieceEncoder:
         self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _powers(self, n: int) -> None:
-        base = 0x9E3779B97F4A7C15
-        up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (one more entry than texts)."""
         data, offsets = utf8(texts)
@@ -102,11 +96,7 @@ class PieceEncoder:
         begins, stops, low = split_pieces(data, offsets)
         if not len(begins):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        if len(low) + 1 > len(self.up):
-            self._powers(len(low) + 1 + len(low) // 4)
-        running = np.zeros(len(low) + 1, np.uint64)
-        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * self.up[: len(low)], out=running[1:])
-        keys = (running[stops] - running[begins]) * self.down[begins] + (stops - begins).astype(np.uint64)
+        keys = self.hashes.of(low, begins, stops)
         distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.keys) + len(distinct) > CACHED_PIECES:
             self._forget()
