@@ -54,6 +54,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one struct, so that no name of theirs meets a name of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def words_in(text: Column) -> Column:
     """Number of words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, scramble, store, text_slices, utf8
+from .common import RangeHash, scramble, store, text_slices, utf8, whole_row
 from .graph import components
 
 BLANK = np.zeros(256, bool)
@@ -295,8 +295,9 @@ def keep_one(docs: DataFrame, join: Join = Join(), text: str = "text", key: str
     Of rows that repeat id and text one stays. Texts without words stay, and so do rows without an id, which no group can name.
     """
     groups = store(group_documents(docs, join, text, key), "jaccard-answer")
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(first, F.col(key).cast("long") == F.col("__id"), "left_semi")
+    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.select(whole_row(docs).alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    kept = rows.join(first, "doc_id", "left_semi")
     if not groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates([key, text])
-    return kept.unionByName(docs.filter(F.col(key).isNull()))
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept.select("row.*").unionByName(docs.filter(F.col(key).isNull()))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store, words_in
+from .common import store, whole_row, words_in
 
 BLOCK = 64
 """Documents that one task rounds in a row, about; each block leaves at most one document for the next level."""
@@ -166,14 +166,12 @@ def taken_rows(units: DataFrame) -> DataFrame:
 
 def take(docs: DataFrame, units: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as its copies say, with all its columns."""
-    columns = docs.columns
-    chosen = units.filter("copies > 0").select(F.struct("doc_id", "source", "content").alias("__unit"), F.col("copies").alias("__copies"), F.col("rows").alias("__rows"))
     mine = F.struct(F.col(key).cast("long").alias("doc_id"), F.col(source).alias("source"), F.xxhash64(F.col(text)).alias("content"))
-    marked = docs.withColumn("__mine", mine)
-    same = [F.col(f"__mine.{c}").eqNullSafe(F.col(f"__unit.{c}")) for c in ("doc_id", "source", "content")]
-    joined = marked.join(chosen, reduce(lambda a, b: a & b, same)).withColumn("__times", F.floor(F.col("__copies") / F.col("__rows")))
+    marked = docs.select(whole_row(docs).alias("row"), mine.alias("mine"))
+    chosen = units.filter("copies > 0").select(F.struct("doc_id", "source", "content").alias("unit"), "copies", "rows")
+    same = reduce(lambda a, b: a & b, [F.col(f"mine.{c}").eqNullSafe(F.col(f"unit.{c}")) for c in ("doc_id", "source", "content")])
+    each = marked.join(chosen, same).withColumn("times", F.floor(F.col("copies") / F.col("rows")))
     # repeated rows share copies that don't divide evenly: one of them takes what is left over
-    uneven = marked.join(chosen.filter("__rows > 1 and __copies % __rows > 0"), reduce(lambda a, b: a & b, same))
-    extra = uneven.dropDuplicates(["__unit"]).withColumn("__times", F.col("__copies") % F.col("__rows"))
-    several = joined.unionByName(extra).filter("__times > 0")
-    return several.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times").cast("long")))).select(*columns)
+    uneven = marked.join(chosen.filter("rows > 1 and copies % rows > 0"), same).dropDuplicates(["unit"])
+    several = each.unionByName(uneven.withColumn("times", F.col("copies") % F.col("rows"))).filter("times > 0")
+    return several.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times").cast("long")))).select("row.*")

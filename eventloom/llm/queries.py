@@ -84,4 +84,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_sort(list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)])) END AS shingles
+            FROM words
+        ), classes AS (SELECT min(doc_id) AS rep, shingles FROM sets WHERE len(shingles) > 0 GROUP BY shingles),
+        tokens AS (SELECT rep, len(shingles) AS n, unnest(shingles) AS token FROM classes),
+        links AS (
+            SELECT a.rep AS a, b.rep AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.rep <> b.rep
+            GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+        ), reach(node, root) AS (
+            SELECT rep, rep FROM classes UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.node
+        ), roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+        SELECT s.doc_id, len(s.shingles) AS n_shingles, coalesce(roots.component_id, s.doc_id) AS component_id
+        FROM sets s LEFT JOIN classes c ON c.shingles = s.shingles LEFT JOIN roots ON roots.node = c.rep
+    """,
+}

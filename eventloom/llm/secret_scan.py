@@ -33,7 +33,7 @@ ALLOWED = (
 """Candidates that match one of these as a whole are suppressed, whatever their entropy."""
 
 Span = tuple[int, str, int]
-TERMS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
+TERMS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 2)]  # the new character counts before the old one goes
 
 
 def base_spans(text: str) -> list[Span]:
