@@ -9,6 +9,7 @@ a combination of two frequent tokens, or on a single one where a long prefix wou
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil, log2
 from typing import NamedTuple
 
@@ -152,7 +153,9 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndar
         yield last, *(np.concatenate(x) for x in zip(*held))
 
 
-SET_SCHEMA = "doc_id long, set_id long, n long, open boolean, unmatched long, wide boolean, rare array<bigint>, frequent array<bigint>, combined array<bigint>, tokens binary"
+PARITY_BITS = 512
+
+SET_SCHEMA = "doc_id long, set_id long, n long, open boolean, unmatched long, scarce long, parity array<bigint>, wide boolean, rare array<bigint>, frequent array<bigint>, combined array<bigint>, tokens binary"
 
 
 def document_sets(docs: DataFrame, classes: tuple[np.ndarray, int], join: Join, text: str, key: str) -> DataFrame:
@@ -171,35 +174,44 @@ def document_sets(docs: DataFrame, classes: tuple[np.ndarray, int], join: Join,
             n = np.diff(bounds)
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (tokens, scramble(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]
             ids = scramble(scramble(sums[0][bounds[1:]] - sums[0][bounds[:-1]]) + (sums[1][bounds[1:]] - sums[1][bounds[:-1]])) ^ n.astype(np.uint64)
-            unmatched = np.diff(np.concatenate([[0], np.cumsum(kinds == 0)])[bounds])
+            unmatched, scarce = (np.diff(np.concatenate([[0], np.cumsum(kinds < k)])[bounds]) for k in (1, 2))
             first = n - join.needed(n) + 1
             possible = (n > 1) & (unmatched < first)
-            more: dict[str, list] = {c: [None] * len(n) for c in ("wide", "rare", "frequent", "combined", "tokens")}
+            more: dict[str, list] = {c: [None] * len(n) for c in ("parity", "wide", "rare", "frequent", "combined", "tokens")}
             for i in np.flatnonzero(possible):
                 own, kind = tokens[bounds[i] : bounds[i + 1]], kinds[bounds[i] : bounds[i + 1]]
                 order = np.argsort(kind, kind="stable")
-                scarce = int((kind < 2).sum())
-                spare = max(int(first[i]) - scarce, 0)  # frequent tokens in the first prefix
-                more["rare"][i] = own[order[unmatched[i] : min(scarce, first[i])]].view(np.int64)
-                more["frequent"][i] = own[order[scarce : scarce + spare]].view(np.int64)
+                begin = int(scarce[i])
+                spare = max(int(first[i]) - begin, 0)  # frequent tokens in the first prefix
+                more["rare"][i] = own[order[unmatched[i] : min(begin, first[i])]].view(np.int64)
+                more["frequent"][i] = own[order[begin : begin + spare]].view(np.int64)
                 more["wide"][i] = spare > join.combined
-                chosen = own[order[scarce : scarce + spare + 1]] if 0 < spare <= join.combined else own[:0]
+                chosen = own[order[begin : begin + spare + 1]] if 0 < spare <= join.combined else own[:0]
                 a, b = np.triu_indices(len(chosen), 1)
                 more["combined"][i] = scramble(scramble(chosen[a]) + chosen[b]).view(np.int64)
+                more["parity"][i] = np.packbits(np.bincount((own % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) % 2 == 1).view(np.int64)
                 more["tokens"][i] = own.tobytes()
             kinds_of = {"wide": pa.bool_(), "tokens": pa.binary()}
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(pa.int64()), pa.array(ids.view(np.int64)), pa.array(n), pa.array(possible), pa.array(unmatched),
+                batch.column(0).cast(pa.int64()), pa.array(ids.view(np.int64)), pa.array(n), pa.array(possible), pa.array(unmatched), pa.array(scarce),
                 *(pa.array(v, kinds_of.get(c, pa.list_(pa.int64()))) for c, v in more.items()),
             ], names=[c.split()[0] for c in SET_SCHEMA.split(", ")])
 
     return docs.select(key, text).mapInArrow(run, SET_SCHEMA)
 
 
-def reachable(join: Join, a: str = "", b: str = "2") -> Column:
-    """Whether two sets could reach the threshold if all their matched tokens were shared."""
-    most = F.least(F.col(f"n{a}") - F.col(f"unmatched{a}"), F.col(f"n{b}") - F.col(f"unmatched{b}"))
-    return 100 * most >= join.percent * (F.col(f"n{a}") + F.col(f"n{b}") - most)
+def reachable(join: Join, without: str) -> Column:
+    """Whether two sets can reach the threshold, by two exact bounds.
+
+    Tokens that are counted in ``without`` are not shared: unmatched ones never, scarce ones not by sets that meet on
+    frequent tokens only. And sets that differ in d tokens differ in at most d of the parities of their token counts per hash remainder, while the
+    threshold p percent allows d (100 + p) <= (100 - p) (n + n2).
+    """
+    sizes = F.col("n") + F.col("n2")
+    most = F.least(F.col("n") - F.col(without), F.col("n2") - F.col(f"{without}2"))
+    odd = [F.bit_count(F.get("parity", F.lit(i)).bitwiseXOR(F.get("parity2", F.lit(i)))) for i in range(PARITY_BITS // 64)]
+    differ = reduce(lambda x, y: x + y, odd)
+    return (100 * most >= join.percent * (sizes - most)) & ((100 + join.percent) * differ <= (100 - join.percent) * sizes)
 
 
 def _pair(a: str = "set_id", b: str = "set_id2") -> list[Column]:
@@ -214,22 +226,22 @@ def links(sets: DataFrame, join: Join) -> DataFrame:
     """Verified links (a, b) between sets, enough to connect every two sets that a chain of links connects.
 
     ``sets`` holds each open set once. Rare tokens lie in fewer than ``rare`` documents, so all their pairs are looked at.
-    Frequent tokens first link their sets to the one with the fewest unmatched tokens; whatever then still lies
+    Frequent tokens first link their sets to the one with the smallest share of scarce tokens; whatever then still lies
     in different groups meets pair by pair on combined or single frequent tokens.
     """
-    slim = ("set_id", "n", "unmatched")
+    slim = ("set_id", "n", "unmatched", "scarce", "parity")
     rare = sets.select(*slim, F.explode("rare").alias("token"))
-    by_rare = rare.join(_second(rare), "token").filter(F.col("set_id") < F.col("set_id2")).filter(reachable(join)).select(*_pair())
+    by_rare = rare.join(_second(rare), "token").filter(F.col("set_id") < F.col("set_id2")).filter(reachable(join, "unmatched")).select(*_pair())
     frequent = store(sets.select(*slim, "wide", F.explode("frequent").alias("token")), "jaccard-frequent")
-    order = F.struct((F.col("unmatched") / F.col("n")).alias("share"), *slim)
+    order = F.struct((F.col("scarce") / F.col("n")).alias("share"), *slim)
     centers = frequent.groupBy("token").agg(F.min(order).alias("least"), F.count("*").alias("members")).filter("members > 1")
     centers = centers.select("token", *[F.col(f"least.{c}").alias(f"{c}2") for c in slim])
-    to_center = frequent.join(centers, "token").filter("set_id != set_id2").filter(reachable(join)).select(*_pair())
+    to_center = frequent.join(centers, "token").filter("set_id != set_id2").filter(reachable(join, "scarce")).select(*_pair())
     found = store(verify(by_rare.unionByName(to_center).distinct(), sets, join), "jaccard-links")
     groups = components(found).select(F.col("node").alias("set_id"), "component")
     placed = frequent.join(groups, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     single = _divided(placed)
-    crossing = (F.col("component") != F.col("component2")) & reachable(join)
+    crossing = (F.col("component") != F.col("component2")) & reachable(join, "scarce")
     by_single = single.filter("wide").join(_second(single), "token").filter(crossing).select(*_pair())
     combined = sets.filter("not wide").select(*slim, F.explode("combined").alias("token")).join(groups, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     both = _divided(combined)
@@ -285,7 +297,7 @@ def group_documents(docs: DataFrame, join: Join = Join(), text: str = "text", ke
 
 def _once(sets: DataFrame) -> DataFrame:
     """Each open set once. Equal sets agree in all that is kept, so which row stays makes no difference."""
-    kept = sets.filter("open").groupBy("set_id").agg(F.first(F.struct("n", "unmatched", "wide", "rare", "frequent", "combined", "tokens")).alias("s"))
+    kept = sets.filter("open").groupBy("set_id").agg(F.first(F.struct("n", "unmatched", "scarce", "parity", "wide", "rare", "frequent", "combined", "tokens")).alias("s"))
     return kept.select("set_id", "s.*")
 
 
