@@ -285,6 +285,26 @@ def _(t):
     return I.regions_in_box(t.header, t.regions, ["user_id"], "hts", keyed=t.keymap).select("user_id", "hts", "region_numbers")
 
 
+@query("regions_in_box_wide", "J17", f"""
+SELECT h.user_id, h.hts, coalesce(f.txt, '') AS region_numbers FROM header h LEFT JOIN (
+  SELECT b.user_id, b.hts, string_agg(CAST(r.region AS VARCHAR), ';' ORDER BY r.region) AS txt
+  FROM header b JOIN (SELECT region, lat, lon, ar_time + to_hours(CAST(region % 24 AS INTEGER)) AS ar_time FROM regions) r
+    ON r.ar_time >= b.hts - INTERVAL 36 HOUR AND r.ar_time < b.hts + INTERVAL 36 HOUR
+  WHERE r.lat BETWEEN b.lat_min - 3 AND b.lat_max + 3
+    AND r.lon + {ROTATION.replace("lat", "r.lat")} * ((epoch_us(b.hts) - epoch_us(r.ar_time)) / 86400000000.0::DOUBLE) BETWEEN b.lon_min - 3 AND b.lon_max + 3
+  GROUP BY 1, 2) f ON h.user_id = f.user_id AND h.hts = f.hts""")
+def _(t):
+    shifted = t.regions.withColumn("ar_time", F.col("ar_time") + F.make_dt_interval(hours=(F.col("region") % 24).cast("int")))
+    return I.regions_in_box(t.header, shifted, ["user_id"], "hts", window=timedelta(hours=36)).select("user_id", "hts", "region_numbers")
+
+
+@query("asof_missing_keys", "J1", """
+SELECT g.id, (SELECT max(r.ar_time) FROM regions r WHERE r.region % 5 <> 0 AND r.region = g.ar AND r.ar_time <= g.start_time) AS last_time FROM goes g""")
+def _(t):
+    right = t.regions.select(F.when(F.col("region") % 5 != 0, F.col("region")).alias("ar"), F.col("ar_time").alias("last_time"))
+    return A.asof_join(t.goes.select("id", "ar", "start_time"), right, ["ar"], "start_time", "last_time", ["last_time"], direction="prev").select("id", "last_time")
+
+
 @query("exists_in_window", "J20", """
 SELECT w.id, (SELECT min(e.peak_time) FROM xrt e WHERE e.goes_class > 'M' AND e.peak_time > w.start_time AND e.peak_time < w.end_time) AS ev_time,
        (SELECT arg_min(e.goes_class, (e.peak_time, e.id)) FROM xrt e WHERE e.goes_class > 'M' AND e.peak_time > w.start_time AND e.peak_time < w.end_time) AS ev_goes_class FROM goes w""")

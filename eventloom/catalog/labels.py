@@ -126,9 +126,11 @@ def _(t):
 
 
 @query("explode_observations", "W7", """
-SELECT i.user_id, i.slice_pos, a.pos, a.ts FROM inst i JOIN anno a ON i.user_id = a.user_id AND a.pos BETWEEN i.slice_pos AND i.slice_pos + 11 WHERE i.outcome = 'FL'""")
+SELECT i.user_id, i.slice_pos, a.pos, a.ts
+FROM (SELECT user_id, slice_pos, unnest(generate_series(slice_pos, slice_pos + 11)) AS pos FROM inst WHERE outcome IS NOT NULL) i
+JOIN anno a ON i.user_id = a.user_id AND a.pos = i.pos""")
 def _(t):
-    kept = instances(t).where(F.col("outcome") == "FL").select("user_id", "slice_pos")
+    kept = instances(t).where(F.col("outcome").isNotNull()).select("user_id", "slice_pos")
     return L.explode_observations(kept, t.placed.select("user_id", "ts", "pos", "n"), U, "ts", CFG.obs)
 
 
@@ -168,8 +170,8 @@ CTES["cut2"] = "SELECT min(s) AS s, arg_min(st, s) AS st FROM cumulated WHERE s
 CTES["cut3"] = "SELECT min(s) AS s, arg_min(st, s) AS st FROM cumulated WHERE s >= (SELECT s FROM cut2) + target"
 CTES["parts"] = """
 SELECT f.*, CAST(e.p AS INTEGER) AS "partition" FROM fcounts f JOIN (
-  SELECT 1 AS p, TIMESTAMP '2010-01-01' AS lo, (SELECT st FROM cut1) AS hi UNION ALL SELECT 2, (SELECT st FROM cut1), (SELECT st FROM cut2)
-  UNION ALL SELECT 3, (SELECT st FROM cut2), (SELECT st FROM cut3) UNION ALL SELECT 4, (SELECT st FROM cut3), TIMESTAMP '2030-01-01') e ON f.st > e.lo AND f.st <= e.hi
+  SELECT 1 AS p, TIMESTAMP '0001-01-01' AS lo, (SELECT st FROM cut1) AS hi UNION ALL SELECT 2, (SELECT st FROM cut1), (SELECT st FROM cut2)
+  UNION ALL SELECT 3, (SELECT st FROM cut2), (SELECT st FROM cut3) UNION ALL SELECT 4, (SELECT st FROM cut3), TIMESTAMP '9999-01-01') e ON f.st > e.lo AND f.st <= e.hi
 """
 
 
@@ -182,6 +184,23 @@ def _(t):
     return parts(t).select("user_id", "st", "et", (F.col("MFLARE") + F.col("XFLARE")).alias("mx"), "partition")
 
 
+CTES["customer_years"] = """
+SELECT o_custkey AS user_id, count(*) FILTER (o_orderstatus = 'F' AND o_totalprice > 300000) AS m, min(CAST(o_orderdate AS TIMESTAMP)) AS st, max(CAST(o_orderdate AS TIMESTAMP)) AS et
+FROM orders GROUP BY 1
+"""
+CTES["early_scan"] = "SELECT *, sum(m) OVER (ORDER BY et, user_id) AS s, (SELECT sum(m) FROM customer_years) / 2.0::DOUBLE - 1 AS target FROM customer_years WHERE m > 0"
+
+
+@query("balanced_time_partitions_early", "W14", """
+SELECT user_id, m, CASE WHEN st <= (SELECT arg_min(st, s) FROM early_scan WHERE s >= target) THEN 1 ELSE 2 END AS "partition" FROM customer_years""")
+def _(t):
+    large = F.count_if((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 300000))
+    day = F.col("o_orderdate").cast("timestamp_ntz")
+    series = t.read("orders").groupBy(F.col("o_custkey").alias("user_id")).agg(large.alias("MFLARE"), F.min(day).alias("st"), F.max(day).alias("et"))
+    series = series.withColumns({c: F.lit(0).cast("long") for c in ("BFLARE", "CFLARE", "XFLARE")})
+    return P.balanced_time_partitions(series, 2, "user_id").select("user_id", F.col("MFLARE").alias("m"), "partition")
+
+
 @query("apply_partitions", "W15", 'SELECT g.user_id, g.ts, p."partition" FROM gridpts g JOIN parts p ON g.user_id = p.user_id')
 def _(t):
     return P.apply_partitions(t.grid.select("user_id", "ts"), parts(t), "user_id")

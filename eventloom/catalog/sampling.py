@@ -8,6 +8,7 @@ from .labels import mixed
 from .registry import query
 from .tables import CTES, R, r6
 
+GROUP_HEX12 = "CAST('0x' || substr(md5('13|' || yr || '|' || minority || '|' || d), 1, 12) AS BIGINT)"
 HEX12 = "CAST('0x' || substr(md5('13|' || d), 1, 12) AS BIGINT)"
 CTES["shuffled"] = "SELECT *, row_number() OVER (PARTITION BY flaring ORDER BY md5('13|' || sample_id), sample_id) - 1 AS pos FROM samples"
 CTES["yearly"] = """
@@ -105,7 +106,7 @@ def _(t):
 @query("balance_over", "R6", f"""
 SELECT sample_id, yr, flaring, NULL::BIGINT AS draw FROM yearly UNION ALL
 SELECT y.sample_id, y.yr, y.flaring, x.d FROM (
-  SELECT yr, minority, d, {HEX12} % m AS pos FROM (SELECT yr, f < q AS minority, least(f, q) AS m, unnest(generate_series(0, abs(f - q) - 1)) AS d FROM sizes)) x
+  SELECT yr, minority, d, {GROUP_HEX12} % m AS pos FROM (SELECT yr, f < q AS minority, least(f, q) AS m, unnest(generate_series(0, abs(f - q) - 1)) AS d FROM sizes)) x
 JOIN yearly y ON y.yr = x.yr AND y.flaring = x.minority AND y.pos = x.pos""")
 def _(t):
     return R_.balance(by_year(t), "yr", "flaring", ["sample_id"], "over").select("sample_id", "yr", "flaring", "draw")

@@ -29,14 +29,10 @@ def coalesce_sources(*cols: Column, invalid: tuple = ()) -> Column:
     return F.coalesce(*kept)
 
 
-def null_markers(col: Column, *markers) -> Column:
-    """Markers of missing data (and NaN for doubles) as NULL."""
-    return coalesce_sources(col, invalid=markers) if len(markers) else F.nullif(col, F.lit(float("nan")))
-
-
 def numeric_coerce(col: Column, to: str = "double") -> Column:
-    """Text to number; anything else becomes NULL."""
-    return F.trim(col).try_cast(to)
+    """Text to number; anything else, also NaN in any spelling, becomes NULL."""
+    number = F.trim(col).try_cast(to)
+    return F.when(~F.isnan(number), number) if to in ("double", "float") else number
 
 
 def row_min(*cols: Column) -> Column:

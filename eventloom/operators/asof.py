@@ -15,15 +15,22 @@ SIDE, LEFT, RIGHT = "__side", "__left", "__right"
 
 
 def _both_sides(left, right, by, left_on, right_on, cols, unique) -> DataFrame:
-    """One table of left rows (side 1) and right rows (side 0) on a shared time axis."""
+    """One table of left rows (side 1) and right rows (side 0) on a shared time axis.
+
+    A missing key matches nothing: such right rows go, and such left rows get no place on the axis, which spreads
+    them over many cells and gives NULL columns in the end.
+    """
     record = F.struct(F.col(right_on).alias("__ts"), *[F.col(c) for c in cols])
-    recs = right.where(F.col(right_on).isNotNull()).select(*by, micros(F.col(right_on)).alias(T), record.alias(RIGHT))
+    keyed = F.lit(True)
+    for c in by:
+        keyed = keyed & F.col(c).isNotNull()
+    recs = right.where(keyed & F.col(right_on).isNotNull()).select(*by, micros(F.col(right_on)).alias(T), record.alias(RIGHT))
     if unique:
         recs = recs.groupBy(*by, T).agg(F.min(RIGHT).alias(RIGHT), F.count(F.lit(1)).alias("__dups"))
     else:
         recs = recs.withColumn("__dups", F.lit(1).cast("long"))
     recs = recs.select(*by, T, F.lit(0).alias(SIDE), F.struct(RIGHT, "__dups").alias(RIGHT))
-    rows = left.select(*by, micros(F.col(left_on)).alias(T), F.lit(1).alias(SIDE), F.struct("*").alias(LEFT))
+    rows = left.select(*by, F.when(keyed, micros(F.col(left_on))).alias(T), F.lit(1).alias(SIDE), F.struct("*").alias(LEFT))
     return rows.unionByName(recs, allowMissingColumns=True)
 
 

@@ -99,11 +99,19 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 def dedupe_first(df: DataFrame, keys: list[str] = DUPLICATE_KEYS, order: str = "id") -> tuple[DataFrame, DataFrame]:
     """(first row of every duplicate group by ``order``, all later duplicates).
 
-    The first row is found with an aggregate, which combines before the shuffle, so a group of
-    copies of any size is safe. NULL keys count as equal.
+    NULL keys count as equal, a NULL ``order`` comes last, and equal ``order`` is decided by the other columns. Exactly one row of a group
+    stays, also when rows repeat whole. Repeated rows are counted and the first row is found by aggregates, which
+    combine before the shuffle, so a group of copies of any size is safe.
     """
-    firsts = df.groupBy(*keys).agg(F.min(order).alias(order)).select(order)
-    return df.join(firsts, order, "left_semi"), df.join(firsts, order, "left_anti")
+    columns = df.columns
+    place = F.struct(F.col(order).isNull().alias("late"), F.col(order).alias("at"), F.struct(*columns).alias("row"))
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies")).withColumn("__place", place)
+    firsts = counted.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(F.min("__place").alias("__first"))
+    kept = firsts.select("__first.row.*")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+    rest = counted.join(firsts, same).withColumn("__left", F.col("__copies") - (F.col("__place") == F.col("__first")).cast("long"))
+    later = rest.where(F.col("__left") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__left"))))
+    return kept, later.select(*columns)
 
 
 def set_difference(a: DataFrame, b: DataFrame, on: str) -> DataFrame:
@@ -208,16 +216,17 @@ def climatology(df: DataFrame, day: str = "start_time", peak: str = "peak_time",
     return wide.unpivot([], list(CLIMATOLOGY), "class_group", "share")
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: dict[str, float], width: float) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, qs: dict[str, float], cells: int = 256) -> DataFrame:
     """Exact linear-interpolated quantiles in one row, without gathering the values.
 
-    Values are counted first, then ranked by running counts over value cells of ``width``; each
-    quantile reads the one or two values that hold its rank.
+    Values are counted first, then ranked by running counts over ``cells`` value cells with about as many distinct values each, whatever
+    their range; each quantile reads the one or two values that hold its rank.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    rows = with_cell_facts(
-        counts, [], F.floor(F.col("__v") / width), {"__s": F.sum("__c")}, {"__before": ("before", "__s"), "__n": ("sum", "__s")}
-    )
+    edges = [F.lit(i / cells) for i in range(1, cells)]
+    cuts = counts.agg(F.percentile_approx("__v", F.array(*edges), F.lit(20 * cells)).alias("e")).scalar()
+    counts = counts.withColumn("__cuts", cuts).withColumn("__at", F.size(F.filter("__cuts", lambda e: e <= F.col("__v")))).drop("__cuts")
+    rows = with_cell_facts(counts, [], F.col("__at"), {"__s": F.sum("__c")}, {"__before": ("before", "__s"), "__n": ("sum", "__s")})
     rows, in_cell = _spread_facts(rows, [], [F.col("__v")])
     last = F.sum("__c").over(in_cell.rowsBetween(Window.unboundedPreceding, 0)) + F.col("__got.__before") - 1
     rows = rows.withColumns({"__hi": last, "__n": F.col("__got.__n")}).where(F.col(ORD) == 0)
@@ -234,11 +243,11 @@ def exact_quantiles(df: DataFrame, value: str, qs: dict[str, float], width: floa
     return rows.agg(*out)
 
 
-def distance_summary(df: DataFrame, first: str, second: str, width: float = 8.0) -> DataFrame:
+def distance_summary(df: DataFrame, first: str, second: str) -> DataFrame:
     """Mean, median, sample deviation and 0.95 quantile of the smaller distance where both exist."""
     both = df.where(F.col(first).isNotNull() & F.col(second).isNotNull()).select(F.least(first, second).alias("d"))
     moments = both.agg(F.count("d").alias("n"), F.avg("d").alias("mean"), F.stddev_samp("d").alias("std"))
-    ranks = exact_quantiles(both, "d", {"median": 0.5, "q95": 0.95}, width)
+    ranks = exact_quantiles(both, "d", {"median": 0.5, "q95": 0.95})
     one = F.lit(1).alias("__one")
     return moments.select(one, "*").join(ranks.select(one, "*"), "__one").drop("__one")
 

@@ -14,11 +14,20 @@ from pyspark.sql import functions as F
 
 from ..functions.places import advance_centroid, distance
 from ..functions.times import cell_start, days_between, floor_time, micros, us
+from .asof import asof_join
 from .scan import neighbours
 
 TIME_CELL = timedelta(days=1)
 
 
+def placed(*cols: str) -> Column:
+    """All coordinates are given; NaN counts as missing."""
+    found = F.lit(True)
+    for c in cols:
+        found = found & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return found
+
+
 def overlaps(start: Column, end: Column, q_start: Column, q_end: Column, closed: str = "none") -> Column:
     """Interval overlap: ``none`` strict, ``both`` inclusive, ``left`` includes start = q_end only."""
     before = start < q_end if closed == "none" else start <= q_end
@@ -72,14 +81,14 @@ def overlap_candidates(
     l, r = left.select("id", "start_time", "end_time", "goes_class", "x", "y"), _as_right(right)
     if radius is not None:
         steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-        l = l.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+        l = l.where(placed("x", "y"))
         l = l.withColumn("__sx", F.explode(F.transform(steps, lambda d: F.floor(F.col("x") / radius) + d)))
         l = l.withColumn("__sy", F.explode(F.transform(steps, lambda d: F.floor(F.col("y") / radius) + d)))
         r = r.withColumns({"__rx": F.floor(F.col("r_x") / radius), "__ry": F.floor(F.col("r_y") / radius)})
         eq = [*eq, ("__sx", "__rx"), ("__sy", "__ry")]
     pairs = overlap_pairs(l, r, ("start_time", "end_time"), ("r_start_time", "r_end_time"), eq, closed)
     gap = distance(F.col("r_x"), F.col("r_y"), F.col("x"), F.col("y"))
-    located = F.col("x").isNotNull() & F.col("y").isNotNull()
+    located = placed("x", "y")
     return pairs.select(
         "id", located.alias("located"), gap.alias("dist"),
         *[F.col("r_" + c).alias(f"c_{c}") for c in ("start_time", "id", "x", "y", "ar")],
@@ -163,7 +172,7 @@ def nearest_overlap(
     if radius is None:
         return nearest(overlap_candidates(left, right, eq_class, closed))
     close = nearest(overlap_candidates(left, right, eq_class, closed, radius)).where(F.col("m.dist") <= radius)
-    rest = left.where(F.col("x").isNotNull() & F.col("y").isNotNull()).join(close, "id", "left_anti")
+    rest = left.where(placed("x", "y")).join(close, "id", "left_anti")
     return close.unionByName(nearest(overlap_candidates(rest, right, eq_class, closed)))
 
 
@@ -213,7 +222,7 @@ def resolve_secondary_matches(second: DataFrame, third: DataFrame, near: float =
 def match_two_sources(base: DataFrame, second: DataFrame, third: DataFrame, near: float = 50.0, radius: float | None = 275.0) -> DataFrame:
     """One candidate of each secondary source per event, searched by ``nearest_overlap`` for located events
     and by ``resolve_secondary_matches`` for the others."""
-    is_located = F.col("x").isNotNull() & F.col("y").isNotNull()
+    is_located = placed("x", "y")
     plain = F.struct(*[F.col(f"m.{c}").alias(c) for c in ("start_time", "id", "x", "y", "ar")])
 
     def side(right: DataFrame, name: str) -> DataFrame:
@@ -242,33 +251,22 @@ def verify_matches(df: DataFrame, second_dist: str, third_dist: str, pair_dist:
 
 def exists_in_window(
     windows: DataFrame, events: DataFrame, win_start: str, win_end: str, event_on: str, event_cols: list[str], prefix: str = "ev_",
-    reach: timedelta = timedelta(days=36500), width: timedelta = TIME_CELL,
 ) -> DataFrame:
     """First event strictly inside each window, NULL columns when there is none.
 
-    Between one event and the next, every window start has the same next event. So each distinct event
-    time becomes the range of starts it answers for, listed by time cell, and windows find
-    their range by cell: the windows are read once and no window meets more than the events of one cell.
+    All windows with one start have the same next event. Each distinct start finds the event strictly after it by an as-of
+    scan over time cells, the windows get it by an equality join on the start, and the end is compared last. No window meets more than one event.
     """
     times = events.where(F.col(event_on).isNotNull()).groupBy(F.col(event_on).alias("__et")).agg(
         F.min(F.struct(*event_cols)).alias("__rec")
     )
-    ranges = neighbours(times, [], "__et", ["__et"], want=("prev",))
-    upper = micros(F.col("__et"))
-    lower = F.coalesce(micros(F.col("prev___et")), upper - us(reach))
-    lower = F.greatest(lower, upper - us(reach))
-    ranges = ranges.withColumns({"__hi": upper, "__lo": lower}).withColumn(
-        "__cell", F.explode(F.sequence(cell_start(F.col("__lo"), width), cell_start(F.col("__hi"), width), F.lit(us(width))))
-    )
-    ranges = ranges.select("__et", "__rec", "__lo", "__hi", "__cell")
-    start = micros(F.col(win_start))
-    keyed = windows.withColumn("__cell", cell_start(start, width)).withColumn("__start", start)
-    same = (keyed["__cell"] == ranges["__cell"]) & (F.col("__start") >= F.col("__lo")) & (F.col("__start") < F.col("__hi"))
-    same = same & (F.col("__et") < F.col(win_end))
-    joined = keyed.join(ranges, same, "left")
+    starts = windows.where(F.col(win_start).isNotNull()).select(F.col(win_start).alias("__start")).distinct()
+    found = asof_join(starts, times, [], "__start", "__et", ["__et", "__rec"], direction="next")
+    joined = windows.join(found, F.col(win_start) == F.col("__start"), "left")
+    inside = F.col("__et") < F.col(win_end)
     return joined.select(
-        *[F.col(c) for c in windows.columns], F.col("__et").alias(f"{prefix}time"),
-        *[F.col(f"__rec.{c}").alias(prefix + c) for c in event_cols],
+        *[F.col(c) for c in windows.columns], F.when(inside, F.col("__et")).alias(f"{prefix}time"),
+        *[F.when(inside, F.col(f"__rec.{c}")).alias(prefix + c) for c in event_cols],
     )
 
 
@@ -293,11 +291,11 @@ def regions_in_box(
     series: DataFrame, regions: DataFrame, by: list[str], on: str, window: timedelta = timedelta(hours=12), slack: float = 3.0,
     out: str = "region_numbers", degrees: int = 20, keyed: DataFrame | None = None,
 ) -> DataFrame:
-    """Numbers of the daily regions inside each row's box widened by ``slack``, ``;``-joined.
+    """Numbers of the region records in ``[t - window, t + window)`` inside each row's box widened by ``slack``, ``;``-joined.
 
-    Region records are midnights, so exactly one day lies in ``[t - 12 h, t + 12 h)`` and the
-    time condition is an equality. Latitude and longitude cells keep regions and boxes apart that cannot
-    meet; the longitude cells allow for rotation between midnight and ``t``. With ``keyed``
+    Rows and records meet on the days the window touches, then the exact times decide; a record counts as
+    often as it is listed. Latitude and longitude cells keep regions and boxes apart that cannot
+    meet; the longitude cells allow for the greatest rotation inside the window. With ``keyed``
     series that have no entry there get an empty text.
     """
     day = timedelta(days=1)
@@ -305,19 +303,20 @@ def regions_in_box(
     boxes = series.select(*by, on, "lat_min", "lat_max", "lon_min", "lon_max").dropna()
     if keyed is not None:
         boxes = boxes.join(keyed.select(*by).distinct(), by, "left_semi")
-    near_day = floor_time(F.col(on) + F.lit(window) - F.lit(timedelta(microseconds=1)), day)
+    first, last = floor_time(F.col(on) - F.lit(window), day), floor_time(F.col(on) + F.lit(window) - F.lit(timedelta(microseconds=1)), day)
     boxes = (
-        boxes.withColumn("__day", near_day)
+        boxes.withColumn("__day", F.explode(F.sequence(first, last, F.lit(day))))
         .withColumn("__la", F.explode(_deg_cells(F.col("lat_min") - slack, F.col("lat_max") + slack, degrees)))
         .withColumn("__lo", F.explode(_deg_cells(F.col("lon_min") - slack - drift, F.col("lon_max") + slack + drift, degrees)))
     )
     points = regions.select(
-        "region", F.col("ar_time").alias("__day"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"),
+        "region", F.col("ar_time").alias("__at"), floor_time(F.col("ar_time"), day).alias("__day"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"),
         F.floor(F.col("lat") / degrees).cast("int").alias("__la"), F.floor(F.col("lon") / degrees).cast("int").alias("__lo"),
     )
     pairs = boxes.join(points, ["__day", "__la", "__lo"])
-    lon_at = advance_centroid(F.col("__lon"), F.col("__lat"), days_between(F.col(on), F.col("__day")))
-    inside = F.col("__lat").between(F.col("lat_min") - slack, F.col("lat_max") + slack) & lon_at.between(
+    lon_at = advance_centroid(F.col("__lon"), F.col("__lat"), days_between(F.col(on), F.col("__at")))
+    during = (F.col("__at") >= F.col(on) - F.lit(window)) & (F.col("__at") < F.col(on) + F.lit(window))
+    inside = during & F.col("__lat").between(F.col("lat_min") - slack, F.col("lat_max") + slack) & lon_at.between(
         F.col("lon_min") - slack, F.col("lon_max") + slack
     )
     found = pairs.where(inside).groupBy(*by, on).agg(F.concat_ws(";", F.sort_array(F.collect_list("region"))).alias(out))
@@ -341,7 +340,7 @@ def match_by_location(
         F.min("__ts").alias("__first"), F.max("__ts").alias("__last"), F.min(F.struct("__ts", *box)).alias("__row")
     )
     where_ = ["__tc", "__la", "__lo"]
-    ev = events.select("id", "start_time", "end_time", "lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    ev = events.select("id", "start_time", "end_time", "lat", "lon").where(placed("lat", "lon"))
     ev = ev.withColumns({
         "__la": F.floor(F.col("lat") / degrees).cast("int"),
         "__lo": F.floor(F.col("lon") / degrees).cast("int"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,26 +52,34 @@ def breakpoints(counts: DataFrame, k: int, cell: timedelta = timedelta(days=1))
 
 
 def balanced_time_partitions(
-    counts: DataFrame, k: int = 5, key: str = "harpnum", lower: datetime = datetime(2010, 1, 1), upper: datetime = datetime(2030, 1, 1),
-    cell: timedelta = timedelta(days=1),
+    counts: DataFrame, k: int = 5, key: str = "harpnum", cell: timedelta = timedelta(days=1),
 ) -> DataFrame:
-    """Series counts with their partition number 1 .. k.
+    """Series counts with their partition number 1 .. k; every series is in at least one.
 
-    A series goes to partition i when it starts in ``(break i-1, break i]``; everything after the
-    last cut belongs to partition k. The counts (one row per series) are stored once, because every
-    cut reads them. Cuts are taken in end-time order, so their start times
-    may go backwards; a series inside two such intervals is in both partitions.
+    The first partition takes all starts up to the first cut, partition i the starts in ``(cut i-1, cut i]`` and partition k everything
+    after the last cut, also when there are fewer than k - 1 cuts (few large events): then partitions between
+    stay empty. Without any large event, and for series without a start, it is partition k. The counts (one row per series) are stored
+    once, because every cut reads them. Cuts are taken in end-time order, so their start times
+    may go backwards; a series inside two such intervals is in both partitions (``repeated_series`` counts them).
     """
     based = materialize(counts.withColumn("__key", F.col(key)), "series-counts")
-    low, high = (F.lit(t).cast("timestamp_ntz") for t in (lower, upper))
-    edges = [low, *breakpoints(based, k, cell), high]
-    edged = based.withColumn("__edges", F.array(*edges))
+    cuts = F.array_compact(F.array(*breakpoints(based, k, cell)))
     st = F.col("st")
-    hits = F.filter(
-        F.sequence(F.lit(1), F.lit(k)),
-        lambda i: (st > F.element_at("__edges", i)) & (st <= F.element_at("__edges", i + 1)),
-    )
-    return edged.withColumn("partition", F.explode(hits)).drop("__edges", "__key")
+    edged = based.withColumn("__cuts", cuts)
+
+    def holds(i: Column) -> Column:
+        above = F.when(i == 1, F.lit(True)).otherwise(st > F.get("__cuts", i - 2))
+        return above & (st <= F.get("__cuts", i - 1))
+
+    closed = F.filter(F.sequence(F.lit(1), F.greatest(F.size("__cuts"), F.lit(1))), lambda i: F.coalesce(holds(i), F.lit(False)))
+    last = F.coalesce(st <= F.element_at("__cuts", -1), F.lit(False)) if k > 1 else F.lit(False)
+    hits = F.when(F.size("__cuts") == 0, F.array(F.lit(k))).otherwise(F.when(last, closed).otherwise(F.array_append(closed, F.lit(k))))
+    return edged.withColumn("partition", F.explode(hits)).drop("__cuts", "__key")
+
+
+def repeated_series(parts: DataFrame, key: str = "harpnum") -> DataFrame:
+    """Number of series that lie in more than one partition, because cuts went backwards."""
+    return parts.groupBy(key).count().agg(F.count_if(F.col("count") > 1).alias("n_repeated"))
 
 
 def apply_partitions(series: DataFrame, parts: DataFrame, key: str) -> DataFrame:

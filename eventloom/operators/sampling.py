@@ -11,7 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import ranked
+from ..session import materialize
+from .scan import key_stats, ranked
 
 BUCKET_DIGITS = 4
 DRAW_BLOCK = 100_000
@@ -43,10 +44,13 @@ def _draws(need: DataFrame, seed: int) -> DataFrame:
         "__block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("__draw") / DRAW_BLOCK) - 1))
     )
     first = F.col("__block") * DRAW_BLOCK
-    spread = blocks.repartition("__block").withColumn(
+    group = [c for c in need.columns if c not in ("__m", "__draw")]
+    # a fixed number: the few rows here would be coalesced into one task, which would then make all draws
+    parts = max(int(need.sparkSession.conf.get("spark.sql.shuffle.partitions")), need.sparkSession.sparkContext.defaultParallelism)
+    spread = blocks.repartition(parts, *group, "__block").withColumn(
         "draw", F.explode(F.sequence(first, F.least(first + DRAW_BLOCK, F.col("__draw")) - 1))
     )
-    number = F.conv(F.substring(hash_rank(seed, F.col("draw")), 1, 12), 16, 10).cast("long")
+    number = F.conv(F.substring(hash_rank(seed, *[F.col(g) for g in group], F.col("draw")), 1, 12), 16, 10).cast("long")
     return spread.withColumn("__pos", number % F.col("__m")).drop("__block", "__draw", "__m")
 
 
@@ -86,32 +90,56 @@ def month_counts(samples: DataFrame, month: str, flaring: str) -> DataFrame:
     return out.withColumns({"flaring_share": F.col("n_flaring") / total, "quiet_share": F.col("n_quiet") / total})
 
 
+def _draw_months(months: DataFrame, month: str, first: int, last: int, train_ratio: float, seed: int) -> DataFrame:
+    """Draws number ``first`` to ``last`` of whole months, each with its training count ``__train`` and the total."""
+    draws = months.withColumn("candidate", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    draws = draws.withColumn("__h", hash_rank(seed, F.col("candidate"), F.col(month)))
+    per = Window.partitionBy("candidate")
+    rank = F.row_number().over(per.orderBy("__h", month))
+    draws = draws.withColumns({"__rank": rank, "__months": F.count(F.lit(1)).over(per), "__total": F.sum("n_flaring").over(per)})
+    draws = draws.withColumn("is_train", F.col("__rank") <= F.ceil(F.col("__months") * F.lit(train_ratio)))
+    return draws.withColumn("__train", F.sum(F.when(F.col("is_train"), F.col("n_flaring")).otherwise(0)).over(per))
+
+
+def can_split(counts: list[int], taken: int, low: int, high: int) -> bool:
+    """Whether some ``taken`` of the counts have a sum strictly between ``low`` and ``high``.
+
+    The least and the greatest sum bound all others; in between, the reachable sums are listed number by number as the bits of one integer each.
+    """
+    ordered = sorted(counts)
+    if sum(ordered[:taken]) >= high or sum(ordered[len(ordered) - taken :]) <= low:
+        return False
+    reach = [1] + [0] * taken
+    limit = (1 << max(high, 0)) - 1
+    for count in ordered:
+        for size in range(taken, 0, -1):
+            reach[size] |= reach[size - 1] << count & limit
+    return reach[taken] >> max(low + 1, 0) != 0
+
+
 def split_by_month(
-    samples: DataFrame, month: str, flaring: str, train_ratio: float = 0.67, bounds: tuple[float, float] = (0.60, 0.75),
-    seed: int = 13, candidates: int = 64,
+    samples: DataFrame, month: str, flaring: str, train_ratio: float = 0.67, bounds: tuple[float, float] = (0.60, 0.75), seed: int = 13,
 ) -> DataFrame:
     """Months with ``is_train``: the first seeded draw of whole months whose flaring share fits the bounds.
 
     A draw takes ceil(ratio * months) months; it is accepted when the training flaring count lies strictly
-    between ``int(total * bounds)``. Only the month table (one row per calendar month) is worked on.
-    An infeasible split raises an error when the result is read.
+    between ``int(total * bounds)``. Only the month table (one row per calendar month) is worked on. Draws are made in batches
+    that double until one fits; before a second batch it is proven that some choice of months can fit, else an error is raised.
     """
-    months = month_counts(samples, month, flaring).select(month, "n_flaring")
-    draws = months.withColumn("candidate", F.explode(F.sequence(F.lit(1), F.lit(candidates))))
-    draws = draws.withColumn("__h", hash_rank(seed, F.col("candidate"), F.col(month)))
-    per = Window.partitionBy("candidate")
-    rank = F.row_number().over(per.orderBy("__h", month))
-    draws = draws.withColumns({"__rank": rank, "__months": F.count(F.lit(1)).over(per), "__total": F.sum("n_flaring").over(per)})
-    draws = draws.withColumn("is_train", F.col("__rank") <= F.ceil(F.col("__months") * F.lit(train_ratio)))
-    train = F.sum(F.when(F.col("is_train"), F.col("n_flaring")).otherwise(0)).over(per)
-    draws = draws.withColumn("__train", train)
-    low, high = (F.floor(F.col("__total") * F.lit(b)) for b in bounds)
-    fits = (F.col("__train") > low) & (F.col("__train") < high)
-    accepted = draws.where(fits).agg(F.min("candidate").alias("candidate"))
-    checked = accepted.select(
-        F.coalesce("candidate", F.raise_error(F.lit("no month split satisfies the bounds")).cast("int")).alias("candidate")
-    )
-    return draws.join(checked, "candidate", "right").select(month, "candidate", "is_train")
+    months = materialize(month_counts(samples, month, flaring).select(month, "n_flaring"), "months")
+    first, batch = 1, 64
+    while True:
+        draws = _draw_months(months, month, first, first + batch - 1, train_ratio, seed)
+        low, high = (F.floor(F.col("__total") * F.lit(b)) for b in bounds)
+        fitting = draws.where((F.col("__train") > low) & (F.col("__train") < high)).agg(F.min("candidate")).first()[0]
+        if fitting is not None:
+            return draws.where(F.col("candidate") == fitting).select(month, "candidate", "is_train")
+        if first == 1:
+            counts = [r["n_flaring"] for r in months.collect()]  # one number per calendar month
+            edges = [math.floor(sum(counts) * b) for b in bounds]
+            if not can_split(counts, math.ceil(len(counts) * train_ratio), *edges):
+                raise ValueError("no month split satisfies the bounds")
+        first, batch = first + batch, 2 * batch
 
 
 def percent_missing(samples: DataFrame, by: list[str], cols: list[str], integer_percent: bool = True) -> DataFrame:
@@ -144,11 +172,14 @@ def balance(df: DataFrame, group: str, label: str, ids: list[str], strategy: str
     """
     pair = [group, label]
     placed = _ranked(df, pair, ids, seed)
-    sizes = df.groupBy(group).agg(F.count_if(F.col(label)).alias("__f"), F.count_if(~F.col(label)).alias("__q"))
     if strategy == "under":
-        other = sizes.select(group, F.least("__f", "__q").alias("__keep"))
-        out = placed.join(other, group).where(F.col("__pos") < F.col("__keep")).drop("__keep")
+        # both sizes of the group come to every row through its hash bucket, so two large groups are no join on two keys
+        bucket = F.conv(F.substring("__h", 1, BUCKET_DIGITS), 16, 10).cast("long")
+        hit = F.col(label).cast("long")
+        sized = key_stats(placed, [group], bucket, {"__f": ("sum", hit), "__q": ("sum", 1 - hit)})
+        out = sized.where(F.col("__pos") < F.least("__f", "__q")).drop("__f", "__q")
         return out.withColumn("draw", F.lit(None).cast("long")).drop(*HIDDEN)
+    sizes = df.groupBy(group).agg(F.count_if(F.col(label)).alias("__f"), F.count_if(~F.col(label)).alias("__q"))
     minority = sizes.select(
         group, (F.col("__f") < F.col("__q")).alias(label), F.least("__f", "__q").alias("__m"), F.abs(F.col("__f") - F.col("__q")).alias("__draw")
     )
@@ -172,8 +203,3 @@ def sample_splits(
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
-
-
-def desired_quiet(kept: int, keep_share: float = 0.14) -> int:
-    """Quiet rows kept beside ``kept`` flaring ones."""
-    return math.floor(kept * ((1 - keep_share) / keep_share)) + 1

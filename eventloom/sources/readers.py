@@ -96,6 +96,7 @@ def _report_lines(spark: SparkSession, folder: str, files: str, day_pattern: str
     return raw.select(day.alias("date"), F.split("value", r"\r?\n").alias("lines"))
 
 
+# fixed values: section titles of the daily report
 SPOTS, PLAGES, RETURN = "I.  Regions with Sunspots.", "IA. H-alpha Plages without Spots.", "II. Regions Due to Return"
 
 
@@ -128,7 +129,8 @@ def read_sectioned_report(
     )
 
 
-REGION_ROW = r"^(\d+)\s+(\w+)\s+(\d+)\s+(\d+)\s+(\w+)\s+(\d+)\s+(\d+)"
+# fixed values: fields of a sunspot line in their order
+REGION_ROW_FIELDS = ("region_number", "location", "longitude", "area", "z_class", "ll", "num_spots")
 
 
 def read_region_rows(spark: SparkSession, folder: str, files: str = "*SRS.txt", day_pattern: str = REPORT_DAY) -> DataFrame:
@@ -141,25 +143,51 @@ def read_region_rows(spark: SparkSession, folder: str, files: str = "*SRS.txt",
     cut = F.array_position(stop, True)
     kept = F.when(cut > 0, F.slice(tail, 1, cut - 1)).otherwise(tail)
     rows = reports.where(begin > 0).select("date", F.explode(kept).alias("line")).select("date", F.trim("line").alias("line"))
-    names = ["region_number", "location", "longitude", "area", "z_class", "ll", "num_spots"]
-    return rows.where(F.rlike("line", F.lit(REGION_ROW))).select(
-        F.date_format("date", "yyyy-MM-dd").alias("date"), *[F.regexp_extract("line", REGION_ROW, i + 1).alias(n) for i, n in enumerate(names)]
+    fields = F.split("line", r"\s+")
+    value = {name: F.get(fields, F.lit(i)) for i, name in enumerate(REGION_ROW_FIELDS)}
+    whole = F.lit(True)
+    for name, text in value.items():
+        whole = whole & F.coalesce(F.rlike(text, F.lit(r"^\w+$" if name in ("location", "z_class") else r"^\d+")), F.lit(False))
+    return rows.where(whole).select(
+        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        *[F.regexp_extract(text, r"^\w+" if name in ("location", "z_class") else r"^\d+", 0).alias(name) for name, text in value.items()],
     )
 
 
+def _marked(spark: SparkSession, folder: str, marker: str) -> DataFrame:
+    raw = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.split("value", r"\r?\n").alias("lines"))
+    return raw.withColumn("at", F.array_position(F.transform("lines", lambda l: F.trim(l)), marker))
+
+
+def _header(lines: Column, at: Column) -> Column:
+    return F.transform(F.split(F.get(lines, at.cast("int")), ","), lambda name: F.lower(F.trim(name)))
+
+
 def read_flux_after_marker(
     spark: SparkSession, folder: str, columns: list[str], marker: str = "data:", time_format: str = "yyyy-MM-dd HH:mm:ss.SSS",
 ) -> DataFrame:
-    """CSV tables that start after a marker line and a header line; one file is one day or month."""
-    raw = spark.read.text(folder, wholetext=True)
-    lines = F.split("value", r"\r?\n")
-    at = F.array_position(F.transform(lines, lambda l: F.trim(l)), marker)
-    body = raw.select(F.explode(F.slice(lines, at + 2, F.size(lines))).alias("line")).where(F.length("line") > 0)
-    fields = body.select(F.split("line", ",").alias("f"))
-    return fields.select(
-        parse_time(F.trim(F.get("f", F.lit(0))), time_format).alias("ts"),
-        *[numeric_coerce(F.get("f", F.lit(i))).alias(c) for i, c in enumerate(columns[1:], 1)],
-    )
+    """CSV tables that start after a marker line and a header line; one file is one day or month.
+
+    ``columns`` names the time column first. Columns are found by the file's own header, in any order and letter case; one that a file
+    lacks is NULL. Files without the marker or the time column are left to ``flux_file_rejects``.
+    """
+    marked = _marked(spark, folder, marker).where(F.col("at") > 0).withColumn("names", _header(F.col("lines"), F.col("at")))
+    rows = marked.where(F.array_contains("names", columns[0].lower())).select("names", F.explode(F.slice("lines", F.col("at") + 2, F.size("lines"))).alias("line"))
+    fields = rows.where(F.length("line") > 0).select("names", F.split("line", ",").alias("f"))
+
+    def value(name: str) -> Column:
+        place = F.array_position("names", name.lower()).cast("int")
+        return F.when(place > 0, F.get("f", place - 1))
+
+    return fields.select(parse_time(F.trim(value(columns[0])), time_format).alias("ts"), *[numeric_coerce(value(c)).alias(c) for c in columns[1:]])
+
+
+def flux_file_rejects(spark: SparkSession, folder: str, columns: list[str], marker: str = "data:") -> DataFrame:
+    """Files that ``read_flux_after_marker`` cannot read, with the reason."""
+    marked = _marked(spark, folder, marker)
+    named = F.array_contains(_header(F.col("lines"), F.col("at")), columns[0].lower())
+    reason = F.when(F.col("at") == 0, "no marker").when(~F.coalesce(named, F.lit(False)), "no time column")
+    return marked.select("file", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def read_flux_series(spark: SparkSession, path: str, fmt: str = "spaced") -> DataFrame:

@@ -112,3 +112,12 @@ def test_positions_neighbours_and_sums(spark):
     for r in sums:
         i = order[r.k].index(r.lid)
         assert r.s == sum(order[r.k][: i + 1]) and r["all"] == sum(order[r.k])
+
+
+@pytest.mark.parametrize("tolerance", [None, timedelta(hours=1)])
+@pytest.mark.parametrize("direction", ["nearest", "prev", "next"])
+def test_missing_keys_match_nothing(spark, direction, tolerance):
+    left = spark.createDataFrame([(1, None, at(5)), (2, 7, at(5)), (3, None, None)], LEFT)
+    right = spark.createDataFrame([(10, None, at(4)), (11, 7, at(4)), (12, 7, at(6)), (13, None, at(6))], RIGHT)
+    got = {r.lid: r.rid for r in asof_join(left, right, ["k"], "t", "rt", ["rid"], direction=direction, tolerance=tolerance).collect()}
+    assert got == {1: None, 2: 11 if direction == "prev" else 12, 3: None}

@@ -160,3 +160,25 @@ def test_slot_statistics(spark, grid):
     assert got[at(36)].xr_qual == 6 and len(got[at(36)].xr_qual_str) == 11
     joined = slot_stats_join(slots, flux, "ts", "ts", "b_avg", grid=grid).collect()
     assert len(joined) == 5 and {(r.k, r.xr_qual) for r in joined if r.ts in (at(24), at(48))} == {(1, 0), (2, 0)}
+
+
+def test_event_long_after_the_start_is_found(spark):
+    w = spark.createDataFrame([(1, datetime(1900, 1, 1), datetime(2012, 1, 1)), (2, None, datetime(2012, 1, 1))], "id long, s timestamp_ntz, e timestamp_ntz")
+    ev = spark.createDataFrame([(datetime(2011, 1, 1), "M1.0")], "peak_time timestamp_ntz, goes_class string")
+    got = {r.id: r.ev_goes_class for r in I.exists_in_window(w, ev, "s", "e", "peak_time", ["goes_class"]).collect()}
+    assert got == {1: "M1.0", 2: None}
+
+
+def test_regions_at_any_hour_of_a_wide_window(spark):
+    t = datetime(2020, 1, 3, 12)
+    series = spark.createDataFrame([(1, t, -90.0, 90.0, -180.0, 180.0)], "k long, ts timestamp_ntz, lat_min double, lat_max double, lon_min double, lon_max double")
+    hours = [-37, -36, -30, -6, 0, 6, 35, 36]
+    regions = spark.createDataFrame([(11000 + i, t + timedelta(hours=h), 5.0, 3.0) for i, h in enumerate(hours)], "region long, ar_time timestamp_ntz, lat double, lon double")
+    for window, want in ((36, [1, 2, 3, 4, 5, 6]), (12, [3, 4, 5])):
+        got = I.regions_in_box(series, regions, ["k"], "ts", window=timedelta(hours=window)).first().region_numbers
+        assert got == ";".join(str(11000 + i) for i in want)
+
+
+def test_nan_coordinates_count_as_missing(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, float("nan"), 2.0), (3, None, 2.0)], "id long, x double, y double")
+    assert [r.id for r in df.where(I.placed("x", "y")).collect()] == [1]

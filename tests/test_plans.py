@@ -90,3 +90,26 @@ def test_copies_of_one_event_are_resolved(spark):
     rows = spark.range(n).select(i, F.when(same, 0).otherwise(i).alias("a"), F.when(same, F.lit(None)).otherwise(i).alias("b"))
     kept, copies = dedupe_first(rows, ["a", "b"])
     assert kept.count() == n - n // 3 + 1 and copies.count() == n // 3 - 1 and kept.where("id = 0").count() == 1
+
+
+def test_one_of_equal_rows_stays(spark):
+    from eventloom.operators.events import dedupe_first
+
+    rows = [(1, "a", 1), (1, "a", 1), (None, "a", 2), (None, "b", 3), (4, None, 4), (3, None, 5), (3, None, 6)]
+    kept, copies = dedupe_first(spark.createDataFrame(rows, "id int, key string, other int"), ["key"])
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, "a", 1), (None, "b", 3), (3, None, 5)], key=str)
+    assert sorted(map(tuple, copies.collect()), key=str) == sorted([(1, "a", 1), (None, "a", 2), (3, None, 6), (4, None, 4)], key=str)
+
+
+def test_flux_columns_by_header_and_rejected_files(spark, tmp_path):
+    from eventloom.sources.readers import flux_file_rejects, read_flux_after_marker
+
+    (tmp_path / "a.csv").write_text("x\ndata:\ntime_tag,B_AVG,Other\n2020-01-01 00:00:00.000,1.5,9\n2020-01-01 00:01:00.000,NaN,9\n")
+    (tmp_path / "b.csv").write_text("data:\nother,b_avg,TIME_TAG\n7,2.5,2020-01-02 00:00:00.000\n")
+    (tmp_path / "c.csv").write_text("no marker\n1,2,3\n")
+    (tmp_path / "d.csv").write_text("data:\nwhen,b_avg\n1,2\n")
+    columns = ["time_tag", "b_avg", "lacking"]
+    got = read_flux_after_marker(spark, str(tmp_path), columns).orderBy("ts").collect()
+    assert [(r.ts.day, r.b_avg, r.lacking) for r in got] == [(1, 1.5, None), (1, None, None), (2, 2.5, None)]
+    bad = {r.file.rsplit("/", 1)[1]: r.reason for r in flux_file_rejects(spark, str(tmp_path), columns).collect()}
+    assert bad == {"c.csv": "no marker", "d.csv": "no time column"}

@@ -1,11 +1,15 @@
 """Partitions and samples: plain scans and counting rules."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
+from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import events as E
 from eventloom.operators import partition as P
 from eventloom.operators import sampling as R
 
@@ -67,7 +71,7 @@ def test_ratio_keeps_all_flaring(spark):
     )
     got = {(r.partition, r.outcome): r["count"] for r in R.undersample_to_ratio(df).groupBy("partition", "outcome").count().collect()}
     for p in (0, 1):
-        assert got[(p, "FL")] == 20 and got[(p, "NF")] == R.desired_quiet(20) == 123
+        assert got[(p, "FL")] == 20 and got[(p, "NF")] == 123
     assert got[(2, "NF")] == 1 and (2, "FL") not in got
 
 
@@ -100,3 +104,46 @@ def test_balance(spark, strategy, size):
     df = spark.range(200).select(F.lit("train").alias("split"), (F.col("id") % 5 == 0).alias("f"), F.col("id").alias("sid"))
     got = {r.f: r["count"] for r in R.balance(df, "split", "f", ["sid"], strategy).groupBy("f").count().collect()}
     assert got == {True: size, False: size}
+
+
+YEARS = {"early": datetime(2005, 1, 1), "mid": datetime(2015, 1, 1), "late": datetime(2035, 1, 1)}
+
+
+@pytest.mark.parametrize("flares,k", [([0, 0, 0, 0], 3), ([90, 1, 1, 1], 4), ([1, 1, 0, 0], 4), ([5, 5, 5, 5], 2), ([3], 1), ([], 3)])
+def test_no_series_is_lost(spark, flares, k):
+    starts = [YEARS["early"], YEARS["mid"], YEARS["late"], None]
+    rows = [(f"s{i}", 0, 0, m, 0, starts[i], starts[i]) for i, m in enumerate(flares)]
+    schema = "harpnum string, BFLARE long, CFLARE long, MFLARE long, XFLARE long, st timestamp_ntz, et timestamp_ntz"
+    parts = P.balanced_time_partitions(spark.createDataFrame(rows, schema), k)
+    got = parts.collect()
+    assert {r.harpnum for r in got} == {r[0] for r in rows}
+    assert all(1 <= r.partition <= k for r in got) and parts.columns == [*(c.split()[0] for c in schema.split(", ")), "partition"]
+    assert P.repeated_series(parts).first()[0] == sum(n > 1 for n in Counter(r.harpnum for r in got).values())
+
+
+def test_rare_month_split_is_found_and_an_impossible_one_refused(spark):
+    counts = [100] + [0] * 5 + [37] * 10
+    assert R.can_split(counts, 11, 365, 379) and not R.can_split([100, 0], 2, 60, 75)
+    rare = [1000] + [1] * 11 + [990]
+    edges = [int(sum(rare) * b) for b in (0.50, 0.503)]
+    assert R.can_split(rare, 9, *edges) == any(edges[0] < sum(c) < edges[1] for c in combinations(rare, 9))
+    rows = [(f"m{i:02d}", j < c) for i, c in enumerate(counts) for j in range(100)]
+    got = R.split_by_month(spark.createDataFrame(rows, "month string, flaring boolean"), "month", "flaring", bounds=(0.777, 0.8085)).collect()
+    taken = sum(counts[int(r.month[1:])] for r in got if r.is_train)
+    assert taken == 370
+
+
+def test_draws_of_groups_differ_and_spread(spark):
+    need = spark.range(50).select(F.col("id").alias("g"), F.lit(1000).cast("long").alias("__m"), F.lit(1000).cast("long").alias("__draw"))
+    draws = R._draws(need, 13)
+    by_group = draws.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("draw", "__pos"))).alias("d")).collect()
+    assert len({str(r.d[:20]) for r in by_group}) == 50 and all(len(r.d) == 1000 for r in by_group)
+    assert draws.withColumn("task", F.spark_partition_id()).select("task").distinct().count() > 1
+
+
+@pytest.mark.parametrize("scale,shift", [(1.0, 0.0), (1e-9, 0.0), (1e12, -3e11), (0.0, 5.0)])
+def test_quantiles_of_any_range(spark, scale, shift):
+    values = [((i * 7919) % 1009) / 1009 * scale + shift for i in range(3000)] + [1e15 * scale]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    got = E.exact_quantiles(df, "v", {"a": 0.5, "b": 0.95, "c": 0.0, "d": 1.0}).first()
+    assert got == pytest.approx(tuple(np.quantile(values, [0.5, 0.95, 0.0, 1.0])), rel=1e-12)
