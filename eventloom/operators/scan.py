@@ -65,18 +65,21 @@ def carry_scan(
     )
     if held is not base:
         ends = base.select(*key).distinct().unionByName(ends, allowMissingColumns=True)
-    merged = base.withColumn(ORD, F.lit(0))
+    carried = {}
     if "prev" in want:
         earlier = Window.partitionBy(*by).orderBy(CELL_COL).rangeBetween(*BEFORE)
-        heads = ends.select(*key, F.lit(-1).alias(ORD), *[F.last(f"{s}_last", True).over(earlier).alias(s) for s in slots.values()])
-        merged = merged.unionByName(heads, allowMissingColumns=True)
+        carried |= {f"__in_prev_{n}": F.last(f"{s}_last", True).over(earlier) for n, s in slots.items()}
     if "next" in want:
         later = Window.partitionBy(*by).orderBy(F.desc(CELL_COL)).rangeBetween(*BEFORE)
-        tails = ends.select(*key, F.lit(1).alias(ORD), *[F.last(f"{s}_first", True).over(later).alias(s) for s in slots.values()])
-        merged = merged.unionByName(tails, allowMissingColumns=True)
-    return _scan_cells(merged, key, [ORD, *sort], slots, inclusive, want).where(F.col(ORD) == 0).drop(
-        ORD, CELL_COL, *slots.values()
-    )
+        carried |= {f"__in_next_{n}": F.last(f"{s}_first", True).over(later) for n, s in slots.items()}
+    # one boundary row per cell brings both directions and sorts first in its cell
+    heads = ends.select(*key, F.lit(-1).alias(ORD), *[v.alias(n) for n, v in carried.items()])
+    merged = base.withColumn(ORD, F.lit(0)).unionByName(heads, allowMissingColumns=True)
+    scanned = _scan_cells(merged, key, [ORD, *sort], slots, inclusive, want)
+    upto = Window.partitionBy(*key).orderBy(ORD, *sort).rowsBetween(Window.unboundedPreceding, 0)
+    scanned = scanned.withColumns({n: F.first(n, True).over(upto) for n in carried})
+    scanned = scanned.withColumns({f"{d}_{n}": F.coalesce(f"{d}_{n}", f"__in_{d}_{n}") for d in ("prev", "next") if d in want for n in slots})
+    return scanned.where(F.col(ORD) == 0).drop(ORD, CELL_COL, *slots.values(), *carried)
 
 
 def _scan_cells(rows, key, sort, slots, inclusive, want) -> DataFrame:

@@ -12,6 +12,8 @@ from .scan import CELL, T, carry_scan, key_stats, neighbours, positions
 
 CADENCE = timedelta(minutes=12)
 UNTRUSTED = -99999.0
+GRID_CHUNK = 20_000
+"""Grid points that one task makes at once."""
 
 
 def series_spans(series: DataFrame, by: list[str], on: str) -> DataFrame:
@@ -38,13 +40,18 @@ def regrid(series: DataFrame, by: list[str], on: str, cadence: timedelta = CADEN
     every row carries its position ``pos`` and the series length ``n``, which spares later
     operators the search for them.
     """
-    points = F.sequence("first_ts", "last_ts", F.lit(cadence))
-    spans = series_spans(series, by, on).where(_griddable(cadence)).select(*by, points.alias("__points"))
-    if placed:
-        grid = spans.select(*by, F.size("__points").cast("long").alias("n"), F.posexplode("__points").alias("pos", on))
-        grid = grid.withColumn("pos", F.col("pos").cast("long"))
-    else:
-        grid = spans.select(*by, F.explode("__points").alias(on))
+    step = us(cadence)
+    spans = series_spans(series, by, on).where(_griddable(cadence))
+    length = (F.floor((micros(F.col("last_ts")) - micros(F.col("first_ts"))) / step) + 1).cast("long")
+    spans = spans.select(*by, "first_ts", length.alias("n"))
+    # a long series is many chunks of points, dealt out before the points are made
+    chunks = spans.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / GRID_CHUNK))))
+    session = series.sparkSession
+    parts = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    begin = F.col("__chunk") * GRID_CHUNK
+    positions_ = F.sequence(begin, F.least(begin + GRID_CHUNK, F.col("n")) - 1)
+    grid = chunks.repartition(parts, *by, "__chunk").withColumn("pos", F.explode(positions_))
+    grid = grid.select(*by, *(["n", "pos"] if placed else []), shift(F.col("first_ts"), F.col("pos") * step).alias(on))
     return grid.join(series, [*by, on], "left")
 
 
