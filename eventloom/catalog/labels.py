@@ -74,7 +74,7 @@ def annotated(t):
     trusted = trusted.select("user_id", "ts", "pos", "n", F.coalesce(F.col("quality") == 0, F.lit(False)).alias("IS_TMFI"))
     tag = verification_tag(F.col("primary_verified"), F.col("secondary_verified"))
     label = build_label(F.col("goes_class"), F.col("id"), F.col("ar"), F.lit("GOES"), tag)
-    history = count_events_in_slots(trusted, t.goes, U, "ts", "peak_time", "goes_class", label, grid=HOUR)
+    history = count_events_in_slots(trusted, t.goes, U, "ts", "peak_time", "goes_class", label, grid=HOUR, tag=tag)
     return slot_stats_join(history, t.flux, "ts", "ts", "b_avg", cols=("xr_qual",), grid=HOUR).withColumnRenamed("xr_qual", "XR_QUAL")
 
 
@@ -127,10 +127,10 @@ def _(t):
 
 @query("explode_observations", "W7", """
 SELECT i.user_id, i.slice_pos, a.pos, a.ts
-FROM (SELECT user_id, slice_pos, unnest(generate_series(slice_pos, slice_pos + 11)) AS pos FROM inst WHERE outcome IS NOT NULL) i
+FROM (SELECT user_id, slice_pos, unnest(generate_series(slice_pos, slice_pos + 11)) AS pos FROM inst WHERE reason IS NULL) i
 JOIN anno a ON i.user_id = a.user_id AND a.pos = i.pos""")
 def _(t):
-    kept = instances(t).where(F.col("outcome").isNotNull()).select("user_id", "slice_pos")
+    kept = instances(t).where(F.col("reason").isNull()).select("user_id", "slice_pos")
     return L.explode_observations(kept, t.placed.select("user_id", "ts", "pos", "n"), U, "ts", CFG.obs)
 
 

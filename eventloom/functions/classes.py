@@ -94,6 +94,12 @@ def parse_label_max(
     return F.when(text == NO_LABEL, NO_LABEL).otherwise(best)
 
 
+def best_label(magnitude: Column, event_id: Column, verification: Column) -> Column:
+    """Sort key and text of an event for the maximum that ``parse_label_max`` would find; NULL up to A1.0."""
+    shown = F.concat(magnitude, F.lit("@"), event_id.cast("string"), F.lit(":"), verification)
+    return F.when(magnitude > LOWEST_CLASS, F.struct(magnitude.alias("m"), (-event_id).alias("i"), shown.alias("label")))
+
+
 def is_verified(label: Column) -> Column:
     """Label text ends with a verification that counts."""
     return F.coalesce(F.endswith(label, F.lit(VERIFIED[0])) | F.endswith(label, F.lit(VERIFIED[1])), F.lit(False))

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.classes import NO_LABEL, build_label, class_letter, verification_tag
+from ..functions.classes import best_label, NO_LABEL, build_label, class_letter, verification_tag
 from ..functions.keys import pick_key_source
 from ..functions.times import floor_time
 from .asof import between_join
@@ -80,12 +80,13 @@ def events_in_slots(events: DataFrame, series: DataFrame, by: list[str], peak: s
 
 def count_events_in_slots(
     series: DataFrame, events: DataFrame, by: list[str], on: str, peak: str, cls: str, label: Column | None = None,
-    event_id: str = "id", classes: tuple[str, ...] = CLASSES, suffix: str = "", grid: timedelta | None = None,
+    event_id: str = "id", classes: tuple[str, ...] = CLASSES, suffix: str = "", grid: timedelta | None = None, tag: Column | None = None,
 ) -> DataFrame:
     """Series with a count per class and slot and, given ``label``, the ``;``-joined labels in id order.
 
     With ``grid`` the series is regular, its times are multiples of that width and it has ``pos`` and ``n``: the
-    slot then follows from the peak alone, and the series is read once.
+    slot then follows from the peak alone, and the series is read once. With ``tag``, the verification of an event, ``<class>FLARE_BEST``
+    has the greatest event of the slot as ``mag@id:verification``, so that later steps need not read the label texts.
     """
     if grid is None:
         slotted = events_in_slots(events, series, by, peak, on).withColumnRenamed("slot", on)
@@ -98,6 +99,9 @@ def count_events_in_slots(
         for c in classes:
             items = F.sort_array(F.collect_list(F.when(letter == c, F.struct(F.col(event_id), F.col("__label")))))
             aggs.append(F.array_join(F.transform(items, lambda e: e["__label"]), ";").alias(f"{c}FLARE_LABEL{suffix}"))
+    if tag is not None:
+        slotted = slotted.withColumn("__best", best_label(F.col(cls), F.col(event_id), tag))
+        aggs += [F.max(F.when(letter == c, F.col("__best")))["label"].alias(f"{c}FLARE_BEST{suffix}") for c in classes]
     counts = slotted.groupBy(*by, on).agg(*aggs)
     out = series.join(counts, [*by, on], "left")
     if grid is not None:
@@ -109,12 +113,15 @@ def count_events_in_slots(
             f"{c}FLARE_LABEL{suffix}": F.coalesce(F.nullif(F.col(f"{c}FLARE_LABEL{suffix}"), F.lit("")), F.lit(NO_LABEL))
             for c in classes
         }
+    if tag is not None:
+        fills |= {f"{c}FLARE_BEST{suffix}": F.when(F.coalesce(f"{c}FLARE{suffix}", F.lit(0)) == 0, NO_LABEL).otherwise(F.col(f"{c}FLARE_BEST{suffix}")) for c in classes}
     return out.withColumns(fills)
 
 
 def event_history(
     series: DataFrame, events: DataFrame, key_map: DataFrame, by: str, on: str, mode: str = "key", labels: bool = True,
     sources: tuple[str, str, str] = ("noaa_active_region", "hinode_ar", "ssw_ar"), keys: str = "keys", grid: timedelta | None = None,
+    best: bool = False,
 ) -> DataFrame:
     """Per-slot counts and labels of the events matched to a series by number or by location.
 
@@ -131,14 +138,14 @@ def event_history(
     matched = matched.withColumns({"__region": region, "__source": source})
     if mode == "key":
         matched = matched.where(F.col("__region") != -1)
-    label = None
+    label, tag = None, F.lit(None).cast("string")
     if labels:
         tag = verification_tag(F.col("primary_verified"), F.col("secondary_verified"))
         label = build_label(F.col("goes_class"), F.col("id"), F.col("__region"), F.col("__source"), tag)
-    slim = matched.select("id", by, "peak_time", "goes_class", *([label.alias("__lab")] if labels else []))
+    slim = matched.select("id", by, "peak_time", "goes_class", *([label.alias("__lab"), tag.alias("__tag")] if labels else []))
     return count_events_in_slots(
         series, slim, [by], on, "peak_time", "goes_class", F.col("__lab") if labels else None,
-        suffix="" if mode == "key" else "_LOC", grid=grid,
+        suffix="" if mode == "key" else "_LOC", grid=grid, tag=F.col("__tag") if best and labels else None,
     )
 
 

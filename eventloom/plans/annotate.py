@@ -14,6 +14,7 @@ from ..operators.interval import regions_in_box
 from ..operators.series import CADENCE, drop_time_range, regrid, regrid_rejects, slot_stats_join
 from ..session import materialize
 from ..sources.schemas import FINAL_COLUMNS
+from .dataset import BEST
 
 
 def add_trust_flags(series: DataFrame, limit: float = 70.0) -> DataFrame:
@@ -40,19 +41,19 @@ def annotation_rejects(series: DataFrame, header: DataFrame | None, by: list[str
 def annotate_series(
     series: DataFrame, header: DataFrame, events: DataFrame, key_map: DataFrame, flux: DataFrame, key: str = "harpnum",
     on: str = "ts", cadence: timedelta = CADENCE, aligned: bool = False, final: bool = True, check_lengths: bool = False,
-    regions: DataFrame | None = None, without: tuple | None = None,
+    regions: DataFrame | None = None, without: tuple | None = None, best: bool = False,
 ) -> DataFrame:
     """All annotation stages; gap rows of the regular grid have no header values and are never trusted.
 
     With ``aligned`` (series times are multiples of the cadence) slots follow from times alone. The gridded series
     is stored once, since both event histories and the flux statistics read it. Optional stages: ``check_lengths`` leaves out series
     whose header has another number of rows, ``regions`` adds the numbers of the regions in each row's box, ``without`` drops the rows of
-    a time range at the end. What the grid and the lengths leave out is in ``annotation_rejects``.
+    a time range at the end, ``best`` adds the greatest event of each slot, which ``labelled_slices`` then uses. What the grid and the lengths leave out is in ``annotation_rejects``.
     """
     located = attach_header(series, header, [key], on, on, check_lengths=check_lengths)
     gridded = materialize(add_trust_flags(regrid(located, [key], on, cadence, placed=True)), "gridded-series")
     grid = cadence if aligned else None
-    history = event_history(gridded, events, key_map, key, on, "key", grid=grid)
+    history = event_history(gridded, events, key_map, key, on, "key", grid=grid, best=best)
     places = gridded.select(key, on, "lat_min", "lat_max", "lon_min", "lon_max", "pos", "n")
     by_place = event_history(places, events, key_map, key, on, "location", grid=grid)
     history = history.join(by_place.select(key, on, *[c for c in by_place.columns if c.endswith("_LOC")]), [key, on])
@@ -62,4 +63,5 @@ def annotate_series(
         fluxed = regions_in_box(fluxed, regions, [key], on)
     if without is not None:
         fluxed = drop_time_range(fluxed, on, *without)
-    return fluxed.select(key, on, *FINAL_COLUMNS, *([] if regions is None else ["region_numbers"])) if final else fluxed
+    extra = [*([] if regions is None else ["region_numbers"]), *(BEST if best else [])]
+    return fluxed.select(key, on, *FINAL_COLUMNS, *extra) if final else fluxed

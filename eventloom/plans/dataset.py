@@ -13,14 +13,20 @@ from ..operators.sampling import undersample_to_ratio
 from ..session import materialize
 
 LABELS = [f"{c}FLARE_LABEL" for c in "BCMX"]
+BEST = [f"{c}FLARE_BEST" for c in "BCMX"]
 
 
 def labelled_slices(
     annotated: DataFrame, unmatched: DataFrame, key: str = "harpnum", on: str = "ts", cfg: WindowConfig = WindowConfig(),
     parse_labels: bool = True,
 ) -> DataFrame:
-    """Slices of every series with outcome and label; unmatched events below M are ignored."""
-    if parse_labels:
+    """Slices of every series with outcome and label; unmatched events below M are ignored.
+
+    Columns with the best event of each slot are used where the series has them; else the label texts are parsed.
+    """
+    if set(BEST) <= set(annotated.columns):
+        annotated = annotated.drop(*LABELS).withColumnsRenamed(dict(zip(BEST, LABELS)))
+    elif parse_labels:
         annotated = annotated.withColumns({c: parse_label_max(F.col(c), with_verification=True) for c in LABELS})
     large = class_at_least(unmatched, "M").select("peak_time", "goes_class")
     return label_instances(window_frames(annotated, [key], on, cfg), large, cfg, [key])
