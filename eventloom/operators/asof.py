@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.places import advance_centroid, disc_xy, distance, format_point, parse_compass
 from ..functions.times import micros, us
+from ..sources.schemas import HEADER_FIELDS
 from .scan import CELL, T, carry_scan, halo_scan
 
 SIDE, LEFT, RIGHT = "__side", "__left", "__right"
@@ -116,10 +117,7 @@ def between_join(
     )
 
 
-HEADER_COLUMNS = [
-    "LAT_MIN", "LAT_MAX", "LON_MIN", "LON_MAX", "QUALITY", "CRPIX1", "CRPIX2", "IMCRPIX1", "IMCRPIX2", "CDELT1",
-    "DSUN_OBS", "CRLT_OBS", "CRVAL2",
-]
+HEADER_COLUMNS = HEADER_FIELDS[1:]
 
 
 def attach_header(

@@ -124,6 +124,7 @@ def label_instances(frames: DataFrame, unmatched: DataFrame, cfg: WindowConfig,
     trusted = F.col("obs_trusted") >= F.lit(cfg.obs * cfg.min_trusted)
     quiet = F.col("pred_large") == 0
     small = F.coalesce(F.col("small_verified"), F.lit("FQ"))
+    # fixed values: the names of the filters are part of the output
     reason = (
         F.when(~trusted, "TMFI_Filtered")
         .when(quiet & F.col("um_time").isNotNull(), "NONMATCHED_FL_Filter")

@@ -10,6 +10,7 @@ FIELD_PARAMETERS = [
     "SHRGT45", "MEANGAM", "MEANGBT", "MEANGBZ", "MEANGBH", "MEANJZH", "TOTFY", "MEANJZD", "MEANALP", "TOTFX", "EPSY",
     "EPSX", "R_VALUE",
 ]
+# The other columns of a finished series, in their order.
 POSITION_COLUMNS = ["CRVAL1", "CRLN_OBS", "CRLT_OBS", "CRVAL2", "HC_ANGLE", "SPEI", "IS_TMFI"]
 BOX_COLUMNS = ["LAT_MIN", "LON_MIN", "LAT_MAX", "LON_MAX", "QUALITY"]
 HISTORY_COLUMNS = [
@@ -28,10 +29,12 @@ SERIES_RAW = T.StructType(
     [T.StructField("Timestamp", T.StringType())]
     + [T.StructField(c, T.DoubleType()) for c in [*FIELD_PARAMETERS, "CRVAL1", "CRLN_OBS"]]
 )
+# Fields of a header row, the time first.
 HEADER_FIELDS = [
     "DATE__OBS", "LAT_MIN", "LAT_MAX", "LON_MIN", "LON_MAX", "QUALITY", "CRPIX1", "CRPIX2", "IMCRPIX1", "IMCRPIX2", "CDELT1",
     "DSUN_OBS", "CRLT_OBS", "CRVAL2",
 ]
+# Character positions in the yearly region file.
 REGION_FIXED_WIDTH = [  # name, first character (1-based), length, type
     ("year", 1, 4, "int"), ("month", 5, 2, "int"), ("day", 7, 2, "int"), ("t_in_t", 9, 4, "double"), ("noaa_ar_no", 13, 8, "int"),
     ("greenwich", 21, 4, "string"), ("mcintosh", 26, 4, "string"), ("obs_whole_spot_area", 31, 4, "double"),
