@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators import series as S
@@ -78,3 +79,25 @@ def test_step_and_availability(spark):
     assert ratio == {1: 0.5, 2: 1.0}
     have = {r.k: (round(r.availability, 4), r.flagged) for r in S.availability_ratio(df, ["k"], "ts").collect()}
     assert have == {1: (round(4 / 6, 4), False), 2: (1.0, False)}
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 50, 20_000])
+def test_grid_chunks_make_one_grid(spark, monkeypatch, chunk):
+    monkeypatch.setattr(S, "GRID_CHUNK", chunk)
+    start, step = datetime(2020, 1, 1), timedelta(minutes=12)
+    rows = [(k, start + step * i, float(i)) for k, n in ((1, 50), (2, 1), (3, 8)) for i in range(n) if i % 3 == 0 or i == n - 1]
+    got = S.regrid(spark.createDataFrame(rows, "k long, ts timestamp_ntz, v double"), ["k"], "ts", placed=True).collect()
+    want = {(k, start + step * i, i, n) for k, n in ((1, 50), (2, 1), (3, 8)) for i in range(n)}
+    assert {(r.k, r.ts, r.pos, r.n) for r in got} == want and len(got) == len(want)
+    assert {(r.k, r.ts, r.v) for r in got if r.v is not None} == set(rows)
+
+
+def test_rejected_series_are_reported(spark):
+    from eventloom.plans.annotate import annotation_rejects
+
+    start, step = datetime(2020, 1, 1), timedelta(minutes=12)
+    rows = [(1, start), (1, start + step), (2, start), (2, start + step / 2), (3, start), (3, start)]
+    series = spark.createDataFrame(rows, "k long, ts timestamp_ntz")
+    header = series.where("k <> 1").unionByName(spark.createDataFrame([(1, start)], "k long, ts timestamp_ntz"))
+    got = {(r.k, r.reason) for r in annotation_rejects(series, header, ["k"], "ts").collect()}
+    assert got == {(2, "grid"), (3, "grid"), (1, "header length")}
