@@ -196,9 +196,18 @@ class Page:
         for i in alive:
             if i and self.parents[i] in reached and dense[i] >= least:
                 reached.add(i)
-        chosen = {best[i][2] for i in reached}
+        chosen = {self._whole(best[i][2]) for i in reached}
         return {self._meeting(chosen)} if self._meeting(chosen) else chosen
 
+    def _whole(self, node: int) -> int:
+        """The outermost article or main element around a node, so that short sections of it are not lost; else the node."""
+        found = node
+        while node:
+            if self.tags[node] in KEEPS_HEADER:
+                found = node
+            node = self.parents[node]
+        return found
+
     def _meeting(self, nodes: set[int]) -> int:
         """The lowest node above all of these; 0 when only the body is."""
         common: set[int] | None = None
