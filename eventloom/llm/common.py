@@ -144,6 +144,29 @@ def lookup(small: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
 
 
+def maybe_in(rows: DataFrame, column: str, bits: int = 26):
+    """A function of a column of longs: false for values that are surely not in ``rows``.
+
+    A table of 2^``bits`` hash slots (8 MB), built by an aggregate and sent to all workers; values that share a slot are doubtful
+    and need an exact join, so a full table only costs time.
+    """
+    slot = F.pmod(F.xxhash64(column), F.lit(1 << bits))
+    words = rows.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 31 as int))")).alias("bits")).toPandas()
+    table = np.zeros(1 << bits - 5, np.uint32)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    held = rows.sparkSession.sparkContext.broadcast(table)
+
+    def known(slots):
+        import pandas as pd
+
+        at = slots.to_numpy(np.int64)
+        return pd.Series((held.value[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool))
+
+    probe = F.pandas_udf(known, "boolean")
+    return lambda value: probe(F.pmod(F.xxhash64(value), F.lit(1 << bits)))
+
+
 def part_bases(parts: DataFrame, order: list[Column], total: str = "total") -> DataFrame:
     """Running total of ``total`` before each row of a small table (one row per partition).
 

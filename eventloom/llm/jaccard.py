@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, scramble, store, text_slices, utf8, whole_row
+from .common import RangeHash, maybe_in, scramble, store, text_slices, utf8, whole_row
 from .graph import components
 
 BLANK = np.zeros(256, bool)
@@ -308,8 +308,11 @@ def keep_one(docs: DataFrame, join: Join = Join(), text: str = "text", key: str
     """
     groups = store(group_documents(docs, join, text, key), "jaccard-answer")
     first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select(whole_row(docs).alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    kept = rows.join(first, "doc_id", "left_semi")
+    doubtful = maybe_in(groups.filter("doc_id <> component_id"), "doc_id")
+    rows = docs.filter(F.col(key).isNotNull()).select(whole_row(docs).alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    marked = rows.withColumn("doubtful", doubtful(F.col("doc_id")))
+    # rows that surely stay are not shuffled
+    kept = marked.filter("not doubtful").unionByName(marked.filter("doubtful").join(first, "doc_id", "left_semi")).drop("doubtful")
     if not groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept.select("row.*").unionByName(docs.filter(F.col(key).isNull()))
