@@ -27,6 +27,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+SLICE_BYTES = 2 << 20
+"""Text bytes hashed at once; the arrays over them take some sixty times as much."""
+
+
 class Join(NamedTuple):
     """Words in a shingle; threshold in percent; documents from which a token is frequent; longest frequent prefix that is combined."""
 
@@ -88,10 +92,10 @@ def token_classes(docs: DataFrame, text: str, join: Join) -> tuple[np.ndarray, i
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, held, n = Shingles(join.words), [], 0
-        for batch in text_slices(batches, text):
+        for batch in text_slices(batches, text, SLICE_BYTES):
             held.append(sets.sets(batch.column(0))[0] >> np.uint64(32 - bits))
             n += len(held[-1])
-            if n >= 1 << 22:
+            if n >= 1 << 21:
                 yield _counted(held, bits)
                 held, n = [], 0
         if n:
@@ -167,7 +171,7 @@ def document_sets(docs: DataFrame, classes: tuple[np.ndarray, int], join: Join,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, sets = held.value, Shingles(join.words)
-        for batch in text_slices(batches, text):
+        for batch in text_slices(batches, text, SLICE_BYTES):
             tokens, bounds = sets.sets(batch.column(1))
             slot = (tokens >> np.uint64(64 - slots)).astype(np.int64)
             kinds = table[slot >> 2] >> (2 * (slot & 3)).astype(np.uint8) & 3
