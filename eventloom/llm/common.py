@@ -34,9 +34,19 @@ def _package(application: str) -> str:
     return str(path)
 
 
+BATCH_ROWS = "1000"
+"""Rows that Spark hands a Python worker at once, in place of its 10,000: rows here are whole documents."""
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the Python workers, which need not have it installed."""
+    """Send this package to the Python workers, which need not have it installed, and bound the batches they get.
+
+    A batch size that the session has set itself stays.
+    """
     spark.sparkContext.addPyFile(_package(spark.sparkContext.applicationId))
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     return spark
 
 
