@@ -19,7 +19,7 @@ from eventloom.session import shared_path
 WORD = r"[^\x20\x09-\x0D]+"
 """A word: a run without ASCII white space."""
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 """Text bytes that a task turns into Python or numpy objects at once; one longer text is a batch of its own."""
 
 

@@ -27,7 +27,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 """Text bytes hashed at once; the arrays over them take some sixty times as much."""
 
 

@@ -14,7 +14,7 @@ from .common import RangeHash, binary_array, store, text_slices, utf8
 
 SPACE, LETTER, DIGIT, OTHER = range(4)
 END_ID = 1
-CACHED_PIECES = 2_000_000
+CACHED_PIECES = 1_000_000
 """Pieces a worker remembers; beyond that it forgets all and starts again."""
 
 TABLE_SCHEMA = "part int, seq long, doc_id long, start long, n_tokens long, ids binary"
@@ -127,9 +127,8 @@ class PieceEncoder:
         self.starts = np.concatenate([self.starts, begin + len(self.flat)])
         self.lengths = np.concatenate([self.lengths, stop - begin])
         self.flat = np.concatenate([self.flat, ids])
-        keys, slots = np.concatenate([self.keys, keys]), np.concatenate([self.slots, slots])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.slots = keys[order], slots[order]
+        place = np.searchsorted(self.keys, keys)  # both are sorted
+        self.keys, self.slots = np.insert(self.keys, place, keys), np.insert(self.slots, place, slots)
 
 
 def split_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
