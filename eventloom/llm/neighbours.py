@@ -27,13 +27,14 @@ ROOT = -1
 class Forest(NamedTuple):
     """Parameters: trees, symbols in a string, candidates (with repeats over the trees) to gather, and how many spare the root.
 
-    ``candidates`` ends the ascent. A query that has fewer than ``enough`` at one symbol compares with all rows. ``chunk`` bounds
+    The ascent ends at ``candidates``, or at ``share`` of all distinct vectors if that is more, so that recall does not fall as the table grows. A query that has fewer than ``enough`` at one symbol compares with all rows. ``chunk`` bounds
     the rows of a cell that one task holds at once; larger cells are split and meet the query in each part. At most three symbols.
     """
 
     trees: int = 48
     symbols: int = 3
     candidates: int = 24_000
+    share: float = 0.5
     enough: int = 2_500
     chunk: int = 8_192
     seed: int = 5
@@ -173,23 +174,27 @@ def _levels(vectors: DataFrame, cells: DataFrame, forest: Forest, depth: int) ->
     every = F.sort_array(F.collect_list(F.struct("tree", *[f"c{n}" for n in range(1, forest.symbols + 1)])))
     gathered = deep.groupBy("rep").agg(every.alias("counts"))
 
+    totals = {r.width: r.total for r in cells.filter("tree = 0").groupBy("width").agg(F.sum("size").alias("total")).collect()}  # one entry for each vector length
+
     @F.pandas_udf("array<int>")
-    def levels(counts):
+    def levels(counts, widths):
         import pandas as pd
 
-        return pd.Series([ascend(np.array([[t[f"c{n}"] for n in range(1, forest.symbols + 1)] for t in trees]), forest).tolist() for trees in counts])
+        return pd.Series([
+            ascend(np.array([[t[f"c{n}"] for n in range(1, forest.symbols + 1)] for t in trees]), forest, totals[width]).tolist() for trees, width in zip(counts, widths)
+        ])
 
-    chosen = gathered.select(F.col("rep").alias("__rep"), levels("counts").alias("levels"))
-    return vectors.filter("asks").join(chosen, F.col("rep") == F.col("__rep")).select("rep", "width", "vec", "hashes", "levels")
+    chosen = vectors.filter("asks").join(gathered.withColumnRenamed("rep", "__rep"), F.col("rep") == F.col("__rep"))
+    return chosen.select("rep", "width", "vec", "hashes", levels("counts", "width").alias("levels"))
 
 
-def ascend(counts: np.ndarray, forest: Forest) -> np.ndarray:
-    """Prefix length for each tree, from its matches (one column for each length, shortest first)."""
+def ascend(counts: np.ndarray, forest: Forest, total: int = 0) -> np.ndarray:
+    """Prefix length for each tree, from its matches (one column for each length, shortest first) among ``total`` vectors."""
     trees, symbols = counts.shape
     if counts[:, 0].sum() < forest.enough:
         return np.zeros(trees, np.int64)
     steps = np.concatenate([[counts[:, -1].sum()]] + [counts[:, n - 1] - counts[:, n] for n in range(symbols - 1, 0, -1)])
-    done = int(np.searchsorted(np.cumsum(steps), forest.candidates))  # single ascents until there are enough
+    done = int(np.searchsorted(np.cumsum(steps), max(forest.candidates, forest.share * total)))  # single ascents until there are enough
     done = min(done, trees * (symbols - 1))
     return symbols - (done // trees + (np.arange(trees) < done % trees))
 

@@ -220,6 +220,23 @@ def test_neighbours_reach_the_recall(spark, forest):
     assert found / total >= 0.9
 
 
+def test_recall_stays_when_the_table_grows():
+    """Production parameters on unstructured vectors, where 24,000 candidates are a small share of the rows."""
+    forest, n = neighbours.Forest(), 150_000
+    vectors = np.random.default_rng(8).standard_normal((n, 64), dtype=np.float32)
+    hashes = np.concatenate([neighbours.hash_strings(vectors[at : at + 1024], forest) for at in range(0, n, 1024)])
+    hits, asked = 0, range(0, n, 5000)
+    for q in asked:
+        same = [hashes >> forest.shift(length) == hashes[q] >> forest.shift(length) for length in range(1, forest.symbols + 1)]
+        levels = neighbours.ascend(np.stack([s.sum(axis=0) for s in same], axis=1), forest, n)
+        assert levels.all()
+        found = np.any([same[level - 1][:, tree] for tree, level in enumerate(levels)], axis=0)
+        scores = vectors.astype(float) @ vectors[q]
+        scores[q] = -np.inf
+        hits += found[np.argsort(-scores)[:20]].sum()
+    assert hits / (20 * len(asked)) > 0.9
+
+
 def test_neighbours_of_equal_bad_and_few_vectors(spark):
     good = [(i, [1.0, 2.0]) for i in range(60)] + [(100, [2.0, 1.0]), (100, [2.0, 1.0])]
     bad = [(200, None), (220, [0.0, 0.0]), (240, [1.0, float("nan")]), (260, [float("inf"), 1.0]), (280, [None, 1.0]), (None, [1.0, 1.0])]
