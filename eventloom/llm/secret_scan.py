@@ -25,12 +25,14 @@ LIMITS = {"hex": 3.0, "base32": 3.6, "base64": 4.0}
 CLASSES = (("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+")), ("base32", re.compile(r"[A-Z2-7=]+")), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+")))
 ALLOWED = (
     re.compile(r"[A-Za-z]+"),  # one long word
-    re.compile(r"[a-z]+([-_/][a-z0-9]+)+|[A-Z]+([-_/][A-Z0-9]+)+", re.A),  # paths, slugs and constant names
     re.compile(r"[0-9]+([-/_][0-9]+)*"),  # numbers and dates
     re.compile(r"(.)\1*"),
     re.compile(r"[-=_+/]+"),
 )
 """Candidates that match one of these as a whole are suppressed, whatever their entropy."""
+NAME = re.compile(r"[a-z]+([-_/][a-z0-9]+)+|[A-Z]+([-_/][A-Z0-9]+)+", re.A)
+SEGMENT = re.compile(r"[A-Za-z]+|[0-9]{1,8}|(?P<mixed>[A-Za-z]{1,8}[0-9]{1,4}|[0-9]{1,4}[A-Za-z]{1,3}|[A-Za-z][0-9]{1,2}[A-Za-z])", re.A)
+"""What a segment of a path, slug or constant name may be: a word, a short number, or a short word with a short number."""
 
 Span = tuple[int, str, int]
 TERMS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 2)]  # the new character counts before the old one goes
@@ -44,14 +46,34 @@ def base_spans(text: str) -> list[Span]:
     return found + [(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
 
 
+def limit_of(word: str) -> float:
+    return LIMITS[next(name for name, form in CLASSES if form.fullmatch(word))]
+
+
+def is_name(word: str) -> bool:
+    """Whether a candidate is a path, a slug or a constant name: every segment looks like a word or a short number.
+
+    Segments of letters and digits are at most half of it, and no segment has a window that reaches its own limit.
+    """
+    if not NAME.fullmatch(word):
+        return False
+    mixed = 0
+    for part in re.split("[-_/]", word):
+        form = SEGMENT.fullmatch(part)
+        if not form or any(dense_stretches(part, limit_of(part))):
+            return False
+        mixed += len(part) if form["mixed"] else 0
+    return 2 * mixed <= len(word)
+
+
 def entropy_spans(text: str, taken: list[Span]) -> list[Span]:
     """Stretches of candidate strings whose windows all reach the limit of their class and that no base span touches."""
     found = []
     for m in CANDIDATE.finditer(text):
         word = m.group()
-        if any(a.fullmatch(word) for a in ALLOWED):
+        if any(a.fullmatch(word) for a in ALLOWED) or is_name(word):
             continue
-        limit = LIMITS[next(name for name, form in CLASSES if form.fullmatch(word))]
+        limit = limit_of(word)
         for begin, end in dense_stretches(word, limit):
             start, stop = m.start() + begin, m.start() + end
             if not any(a < stop and start < b for a, _, b in taken):

@@ -129,6 +129,23 @@ def test_entropy_finds_keys_and_allows_names():
         assert secret_scan.find_spans(fine) == ([], [])
 
 
+@pytest.mark.parametrize("key", [
+    "key-3ax6xnjp29jd6fds4gc373sgvjxteol0", "sk-a8f3k2q9z7m1x4c6v0b5n8l2j3h7", "LICENSE-7F3KQ9ZXM1WC6V0B5N8L2J3H7", "LICENSE-7F3KQ-9ZXM1-WC6V0-B5N8L-2J3H7",
+    "key_live_3ax6xnjp29jd6fds4gc373sgvjxteol0", "keys/3ax6xnjp29jd6fds4gc373sgvjxteol0", "key-qzxwvkjpfyhbgtmdlrcnaqoeiusw",
+])
+def test_entropy_finds_prefixed_keys_in_one_case(key):
+    assert [s[1] for s in secret_scan.find_spans(f"see {key} now")[1]] == ["entropy"]
+    assert secret_scan.redacted(f"see {key} now", "[x]") == "see [x] now"
+
+
+@pytest.mark.parametrize("name", [
+    "blog/2024/01/02/what-we-learned-in-version-2", "MAX_NUMBER_OF_SHA256_BLOCKS_PER_FILE", "internationalization-i18n-and-more-of-it", "usr/share/python3/site/packages/module10",
+    "the_quick_brown_fox_jumps_over_the_lazy_dog",
+])
+def test_entropy_allows_names_with_short_numbers(name):
+    assert secret_scan.find_spans(f"see {name} now") == ([], [])
+
+
 def test_redaction_takes_effect():
     text = "a password=hunter2hunter2 b " + "deadbeef" * 4
     clean = secret_scan.redacted(text, "[x]")
