@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from .common import text_slices
 
-RAW = "script|style|template|noscript|iframe|svg|math|textarea|select|object|canvas|head"
+RAW = "script|style|iframe|textarea"  # their end tag or, without one, the end of the page ends them
 TOKENS = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>|<[!?/][^>]*+>|<[a-z/!?][^<>]*+\Z",
@@ -27,6 +27,7 @@ NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 # fixed values: element names of HTML
+CUT = frozenset("template noscript svg math select object canvas head".split())
 BLOCKS = frozenset(
     "body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption "
     "address details summary fieldset form nav header footer aside menu dialog center hr html hgroup".split()
@@ -35,6 +36,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset("nav footer aside form menu dialog button label fieldset input".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 KEEPS_HEADER = frozenset(("article", "main"))
+FLOW = "|".join(sorted(BLOCKS, key=len, reverse=True))
+IN_HEAD = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|title|textarea|iframe|noscript|template)(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)|(?P<last></head\s*+>)|(?P<flow><(?:{FLOW})(?=[\s/>]))",
+    re.S | re.I,
+)
+IN_DRAWING = re.compile(rf"(?P<inner><(?:foreignobject|desc|title|annotation-xml|m[ionst]|mtext)(?=[\s/>]))|(?P<last></(?:svg|math)\s*+>)|(?P<flow></?(?:{FLOW})(?=[\s/>]))", re.I)
 
 # class, id and role words of what is not the article
 FURNITURE = frozenset(
@@ -63,11 +70,12 @@ class Page:
         self.tags, self.parents, self.skipped = ["body"], [-1], [False]
         self.chars, self.marks, self.link_chars, self.link_marks = [0], [0], [0], [0]
         self.runs: list[tuple[int, int, str]] = []  # node, block, text
+        self.headed, self.unclosed = False, set()  # a head was read; elements of which no end tag is ahead
         self._read(source)
 
     def _read(self, source: str) -> None:
         open_nodes, link, block, at = [0], False, 0, 0
-        for token in TOKENS.finditer(source):
+        while token := TOKENS.search(source, at):
             if token.start() > at:
                 self._text(open_nodes[-1], block, source[at : token.start()], link)
             at = token.end()
@@ -76,6 +84,9 @@ class Page:
                 continue
             tag = tag.lower()
             node = open_nodes[-1]
+            if tag in CUT and not token["end"]:
+                at = self._behind(tag, source, at, token["attrs"])
+                continue
             if token["end"]:
                 if tag == "a":
                     link = False
@@ -123,6 +134,37 @@ class Page:
         if at < len(source):
             self._text(open_nodes[-1], block, source[at:], link)
 
+    def _behind(self, tag: str, source: str, at: int, attrs: str) -> int:
+        """Where the page goes on after the start tag that ends at ``at``, of an element that is cut whole.
+
+        An open head ends at the first flow tag, a drawing is empty (``<svg />``) or ends there too unless it embeds HTML. Of any
+        other element without an end tag only the start tag is cut.
+        """
+        if tag == "head":
+            if self.headed:
+                return at
+            self.headed = True
+            for m in IN_HEAD.finditer(source, at):
+                if m["last"] or m["flow"]:
+                    return m.end() if m["last"] else m.start()
+                at = m.end()
+            return at
+        if tag in ("svg", "math"):
+            if attrs.endswith("/") or "drawing" in self.unclosed:
+                return at
+            m = IN_DRAWING.search(source, at)
+            if not m:
+                self.unclosed.add("drawing")
+                return at
+            if not m["inner"]:
+                return m.end() if m["last"] else m.start()
+        if tag in self.unclosed:
+            return at
+        last = re.compile(rf"</{tag}\s*+>", re.I).search(source, at)
+        if not last:
+            self.unclosed.add(tag)
+        return last.end() if last else at
+
     def _text(self, node: int, block: int, raw: str, link: bool) -> None:
         if self.skipped[node]:
             return

@@ -205,6 +205,29 @@ def test_main_text_of_the_test_pages(spark):
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<html><head><title>t</title><body><article><p>text of it</p></article>", "text of it"),
+    ("<html><head><title>t</title><script>var a = '<div>x</div>'</script><meta charset=utf-8><p>text of it<p>more", "text of it\nmore"),
+    ("<head><title>t</title>only text", "only text"),
+    ("<head><title>t</title><script>'<p>'</script></head><p>text of it", "text of it"),
+    ("<p>a<svg class=i />b</p><p>c</p>", "ab\nc"),
+    ("<p>a<svg class='x>y'/>b</p><p>c<svg><path d=z /><text>no</text></svg>d</p>", "ab\ncd"),
+    ("<p>a<math/>b</p><p>c</p>", "ab\nc"),
+    ("<p>one two<svg class=i><path d=z></p>and three<p>four five</p>", "one two\nand three\nfour five"),
+    ("<p>a<svg><foreignObject><p>no</p></foreignObject></svg>b</p>", "ab"),
+    ("<p>a<canvas>b</p><p>c<noscript>d</p>", "ab\ncd"),
+    ("<p>one two<script>if (x) '<p>'", "one two"),
+    ("<p>a<template><p>no</p></template>b<select><option>no</select>c</p>", "abc"),
+])
+def test_main_text_of_open_and_empty_elements(page, want):
+    assert density.extract(page) == want
+
+
+@pytest.mark.parametrize("page", ["<svg><foreignobject>" * 20_000, "<canvas>" * 50_000, "<head>" * 50_000, "<svg>" * 50_000, "<svg><p>" * 20_000])
+def test_pages_of_open_elements_end(page):
+    assert density.extract(page) == ""
+
+
 @pytest.mark.parametrize("page", ["<p>" * 3000 + "x", "<div " + "a='" * 2000, "<" * 5000, "&" * 5000, "<!--" * 3000, "<p>" + "word " * 200_000])
 def test_hostile_pages_end(page):
     assert isinstance(density.extract(page), str)
