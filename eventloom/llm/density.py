@@ -49,18 +49,33 @@ FURNITURE = frozenset(
     "breadcrumbs footer masthead cookie cookies consent notice notices gdpr alert popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social comment comments reply replies respond disqus related recommended recommendations widget widgets toolbar pagination pager search complementary contentinfo".split()
 )
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 def furniture(tag: str, attrs: str, within: list[str]) -> bool:
-    """Whether an element is a menu, header, footer, sidebar, notice, advert, form or comment section."""
+    """Whether an element is a menu, header, footer, sidebar or form by its tag, or hidden."""
     if tag in DROPPED or (tag == "header" and not KEEPS_HEADER.intersection(within)):
         return True
     if "=" not in attrs and "hidden" not in attrs:
         return False
-    if HIDDEN.search(attrs):
-        return True
-    return tag not in ("body", "html", "article", "main") and any(FURNITURE.intersection(SPLIT.split("".join(m).lower())) for m in NAMES.findall(attrs))
+    return HIDDEN.search(attrs) is not None
+
+
+def furniture_names(attrs: str) -> frozenset[str]:
+    """Furniture words of those class tokens, ids and roles that consist of nothing else (``sidebar``, ``ad-banner``; not ``has-sidebar``)."""
+    found: set[str] = set()
+    if "=" in attrs:
+        for m in NAMES.findall(attrs):
+            for token in "".join(m).lower().split():
+                parts = set(SPLIT.split(token)) - {""}
+                if FURNITURE.issuperset(parts):
+                    found |= parts
+    return frozenset(found)
+
+
+def of_comment(attrs: str) -> bool:
+    return any(COMMENTS.intersection(SPLIT.split("".join(m).lower())) for m in NAMES.findall(attrs))
 
 
 class Page:
@@ -68,10 +83,13 @@ class Page:
 
     def __init__(self, source: str):
         self.tags, self.parents, self.skipped = ["body"], [-1], [False]
+        self.names, self.main = [frozenset()], [False]  # furniture words; whether it is an article or main, but not of a comment
         self.chars, self.marks, self.link_chars, self.link_marks = [0], [0], [0], [0]
         self.runs: list[tuple[int, int, str]] = []  # node, block, text
         self.headed, self.unclosed = False, set()  # a head was read; elements of which no end tag is ahead
         self._read(source)
+        if any(self.names):
+            self._skip_named()
 
     def _read(self, source: str) -> None:
         open_nodes, link, block, at = [0], False, 0, 0
@@ -118,14 +136,20 @@ class Page:
                     open_nodes.pop()
                 node = open_nodes[-1]
             drop = furniture(tag, attrs, [self.tags[i] for i in open_nodes] if tag == "header" else [])
-            if is_block or (drop and not attrs.endswith("/")):
+            names = frozenset() if drop or tag in KEEPS_HEADER else furniture_names(attrs)
+            if is_block or ((drop or names) and not attrs.endswith("/")):
                 open_nodes.append(len(self.tags))
                 self.tags.append(tag)
                 self.parents.append(node)
                 self.skipped.append(drop or self.skipped[node])
+                self.names.append(names)
+                self.main.append(tag in KEEPS_HEADER and not self.skipped[-1] and not of_comment(attrs))
                 for counts in (self.chars, self.marks, self.link_chars, self.link_marks):
                     counts.append(0)
                 self.marks[-1] = 1
+                if tag == "a" and names:
+                    link = True
+                    self.link_marks[-1] = 1
             else:
                 self.marks[node] += 1
                 if tag == "a":
@@ -134,6 +158,34 @@ class Page:
         if at < len(source):
             self._text(open_nodes[-1], block, source[at:], link)
 
+    def _skip_named(self) -> None:
+        """Skip what is furniture by name: adverts, sidebars, notices, comment sections.
+
+        A name that stands for most of the text is none (one of comments in an article only if nothing else is left there). The text is that of
+        articles and main or, without any, of the page. An element that holds an article or main is not skipped for its name.
+        """
+        inside = self.main[:]
+        for i in range(1, len(self.tags)):
+            inside[i] |= inside[self.parents[i]]
+        texts = [0 if skip else n for n, skip in zip(self.chars, self.skipped)]
+        in_articles = [n * own for n, own in zip(texts, inside)]
+        articles = any(in_articles)
+        texts = in_articles if articles else texts
+        total, held, above = sum(texts), dict.fromkeys(FURNITURE, 0), [frozenset()]
+        for i in range(len(self.tags)):
+            if i:
+                outer = above[self.parents[i]]
+                above.append(outer | self.names[i] if self.names[i] else outer)
+            if texts[i]:
+                for name in above[i]:
+                    held[name] += texts[i]
+        cut = {name for name, n in held.items() if (n < total if articles and name in COMMENTS else 2 * n <= total)}
+        holds = self.main[:]
+        for i in range(len(self.tags) - 1, 0, -1):
+            holds[self.parents[i]] |= holds[i]
+        for i in range(1, len(self.tags)):
+            self.skipped[i] |= self.skipped[self.parents[i]] or (not holds[i] and not cut.isdisjoint(self.names[i]))
+
     def _behind(self, tag: str, source: str, at: int, attrs: str) -> int:
         """Where the page goes on after the start tag that ends at ``at``, of an element that is cut whole.
 

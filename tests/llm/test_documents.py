@@ -223,6 +223,28 @@ def test_main_text_of_open_and_empty_elements(page, want):
     assert density.extract(page) == want
 
 
+STORY = "<article><p>The text. It is long enough.<p>More text.</article>"
+TOLD = "The text. It is long enough.\nMore text."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<div class='wrapper has-sidebar'>{STORY}</div>", TOLD),
+    (f"<div class='no-sidebar'>{STORY}</div>", TOLD),
+    ("<div class='no-sidebar'><p>The text. It is long enough.<p>More text.</div>", TOLD),
+    ("<div class='elementor-widget elementor-widget-theme-post-content'><p>The text. It is long enough.<p>More text.</div>", TOLD),
+    ("<article><h1>Title</h1><div class=widget><p>The text. It is long enough.<p>More text.</div></article>", "Title\n" + TOLD),
+    (f"<div class='widget'>{STORY}</div><div class='ad'>buy</div>", TOLD),
+    (f"<div id=search><main>{STORY}</main></div>", TOLD),
+    ("<div class=widget><p>The text. It is long enough.</div><div class=widget><p>More text, also long enough.</div>", "The text. It is long enough.\nMore text, also long enough."),
+    ("<article><div class=comments><p>The text. It is long enough.<p>More text.</div></article>", TOLD),
+    (f"{STORY}<div class='sidebar'><p>side words</div><div class='ad-banner'>buy now</div>", TOLD),
+    (f"{STORY}<div id='comments'><article class='comment-body'><p>I say a lot about it, really a lot, and even more than that.</article></div>", TOLD),
+    (f"<div class='page sidebar'><div hidden>no</div>{STORY}<span class='share'>send it</span></div>", TOLD),
+])
+def test_main_text_in_wrappers_and_beside_furniture(page, want):
+    assert density.extract(page) == want
+
+
 @pytest.mark.parametrize("page", ["<svg><foreignobject>" * 20_000, "<canvas>" * 50_000, "<head>" * 50_000, "<svg>" * 50_000, "<svg><p>" * 20_000])
 def test_pages_of_open_elements_end(page):
     assert density.extract(page) == ""
