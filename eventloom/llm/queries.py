@@ -13,6 +13,7 @@ from .attribution import section_counts
 from .binary import read_coded, write_coded
 from .common import table
 from .density import main_text
+from .hard_negatives import mine
 from .jaccard import group_documents
 from .mixing import mix, taken_rows
 from .neighbours import search
@@ -71,6 +72,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row of ``embeddings``; every seventh label is shifted by one first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_binary_ids": op2_binary_ids,
@@ -82,9 +89,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_section_tokens": op9_section_tokens,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS vec
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same, CAST(list_inner_product(a.vec, b.vec) AS BIGINT) AS score
+            FROM whole a JOIN whole b ON a.id % 100 = 0 AND a.id <> b.id
+        ), positives AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        ), negatives AS (
+            SELECT p.anchor_id, p.positive_id, p.positive_score, s.other AS negative_id, s.score AS negative_score,
+                row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS place
+            FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+                AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+        )
+        SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE place <= 10
+    """,
     "op4_jaccard": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(
