@@ -20,6 +20,7 @@ from .neighbours import search
 from .packing import pack
 from .quality import Rules, assess, train
 from .secret_scan import scan
+from .spelling import spelling_variants
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -78,6 +79,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of ``documents``, the words one edit away and the form each goes back to."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_binary_ids": op2_binary_ids,
@@ -90,9 +96,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_section_tokens": op9_section_tokens,
     "op10_quality": op10_quality,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLES: dict[str, str] = {
+    "op12_spelling": r"""
+        WITH RECURSIVE runs AS MATERIALIZED (
+            SELECT doc_id, run, length(run) AS size, count(*) AS n FROM (
+                SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+                FROM documents)
+            GROUP BY ALL
+        ), hashed AS MATERIALIZED (
+            SELECT run, size, n, 4294967295 - list_reduce(list_prepend(4294967295, list_transform(range(CAST(length(bits) AS BIGINT)),
+                    lambda k: CAST(get_bit(bits, CAST(8 * (k // 8) + 7 - k % 8 AS INTEGER)) AS BIGINT))),
+                lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))) AS h
+            FROM (SELECT run, size, n, CAST(encode(concat(doc_id, ':', run)) AS BIT) AS bits FROM runs)
+        ), words AS MATERIALIZED (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+                SELECT n, CASE WHEN h % 31 = 0 THEN concat(substring(run, 1, h % size), substring(run, h % size + 2)) ELSE run END AS word FROM hashed)
+            WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+        ), cut AS MATERIALIZED (
+            SELECT word, n, i, concat(substring(word, 1, i - 1), substring(word, i + 1)) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), near AS MATERIALIZED (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+        ), forms AS MATERIALIZED (
+            SELECT w.word, w.n, count(x.near) AS n_near, max(x.near_n) AS most, arg_min(x.near, (-x.near_n, x.near)) AS best
+            FROM words w LEFT JOIN near x ON x.word = w.word GROUP BY w.word, w.n
+        ), judged AS MATERIALIZED (
+            SELECT word, n, n_near, CASE WHEN most >= 10 * n THEN best END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n FROM forms
+        ), chain(word, root) AS (
+            SELECT word, word FROM judged UNION ALL SELECT chain.word, judged.form FROM chain JOIN judged ON judged.word = chain.root WHERE judged.form IS NOT NULL
+        )
+        SELECT j.word, j.form, c.root, j.n, j.n_near, j.form_n FROM judged j JOIN chain c ON c.word = j.word JOIN judged e ON e.word = c.root AND e.form IS NULL
+    """,
     "op11_hard_negatives": """
         WITH whole AS (
             SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
