@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import language, toxicity
 from .attribution import section_counts
 from .binary import read_coded, write_coded
 from .common import table
@@ -84,6 +84,14 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text of ``documents``, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = language.spans(docs, language.train(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_binary_ids": op2_binary_ids,
@@ -97,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_spelling": op12_spelling,
+    "op13_language": op13_language,
 }
 
 ORACLES: dict[str, str] = {
