@@ -2,7 +2,7 @@
 
 A coded folder holds two Parquet tables. ``vocab`` has one row (id, rank) for each id that occurs; rank 0 is the most frequent id.
 ``blocks`` has one row for each block of whole documents, in ascending key order inside a part and over the parts:
-part, block, start (ids before it in its part), first_key, doc_ids, counts (ids of each document), control, data.
+part, block, start (ids before it in its part), n_tokens, doc_ids, counts (ids of each document), control, data.
 ``control`` has two bits for each id (its byte count less one, four ids in a byte, lowest bits first),
 ``data`` the ranks as little-endian integers of one to four bytes.
 Parquet is the container, because Spark then commits the files, also in stores that only Spark reaches.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from eventloom.session import shared_path
 
-from .common import lookup, part_bases
+from .common import lookup, part_bases, small_enough
 from .tokens import END_ID, id_type, token_table
 
 BLOCK_IDS = 1 << 16
@@ -110,7 +110,11 @@ def write_coded(docs: DataFrame, tokenizer: str, text: str = "text", key: str =
     if clustered(tokens):
         parts = tokens.groupBy("part").agg(F.min("doc_id").alias("low"))
         named = parts.select("part", (F.row_number().over(Window.orderBy("low", "part")) - 1).cast("long").alias("rank"))
-        rows = tokens.join(lookup(named), "part").select(F.col("rank").alias("part"), "start", "doc_id", "ids")
+        if small_enough(named):  # rows keep the order of their stored part
+            placed = tokens.join(F.broadcast(named), "part")
+        else:  # dealt by part: put back into its order
+            placed = tokens.join(named, "part").repartition("part").sortWithinPartitions("part", "seq")
+        rows = placed.select(F.col("rank").alias("part"), "start", "doc_id", "ids")
     else:
         n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
         rows = tokens.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "ids").select(F.lit(None).cast("long").alias("part"), F.lit(None).cast("long").alias("start"), "doc_id", "ids")

@@ -114,25 +114,47 @@ def utf8(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class RangeHash:
-    """64-bit polynomial hashes of byte ranges of one buffer, by prefix sums modulo 2^64."""
+    """Hashes of byte ranges of one buffer: polynomials modulo primes near 2^31, two of them in each 64-bit hash.
 
-    BASE = 0x9E3779B97F4A7C15
+    Prefix sums are exact below 2^64 and reduced at range ends only. Different primes make independent hashes (``part``); none
+    takes words for equal that only look alike to powers of two.
+    """
+
+    # fixed values: the four greatest primes below 2^31, and a primitive start for each polynomial
+    PRIMES = (2147483647, 2147483629, 2147483587, 2147483579)
+    BASES = (1103515245, 1664525, 214013, 69069)
+    STEP = 1 << 23
+    """Bytes whose products are summed before the sum is reduced."""
 
-    def __init__(self) -> None:
+    def __init__(self, parts: int = 1) -> None:
+        self.parts = parts
         self._grow(1 << 16)
 
     def _grow(self, n: int) -> None:
-        up, down = np.full(n, self.BASE, np.uint64), np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-    def of(self, data: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        self.up, self.down = [], []
+        for prime, base in list(zip(self.PRIMES, self.BASES))[: 2 * self.parts]:
+            for tables, factor in ((self.up, base), (self.down, pow(base, -1, prime))):
+                powers = np.ones(1, np.uint64)
+                while len(powers) < n:
+                    powers = np.concatenate([powers, powers * np.uint64(pow(factor, len(powers), prime)) % np.uint64(prime)])
+                tables.append(powers[:n].astype(np.uint32))
+
+    def _modulo(self, k: int, data: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        prime, carry = np.uint64(self.PRIMES[k]), np.uint64(0)
+        running = np.zeros(len(data) + 1, np.uint64)
+        for at in range(0, len(data), self.STEP):
+            end = min(at + self.STEP, len(data))
+            np.cumsum(self.up[k][at:end] * (data[at:end].astype(np.uint64) + np.uint64(1)), out=running[at + 1 : end + 1])
+            running[at + 1 : end + 1] += carry
+            carry = running[end] % prime
+        return (running[stops] % prime + prime - running[begins] % prime) % prime * self.down[k][begins] % prime
+
+    def of(self, data: np.ndarray, begins: np.ndarray, stops: np.ndarray, part: int = 0) -> np.ndarray:
         """One hash for each range; equal bytes have equal hashes wherever they lie."""
-        if len(data) >= len(self.up):
+        if len(data) >= len(self.up[0]):
             self._grow(len(data) + 1 + len(data) // 4)
-        running = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=running[1:])
-        return (running[stops] - running[begins]) * self.down[begins] + (stops - begins).astype(np.uint64)
+        first, second = (self._modulo(2 * part + k, data, begins, stops) for k in range(2))
+        return scramble(first << np.uint64(32) | second) + (stops - begins).astype(np.uint64)
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
@@ -149,9 +171,17 @@ def binary_array(data: bytes, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype("<i8").tobytes()), pa.py_buffer(data)])
 
 
-def lookup(small: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """A table that may be joined without a shuffle: marked for broadcast if it has at most ``rows`` (narrow) rows, else as it is."""
-    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+LOOKUP_ROWS = 1_000_000
+"""Narrow rows that a broadcast table has at most."""
+
+
+def small_enough(rows: DataFrame) -> bool:
+    return rows.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
+
+
+def lookup(small: DataFrame) -> DataFrame:
+    """A table that may be joined without a shuffle: marked for broadcast if it has at most LOOKUP_ROWS (narrow) rows, else as it is."""
+    return F.broadcast(small) if small_enough(small) else small
 
 
 def maybe_in(rows: DataFrame, column: str, bits: int = 26):

@@ -27,7 +27,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 """Text bytes hashed at once; the arrays over them take some sixty times as much."""
 
 
@@ -39,6 +39,12 @@ class Join(NamedTuple):
     rare: int = 8
     combined: int = 24
 
+    def checked(self) -> Join:
+        """Itself; the method meets sets on two shared tokens, so one token must not suffice for sets of two and three."""
+        if not 50 < self.percent <= 100 or self.words < 1:
+            raise ValueError("percent must be above 50 and at most 100, words at least 1")
+        return self
+
     def needed(self, n: np.ndarray | int) -> np.ndarray | int:
         """Least overlap of a set of n tokens with any set that reaches the threshold."""
         return -(-self.percent * n // 100)
@@ -48,10 +54,15 @@ class Shingles:
     """Sets of shingle hashes of many texts; ASCII letters are lower-cased, words end at ASCII white space."""
 
     def __init__(self, words: int):
-        self.words, self.hashes = words, RangeHash()
+        self.words, self.hashes = words, RangeHash(parts=2)
 
     def sets(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct hashes of each text in a row, and where each text's begin. Fewer words than a shingle make one of them all."""
+        tokens, _, bounds = self.checked_sets(texts, checks=False)
+        return tokens, bounds
+
+    def checked_sets(self, texts: pa.Array, checks: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``sets``, with a second, independent hash of each shingle after the first."""
         data, offsets = utf8(texts)
         full = np.zeros(len(data) + 2, bool)
         full[1:-1] = ~BLANK[data]
@@ -59,24 +70,34 @@ class Shingles:
         edge[offsets] = True
         begins = np.flatnonzero(full[1:-1] & (~full[:-2] | edge[:-1]))
         stops = np.flatnonzero(full[1:-1] & (~full[2:] | edge[1:])) + 1
-        words = scramble(self.hashes.of(LOWER[data], begins, stops))
         first = np.searchsorted(begins, offsets)  # first word of each text
         count = np.diff(first)
         size = np.where(count >= self.words, count - self.words + 1, (count > 0).astype(np.int64))
         ends = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(first[:-1] - ends[:-1], size) + np.arange(ends[-1])
         length = np.repeat(np.minimum(count, self.words), size)
-        out = np.zeros(len(at), np.uint64)
-        for k in range(self.words):
-            inside = k < length
-            out = np.where(inside, scramble(out + words[np.minimum(at + k, max(len(words) - 1, 0))] + np.uint64(0x632BE59BD9B4E019)), out) if len(words) else out
-        out = np.where(length < self.words, scramble(out + length.astype(np.uint64)), out)
+        low = LOWER[data]
+
+        def combined(part: int) -> np.ndarray:
+            words = scramble(self.hashes.of(low, begins, stops, part))
+            out = np.zeros(len(at), np.uint64)
+            for k in range(self.words):
+                inside = k < length
+                out = np.where(inside, scramble(out + words[np.minimum(at + k, max(len(words) - 1, 0))] + np.uint64(0x632BE59BD9B4E019)), out) if len(words) else out
+            return np.where(length < self.words, scramble(out + length.astype(np.uint64)), out)
+
+        out = combined(0)
+        check = combined(1) if checks else out[:0]
         for a, b in zip(ends.tolist(), ends[1:].tolist()):
-            out[a:b].sort()
+            if checks:
+                order = np.argsort(out[a:b])
+                out[a:b], check[a:b] = out[a:b][order], check[a:b][order]
+            else:
+                out[a:b].sort()
         fresh = np.ones(len(out), bool)
         fresh[1:] = out[1:] != out[:-1]
         fresh[ends[:-1][size > 0]] = True
-        return out[fresh], np.concatenate([[0], np.cumsum(fresh)])[ends]
+        return out[fresh], check[fresh] if checks else check, np.concatenate([[0], np.cumsum(fresh)])[ends]
 
 
 def token_classes(docs: DataFrame, text: str, join: Join) -> tuple[np.ndarray, int]:
@@ -159,7 +180,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndar
 
 PARITY_BITS = 512
 
-SET_SCHEMA = "doc_id long, set_id long, n long, open boolean, unmatched long, scarce long, parity array<bigint>, wide boolean, rare array<bigint>, frequent array<bigint>, combined array<bigint>, tokens binary"
+SET_SCHEMA = "doc_id long, set_id long, set_check long, n long, open boolean, unmatched long, scarce long, parity array<bigint>, wide boolean, rare array<bigint>, frequent array<bigint>, combined array<bigint>, tokens binary"
 
 
 def document_sets(docs: DataFrame, classes: tuple[np.ndarray, int], join: Join, text: str, key: str) -> DataFrame:
@@ -172,12 +193,11 @@ def document_sets(docs: DataFrame, classes: tuple[np.ndarray, int], join: Join,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, sets = held.value, Shingles(join.words)
         for batch in text_slices(batches, text, SLICE_BYTES):
-            tokens, bounds = sets.sets(batch.column(1))
+            tokens, checks, bounds = sets.checked_sets(batch.column(1))
             slot = (tokens >> np.uint64(64 - slots)).astype(np.int64)
             kinds = table[slot >> 2] >> (2 * (slot & 3)).astype(np.uint8) & 3
             n = np.diff(bounds)
-            sums = [np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (tokens, scramble(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]
-            ids = scramble(scramble(sums[0][bounds[1:]] - sums[0][bounds[:-1]]) + (sums[1][bounds[1:]] - sums[1][bounds[:-1]])) ^ n.astype(np.uint64)
+            ids, second = set_ids(tokens, bounds), set_ids(checks, bounds)
             unmatched, scarce = (np.diff(np.concatenate([[0], np.cumsum(kinds < k)])[bounds]) for k in (1, 2))
             first = n - join.needed(n) + 1
             possible = (n > 1) & (unmatched < first)
@@ -194,16 +214,32 @@ def document_sets(docs: DataFrame, classes: tuple[np.ndarray, int], join: Join,
                 a, b = np.triu_indices(len(chosen), 1)
                 more["combined"][i] = scramble(scramble(chosen[a]) + chosen[b]).view(np.int64)
                 more["parity"][i] = np.packbits(np.bincount((own % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) % 2 == 1).view(np.int64)
-                more["tokens"][i] = own.tobytes()
+                more["tokens"][i] = own.tobytes() + checks[bounds[i] : bounds[i + 1]].tobytes()
             kinds_of = {"wide": pa.bool_(), "tokens": pa.binary()}
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(pa.int64()), pa.array(ids.view(np.int64)), pa.array(n), pa.array(possible), pa.array(unmatched), pa.array(scarce),
+                batch.column(0).cast(pa.int64()), pa.array(ids.view(np.int64)), pa.array(second.view(np.int64)), pa.array(n), pa.array(possible), pa.array(unmatched), pa.array(scarce),
                 *(pa.array(v, kinds_of.get(c, pa.list_(pa.int64()))) for c, v in more.items()),
             ], names=[c.split()[0] for c in SET_SCHEMA.split(", ")])
 
     return docs.select(key, text).mapInArrow(run, SET_SCHEMA)
 
 
+def set_ids(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each set of tokens, by two sums over its members and their number."""
+    sums = [np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (tokens, scramble(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]
+    one, two = (x[bounds[1:]] - x[bounds[:-1]] for x in sums)
+    return scramble(scramble(one) + two) ^ np.diff(bounds).astype(np.uint64)
+
+
+def apart(sets: DataFrame) -> DataFrame:
+    """The sets with different ids wherever ``set_id`` and ``set_check`` together differ: equal ids stand for equal 128 bits."""
+    clashes = sets.groupBy("set_id").agg(F.min("set_check").alias("low"), F.max("set_check").alias("high")).filter("low != high").select("set_id")
+    if clashes.isEmpty():
+        return sets
+    marked = sets.join(clashes.withColumn("clash", F.lit(True)), "set_id", "left")
+    return store(marked.withColumn("set_id", F.when(F.col("clash"), F.xxhash64("set_id", "set_check")).otherwise(F.col("set_id"))).drop("clash"), "jaccard-sets-apart")
+
+
 def reachable(join: Join, without: str) -> Column:
     """Whether two sets can reach the threshold, by two exact bounds.
 
@@ -261,7 +297,7 @@ def _divided(members: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs whose sets reach the threshold: 100 * intersection >= percent * union."""
+    """The pairs whose sets reach the threshold: 100 * intersection >= percent * union; shingles are shared if 128 bits agree."""
     own = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("x"))
     other = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("y"))
 
@@ -270,8 +306,9 @@ def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             x, y = (batch.column(i) for i in (2, 3))
             good = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
-                p, q = np.frombuffer(x[i].as_py(), np.uint64), np.frombuffer(y[i].as_py(), np.uint64)
-                shared = len(np.intersect1d(p, q, assume_unique=True))
+                (p, p2), (q, q2) = (np.frombuffer(side[i].as_py(), np.uint64).reshape(2, -1) for side in (x, y))
+                _, at, to = np.intersect1d(p, q, assume_unique=True, return_indices=True)
+                shared = int((p2[at] == q2[to]).sum())
                 good[i] = 100 * shared >= join.percent * (len(p) + len(q) - shared)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
@@ -280,13 +317,13 @@ def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 
 
 def group_documents(docs: DataFrame, join: Join = Join(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row.
+    """doc_id, n_shingles, component_id of every row, for a threshold above 50 percent (others are refused).
 
     component_id is the smallest doc_id that links reach, the own one included. A text without words (also null) has no shingle and links with
     nothing. Equal sets are one set; rows repeated whole have the same answer. A row without id can link others but
     never names a group with an id. An empty table gives no rows; other columns are not read.
     """
-    sets = store(document_sets(docs, token_classes(docs, text, join), join, text, key), "jaccard-sets")
+    sets = apart(store(document_sets(docs, token_classes(docs, text, join.checked()), join, text, key), "jaccard-sets"))
     open_sets = store(_once(sets), "jaccard-open")
     groups = components(links(open_sets, join)).select(F.col("node").alias("set_id"), "component")
     own = sets.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))

@@ -39,8 +39,8 @@ class PieceEncoder:
 
     The tokenizer of ``word_bpe_49k.json`` splits a lower-cased text into contractions, letter runs, single digits and
     runs of other characters and encodes every piece alone. Texts of ASCII and accented Latin-1 letters
-    are split here with array operations; a piece (by a 64-bit hash) is handed to the tokenizer when first seen.
-    Texts with other characters or with the marker of a special token go to the tokenizer whole.
+    are split here with array operations; a piece is found by a hash, its bytes are compared, and it is handed to the tokenizer when first seen.
+    Texts with other characters, with the marker of a special token or with a piece whose hash belongs to another go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -62,18 +62,24 @@ class PieceEncoder:
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        self.bytes = np.zeros(0, np.uint8)
+        self.byte_starts = np.zeros(0, np.int64)
+        self.byte_lengths = np.zeros(0, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (one more entry than texts)."""
         data, offsets = utf8(texts)
         plain = self._plain(data, offsets)
         if plain.all():
-            return self._encode_plain(data, offsets)
+            ids, bounds, unlike = self._encode_plain(data, offsets)
+            if not len(unlike):
+                return ids, bounds
+            plain[unlike] = False
         rows = np.flatnonzero(plain)
-        chosen = texts.take(pa.array(rows))
-        ids, bounds = self._encode_plain(*utf8(chosen))
+        ids, bounds, unlike = self._encode_plain(*utf8(texts.take(pa.array(rows))))
+        plain[rows[unlike]] = False
         each: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
-        for k, row in enumerate(rows):
+        for k, row in enumerate(rows.tolist()):
             each[row] = ids[bounds[k] : bounds[k + 1]]
         for row in np.flatnonzero(~plain):
             found = self.tokenizer.encode(texts[int(row)].as_py() or "", add_special_tokens=False).ids
@@ -92,10 +98,11 @@ class PieceEncoder:
         count = np.concatenate([[0], np.cumsum(odd)])
         return count[offsets[1:]] == count[offsets[:-1]]
 
-    def _encode_plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, where each text's begin, and the texts whose ids are wrong because a piece of theirs is unlike the one remembered."""
         begins, stops, low = split_pieces(data, offsets)
         if not len(begins):
-            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
         keys = self.hashes.of(low, begins, stops)
         distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.keys) + len(distinct) > CACHED_PIECES:
@@ -112,7 +119,20 @@ class PieceEncoder:
         total = int(ends[-1])
         ids = self.flat[np.repeat(self.starts[slot] - (ends - lengths), lengths) + np.arange(total)]
         pieces_before = np.searchsorted(begins, offsets)
-        return ids, np.concatenate([[0], ends])[pieces_before]
+        unlike = np.unique(np.searchsorted(offsets, begins[self._unlike(low, begins, stops, slot)], side="right") - 1)
+        return ids, np.concatenate([[0], ends])[pieces_before], unlike
+
+    def _unlike(self, low: np.ndarray, begins: np.ndarray, stops: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Pieces that are not the remembered bytes of their slot."""
+        lengths = stops - begins
+        wrong = lengths != self.byte_lengths[slot]
+        same = np.flatnonzero(~wrong)
+        sizes = lengths[same]
+        within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        differ = low[within + np.repeat(begins[same], sizes)] != self.bytes[within + np.repeat(self.byte_starts[slot[same]], sizes)]
+        if differ.any():
+            wrong[same[np.repeat(np.arange(len(same)), sizes)[differ]]] = True
+        return np.flatnonzero(wrong)
 
     def _learn(self, keys: np.ndarray, low: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> None:
         raw = low.tobytes()
@@ -123,6 +143,10 @@ class PieceEncoder:
         if len(stop) != len(pieces):
             raise ValueError("the tokenizer does not end every piece with a word-end token")
         begin = np.concatenate([[0], stop[:-1]])
+        sizes = stops - begins
+        self.byte_starts = np.concatenate([self.byte_starts, len(self.bytes) + np.cumsum(sizes) - sizes])
+        self.byte_lengths = np.concatenate([self.byte_lengths, sizes])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer("".join(pieces).encode(), np.uint8)])
         slots = np.arange(len(keys)) + len(self.starts)
         self.starts = np.concatenate([self.starts, begin + len(self.flat)])
         self.lengths = np.concatenate([self.lengths, stop - begin])

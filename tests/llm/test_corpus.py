@@ -304,3 +304,29 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_runs(spark, name):
     assert queries.QUERIES[name](spark, SMALL).count() > 0
+
+
+def twin_words(doublings):
+    """Two words of which each half is followed by itself with a and b swapped: equal for every polynomial modulo a power of two."""
+    word = "a"
+    for _ in range(doublings):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_only_look_alike_share_no_shingle(docs_of):
+    rows = [f"u v {w}" for d in (10, 11, 12) for w in twin_words(d)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.group_documents(docs_of(rows)).collect()}
+    assert got == {i: (1, i) for i in range(len(rows))}
+
+
+def test_sets_whose_ids_clash_stay_apart(spark):
+    sets = spark.createDataFrame([(1, 7, 1), (2, 7, 2), (3, 7, 1), (4, 8, 5)], "doc_id long, set_id long, set_check long")
+    ids = {r.doc_id: r.set_id for r in jaccard.apart(sets).collect()}
+    assert ids[1] == ids[3] != ids[2] and ids[4] == 8
+    assert jaccard.apart(sets.filter("doc_id > 2")).count() == 2
+
+
+def test_low_thresholds_are_refused(docs_of):
+    with pytest.raises(ValueError):
+        jaccard.group_documents(docs_of(["a b c", "a b c d"]), jaccard.Join(percent=50))

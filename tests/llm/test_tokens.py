@@ -9,7 +9,7 @@ import pytest
 from corpus_cases import path_of
 from tokenizers import Tokenizer
 
-from eventloom.llm import attribution, binary, packing, tokens
+from eventloom.llm import attribution, binary, common, packing, tokens
 
 BPE = path_of("word_bpe_49k.json")
 
@@ -76,9 +76,10 @@ def test_coded_ranks_round_trip(ranks):
     assert len(control) == -(-len(ranks) // 4)
 
 
-@pytest.mark.parametrize("shuffled", [False, True])
-def test_coded_files_round_trip_in_key_order(spark, awkward, plain, monkeypatch, shuffled):
+@pytest.mark.parametrize("shuffled,rows_held", [(False, 1_000_000), (True, 1_000_000), (False, 0)])
+def test_coded_files_round_trip_in_key_order(spark, awkward, plain, monkeypatch, shuffled, rows_held):
     monkeypatch.setattr(binary, "BLOCK_IDS", 100)
+    monkeypatch.setattr(common, "LOOKUP_ROWS", rows_held)  # 0: the table of parts is joined by a shuffle
     rows = list(enumerate(awkward))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     df = df.repartition(5) if shuffled else df.coalesce(2)
@@ -135,6 +136,16 @@ def test_line_counts(docs_of, awkward):
         assert [(r.end - r.start, r.n_tokens) for r in own] == plain_lines(text or "", encoder)
 
 
+def test_odd_sections_are_clipped_or_left_out(spark):
+    rows = [(1, "one two three", [(0, 3), (4, 99)]), (2, "one two", [(None, 3), None, (4, 7)]), (3, None, [(0, 5)]), (4, "one", [(50, 60)])]
+    import public_tokenizers
+
+    df = spark.createDataFrame(rows, "doc_id long, text string, parts array<struct<start: int, end: int>>")
+    got = attribution.section_counts(df, path_of("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, sections="parts").collect()
+    bounds = {(r.doc_id, r.section): (r.start, r.end, r.n_tokens) for r in got}
+    assert bounds[1, 0] == (0, 3, 1) and bounds[1, 1][:2] == (4, 13) and bounds[2, 0][:2] == (4, 7) and bounds[3, 0] == (0, 0, 0) and bounds[4, 0] == (3, 3, 0)
+
+
 def test_fields_and_tokens_outside(spark):
     import public_tokenizers
 
@@ -164,3 +175,22 @@ def test_ranks_file_is_read_as_text():
     with open(path_of("byte_bpe_50k.tiktoken"), "rb") as file:
         token, rank = file.readline().split()
     assert encoding().sizes[int(rank)] == len(base64.b64decode(token))
+
+
+def test_pieces_that_only_look_alike_keep_their_own_ids(monkeypatch):
+    halves = "a"
+    for _ in range(12):
+        halves += halves.translate(str.maketrans("ab", "ba"))
+    words = [halves, halves.translate(str.maketrans("ab", "ba")), halves[:1024], halves[1024:2048]]
+    encoder = tokens.PieceEncoder(BPE)
+    whole = [encoder.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    ids, bounds = encoder.encode(pa.array(words))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == whole
+    # every hash the same for pieces of one length: the bytes still decide
+    monkeypatch.setattr(common.RangeHash, "of", lambda self, data, begins, stops, part=0: (stops - begins).astype(np.uint64))
+    encoder = tokens.PieceEncoder(BPE)
+    texts = ["one two six ten", "red and blue", "é über", None, "", "now then", "字 one"]
+    whole = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        ids, bounds = encoder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == whole
