@@ -18,13 +18,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "entropy")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
-WINDOW = 24
-LIMITS = {"hex": 3.0, "base32": 3.6, "base64": 4.0}
-"""Bits per character that a window of ``WINDOW`` characters must reach, by the smallest class that holds the candidate."""
-CLASSES = (("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+")), ("base32", re.compile(r"[A-Z2-7=]+")), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+")))
+SHORT, WINDOW = 16, 24
+"""Characters of a window: 24, and 16 in strings of 16 to 23 characters."""
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORT},}}")
+LIMITS = {"hex": 3.0, "base32": 3.6, "base36": 3.75, "base64": 4.0}
+"""Bits per character that a window of 24 characters must reach, by the smallest class that holds the candidate."""
+SHORT_LIMITS = {"hex": 3.0, "base32": 3.3, "base36": 3.4, "base64": 3.5}
+"""The same for windows of 16 characters. Short strings must also mix lower case, upper case and digits, or letters with several digits,
+or change the case more often than words do."""
+MIXED = re.compile(r"(?=[^a-z]*[a-z])(?=[^A-Z]*[A-Z])(?=[^0-9]*[0-9])|(?=(?:[^A-Za-z]*[A-Za-z]){4})(?=(?:[^0-9]*[0-9]){2})|[A-Za-z]+$")
+CLASSES = (("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+")), ("base32", re.compile(r"[A-Z2-7=]+")), ("base36", re.compile(r"[a-z0-9]+|[A-Z0-9]+")), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+")))
 ALLOWED = (
-    re.compile(r"[A-Za-z]+"),  # one long word
     re.compile(r"[0-9]+([-/_][0-9]+)*"),  # numbers and dates
     re.compile(r"(.)\1*"),
     re.compile(r"[-=_+/]+"),
@@ -46,8 +50,8 @@ def base_spans(text: str) -> list[Span]:
     return found + [(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
 
 
-def limit_of(word: str) -> float:
-    return LIMITS[next(name for name, form in CLASSES if form.fullmatch(word))]
+def limit_of(word: str, limits: dict[str, float] = LIMITS) -> float:
+    return limits[next(name for name, form in CLASSES if form.fullmatch(word))]
 
 
 def is_name(word: str) -> bool:
@@ -66,21 +70,58 @@ def is_name(word: str) -> bool:
     return 2 * mixed <= len(word)
 
 
+def is_word(word: str) -> bool:
+    """Whether letters alone look like words: the case changes at most once in four letters, as in CamelCase, not as in a key."""
+    if not (word.isascii() and word.isalpha()):
+        return False
+    changes = sum(a.isupper() != b.isupper() for a, b in zip(word, word[1:]))
+    return 4 * changes <= len(word)
+
+
+def free_parts(start: int, stop: int, taken: list[Span], at: int) -> tuple[list[tuple[int, int]], int]:
+    """What of [start, stop) no base span covers, and the first base span that ends behind ``start``; ``taken`` is disjoint and sorted."""
+    while at < len(taken) and taken[at][2] <= start:
+        at += 1
+    parts, k = [], at
+    while k < len(taken) and taken[k][0] < stop:
+        if start < taken[k][0]:
+            parts.append((start, taken[k][0]))
+        start = max(start, taken[k][2])
+        k += 1
+    return (parts + [(start, stop)] if start < stop else parts), at
+
+
 def entropy_spans(text: str, taken: list[Span]) -> list[Span]:
-    """Stretches of candidate strings whose windows all reach the limit of their class and that no base span touches."""
-    found = []
+    """Stretches of candidate strings, without what base spans cover, whose windows all reach the limit of their class."""
+    found, at = [], 0
+    taken = merged(taken)
     for m in CANDIDATE.finditer(text):
-        word = m.group()
-        if any(a.fullmatch(word) for a in ALLOWED) or is_name(word):
-            continue
-        limit = limit_of(word)
-        for begin, end in dense_stretches(word, limit):
-            start, stop = m.start() + begin, m.start() + end
-            if not any(a < stop and start < b for a, _, b in taken):
-                found.append((start, "entropy", stop))
+        parts, at = free_parts(m.start(), m.end(), taken, at)
+        for start, stop in parts:
+            word = text[start:stop]
+            if len(word) < SHORT or any(a.fullmatch(word) for a in ALLOWED) or is_word(word) or is_name(word):
+                continue
+            if len(word) >= WINDOW:
+                stretches = dense_stretches(word, limit_of(word))
+            elif MIXED.match(word):
+                stretches = dense_stretches(word, limit_of(word, SHORT_LIMITS), SHORT)
+            else:
+                continue
+            found += [(start + begin, "entropy", start + end) for begin, end in stretches]
     return found
 
 
+def merged(spans: list[Span]) -> list[Span]:
+    """Disjoint spans that cover the same characters, in order."""
+    out: list[Span] = []
+    for start, kind, end in sorted(spans, key=lambda s: (s[0], s[2])):
+        if out and start < out[-1][2]:
+            out[-1] = (out[-1][0], kind, max(end, out[-1][2]))
+        else:
+            out.append((start, kind, end))
+    return out
+
+
 def dense_stretches(word: str, limit: float, window: int = WINDOW) -> Iterator[tuple[int, int]]:
     """Unions of overlapping windows with at least ``limit`` bits per character.
 
@@ -160,11 +201,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", length:
 
 def redacted(text: str, mark: str) -> str:
     parts, at = [], 0
-    spans = find_spans(text)[1]
-    while spans:
-        start, _, end = spans.pop(0)
-        while spans and spans[0][0] < end:
-            end = max(end, spans.pop(0)[2])
+    for start, _, end in merged(find_spans(text)[1]):
         parts += [text[at:start], mark]
         at = end
     return "".join([*parts, text[at:]])
