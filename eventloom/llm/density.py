@@ -23,17 +23,18 @@ TOKENS = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>|<[!?/][^>]*+>|<[a-z/!?][^<>]*+\Z",
     re.S | re.I,
 )
-NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+CONTROL = re.compile(r"<(?:input|select|textarea|button)(?=[\s/>])|(?P<last></label\s*+>)", re.I)
 
 # fixed values: element names of HTML
-CUT = frozenset("template noscript svg math select object canvas head".split())
+CUT = frozenset("template noscript svg math select object canvas head title".split())
 BLOCKS = frozenset(
     "body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption "
     "address details summary fieldset form nav header footer aside menu dialog center hr html hgroup".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("nav footer aside form menu dialog button label fieldset input".split())
+DROPPED = frozenset("nav footer aside menu dialog button fieldset input".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 KEEPS_HEADER = frozenset(("article", "main"))
 FLOW = "|".join(sorted(BLOCKS, key=len, reverse=True))
@@ -53,29 +54,40 @@ COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def furniture(tag: str, attrs: str, within: list[str]) -> bool:
-    """Whether an element is a menu, header, footer, sidebar or form by its tag, or hidden."""
+def attributes(raw: str) -> dict[str, str]:
+    """Names and values of a start tag, both in lower case; of repeated names the first counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(raw) if not raw.isspace() else ():
+        found.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    return found
+
+
+def furniture(tag: str, attrs: dict[str, str], within: list[str]) -> bool:
+    """Whether an element is a menu, header, footer or sidebar by its tag, or hidden."""
     if tag in DROPPED or (tag == "header" and not KEEPS_HEADER.intersection(within)):
         return True
-    if "=" not in attrs and "hidden" not in attrs:
-        return False
-    return HIDDEN.search(attrs) is not None
+    return bool(attrs) and ("hidden" in attrs or attrs.get("aria-hidden") == "true" or NO_DISPLAY.search(attrs.get("style", "")) is not None)
 
 
-def furniture_names(attrs: str) -> frozenset[str]:
+def furniture_names(attrs: dict[str, str]) -> frozenset[str]:
     """Furniture words of those class tokens, ids and roles that consist of nothing else (``sidebar``, ``ad-banner``; not ``has-sidebar``)."""
     found: set[str] = set()
-    if "=" in attrs:
-        for m in NAMES.findall(attrs):
-            for token in "".join(m).lower().split():
-                parts = set(SPLIT.split(token)) - {""}
-                if FURNITURE.issuperset(parts):
-                    found |= parts
+    for name in ("class", "id", "role"):
+        for token in attrs.get(name, "").split():
+            parts = set(SPLIT.split(token)) - {""}
+            if FURNITURE.issuperset(parts):
+                found |= parts
     return frozenset(found)
 
 
-def of_comment(attrs: str) -> bool:
-    return any(COMMENTS.intersection(SPLIT.split("".join(m).lower())) for m in NAMES.findall(attrs))
+def of_comment(attrs: dict[str, str]) -> bool:
+    return any(COMMENTS.intersection(SPLIT.split(attrs.get(name, ""))) for name in ("class", "id", "role"))
+
+
+def labels_control(source: str, at: int, attrs: dict[str, str]) -> bool:
+    """Whether the label that opens at ``at`` belongs to a form control; other labels are running text."""
+    found = None if "for" in attrs else CONTROL.search(source, at)
+    return "for" in attrs or (found is not None and not found["last"])
 
 
 class Page:
@@ -88,7 +100,7 @@ class Page:
         self.runs: list[tuple[int, int, str]] = []  # node, block, text
         self.headed, self.unclosed = False, set()  # a head was read; elements of which no end tag is ahead
         self._read(source)
-        if any(self.names):
+        if any(self.names) or "form" in self.tags:
             self._skip_named()
 
     def _read(self, source: str) -> None:
@@ -126,7 +138,8 @@ class Page:
             if tag in VOID:
                 self.marks[node] += 1
                 continue
-            attrs = token["attrs"]
+            raw = token["attrs"]
+            attrs = attributes(raw) if raw else {}
             is_block = tag in BLOCKS
             if is_block:
                 link = False
@@ -135,9 +148,9 @@ class Page:
                 while len(open_nodes) > 1 and self.tags[open_nodes[-1]] in closed:
                     open_nodes.pop()
                 node = open_nodes[-1]
-            drop = furniture(tag, attrs, [self.tags[i] for i in open_nodes] if tag == "header" else [])
+            drop = furniture(tag, attrs, [self.tags[i] for i in open_nodes] if tag == "header" else []) or (tag == "label" and labels_control(source, at, attrs))
             names = frozenset() if drop or tag in KEEPS_HEADER else furniture_names(attrs)
-            if is_block or ((drop or names) and not attrs.endswith("/")):
+            if is_block or ((drop or names) and not raw.endswith("/")):
                 open_nodes.append(len(self.tags))
                 self.tags.append(tag)
                 self.parents.append(node)
@@ -159,10 +172,11 @@ class Page:
             self._text(open_nodes[-1], block, source[at:], link)
 
     def _skip_named(self) -> None:
-        """Skip what is furniture by name: adverts, sidebars, notices, comment sections.
+        """Skip what is furniture by name: adverts, sidebars, notices, comment sections; and forms.
 
         A name that stands for most of the text is none (one of comments in an article only if nothing else is left there). The text is that of
-        articles and main or, without any, of the page. An element that holds an article or main is not skipped for its name.
+        articles and main or, without any, of the page. An element that holds an article or main is not skipped for its name, and a form
+        that holds one, or most of the text, is a wrapper.
         """
         inside = self.main[:]
         for i in range(1, len(self.tags)):
@@ -180,11 +194,13 @@ class Page:
                 for name in above[i]:
                     held[name] += texts[i]
         cut = {name for name, n in held.items() if (n < total if articles and name in COMMENTS else 2 * n <= total)}
-        holds = self.main[:]
+        holds, below = self.main[:], texts[:]
         for i in range(len(self.tags) - 1, 0, -1):
             holds[self.parents[i]] |= holds[i]
+            below[self.parents[i]] += below[i]
         for i in range(1, len(self.tags)):
-            self.skipped[i] |= self.skipped[self.parents[i]] or (not holds[i] and not cut.isdisjoint(self.names[i]))
+            named = not cut.isdisjoint(self.names[i]) or (self.tags[i] == "form" and 2 * below[i] <= total)
+            self.skipped[i] |= self.skipped[self.parents[i]] or (not holds[i] and named)
 
     def _behind(self, tag: str, source: str, at: int, attrs: str) -> int:
         """Where the page goes on after the start tag that ends at ``at``, of an element that is cut whole.
