@@ -82,7 +82,8 @@ def section_counts(docs: DataFrame, ranks_path: str, pattern: str, rule: str = "
 
     ``sections`` is a column of ordered, disjoint (start, end) structs in code points; without it the lines are
     the sections, each with its line feed, and an empty or null text has one empty line. Tokens in no section come as section -1, in a row of
-    their own with null bounds when there are any, so the counts of a document always sum to its tokens. A null list has no section.
+    their own with null bounds when there are any, so the counts of a document always sum to its tokens. A null list has no section; a section
+    without a bound is left out, bounds are clipped to the text.
     Null keys and repeated rows stay; an empty table gives no rows. Other columns are not read.
     """
     if rule not in RULES:
@@ -104,7 +105,8 @@ def section_counts(docs: DataFrame, ranks_path: str, pattern: str, rule: str = "
                     chars = np.concatenate([[0], np.cumsum(lead)])[edges]
                     low, high = chars[:-1], chars[1:]
                 else:
-                    low, high = (np.array([s[k] for s in own or []], np.int64) for k in ("start", "end"))
+                    low, high = (np.clip(np.array([s[k] for s in own or [] if s and s["start"] is not None and s["end"] is not None], np.int64), 0, len(body)) for k in ("start", "end"))
+                    high = np.maximum(low, high)
                     places = np.append(np.flatnonzero(lead), len(raw))
                     starts, stops = places[low], places[high]
                 tokens, crossing, outside = allocate(encoder.ends(body), starts, stops, rule)

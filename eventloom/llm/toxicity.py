@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import text_slices
@@ -53,16 +53,18 @@ def grams(text: str, words: Words) -> np.ndarray:
     return (every ^ every >> np.uint32(15)) * np.uint32(0x2C1B3C6D) >> np.uint32(32 - BITS)
 
 
-def fit_stream(rows: Iterator[tuple[str, int]], options: Ftrl) -> tuple[np.ndarray, float]:
-    """Weights and bias after some passes; the features of all rows are kept between them. Each coordinate has its own rate; those whose sum of gradients stays within L1 are exactly 0."""
-    z, n, words = np.zeros(1 << BITS), np.zeros(1 << BITS), Words()
+def fit(kept: list[tuple[np.ndarray, int]], options: Ftrl) -> tuple[np.ndarray, float]:
+    """Weights and bias after some passes over rows of (distinct features, label).
+
+    Each coordinate has its own rate; those whose sum of gradients stays within L1 are exactly 0.
+    """
+    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias_z = bias_n = bias = 0.0
 
     def weights(at) -> np.ndarray:
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - options.l1, 0.0)
         return -shrunk / ((options.beta + np.sqrt(n[at])) / options.alpha + options.l2)
 
-    kept = [(np.unique(grams(text, words)), label) for text, label in rows]
     for at, label in kept * options.passes:
         w = weights(at)
         p = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -30, 30)))
@@ -87,21 +89,17 @@ def train(docs: DataFrame, labels: DataFrame, chosen: Column, label: str = "toxi
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
     shard = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(options.shards)).cast("int")
-    dealt = own.withColumn("shard", shard).repartition(options.shards, "shard").sortWithinPartitions("shard", F.xxhash64("doc_id"), "doc_id", "label", "text")
+    dealt = own.withColumn("shard", shard).repartition(options.shards, F.get(F.lit(partition_keys(docs.sparkSession, options.shards)), "shard"))
+    dealt = dealt.sortWithinPartitions("shard", F.xxhash64("doc_id"), "doc_id", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(group: int) -> Iterator[tuple[str, int]]:
-            for batch in held[group]:
-                for body, mark in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                    yield body or "", mark
-
-        held: dict[int, list[pa.RecordBatch]] = {}
-        for batch in batches:
-            groups = batch.column(3).to_numpy()
-            for group in np.unique(groups).tolist():
-                held.setdefault(group, []).append(batch.filter(pa.array(groups == group)))
+        held: dict[int, list[tuple[np.ndarray, int]]] = {}
+        words = Words()
+        for batch in text_slices(batches, "text"):  # only features are kept, 4 bytes each, not texts
+            for body, mark, group in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3))):
+                held.setdefault(group, []).append((np.unique(grams(body or "", words)).astype(np.int32), mark))
         for group in held:
-            weights, bias = fit_stream(rows(group), options)
+            weights, bias = fit(held[group], options)
             at = np.flatnonzero(weights)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(weights[at], bias))], names=["at", "weight"])
 
@@ -113,6 +111,12 @@ def train(docs: DataFrame, labels: DataFrame, chosen: Column, label: str = "toxi
     return mean.index.to_numpy(np.int64), mean.to_numpy(np.float64), bias
 
 
+def partition_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of n partitions a number that a hash exchange of n partitions deals there, so that no two shards share a task."""
+    dealt = spark.range(32 * n + 32).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("to")).groupBy("to").agg(F.min("id").alias("key"))
+    return [row.key for row in dealt.orderBy("to").collect()]  # n rows
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id and score (chance of label 1) of every whole text. A null text is empty: only the bias counts; other columns are not read."""
     held = docs.sparkSession.sparkContext.broadcast(model)
