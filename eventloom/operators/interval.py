@@ -1,8 +1,9 @@
 """Interval overlap joins, catalogue cross-matching and box searches.
 
-Overlap has no equality condition of its own, so each interval is listed under the time cells
-it touches and the join runs on the cell. A pair is kept only in the first cell both sides
-share, so no later de-duplication is needed.
+Overlap has no equality condition of its own, so intervals are listed under time cells and the join runs on
+the cell. Cells form levels, each twice as wide as the one below; an interval lives on the level whose cells are not shorter than itself,
+where it touches two cells at most, and is also listed on the higher levels that the other side uses. A pair meets
+on the higher of its two levels and is kept only in the first cell both sides share, so no later de-duplication is needed.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.places import advance_centroid, distance
 from ..functions.times import cell_start, days_between, floor_time, micros, us
+from ..session import materialize
 from .asof import asof_join
 from .scan import neighbours
 
@@ -21,10 +23,11 @@ TIME_CELL = timedelta(days=1)
 
 
 def placed(*cols: str) -> Column:
-    """All coordinates are given; NaN counts as missing."""
+    """All coordinates are given; NaN and infinite ones count as missing."""
     found = F.lit(True)
     for c in cols:
-        found = found & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+        x = F.col(c).cast("double")
+        found = found & x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     return found
 
 
@@ -40,6 +43,41 @@ def _cells(start: Column, end: Column, width: timedelta) -> Column:
     return F.sequence(cell_start(low, width), cell_start(high, width), F.lit(us(width)))
 
 
+def cell_level(start: Column, end: Column, width: timedelta) -> Column:
+    """Level whose cells, ``width`` * 2^level wide, are not shorter than the interval."""
+    span = F.abs(micros(end) - micros(start))
+    return F.when(span > us(width), F.ceil(F.log2(span / us(width)))).otherwise(F.when(span.isNotNull(), 0)).cast("int")
+
+
+def _levels_of(df: DataFrame, span: tuple[str, str], width: timedelta) -> Column:
+    """The levels that a side uses (some forty at most), as an array."""
+    return df.select(cell_level(F.col(span[0]), F.col(span[1]), width).alias("level")).agg(F.collect_set("level").alias("levels")).scalar()
+
+
+def listed(df: DataFrame, span: tuple[str, str], width: timedelta, others: Column, left: bool, tag: str) -> DataFrame:
+    """Rows under their cells: columns role, level, cell and first (the first cell on that level), each with ``tag`` before it.
+
+    Role 0 meets on the right side's level, role 1 on the left side's where that is higher. A row has at most two cells on each level.
+    """
+    start, end = F.col(span[0]), F.col(span[1])
+    own = cell_level(start, end, width)
+    low, high = F.least(micros(start), micros(end)), F.greatest(micros(start), micros(end))
+    df, others = df.withColumn(f"{tag}others", others), F.col(f"{tag}others")
+    above = F.filter(others, lambda v: v >= own if left else v > own)
+    needed = F.exists(others, lambda v: v < own if left else v <= own)
+    up = F.transform(above, lambda v: F.struct(F.lit(0 if left else 1).alias("role"), v.alias("level")))
+    entries = F.concat(up, F.when(needed, F.array(F.struct(F.lit(1 if left else 0).alias("role"), own.alias("level")))).otherwise(F.slice(up, 1, 0)))
+    out = df.withColumns({f"{tag}low": low, f"{tag}high": high, f"{tag}at": F.explode(entries)})
+    size = F.lit(us(width)) * F.call_function("shiftleft", F.lit(1).cast("long"), F.col(f"{tag}at.level"))
+
+    def cell(t: str) -> Column:
+        return F.col(t) - F.pmod(F.col(t), size)
+
+    cells = F.sequence(cell(f"{tag}low"), cell(f"{tag}high"), size)
+    out = out.withColumns({f"{tag}role": F.col(f"{tag}at.role"), f"{tag}level": F.col(f"{tag}at.level"), f"{tag}first": cell(f"{tag}low"), f"{tag}cell": F.explode(cells)})
+    return out.drop(f"{tag}low", f"{tag}high", f"{tag}at", f"{tag}others")
+
+
 def overlap_pairs(
     left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str],
     eq: list[tuple[str, str]] = (), closed: str = "none", width: timedelta = TIME_CELL,
@@ -49,16 +87,14 @@ def overlap_pairs(
     Column names of the two sides must differ. The result is meant to be reduced at once by
     an aggregate per left row, so pairs are combined in the join task and never shuffled.
     """
-    l = left.withColumn("__lc", _cells(F.col(left_span[0]), F.col(left_span[1]), width))
-    r = right.withColumn("__rc", _cells(F.col(right_span[0]), F.col(right_span[1]), width))
-    l = l.withColumn("__lf", F.col("__lc")[0]).withColumn("__lcell", F.explode("__lc")).drop("__lc")
-    r = r.withColumn("__rf", F.col("__rc")[0]).withColumn("__rcell", F.explode("__rc")).drop("__rc")
-    on = F.col("__lcell") == F.col("__rcell")
+    l = listed(left, left_span, width, _levels_of(right, right_span, width), True, "__l")
+    r = listed(right, right_span, width, _levels_of(left, left_span, width), False, "__r")
+    on = (F.col("__lcell") == F.col("__rcell")) & (F.col("__llevel") == F.col("__rlevel")) & (F.col("__lrole") == F.col("__rrole"))
     for a, b in eq:
         on = on & (F.col(a) == F.col(b))
-    first_shared = F.col("__lcell") == F.greatest("__lf", "__rf")
+    first_shared = F.col("__lcell") == F.greatest("__lfirst", "__rfirst")
     hit = overlaps(F.col(right_span[0]), F.col(right_span[1]), F.col(left_span[0]), F.col(left_span[1]), closed)
-    return l.join(r, on & first_shared & hit).drop("__lf", "__rf", "__lcell", "__rcell")
+    return l.join(r, on & first_shared & hit).drop(*[f"__{side}{c}" for side in "lr" for c in ("role", "level", "cell", "first")])
 
 
 EVENT = ["id", "start_time", "end_time", "goes_class", "x", "y", "ar"]
@@ -75,7 +111,7 @@ def overlap_candidates(
 
     Both sides have the columns id, start_time, end_time, goes_class, x, y, ar. With ``radius`` only located events are
     searched, and only in the space cells of that size around them: every candidate up to that distance is
-    found, farther ones only by chance.
+    found, farther ones only by chance. NaN counts as a missing coordinate, on both sides.
     """
     eq = [("goes_class", "r_goes_class")] if eq_class else []
     l, r = left.select("id", "start_time", "end_time", "goes_class", "x", "y"), _as_right(right)
@@ -84,10 +120,10 @@ def overlap_candidates(
         l = l.where(placed("x", "y"))
         l = l.withColumn("__sx", F.explode(F.transform(steps, lambda d: F.floor(F.col("x") / radius) + d)))
         l = l.withColumn("__sy", F.explode(F.transform(steps, lambda d: F.floor(F.col("y") / radius) + d)))
-        r = r.withColumns({"__rx": F.floor(F.col("r_x") / radius), "__ry": F.floor(F.col("r_y") / radius)})
+        r = r.where(placed("r_x", "r_y")).withColumns({"__rx": F.floor(F.col("r_x") / radius), "__ry": F.floor(F.col("r_y") / radius)})
         eq = [*eq, ("__sx", "__rx"), ("__sy", "__ry")]
     pairs = overlap_pairs(l, r, ("start_time", "end_time"), ("r_start_time", "r_end_time"), eq, closed)
-    gap = distance(F.col("r_x"), F.col("r_y"), F.col("x"), F.col("y"))
+    gap = F.when(placed("x", "y", "r_x", "r_y"), distance(F.col("r_x"), F.col("r_y"), F.col("x"), F.col("y")))
     located = placed("x", "y")
     return pairs.select(
         "id", located.alias("located"), gap.alias("dist"),
@@ -131,7 +167,7 @@ def match_overlap_nearest(
         F.nullif(F.col("m.dist"), F.lit(float("inf"))).alias("dist"),
         F.col("m.x").alias("match_x"), F.col("m.y").alias("match_y"), F.col("m.ar").alias("match_ar"),
     )
-    unlocated = left.where(F.col("x").isNull() | F.col("y").isNull())
+    unlocated = left.where(~placed("x", "y"))
     many = overlap_candidates(unlocated, right, eq_class, closed).select(
         "id", "located", F.col("c_id").alias("match_id"), "dist", F.col("c_x").alias("match_x"),
         F.col("c_y").alias("match_y"), F.col("c_ar").alias("match_ar"),
@@ -142,7 +178,7 @@ def match_overlap_nearest(
 def min_distance_overlap(
     left: DataFrame, right: DataFrame, out: str, eq_class: bool = True, closed: str = "left", radius: float | None = None
 ) -> DataFrame:
-    """Smallest distance to an overlapping right event, per left event that has one.
+    """Smallest distance to an overlapping right event, per left event that has one (NULL if none is located).
 
     ``radius`` works as in ``nearest_overlap``.
     """
@@ -151,9 +187,29 @@ def min_distance_overlap(
 
     if radius is None:
         return least(overlap_candidates(left, right, eq_class, closed))
-    close = least(overlap_candidates(left, right, eq_class, closed, radius)).where(F.col(out) <= radius)
-    rest = left.join(close, "id", "left_anti")
-    return close.unionByName(least(overlap_candidates(rest, right, eq_class, closed)))
+    found, rest = ring_search(left.where(placed("x", "y")), right, lambda near: least(near), out, radius, eq_class, closed)
+    return found.unionByName(least(overlap_candidates(rest.unionByName(left.where(~placed("x", "y"))), right, eq_class, closed)))
+
+
+def ring_search(left: DataFrame, right: DataFrame, reduce, gap: str, radius: float, eq_class: bool, closed: str, growth: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Answers of located left events, and the events without any located candidate.
+
+    Round by round the radius grows and only unanswered events go on. A round looks into the space cells around an event, which hold every
+    candidate up to the radius, so the best one found within it (column ``gap`` of ``reduce``) is the nearest of all. The last radius
+    reaches across all positions: what is left then overlaps no located event.
+    """
+    def extent(df: DataFrame) -> DataFrame:
+        return df.where(placed("x", "y")).agg(F.max(F.greatest(F.abs("x"), F.abs("y"))).alias("far"))
+
+    farthest = extent(left).unionByName(extent(right)).agg(F.coalesce(F.max("far"), F.lit(0.0))).first()[0]
+    rest, found = left, None
+    while True:
+        answers = materialize(reduce(overlap_candidates(rest, right, eq_class, closed, radius)).where(F.col(gap) <= radius), "ring-answers")
+        rest = materialize(rest.join(answers.select("id"), "id", "left_anti"), "ring-rest")
+        found = answers if found is None else found.unionByName(answers)
+        if radius >= 3 * farthest or rest.isEmpty():  # no two positions are farther apart than 2.83 times that
+            return found, rest
+        radius = min(radius * growth, max(3 * farthest, radius + 1))
 
 
 def nearest_overlap(
@@ -161,9 +217,8 @@ def nearest_overlap(
 ) -> DataFrame:
     """Closest overlapping event of each located left event: id and the struct ``m``.
 
-    In a crowded class or hour nearly every event has a close partner. With ``radius`` those are found first, among
-    neighbouring space cells only; a partner within the radius is the nearest of all. Events without one
-    are then searched among all that overlap, so the result does not depend on the radius.
+    With ``radius`` partners are searched by ``ring_search``, from that radius on; events that overlap unlocated events only get the
+    first of those. The result does not depend on the radius.
     """
     def nearest(candidates: DataFrame) -> DataFrame:
         far = F.coalesce(F.col("dist"), F.lit(float("inf")))
@@ -171,20 +226,54 @@ def nearest_overlap(
 
     if radius is None:
         return nearest(overlap_candidates(left, right, eq_class, closed))
-    close = nearest(overlap_candidates(left, right, eq_class, closed, radius)).where(F.col("m.dist") <= radius)
-    rest = left.where(placed("x", "y")).join(close, "id", "left_anti")
-    return close.unionByName(nearest(overlap_candidates(rest, right, eq_class, closed)))
+    found, rest = ring_search(left.where(placed("x", "y")), right, nearest, "m.dist", radius, eq_class, closed)
+    return found.unionByName(nearest(overlap_candidates(rest, right.where(~placed("x", "y")), eq_class, closed)))
+
+
+PAIR_SIDE = ("start_time", "id", "x", "y", "ar")
 
 
 def closest_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Per event, the candidate pair of two sources at the smallest squared distance."""
-    def side(df, name):
-        return df.select("id", F.struct(*[F.col(f"c_{c}").alias(c) for c in ("start_time", "id", "x", "y", "ar")]).alias(name))
-
-    pairs = side(a, "a").join(side(b, "b"), "id")
-    d2 = F.pow(F.col("a.x") - F.col("b.x"), F.lit(2.0)) + F.pow(F.col("a.y") - F.col("b.y"), F.lit(2.0))
-    best = pairs.groupBy("id").agg(F.min(F.struct(F.coalesce(d2, F.lit(float("inf"))).alias("d2"), "a", "b")).alias("p"))
-    return best.select("id", F.col("p.d2").alias("d2"), F.col("p.a").alias("a"), F.col("p.b").alias("b"))
+    """Per event, the candidate pair of two sources at the smallest squared distance (infinite without a located pair).
+
+    Two-colour closest pair over a pyramid of space cells. The finest cells hold about one candidate of an event; pairs
+    meet in neighbouring cells only, and a pair no farther apart than a cell is wide is the closest of all. Events without one go on with
+    cells twice as wide, until one cell spans all their candidates. Events with no located candidate on one side get the first of each.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("id", F.struct(*[F.col(f"c_{c}").alias(c) for c in PAIR_SIDE]).alias(name))
+
+    def located(df: DataFrame, name: str) -> DataFrame:
+        return df.where(placed(f"{name}.x", f"{name}.y")).withColumns({"px": F.col(f"{name}.x").cast("double"), "py": F.col(f"{name}.y").cast("double")})
+
+    a, b = side(a, "a"), side(b, "b")
+    one, other = materialize(located(a, "a"), "pair-a"), materialize(located(b, "b"), "pair-b")
+    both = one.select("id", "px", "py", F.lit(1).alias("of_a")).unionByName(other.select("id", "px", "py", F.lit(0).alias("of_a")))
+    spread = F.greatest(F.max("px") - F.min("px"), F.max("py") - F.min("py"))
+    shape = both.groupBy("id").agg(spread.alias("spread"), F.sum("of_a").alias("na"), F.sum(1 - F.col("of_a")).alias("nb")).where("na > 0 and nb > 0")
+    rest = materialize(shape.select("id", "spread", F.when(F.col("spread") > 0, F.col("spread") / F.sqrt(F.greatest("na", "nb"))).otherwise(1.0).alias("size")), "pair-sizes")
+    shapes, found = rest, None
+    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    while not rest.isEmpty():
+        pairs = cell_pairs(one.join(rest, "id"), other.join(rest.select("id", "size"), "id"), steps)
+        best = pairs.where(F.col("d2") <= F.col("size") * F.col("size")).groupBy("id").agg(F.min(F.struct("d2", "a", "b")).alias("p"))
+        answers = materialize(best.select("id", F.col("p.d2").alias("d2"), F.col("p.a").alias("a"), F.col("p.b").alias("b")), "pair-answers")
+        found = answers if found is None else found.unionByName(answers)
+        rest = materialize(rest.join(answers.select("id"), "id", "left_anti").withColumn("size", 2 * F.col("size")), "pair-rest")
+    first = a.join(shapes.select("id"), "id", "left_anti").groupBy("id").agg(F.min("a").alias("a")).join(b.groupBy("id").agg(F.min("b").alias("b")), "id")
+    first = first.select("id", F.lit(float("inf")).alias("d2"), "a", "b")
+    return first if found is None else found.unionByName(first)
+
+
+def cell_pairs(one: DataFrame, other: DataFrame, steps: Column) -> DataFrame:
+    """Pairs of each id in the same or neighbouring cells, with their squared distance."""
+    def cell(c: str) -> Column:
+        return F.floor(F.col(c) / F.col("size"))
+
+    near = one.withColumn("cx", F.explode(F.transform(steps, lambda d: cell("px") + d))).withColumn("cy", F.explode(F.transform(steps, lambda d: cell("py") + d)))
+    own = other.select("id", "b", F.col("px").alias("qx"), F.col("py").alias("qy"), cell("px").alias("cx"), cell("py").alias("cy"))
+    d2 = F.pow(F.col("px") - F.col("qx"), F.lit(2.0)) + F.pow(F.col("py") - F.col("qy"), F.lit(2.0))
+    return near.join(own, ["id", "cx", "cy"]).withColumn("d2", d2)
 
 
 def resolve_secondary_matches(second: DataFrame, third: DataFrame, near: float = 50.0) -> DataFrame:

@@ -4,6 +4,7 @@ import math
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +183,99 @@ def test_regions_at_any_hour_of_a_wide_window(spark):
 def test_nan_coordinates_count_as_missing(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0), (2, float("nan"), 2.0), (3, None, 2.0)], "id long, x double, y double")
     assert [r.id for r in df.where(I.placed("x", "y")).collect()] == [1]
+
+
+def test_long_intervals_are_listed_in_few_cells(spark):
+    rnd = random.Random(5)
+
+    def spans(first, n):
+        out = []
+        for i in range(n):
+            s = rnd.randrange(0, 4_000_000)
+            out.append((first + i, at(s), at(s + rnd.choice([0, 5, 700, 1440, 1441, 20_000, 600_000, 5_000_000])), "C", None, None, 0))
+        return out
+
+    a, b = spans(0, 150), spans(1000, 150)
+    l, r = spark.createDataFrame(a, EVENT), spark.createDataFrame(b, EVENT)
+    got = I.overlap_candidates(l, r).collect()
+    assert sorted((x.id, x.c_id) for x in got) == sorted((x[0], y[0]) for x in a for y in b if HITS["none"](x, y))
+    span = ("start_time", "end_time")
+    rows = I.listed(l, span, I.TIME_CELL, I._levels_of(r, span, I.TIME_CELL), True, "__l").groupBy("id").count().collect()
+    days = {x[0]: (x[2] - x[1]) / timedelta(days=1) for x in a}
+    longest = max((x[2] - x[1]) / timedelta(days=1) for x in a + b)
+    assert max(x["count"] for x in rows) <= 2 * math.log2(longest) + 4 and max(days.values()) > 3000
+
+
+@pytest.mark.parametrize("radius", [None, 50.0])
+def test_nan_and_missing_positions_are_alike(spark, radius):
+    nan = float("nan")
+    left = [(1, at(0), at(60), "C1.0", nan, 1.0, 0), (2, at(0), at(60), "C1.0", None, None, 0), (3, at(0), at(60), "C1.0", 5.0, 5.0, 0), (4, at(0), at(60), "M1.0", 5.0, 5.0, 0)]
+    right = [(10, at(10), at(20), "C1.0", nan, 5.0, 0), (11, at(11), at(20), "C1.0", 905.0, 5.0, 0), (12, at(12), at(20), "M1.0", 1.0, nan, 0), (13, at(13), at(20), "M1.0", None, 2.0, 0)]
+    l, r = spark.createDataFrame(left, EVENT), spark.createDataFrame(right, EVENT)
+    got = sorted((x.id, x.located, x.match_id, x.dist) for x in I.match_overlap_nearest(l, r, radius=radius).collect())
+    assert got == [(1, False, 10, None), (1, False, 11, None), (2, False, 10, None), (2, False, 11, None), (3, True, 11, 900.0), (4, True, 12, None)]
+    least = {x.id: x.d for x in I.min_distance_overlap(l, r, "d", radius=radius).collect()}
+    assert least == {1: None, 2: None, 3: 900.0, 4: None}
+
+
+def test_ring_search_makes_few_candidates_in_a_crowded_day(spark, monkeypatch):
+    rnd = random.Random(6)
+    left, right = ([(first + i, at(rnd.randrange(0, 60)), at(rnd.randrange(700, 1400)), "C1.0", rnd.uniform(-900, 900), rnd.uniform(-900, 900), 0) for i in range(5000)] for first in (0, 10_000))
+    left[0] = (*left[0][:4], 20_000.0, 0.0, 0)  # far from everything
+    made, search = [], I.overlap_candidates
+
+    def counted(*args, **kwargs):
+        out = search(*args, **kwargs)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(I, "overlap_candidates", counted)
+    got = {x.id: (x.match_id, x.dist) for x in I.match_overlap_nearest(spark.createDataFrame(left, EVENT), spark.createDataFrame(right, EVENT), radius=25.0).collect()}
+    assert sum(made) < 40 * 5000
+    px, py = (np.array([e[k] for e in right]) for k in (4, 5))
+    for e in left[:300]:
+        gap = np.hypot(px - e[4], py - e[5])
+        assert abs(gap.min() - got[e[0]][1]) < 1e-9 and got[e[0]][0] == right[int(gap.argmin())][0]
+
+
+CANDIDATES = "id long, located boolean, dist double, c_start_time timestamp_ntz, c_id long, c_x double, c_y double, c_ar long"
+
+
+def plain_pair(a, b):
+    """Smallest (d2, a, b) over all pairs of the candidates of one event."""
+    def missing(v):
+        return v is None or v != v
+
+    def d2(p, q):
+        return float("inf") if any(missing(v) for v in (*p[5:7], *q[5:7])) else (p[5] - q[5]) ** 2 + (p[6] - q[6]) ** 2
+
+    return min((d2(p, q), p[3], p[4], q[3], q[4]) for p in a for q in b)
+
+
+def test_closest_pairs_equal_all_pairs_and_stay_few(spark, monkeypatch):
+    rnd = random.Random(7)
+
+    def side(first, event, n, far=0.0, lost=0.1, grain=None):
+        def place():
+            v = rnd.uniform(-900, 900) if grain is None else rnd.randrange(grain) * 10.0
+            return None if rnd.random() < lost else v
+
+        return [(event, False, None, at(rnd.randrange(600)), first + i, None if (x := place()) is None else x + far, place(), 0) for i in range(n)]
+
+    a = side(0, 1, 40) + side(100, 2, 30, grain=4) + side(200, 3, 5, lost=1.0) + side(300, 4, 20) + side(400, 5, 3, grain=1, lost=0) + side(500, 7, 3)
+    b = side(1000, 1, 25) + side(1100, 2, 30, grain=4) + side(1200, 3, 7) + side(1300, 4, 20, far=50_000.0) + side(1400, 5, 3, grain=1, lost=0) + side(1500, 8, 3)
+    got = {x.id: (x.d2, x.a.start_time, x.a.id, x.b.start_time, x.b.id) for x in I.closest_pair(spark.createDataFrame(a, CANDIDATES), spark.createDataFrame(b, CANDIDATES)).collect()}
+    assert got == {e: plain_pair([x for x in a if x[0] == e], [x for x in b if x[0] == e]) for e in (1, 2, 3, 4, 5)}
+    made, join = [], I.cell_pairs
+
+    def counted(*args):
+        out = join(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(I, "cell_pairs", counted)
+    a, b = side(0, 1, 10_000, lost=0), side(50_000, 1, 10_000, lost=0)
+    one = I.closest_pair(spark.createDataFrame(a, CANDIDATES), spark.createDataFrame(b, CANDIDATES)).first()
+    assert sum(made) < 50 * 20_000
+    px, py, qx, qy = (np.array([e[k] for e in s]) for s in (a, b) for k in (5, 6))
+    assert one.d2 == min(((px - x) ** 2 + (py - y) ** 2).min() for x, y in zip(qx, qy))
