@@ -8,6 +8,7 @@ on the higher of its two levels and is kept only in the first cell both sides sh
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -80,14 +81,15 @@ def listed(df: DataFrame, span: tuple[str, str], width: timedelta, others: Colum
 
 def overlap_pairs(
     left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str],
-    eq: list[tuple[str, str]] = (), closed: str = "none", width: timedelta = TIME_CELL,
+    eq: list[tuple[str, str]] = (), closed: str = "none", width: timedelta = TIME_CELL, copies: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Pairs of rows whose intervals overlap and whose ``eq`` columns are equal.
+    """Pairs of rows whose intervals overlap and whose ``eq`` columns are equal. ``copies`` may multiply the listed left rows.
 
     Column names of the two sides must differ. The result is meant to be reduced at once by
     an aggregate per left row, so pairs are combined in the join task and never shuffled.
     """
     l = listed(left, left_span, width, _levels_of(right, right_span, width), True, "__l")
+    l = copies(l) if copies else l
     r = listed(right, right_span, width, _levels_of(left, left_span, width), False, "__r")
     on = (F.col("__lcell") == F.col("__rcell")) & (F.col("__llevel") == F.col("__rlevel")) & (F.col("__lrole") == F.col("__rrole"))
     for a, b in eq:
@@ -115,14 +117,19 @@ def overlap_candidates(
     """
     eq = [("goes_class", "r_goes_class")] if eq_class else []
     l, r = left.select("id", "start_time", "end_time", "goes_class", "x", "y"), _as_right(right)
+    copies = None
     if radius is not None:
-        steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
         l = l.where(placed("x", "y"))
-        l = l.withColumn("__sx", F.explode(F.transform(steps, lambda d: F.floor(F.col("x") / radius) + d)))
-        l = l.withColumn("__sy", F.explode(F.transform(steps, lambda d: F.floor(F.col("y") / radius) + d)))
+
+        def copies(rows: DataFrame) -> DataFrame:
+            for name, c in (("__sx", "x"), ("__sy", "y")):
+                near = F.floor(F.col(c) / radius)
+                rows = rows.withColumn(name, F.explode(F.array(near - 1, near, near + 1)))
+            return rows
+
         r = r.where(placed("r_x", "r_y")).withColumns({"__rx": F.floor(F.col("r_x") / radius), "__ry": F.floor(F.col("r_y") / radius)})
         eq = [*eq, ("__sx", "__rx"), ("__sy", "__ry")]
-    pairs = overlap_pairs(l, r, ("start_time", "end_time"), ("r_start_time", "r_end_time"), eq, closed)
+    pairs = overlap_pairs(l, r, ("start_time", "end_time"), ("r_start_time", "r_end_time"), eq, closed, copies=copies)
     gap = F.when(placed("x", "y", "r_x", "r_y"), distance(F.col("r_x"), F.col("r_y"), F.col("x"), F.col("y")))
     located = placed("x", "y")
     return pairs.select(
@@ -187,7 +194,8 @@ def min_distance_overlap(
 
     if radius is None:
         return least(overlap_candidates(left, right, eq_class, closed))
-    found, rest = ring_search(left.where(placed("x", "y")), right, lambda near: least(near), out, radius, eq_class, closed)
+    found, rest = ring_search(left, right, least, out, radius, eq_class, closed)
+    left = left.select(*EVENT)
     return found.unionByName(least(overlap_candidates(rest.unionByName(left.where(~placed("x", "y"))), right, eq_class, closed)))
 
 
@@ -195,21 +203,27 @@ def ring_search(left: DataFrame, right: DataFrame, reduce, gap: str, radius: flo
     """Answers of located left events, and the events without any located candidate.
 
     Round by round the radius grows and only unanswered events go on. A round looks into the space cells around an event, which hold every
-    candidate up to the radius, so the best one found within it (column ``gap`` of ``reduce``) is the nearest of all. The last radius
-    reaches across all positions: what is left then overlaps no located event.
+    candidate up to the radius, so the best one found within it (column ``gap`` of ``reduce``) is the nearest of all. The first radius is
+    ``radius`` or, where right events are sparse, what holds about one of a day and class. The last round needs no space cells: what it leaves overlaps no located event.
     """
     def extent(df: DataFrame) -> DataFrame:
-        return df.where(placed("x", "y")).agg(F.max(F.greatest(F.abs("x"), F.abs("y"))).alias("far"))
+        return df.agg(F.max(F.greatest(F.abs("x"), F.abs("y"))).alias("far"))
 
+    left, right = (materialize(df.where(placed("x", "y")).select(*EVENT), "ring-events") for df in (left, right))  # read in every round
     farthest = extent(left).unionByName(extent(right)).agg(F.coalesce(F.max("far"), F.lit(0.0))).first()[0]
+    crowds = right.groupBy(*(["goes_class"] if eq_class else []), cell_start(micros(F.col("start_time")), TIME_CELL).alias("day")).count()
+    crowd = crowds.agg(F.coalesce(F.sum(F.col("count") * F.col("count")) / F.sum("count"), F.lit(1.0))).first()[0]
+    radius = max(radius, 2 * farthest / crowd**0.5)
     rest, found = left, None
     while True:
-        answers = materialize(reduce(overlap_candidates(rest, right, eq_class, closed, radius)).where(F.col(gap) <= radius), "ring-answers")
-        rest = materialize(rest.join(answers.select("id"), "id", "left_anti"), "ring-rest")
+        last = radius > farthest
+        near = reduce(overlap_candidates(rest, right, eq_class, closed, None if last else radius))
+        answers = materialize(near if last else near.where(F.col(gap) <= radius), "ring-answers")
         found = answers if found is None else found.unionByName(answers)
-        if radius >= 3 * farthest or rest.isEmpty():  # no two positions are farther apart than 2.83 times that
+        rest = materialize(rest.join(answers.select("id"), "id", "left_anti"), "ring-rest")
+        if last or rest.isEmpty():
             return found, rest
-        radius = min(radius * growth, max(3 * farthest, radius + 1))
+        radius *= growth
 
 
 def nearest_overlap(
@@ -226,7 +240,7 @@ def nearest_overlap(
 
     if radius is None:
         return nearest(overlap_candidates(left, right, eq_class, closed))
-    found, rest = ring_search(left.where(placed("x", "y")), right, nearest, "m.dist", radius, eq_class, closed)
+    found, rest = ring_search(left, right, nearest, "m.dist", radius, eq_class, closed)
     return found.unionByName(nearest(overlap_candidates(rest, right.where(~placed("x", "y")), eq_class, closed)))
 
 
@@ -283,6 +297,7 @@ def resolve_secondary_matches(second: DataFrame, third: DataFrame, near: float =
     the first; otherwise the pair of the two sources that lies closest decides; without a
     counterpart the first by start time is taken.
     """
+    second, third = materialize(second, "second-candidates"), materialize(third, "third-candidates")  # read for the summaries and for the pairs
     s = summarize_candidates(second, near).select("id", F.struct("*").alias("s"))
     h = summarize_candidates(third, near).select("id", F.struct("*").alias("h"))
     both = s.join(h, "id", "full_outer")

@@ -7,9 +7,12 @@ computed per hash bucket with carried offsets: no group, however large, is sorte
 from __future__ import annotations
 
 import math
+import random
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from ..session import materialize
 from .scan import key_stats, ranked
@@ -101,45 +104,82 @@ def _draw_months(months: DataFrame, month: str, first: int, last: int, train_rat
     return draws.withColumn("__train", F.sum(F.when(F.col("is_train"), F.col("n_flaring")).otherwise(0)).over(per))
 
 
-def can_split(counts: list[int], taken: int, low: int, high: int) -> bool:
-    """Whether some ``taken`` of the counts have a sum strictly between ``low`` and ``high``.
+STATES = 1 << 22
+"""Sums that the search for a split holds at first and, times 16, at most (32 and 512 MB), whatever the counts are."""
 
-    The least and the greatest sum bound all others; in between, the reachable sums are listed number by number as the bits of one integer each.
+
+def reachable_sums(counts: list[int], taken: int, low: int, high: int, width: int) -> tuple[list[list[np.ndarray]], bool]:
+    """Sums of j of the first i counts, as sorted arrays [i][j], and whether all are there.
+
+    Only sums from which ``taken`` counts can still end strictly between ``low`` and ``high`` are kept, by the least and
+    greatest sums of the counts to come. Of more than ``width`` sums those nearest to evenly spaced values stay; each is the sum of a real choice.
+    """
+    empty = np.zeros(0, np.int64)
+    layers, whole = [[np.zeros(1, np.int64)] + [empty] * taken], True
+    for i, count in enumerate(counts, 1):
+        rest = np.sort(np.array(counts[i:], np.int64))
+        least = np.concatenate([[0], np.cumsum(rest)])
+        most = np.concatenate([[0], np.cumsum(rest[::-1])])
+        layer = []
+        for j in range(taken + 1):
+            sums = np.union1d(layers[-1][j], layers[-1][j - 1] + count) if j else layers[-1][0]
+            need = taken - j
+            sums = sums[(sums + least[need] < high) & (sums + most[need] > low)] if need <= len(rest) else empty
+            if len(sums) > width:
+                sums, whole = sums[np.unique(np.searchsorted(sums, np.linspace(sums[0], sums[-1], width)))], False
+            layer.append(sums)
+        layers.append(layer)
+    return layers, whole
+
+
+def choose_months(counts: list[int], taken: int, low: int, high: int, seed: int = 13, states: int = STATES) -> list[bool] | None:
+    """``taken`` of the counts with a sum strictly between ``low`` and ``high``, chosen by the seed; None if there are none.
+
+    The reachable sums are built count by count, then a seeded walk leads back from one of the fitting ones. Thinned sums are searched
+    again with more of them before the search gives up, which only a very narrow range can bring about (an error, not None).
     """
-    ordered = sorted(counts)
-    if sum(ordered[:taken]) >= high or sum(ordered[len(ordered) - taken :]) <= low:
-        return False
-    reach = [1] + [0] * taken
-    limit = (1 << max(high, 0)) - 1
-    for count in ordered:
-        for size in range(taken, 0, -1):
-            reach[size] |= reach[size - 1] << count & limit
-    return reach[taken] >> max(low + 1, 0) != 0
+    rng = random.Random(seed)
+    width, most = (max(16, n // max(len(counts) * taken, 1)) for n in (states, 16 * states))
+    while True:
+        layers, whole = reachable_sums(counts, taken, low, high, width)
+        if len(layers[-1][taken]):
+            break
+        if whole:
+            return None
+        if width >= most:
+            raise ValueError("no month split was found; the bounds are too narrow to prove that there is none")
+        width *= 4
+    total, left, chosen = int(rng.choice(layers[-1][taken])), taken, [False] * len(counts)
+    for i in range(len(counts) - 1, -1, -1):
+        before, count = layers[i], counts[i]
+        ways = [take for take in (False, True) if left >= take and total - take * count in before[left - take]]
+        chosen[i] = rng.choice(ways)
+        total, left = total - chosen[i] * count, left - chosen[i]
+    return chosen
 
 
 def split_by_month(
-    samples: DataFrame, month: str, flaring: str, train_ratio: float = 0.67, bounds: tuple[float, float] = (0.60, 0.75), seed: int = 13,
+    samples: DataFrame, month: str, flaring: str, train_ratio: float = 0.67, bounds: tuple[float, float] = (0.60, 0.75), seed: int = 13, draws: int = 64,
 ) -> DataFrame:
     """Months with ``is_train``: the first seeded draw of whole months whose flaring share fits the bounds.
 
     A draw takes ceil(ratio * months) months; it is accepted when the training flaring count lies strictly
-    between ``int(total * bounds)``. Only the month table (one row per calendar month) is worked on. Draws are made in batches
-    that double until one fits; before a second batch it is proven that some choice of months can fit, else an error is raised.
+    between ``int(total * bounds)``. Only the month table (one row per calendar month) is worked on. When none of the first ``draws`` fits, a
+    fitting choice is constructed from the reachable sums (``candidate`` is then 0); an error is raised if there is none.
     """
     months = materialize(month_counts(samples, month, flaring).select(month, "n_flaring"), "months")
-    first, batch = 1, 64
-    while True:
-        draws = _draw_months(months, month, first, first + batch - 1, train_ratio, seed)
-        low, high = (F.floor(F.col("__total") * F.lit(b)) for b in bounds)
-        fitting = draws.where((F.col("__train") > low) & (F.col("__train") < high)).agg(F.min("candidate")).first()[0]
-        if fitting is not None:
-            return draws.where(F.col("candidate") == fitting).select(month, "candidate", "is_train")
-        if first == 1:
-            counts = [r["n_flaring"] for r in months.collect()]  # one number per calendar month
-            edges = [math.floor(sum(counts) * b) for b in bounds]
-            if not can_split(counts, math.ceil(len(counts) * train_ratio), *edges):
-                raise ValueError("no month split satisfies the bounds")
-        first, batch = first + batch, 2 * batch
+    drawn = _draw_months(months, month, 1, draws, train_ratio, seed)
+    low, high = (F.floor(F.col("__total") * F.lit(b)) for b in bounds)
+    fitting = drawn.where((F.col("__train") > low) & (F.col("__train") < high)).agg(F.min("candidate")).first()[0]
+    if fitting is not None:
+        return drawn.where(F.col("candidate") == fitting).select(month, "candidate", "is_train")
+    rows = months.orderBy(hash_rank(seed, F.col(month)), month).collect()  # one row per calendar month
+    counts = [r["n_flaring"] for r in rows]
+    chosen = choose_months(counts, math.ceil(len(counts) * train_ratio), *(math.floor(sum(counts) * b) for b in bounds), seed=seed) if counts else None
+    if chosen is None:
+        raise ValueError("no month split satisfies the bounds")
+    built = [(r[month], 0, take) for r, take in zip(rows, chosen)]
+    return samples.sparkSession.createDataFrame(built, StructType([months.schema[month], StructField("candidate", IntegerType()), StructField("is_train", BooleanType())]))
 
 
 def percent_missing(samples: DataFrame, by: list[str], cols: list[str], integer_percent: bool = True) -> DataFrame:

@@ -1,6 +1,9 @@
 """Partitions and samples: plain scans and counting rules."""
 
+import math
 import random
+import time
+import tracemalloc
 from collections import Counter
 from datetime import datetime, timedelta
 from itertools import combinations
@@ -123,16 +126,44 @@ def test_no_series_is_lost(spark, flares, k):
 
 def test_rare_month_split_is_found_and_an_impossible_one_refused(spark):
     counts = [100] + [0] * 5 + [37] * 10
-    assert R.can_split(counts, 11, 365, 379) and not R.can_split([100, 0], 2, 60, 75)
+    assert R.choose_months(counts, 11, 365, 379) is not None and R.choose_months([100, 0], 2, 60, 75) is None
     rare = [1000] + [1] * 11 + [990]
     edges = [int(sum(rare) * b) for b in (0.50, 0.503)]
-    assert R.can_split(rare, 9, *edges) == any(edges[0] < sum(c) < edges[1] for c in combinations(rare, 9))
+    assert (R.choose_months(rare, 9, *edges) is not None) == any(edges[0] < sum(c) < edges[1] for c in combinations(rare, 9))
     rows = [(f"m{i:02d}", j < c) for i, c in enumerate(counts) for j in range(100)]
     got = R.split_by_month(spark.createDataFrame(rows, "month string, flaring boolean"), "month", "flaring", bounds=(0.777, 0.8085)).collect()
     taken = sum(counts[int(r.month[1:])] for r in got if r.is_train)
     assert taken == 370
 
 
+@pytest.mark.parametrize("states", [R.STATES, 64])
+def test_constructed_splits_equal_all_choices(states):
+    rnd = random.Random(4)
+    for _ in range(150):
+        counts = [rnd.choice([0, 1, 2, 5, 40, 1000, 10**12]) for _ in range(rnd.randint(1, 9))]
+        taken, low = rnd.randint(0, len(counts)), rnd.randint(-1, sum(counts) // 2 + 2)
+        high = low + rnd.choice([1, 2, 10, 500, 10**12])
+        chosen = R.choose_months(counts, taken, low, high, states=states)
+        assert (chosen is not None) == any(low < sum(c) < high for c in combinations(counts, taken))
+        if chosen is not None:
+            assert sum(chosen) == taken and low < sum(c for c, take in zip(counts, chosen) if take) < high
+
+
+def test_a_rare_split_of_huge_counts_is_built_in_bounded_memory():
+    """Two months of 38 % each, nearly all the rest in 26 of the other 38: only one of the two with those 26 fits."""
+    rnd = random.Random(9)
+    counts = [38 * 10**9, 38 * 10**9] + [10**9 * 24 // 26 + rnd.randrange(10**6) for _ in range(26)] + [rnd.randrange(10**6) for _ in range(12)]
+    total, began = sum(counts), time.perf_counter()
+    low, high = int(0.60 * total), int(0.75 * total)
+    tracemalloc.start()
+    chosen = R.choose_months(counts, math.ceil(0.67 * 40), low, high)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(chosen) == 27 and low < sum(c for c, take in zip(counts, chosen) if take) < high
+    assert time.perf_counter() - began < 60 and peak < 600e6
+    assert R.choose_months(counts, 27, low, high) == R.choose_months(counts, 27, low, high)
+
+
 def test_draws_of_groups_differ_and_spread(spark):
     need = spark.range(50).select(F.col("id").alias("g"), F.lit(1000).cast("long").alias("__m"), F.lit(1000).cast("long").alias("__draw"))
     draws = R._draws(need, 13)
