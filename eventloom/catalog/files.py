@@ -11,10 +11,11 @@ from ..operators.sampling import sample_splits
 from ..session import shared_path
 from ..sources import readers as RD
 from ..sources import writers as WR
-from .joins import by_key, by_place
+from .joins import NUMBERS, by_key, by_place, candidate_numbers
 from .labels import mixed
 from .registry import query
 from .sampling import priced
+from .tables import CTES
 
 SEC = "date_trunc('second', {})"
 
@@ -228,13 +229,31 @@ def _(t):
     return t.spark.read.csv(path, schema="sample_id long, price double", header=True, sep="\t")
 
 
-@query("write_match_report", "S16", """
-SELECT 'event_to_series_by_location' AS report, count(DISTINCT id) AS n FROM byplace UNION ALL SELECT 'unmatched', count(*) FROM goes WHERE id NOT IN (SELECT id FROM bykey UNION SELECT id FROM byplace)""")
+REPORTS = {
+    "only_by_key": "id IN (SELECT id FROM bykey WHERE user_id NOT IN (SELECT user_id FROM byplace))",
+    "only_by_location": "id IN (SELECT id FROM byplace WHERE user_id NOT IN (SELECT user_id FROM bykey))",
+    "unmatched_by_key": "id NOT IN (SELECT id FROM bykey)",
+    "unmatched_by_location": "id NOT IN (SELECT id FROM byplace)",
+    "unmatched": "id NOT IN (SELECT id FROM bykey UNION SELECT id FROM byplace)",
+}
+LISTS = {"event_to_series_by_key": "bykey", "event_to_series_by_location": "byplace"}
+CTES["ownseries"] = """
+SELECT g.id, string_agg(DISTINCT CAST(b.user_id AS VARCHAR), ',' ORDER BY CAST(b.user_id AS VARCHAR)) AS series FROM goes g JOIN bridge b ON g.ar = b.key GROUP BY g.id
+"""
+
+
+@query("write_match_report", "S16", " UNION ALL ".join([
+    *[f"SELECT '{name}' AS report, id, NULL AS goes_class, string_agg(DISTINCT CAST(user_id AS VARCHAR), ',' ORDER BY CAST(user_id AS VARCHAR)) AS series FROM {pairs} GROUP BY id" for name, pairs in LISTS.items()],
+    *[f"SELECT '{name}', g.id, g.goes_class, o.series FROM (SELECT id, goes_class FROM goes WHERE {which}) g LEFT JOIN ownseries o ON o.id = g.id" for name, which in REPORTS.items()],
+]))
 def _(t):
     path = shared_path(t.spark, "match-report")
-    WR.write_match_report(H.match_reports(t.goes.select("id"), by_key(t), by_place(t), "user_id"), path)
-    out = [
-        t.spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
-        for name in ("event_to_series_by_location", "unmatched")
-    ]
-    return out[0].unionByName(out[1])
+    own = H.join_by_any_key(candidate_numbers(t.goes), t.keymap, "user_id", "keys", NUMBERS[:1])
+    WR.write_match_report(H.match_reports(t.goes.select("id", "goes_class"), by_key(t), by_place(t), "user_id", own_pairs=own), path)
+    listed = F.array_join(F.array_sort(F.transform("series", lambda k: k.cast("string"))), ",")
+    out = None
+    for name in (*LISTS, *REPORTS):
+        rows = t.spark.read.parquet(f"{path}/{name}")
+        rows = rows.select(F.lit(name).alias("report"), "id", (F.col("goes_class") if "goes_class" in rows.columns else F.lit(None).cast("string")).alias("goes_class"), listed.alias("series"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

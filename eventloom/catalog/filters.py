@@ -8,7 +8,7 @@ from ..functions.classes import class_prefix, is_flaring
 from ..operators import events as E
 from ..operators import series as S
 from ..operators.history import key_in
-from ..operators.interval import overlaps, summarize_candidates, verify_matches
+from ..operators.interval import overlap_candidates, overlaps, summarize_candidates, verify_matches
 from .registry import query
 from .tables import CTES
 
@@ -118,17 +118,12 @@ def _(t):
 
 
 @query("is_near_duplicate", "F15", """
-SELECT id, n, near_duplicate FROM (
-  SELECT user_id AS id, count(*) AS n,
-         count(*) = 1 OR (count(*) = 2 AND coalesce(sqrt(pow(arg_min(x, start_time) - arg_max(x, start_time), 2) + pow(arg_min(y, start_time) - arg_max(y, start_time), 2)) < 900, false)) AS near_duplicate
-  FROM (SELECT user_id, start_time, CASE WHEN id % 11 <> 0 THEN x ELSE 1e300 * 1e300 END AS x, CASE WHEN id % 11 <> 0 THEN y ELSE 1e300 * 1e300 END AS y FROM goes WHERE goes_class >= 'X')
-  GROUP BY 1)""")
+SELECT id, n, n = 1 OR (n = 2 AND coalesce(gap < 900, false)) AS near_duplicate FROM (
+  SELECT g.id, count(*) AS n, sqrt(pow(arg_min(r.x, (r.start_time, r.id)) - arg_max(r.x, (r.start_time, r.id)), 2) + pow(arg_min(r.y, (r.start_time, r.id)) - arg_max(r.y, (r.start_time, r.id)), 2)) AS gap
+  FROM goes g JOIN (SELECT id, start_time, end_time, goes_class, coalesce(x, 1e300 * 1e300) AS x, coalesce(y, 1e300 * 1e300) AS y FROM ssw) r
+    ON r.goes_class = g.goes_class AND r.start_time < g.end_time AND r.end_time > g.start_time GROUP BY g.id)""")
 def _(t):
-    rows = t.goes.where(F.col("goes_class") >= "X").select(
-        F.col("user_id").alias("id"), F.lit(None).cast("double").alias("dist"), F.lit(False).alias("located"),
-        F.col("start_time").alias("c_start_time"), F.col("id").alias("c_id"), F.col("x").alias("c_x"), F.col("y").alias("c_y"), F.col("ar").alias("c_ar"),
-    )
-    return summarize_candidates(rows, near=900).select("id", "n", "near_duplicate")
+    return summarize_candidates(overlap_candidates(t.goes, t.ssw), near=900).select("id", "n", "near_duplicate")
 
 
 @query("source_split", "F16", """
@@ -161,10 +156,10 @@ def copies(t):
 
 
 @query("union_all", "U1", """
-SELECT src, count(*) AS n, count(x) AS n_x FROM (SELECT id, src, x FROM goes UNION ALL SELECT id, src, NULL AS x FROM ssw UNION ALL SELECT id, src, x FROM xrt) GROUP BY 1""")
+SELECT id, src, x, n FROM (SELECT id, src, x FROM goes UNION ALL SELECT id, src, NULL AS x FROM ssw UNION ALL SELECT id, src, x FROM xrt), (SELECT (SELECT count(*) FROM goes) + (SELECT count(*) FROM ssw) + (SELECT count(*) FROM xrt) AS n)""")
 def _(t):
-    rows = E.union_all(t.goes.select("id", "src", "x"), t.ssw.select("id", "src"), t.xrt.select("id", "src", "x"))
-    return rows.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("n_x"))
+    rows, counts = E.union_checked([t.goes.select("id", "src", "x"), t.ssw.select("id", "src"), t.xrt.select("id", "src", "x")], "union")
+    return rows.withColumn("n", F.lit(sum(counts)).cast("long"))
 
 
 @query("dedupe_first", "U2", """

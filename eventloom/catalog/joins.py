@@ -337,9 +337,9 @@ def _(t):
 
 
 @query("key_available", "J24", """
-SELECT user_id, user_id IN (SELECT user_id FROM header) AS available FROM (SELECT DISTINCT user_id FROM goes WHERE goes_class >= 'X')""")
+SELECT user_id, user_id IN (SELECT user_id FROM header) AS available FROM (SELECT DISTINCT user_id FROM goes)""")
 def _(t):
-    wanted = t.goes.where(F.col("goes_class") >= "X").select("user_id").distinct()
+    wanted = t.goes.select("user_id").distinct()
     return H.key_available(wanted, t.header, "user_id")
 
 

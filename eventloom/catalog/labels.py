@@ -128,7 +128,7 @@ def _(t):
 @query("explode_observations", "W7", """
 SELECT i.user_id, i.slice_pos, a.pos, a.ts
 FROM (SELECT user_id, slice_pos, unnest(generate_series(slice_pos, slice_pos + 11)) AS pos FROM inst WHERE reason IS NULL) i
-JOIN anno a ON i.user_id = a.user_id AND a.pos = i.pos""")
+JOIN anno a ON i.user_id = a.user_id AND a.pos = i.pos""", stored=True)
 def _(t):
     kept = instances(t).where(F.col("reason").isNull()).select("user_id", "slice_pos")
     return L.explode_observations(kept, t.placed.select("user_id", "ts", "pos", "n"), U, "ts", CFG.obs)

@@ -35,15 +35,15 @@ def with_ctes(sql: str) -> str:
     return f"WITH {tables}\n{body}"
 
 
-def query(name: str, covers: str, sql: str | None = None):
-    """Register a function of ``Tables`` under ``name``; ``covers`` lists inventory ids."""
+def query(name: str, covers: str, sql: str | None = None, stored: bool = False):
+    """Register a function of ``Tables`` under ``name``; ``covers`` lists inventory ids. With ``stored`` the shared tables of the SQL are computed once each."""
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
         COVERS[name] = tuple(covers.split())
         if sql is not None:
-            ORACLES[name] = with_ctes(sql)
+            ORACLES[name] = re.sub(r"(?m)^(WITH )?(\w+) AS \(", r"\1\2 AS MATERIALIZED (", with_ctes(sql)) if stored else with_ctes(sql)
         return fn
 
     return register

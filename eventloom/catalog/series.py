@@ -1,6 +1,6 @@
 """Grid, slot statistics, quality and smoothing of the hourly series."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -261,6 +261,17 @@ def _(t):
     return S.scan_time_range(t.events, "ts", stamp("2024-01-05 03:00:00"), stamp("2024-01-08 21:30:00")).select("user_id", "ts", "value")
 
 
+@query("max_in_intervals", "A19", """
+SELECT g.id, max(h.p_max) / 1e7 AS max_flux, CASE WHEN max(h.p_max) >= 1000 THEN 'X' WHEN max(h.p_max) >= 100 THEN 'M' WHEN max(h.p_max) >= 10 THEN 'C' WHEN max(h.p_max) >= 1 THEN 'B' WHEN max(h.p_max) > 0 THEN 'A' END AS letter
+FROM goes g LEFT JOIN hourly h ON h.user_id = g.user_id AND h.ts BETWEEN g.start_time - INTERVAL 40 HOUR AND g.end_time + INTERVAL 75 HOUR GROUP BY g.id""")
+def _(t):
+    around = t.goes.select("id", "user_id", (F.col("start_time") - F.lit(timedelta(hours=40))).alias("a"), (F.col("end_time") + F.lit(timedelta(hours=75))).alias("b"))
+    out = S.max_in_intervals(t.hourly.select("user_id", "ts", "p_max"), around, U, "ts", "p_max", ("a", "b"))
+    flux = F.col("max_flux")
+    letter = F.when(flux >= 1000, "X").when(flux >= 100, "M").when(flux >= 10, "C").when(flux >= 1, "B").when(flux > 0, "A")
+    return out.select("id", (flux / 1e7).alias("max_flux"), letter.alias("letter"))
+
+
 @query("max_in_interval", "A19", """
 SELECT max(b_avg) / 1e7 AS max_flux, CASE WHEN max(b_avg) >= 1000 THEN 'X' WHEN max(b_avg) >= 100 THEN 'M' WHEN max(b_avg) >= 10 THEN 'C' ELSE 'B' END AS letter
 FROM flux WHERE ts BETWEEN TIMESTAMP '2024-01-05 03:00:00' AND TIMESTAMP '2024-01-08 21:30:00'""")

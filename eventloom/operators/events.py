@@ -5,13 +5,14 @@ from __future__ import annotations
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.classes import class_compare, class_letter
 from ..functions.keys import has_key
 from ..functions.places import has_location
 from ..functions.times import days_between
+from ..session import materialize
 from .scan import with_cell_facts, _spread_facts, ORD, CELL_COL
 
 DUPLICATE_KEYS = ["start_time", "end_time", "peak_time", "noaa_active_region", "goes_class", "goes_location"]
@@ -96,6 +97,23 @@ def union_all(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def union_checked(dfs: list[DataFrame], name: str, expected: list[int] | None = None) -> tuple[DataFrame, list[int]]:
+    """``union_all``, stored, and the row count of each input; the counts are taken while the rows are written, in one pass.
+
+    Raises ValueError when the stored rows are not as many as the inputs', or an input is not as long as ``expected`` says.
+    """
+    seen = [Observation(f"{name}-{i}") for i in range(len(dfs))]
+    whole = Observation(f"{name}-all")
+    rows = F.count(F.lit(1)).alias("n")
+    stored = materialize(union_all(*[df.observe(o, rows) for df, o in zip(dfs, seen)]).observe(whole, rows), name)
+    counts, total = [o.get.get("n", 0) for o in seen], whole.get.get("n", 0)
+    if sum(counts) != total:
+        raise ValueError(f"{total} rows of {sum(counts)} were concatenated")
+    if expected is not None and counts != list(expected):
+        raise ValueError(f"inputs have {counts} rows, not {list(expected)}")
+    return stored, counts
+
+
 def dedupe_first(df: DataFrame, keys: list[str] = DUPLICATE_KEYS, order: str = "id") -> tuple[DataFrame, DataFrame]:
     """(first row of every duplicate group by ``order``, all later duplicates).
 

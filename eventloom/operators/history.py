@@ -149,8 +149,17 @@ def event_history(
     )
 
 
-def match_reports(events: DataFrame, key_pairs: DataFrame, loc_pairs: DataFrame, by: str, event_id: str = "id") -> dict[str, DataFrame]:
-    """The six report tables of a matching run."""
+def match_reports(
+    events: DataFrame, key_pairs: DataFrame, loc_pairs: DataFrame, by: str, event_id: str = "id", own_pairs: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The seven report tables of a matching run: two of events with their series, five of events.
+
+    With ``own_pairs`` (event, series) the event tables get a column ``series``, the sorted list of the series that the event's own number
+    names (NULL for none), matched or not.
+    """
+    if own_pairs is not None:
+        events = events.join(series_of_events(own_pairs, by, event_id), event_id, "left")
+
     def ids(pairs: DataFrame) -> DataFrame:
         return pairs.select(event_id).distinct()
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import cell_start, micros, rows_to_hours, shift, us
+from ..session import materialize
 from .scan import CELL, T, carry_scan, key_stats, neighbours, positions
 
 CADENCE = timedelta(minutes=12)
@@ -266,6 +267,41 @@ def max_in_interval(series: DataFrame, on: str, value: str, start, end, out: str
     return peak.withColumn(out, flux_to_class(F.col("max_flux")))
 
 
+def max_in_intervals(
+    series: DataFrame, intervals: DataFrame, by: list[str], on: str, value: str, span: tuple[str, str], interval_id: str = "id",
+    block: timedelta = timedelta(hours=6), out: str = "max_class",
+) -> DataFrame:
+    """Largest flux of each interval's key in [start, end], with its class: interval_id, max_flux, ``out``.
+
+    A sparse table holds, for each key and level, the maximum of 2^level neighbouring blocks of time. The blocks inside an interval are covered
+    by two entries of one level, which may overlap; only the rows of its first and last block are read one by one. Intervals without a
+    value in them (also NULL or inverted ones) get NULL; NULL and NaN values count for nothing.
+    """
+    from ..functions.classes import flux_to_class
+
+    width = us(block)
+    number = lambda t: F.floor(micros(F.col(t)) / width).cast("long")
+    rows = series.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*by, F.col(on).alias("__t"), F.col(value).alias("__v"), number(on).alias("__block"))
+    spans = intervals.select(interval_id, *by, F.col(span[0]).alias("__s"), F.col(span[1]).alias("__e"), number(span[0]).alias("__bs"), number(span[1]).alias("__be"))
+    spans = materialize(spans.where("__s <= __e"), "interval-spans")
+    inner = spans.where("__be - __bs > 1").select(interval_id, *by, (F.col("__bs") + 1).alias("__from"), (F.col("__be") - F.col("__bs") - 1).alias("__n"))
+    inner = inner.withColumn("__level", (F.length(F.conv(F.col("__n").cast("string"), 10, 2)) - 1).cast("int"))
+    top = inner.agg(F.max("__level")).first()[0]
+    level = materialize(rows.groupBy(*by, "__block").agg(F.max("__v").alias("__v")), "block-maxima")
+    table = level.withColumn("__level", F.lit(0))
+    for k in range(top or 0):  # entry b of the next level holds entries b and b + 2^k of this one
+        earlier = level.withColumn("__block", F.col("__block") - (1 << k))
+        level = materialize(level.unionByName(earlier).groupBy(*by, "__block").agg(F.max("__v").alias("__v")), "block-maxima")
+        table = table.unionByName(level.withColumn("__level", F.lit(k + 1)))
+    last = F.col("__from") + F.col("__n") - F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__level"))
+    two = inner.withColumn("__block", F.explode(F.array_distinct(F.array(F.col("__from"), last))))
+    whole = two.join(table, [*by, "__level", "__block"]).select(interval_id, "__v")
+    ends = spans.withColumn("__block", F.explode(F.array_distinct(F.array("__bs", "__be"))))
+    edges = ends.join(rows, [*by, "__block"]).where(F.col("__t").between(F.col("__s"), F.col("__e"))).select(interval_id, "__v")
+    best = whole.unionByName(edges).groupBy(interval_id).agg(F.max("__v").alias("max_flux"))
+    return intervals.select(interval_id).join(best, interval_id, "left").withColumn(out, flux_to_class(F.col("max_flux")))
+
+
 def active_slots(series: DataFrame, count: str) -> DataFrame:
     """Rows whose event count is not 0."""
     return series.where(F.col(count) != 0)

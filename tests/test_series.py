@@ -1,5 +1,6 @@
 """Grid, smoothing and quality operators."""
 
+import random
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -7,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import events as E
 from eventloom.operators import series as S
 
 T0 = datetime(2020, 1, 1)
@@ -101,3 +103,31 @@ def test_rejected_series_are_reported(spark):
     header = series.where("k <> 1").unionByName(spark.createDataFrame([(1, start)], "k long, ts timestamp_ntz"))
     got = {(r.k, r.reason) for r in annotation_rejects(series, header, ["k"], "ts").collect()}
     assert got == {(2, "grid"), (3, "grid"), (1, "header length")}
+
+
+def test_maxima_of_many_intervals(spark):
+    rnd = random.Random(11)
+    rows = [(k, T0 + timedelta(minutes=rnd.randrange(60_000)), rnd.choice([None, float("nan"), rnd.random() * 10.0 ** rnd.randrange(-9, -2)])) for k in (1, 2, None) for _ in range(400)]
+    ask = []
+    for i in range(3000):
+        s = T0 + timedelta(minutes=rnd.randrange(-2000, 62_000))
+        ask.append((i, rnd.choice([1, 1, 2, 3, None]), rnd.choice([s, s, s, None]), s + timedelta(minutes=rnd.choice([-5, 0, 30, 400, 721, 3000, 40_000]))))
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz, v double")
+    got = {r.id: (r.max_flux, r.max_class) for r in S.max_in_intervals(df, spark.createDataFrame(ask, "id long, k long, a timestamp_ntz, b timestamp_ntz"), ["k"], "t", "v", ("a", "b")).collect()}
+    for i, k, a, b in ask:
+        found = [v for own, t, v in rows if k is not None and a is not None and own == k and a <= t <= b and v is not None and v == v]
+        want = max(found, default=None)
+        assert got[i][0] == want
+        if want is None:
+            assert got[i][1] is None
+        elif want >= 1e-8:
+            scale = max(x for x in (1e-8, 1e-7, 1e-6, 1e-5, 1e-4) if x <= want)
+            assert got[i][1][0] == "ABCMX"[[1e-8, 1e-7, 1e-6, 1e-5, 1e-4].index(scale)] and abs(float(got[i][1][1:]) - want / scale) <= 0.0501
+
+
+def test_union_counts_its_rows(spark):
+    a, b = spark.range(5).withColumn("x", F.lit(1)), spark.range(3)
+    rows, counts = E.union_checked([a, b, a.limit(0)], "union")
+    assert counts == [5, 3, 0] and rows.count() == 8 and rows.filter("x is null").count() == 3
+    with pytest.raises(ValueError):
+        E.union_checked([a, b], "union", expected=[5, 4])
