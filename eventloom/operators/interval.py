@@ -213,7 +213,8 @@ def ring_search(left: DataFrame, right: DataFrame, reduce, gap: str, radius: flo
     farthest = extent(left).unionByName(extent(right)).agg(F.coalesce(F.max("far"), F.lit(0.0))).first()[0]
     crowds = right.groupBy(*(["goes_class"] if eq_class else []), cell_start(micros(F.col("start_time")), TIME_CELL).alias("day")).count()
     crowd = crowds.agg(F.coalesce(F.sum(F.col("count") * F.col("count")) / F.sum("count"), F.lit(1.0))).first()[0]
-    radius = max(radius, 2 * farthest / crowd**0.5)
+    typical = right.agg(F.coalesce(F.percentile_approx(F.greatest(F.abs("x"), F.abs("y")).cast("double"), 0.5), F.lit(0.0))).first()[0]  # not moved by a far outlier
+    radius = max(radius, 2 * typical / crowd**0.5)
     rest, found = left, None
     while True:
         last = radius > farthest
