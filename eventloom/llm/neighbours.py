@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by a forest of sorted hash strings.
 
-Every vector has one hash string per tree. A symbol of a string is the largest coordinate, with its sign, after a random rotation, so a
-longer common prefix means a nearer vector. A tree is the sorted array of all strings. A query descends
+Every vector has one hash string per tree. A symbol of a string is the largest coordinate, with its sign, after a random projection to
+``axes`` dimensions, so a longer common prefix means a nearer vector. A tree is the sorted array of all strings. A query descends
 in every tree to its longest prefix matches, then all trees ascend together, tree by tree and symbol by symbol, until
 they hold enough candidates; all candidates are scored exactly. The arrays lie in cells (tree, first symbols of the string),
-and only cells and queries that share a prefix meet.
+and only cells and queries that share a prefix meet. Tables of every size are answered this way; the root of a tree, which is
+all rows, serves only the queries for which all trees together found fewer vectors than were asked for.
 """
 
 from __future__ import annotations
@@ -22,45 +23,47 @@ from pyspark.sql import functions as F
 from .common import store
 
 ROOT = -1
+BITS = 8  # of one symbol
 
 
 class Forest(NamedTuple):
-    """Parameters: trees, symbols in a string, candidates (with repeats over the trees) to gather, and how many spare the root.
+    """Parameters: trees, symbols in a string (at most seven), dimensions a symbol is read from (at most 128), and candidates to gather.
 
-    The ascent ends at ``candidates``, or at ``share`` of all distinct vectors if that is more, so that recall does not fall as the table grows. A query that has fewer than ``enough`` at one symbol compares with all rows. ``chunk`` bounds
-    the rows of a cell that one task holds at once; larger cells are split and meet the query in each part. At most three symbols.
+    The ascent ends at ``candidates`` (with repeats over the trees), or at ``share`` of all distinct vectors if that is more, so that
+    recall does not fall as the table grows; it never goes above one symbol. ``chunk`` bounds
+    the rows of a cell that one task holds at once; larger cells are split and meet the query in each part.
     """
 
     trees: int = 48
-    symbols: int = 3
+    symbols: int = 6
+    axes: int = 32
     candidates: int = 24_000
     share: float = 0.5
-    enough: int = 2_500
     chunk: int = 8_192
     seed: int = 5
 
     def shift(self, length: int) -> int:
         """Bits below a prefix of so many symbols."""
-        return 16 * (self.symbols - length)
+        return BITS * (self.symbols - length)
 
 
 @lru_cache(maxsize=4)
-def rotations(forest: Forest, width: int) -> np.ndarray:
-    """One random matrix for each tree and symbol, side by side."""
-    drawn = np.random.default_rng([forest.seed, width]).standard_normal((forest.trees * forest.symbols, width, width), dtype=np.float32)
-    return np.ascontiguousarray(drawn.transpose(1, 0, 2).reshape(width, -1))
+def projections(forest: Forest, width: int) -> np.ndarray:
+    """One random matrix for each tree and symbol, side by side: 37 kB for each dimension of the vectors by default."""
+    rng = np.random.default_rng([forest.seed, width])
+    return rng.standard_normal((width, forest.trees * forest.symbols * forest.axes), dtype=np.float32)
 
 
 def hash_strings(vectors: np.ndarray, forest: Forest) -> np.ndarray:
-    """Hash string of each vector in each tree, 16 bits a symbol, as one integer."""
+    """Hash string of each vector in each tree, ``BITS`` bits a symbol, as one integer."""
     n, width = vectors.shape
-    turned = (vectors.astype(np.float32) @ rotations(forest, width)).reshape(n, forest.trees, forest.symbols, width)
+    turned = (vectors.astype(np.float32) @ projections(forest, width)).reshape(n, forest.trees, forest.symbols, forest.axes)
     axis = np.abs(turned).argmax(axis=3)
     sign = np.take_along_axis(turned, axis[..., None], axis=3)[..., 0] > 0
     symbols = (2 * axis + sign).astype(np.int64)
     out = np.zeros((n, forest.trees), np.int64)
     for k in range(forest.symbols):
-        out = out << 16 | symbols[:, :, k]
+        out = out << BITS | symbols[:, :, k]
     return out
 
 
@@ -119,10 +122,14 @@ def search(rows: DataFrame, is_query: Column, top: int = 20, forest: Forest = Fo
     keyed = keyed.withColumn("k1", F.xxhash64("vec")).withColumn("k2", F.xxhash64(F.lit(1), "vec")).dropDuplicates(["id", "k1", "k2"])
     vectors = distinct_vectors(keyed, top, forest, kind)
     total = vectors.count()
-    depth = max(1, min(forest.symbols, round(log(max(total / (forest.chunk / 2), 1), 128))))
+    depth = max(1, min(forest.symbols, round(log(max(total / (forest.chunk / 2), 1), 2 * forest.axes))))
     cells = store(_cells(vectors, forest, depth), "neighbour-cells")
     asked = store(_levels(vectors, cells, forest, depth), "neighbour-queries")
-    found = _score(_deal(vectors, asked, cells, forest, depth), top, forest, kind)
+    found = store(_score(_deal(vectors, asked, cells, forest, depth), top, forest, kind), "neighbour-scores")
+    enough = found.groupBy("query").agg(F.count_distinct("rep").alias("n")).filter(F.col("n") >= min(top + 1, total)).select(F.col("query").alias("rep"))
+    short = store(asked.select("rep", "width", "vec").join(enough, "rep", "left_anti"), "neighbour-short")
+    if not short.isEmpty():
+        found = found.unionByName(_score(_deal_root(vectors, short, total, forest), top, forest, kind))
     return _answers(found, vectors, keyed, top)
 
 
@@ -141,7 +148,7 @@ def _cells(vectors: DataFrame, forest: Forest, depth: int) -> DataFrame:
 
 
 def _levels(vectors: DataFrame, cells: DataFrame, forest: Forest, depth: int) -> DataFrame:
-    """rep, hashes, width, vec, levels of each query: the prefix length it uses in each tree, or all 0 for the root.
+    """rep, hashes, width, vec, levels of each query: the prefix length it uses in each tree.
 
     Matches of prefixes shorter than a cell's are sums of cell sizes; longer ones are counted in the cell's sorted strings.
     """
@@ -168,7 +175,7 @@ def _levels(vectors: DataFrame, cells: DataFrame, forest: Forest, depth: int) ->
 
     deep = dealt.mapInArrow(run, "rep long, tree int, counts array<bigint>").groupBy("rep", "tree").agg(*[F.sum(F.col("counts")[i]).alias(f"c{n}") for i, n in enumerate(lengths)])
     for length in range(1, depth):
-        short = cells.groupBy("tree", "width", F.shiftright("cell", 16 * (depth - length)).alias("above")).agg(F.sum("size").alias(f"c{length}"))
+        short = cells.groupBy("tree", "width", F.shiftright("cell", BITS * (depth - length)).alias("above")).agg(F.sum("size").alias(f"c{length}"))
         mine = _strings(vectors.filter("asks"), "width").select("rep", "tree", "width", _prefix("hash", forest, length).alias("above"))
         deep = deep.join(mine.join(short, ["tree", "width", "above"]).select("rep", "tree", f"c{length}"), ["rep", "tree"])
     every = F.sort_array(F.collect_list(F.struct("tree", *[f"c{n}" for n in range(1, forest.symbols + 1)])))
@@ -191,8 +198,6 @@ def _levels(vectors: DataFrame, cells: DataFrame, forest: Forest, depth: int) ->
 def ascend(counts: np.ndarray, forest: Forest, total: int = 0) -> np.ndarray:
     """Prefix length for each tree, from its matches (one column for each length, shortest first) among ``total`` vectors."""
     trees, symbols = counts.shape
-    if counts[:, 0].sum() < forest.enough:
-        return np.zeros(trees, np.int64)
     steps = np.concatenate([[counts[:, -1].sum()]] + [counts[:, n - 1] - counts[:, n] for n in range(symbols - 1, 0, -1)])
     done = int(np.searchsorted(np.cumsum(steps), max(forest.candidates, forest.share * total)))  # single ascents until there are enough
     done = min(done, trees * (symbols - 1))
@@ -214,23 +219,29 @@ def _deal(vectors: DataFrame, asked: DataFrame, cells: DataFrame, forest: Forest
     chunks = cells.select("tree", "width", "cell", "chunks")
     index = strings.join(chunks, ["tree", "width", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     both = F.arrays_zip("hashes", "levels")
-    queries = asked.filter(F.element_at("levels", 1) > 0).select("rep", "width", "vec", F.posexplode(both).alias("tree", "own")).select("rep", "width", "vec", "tree", F.col("own.hashes").alias("hash"), F.col("own.levels").alias("level"))
+    queries = asked.select("rep", "width", "vec", F.posexplode(both).alias("tree", "own")).select("rep", "width", "vec", "tree", F.col("own.hashes").alias("hash"), F.col("own.levels").alias("level"))
     at = [queries.filter(F.col("level") >= depth).withColumn("cell", _prefix("hash", forest, depth)).join(chunks, ["tree", "width", "cell"])]
     for length in range(1, depth):  # a prefix shorter than the cells' own: all cells below it
-        below = chunks.withColumn("above", F.shiftright("cell", 16 * (depth - length)))
+        below = chunks.withColumn("above", F.shiftright("cell", BITS * (depth - length)))
         at.append(queries.filter(F.col("level") == length).withColumn("above", _prefix("hash", forest, length)).join(below, ["tree", "width", "above"]).drop("above"))
     asking = at[0]
     for more in at[1:]:
         asking = asking.unionByName(more)
     asking = asking.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = index.withColumn("kind", F.lit(0)).withColumn("level", F.lit(0)).unionByName(asking.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    at_root = asked.filter(F.element_at("levels", 1) == 0)
-    if not at_root.isEmpty():
-        parts = int(np.ceil(vectors.count() / forest.chunk))
-        common = {"tree": F.lit(ROOT), "cell": F.lit(0).cast("long"), "hash": F.lit(0).cast("long"), "level": F.lit(0)}
-        everything = vectors.select("rep", "width", "vec").withColumns(common).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int")).withColumn("kind", F.lit(0))
-        rest = at_root.select("rep", "width", "vec").withColumns(common).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("kind", F.lit(1))
-        dealt = dealt.drop("chunks").unionByName(everything.unionByName(rest))
+    return _sorted_chunks(dealt, vectors)
+
+
+def _deal_root(vectors: DataFrame, short: DataFrame, total: int, forest: Forest) -> DataFrame:
+    """All rows in chunks, each with the queries that the trees left short."""
+    parts = int(np.ceil(total / forest.chunk))
+    common = {"tree": F.lit(ROOT), "cell": F.lit(0).cast("long"), "hash": F.lit(0).cast("long"), "level": F.lit(0)}
+    everything = vectors.select("rep", "width", "vec").withColumns(common).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int")).withColumn("kind", F.lit(0))
+    asking = short.select("rep", "width", "vec").withColumns(common).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("kind", F.lit(1))
+    return _sorted_chunks(everything.unionByName(asking), vectors)
+
+
+def _sorted_chunks(dealt: DataFrame, vectors: DataFrame) -> DataFrame:
     key = ("tree", "width", "cell", "chunk")
     return dealt.select(*key, "kind", "hash", "rep", "level", "vec").repartition(_partitions(vectors), *key).sortWithinPartitions(*key, "kind", "hash")
 

@@ -199,7 +199,7 @@ def answers(df):
     return out
 
 
-@pytest.mark.parametrize("forest", [neighbours.Forest(enough=200, candidates=2000), neighbours.Forest(trees=24, enough=200, candidates=3000, chunk=128)])
+@pytest.mark.parametrize("forest", [neighbours.Forest(candidates=2000), neighbours.Forest(trees=24, candidates=3000, chunk=128)])
 def test_neighbours_reach_the_recall(spark, forest):
     rng = np.random.default_rng(8)
     centers = rng.standard_normal((40, 32))
@@ -237,6 +237,31 @@ def test_recall_stays_when_the_table_grows():
     assert hits / (20 * len(asked)) > 0.9
 
 
+def test_query_finds_the_neighbours_of_the_table(spark, monkeypatch):
+    """The registered query through the trees alone: nothing here is left to the root."""
+    def no_root(*_):
+        raise AssertionError("the trees found too few")
+
+    monkeypatch.setattr(neighbours, "_deal_root", no_root)
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    got = answers(queries.QUERIES["op1_neighbours"](spark, "/root/testdata/sf0.01"))
+    assert set(got) == {i for i in ids.tolist() if i % 20 == 0}
+    hits = [len({v for v, _ in got[int(ids[q])]} & {v for v, _ in brute_neighbours(ids, vectors, q, 20)}) for q in np.flatnonzero(ids % 20 == 0)]
+    assert np.mean(hits) / 20 >= 0.9
+
+
+def test_a_query_far_from_all_is_answered_by_the_root(spark):
+    rng = np.random.default_rng(4)
+    near = rng.standard_normal(16) + 0.01 * rng.standard_normal((300, 16))
+    alone = -near[0]
+    rows = [(i + 1, v.tolist()) for i, v in enumerate(near)] + [(0, alone.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(neighbours.search(df, F.col("vec_id") == 0))
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    assert [v for v, _ in got[0]] == [v for v, _ in brute_neighbours(ids, vectors, len(rows) - 1, 20)]
+
+
 def test_neighbours_of_equal_bad_and_few_vectors(spark):
     good = [(i, [1.0, 2.0]) for i in range(60)] + [(100, [2.0, 1.0]), (100, [2.0, 1.0])]
     bad = [(200, None), (220, [0.0, 0.0]), (240, [1.0, float("nan")]), (260, [float("inf"), 1.0]), (280, [None, 1.0]), (None, [1.0, 1.0])]
@@ -251,10 +276,10 @@ def test_neighbours_of_equal_bad_and_few_vectors(spark):
 
 
 def test_ascent_stops_at_enough_candidates():
-    forest = neighbours.Forest(trees=3, symbols=2, candidates=10, enough=5)
+    forest = neighbours.Forest(trees=3, symbols=2, candidates=10)
     counts = np.array([[9, 1], [9, 1], [9, 1]])
     assert neighbours.ascend(counts, forest).tolist() == [1, 2, 2]
-    assert neighbours.ascend(np.array([[1, 0]] * 3), forest).tolist() == [0, 0, 0]
+    assert neighbours.ascend(np.array([[1, 0]] * 3), forest).tolist() == [1, 1, 1]
     assert neighbours.ascend(np.array([[2, 1]] * 3), forest).tolist() == [1, 1, 1]
     assert neighbours.ascend(np.array([[50, 20]] * 3), forest).tolist() == [2, 2, 2]
 
@@ -264,7 +289,7 @@ def test_deep_cells_and_short_prefixes(spark):
     rng = np.random.default_rng(9)
     vectors = rng.standard_normal((400, 4))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
-    forest = neighbours.Forest(trees=12, enough=10, candidates=4000, chunk=2)
+    forest = neighbours.Forest(trees=12, candidates=4000, chunk=2)
     got = answers(neighbours.search(df, F.col("vec_id") % 20 == 0, top=5, forest=forest))
     hits = sum(len({v for v, _ in got[q]} & {v for v, _ in brute_neighbours(np.arange(400), vectors, q, 5)}) for q in range(0, 400, 20))
     assert hits / 100 >= 0.9
