@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from datetime import timedelta
 from functools import reduce
+from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..functions.classes import class_compare, class_letter
 from ..functions.keys import has_key
 from ..functions.places import has_location
 from ..functions.times import days_between
 from ..session import materialize
-from .scan import with_cell_facts, _spread_facts, ORD, CELL_COL
 
 DUPLICATE_KEYS = ["start_time", "end_time", "peak_time", "noaa_active_region", "goes_class", "goes_location"]
 
@@ -234,31 +235,57 @@ def climatology(df: DataFrame, day: str = "start_time", peak: str = "peak_time",
     return wide.unpivot([], list(CLIMATOLOGY), "class_group", "share")
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: dict[str, float], cells: int = 256) -> DataFrame:
-    """Exact linear-interpolated quantiles in one row, without gathering the values.
+def exact_quantiles(df: DataFrame, value: str, qs: dict[str, float], pivots: int = 64) -> DataFrame:
+    """Exact linear-interpolated quantiles in one row, by selection in several passes; NULL when there are no values.
 
-    Values are counted first, then ranked by running counts over ``cells`` value cells with about as many distinct values each, whatever
-    their range; each quantile reads the one or two values that hold its rank.
+    A pass takes ``pivots`` values of each interval that still holds a wanted rank as pivots, counts the values between them, and goes on with
+    the part that holds the rank. A pivot is a part of its own, so every pass shortens the interval, whatever the ties. The passes
+    aggregate map-side over a stored column: no value is shuffled, no task holds more than the counts of the parts, and the
+    driver sees at most 2 * ``pivots`` + 1 rows per wanted rank and pass. NaN counts as the greatest value.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    edges = [F.lit(i / cells) for i in range(1, cells)]
-    cuts = counts.agg(F.percentile_approx("__v", F.array(*edges), F.lit(20 * cells)).alias("e")).scalar()
-    counts = counts.withColumn("__cuts", cuts).withColumn("__at", F.size(F.filter("__cuts", lambda e: e <= F.col("__v")))).drop("__cuts")
-    rows = with_cell_facts(counts, [], F.col("__at"), {"__s": F.sum("__c")}, {"__before": ("before", "__s"), "__n": ("sum", "__s")})
-    rows, in_cell = _spread_facts(rows, [], [F.col("__v")])
-    last = F.sum("__c").over(in_cell.rowsBetween(Window.unboundedPreceding, 0)) + F.col("__got.__before") - 1
-    rows = rows.withColumns({"__hi": last, "__n": F.col("__got.__n")}).where(F.col(ORD) == 0)
-    first = F.col("__hi") - F.col("__c") + 1
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= F.col("__hi")), F.col("__v")))
-
+    held = materialize(df.where(F.col(value).isNotNull()).select(F.col(value).alias("__v")), "quantiles")
+    n = held.count()
+    kind = held.schema["__v"].dataType
+    ranks = {r for q in qs.values() for r in (floor((n - 1) * q), ceil((n - 1) * q)) if n}
+    found: dict[int, object] = {}
+    open_parts = {(None, None): (0, ranks)} if n else {}  # (least, greatest value): (values before it, ranks inside)
+    while open_parts:
+        parts = _count_parts(held, kind, list(open_parts), pivots)
+        following: dict = {}
+        for i, (before, wanted) in enumerate(open_parts.values()):
+            for part in parts[i]:
+                inside = {r for r in wanted if before <= r < before + part.n}
+                if inside and part.single:
+                    found |= dict.fromkeys(inside, part.low)
+                elif inside:
+                    following[part.low, part.high] = (before, inside)
+                before += part.n
+        open_parts = following
     out = []
     for name, q in qs.items():
-        spot = (F.col("__n") - 1) * F.lit(q)
-        low, share = at(F.floor(spot)), F.max(spot - F.floor(spot))
-        out.append((low + (at(F.ceil(spot)) - low) * share).alias(name))
-    return rows.agg(*out)
+        spot = (n - 1) * q
+        low, high = (F.lit(found.get(r(spot))).cast(kind) for r in (floor, ceil))
+        out.append((low + (high - low) * F.lit(spot - floor(spot))).alias(name))
+    return df.sparkSession.range(1).select(*out)
+
+
+def _count_parts(held: DataFrame, kind: DataType, intervals: list[tuple], pivots: int) -> list[list[Row]]:
+    """For each interval the counts between and at its pivots, in order: n, low, high, single (only one value)."""
+    v = F.col("__v")
+    inside = [F.lit(True) if low is None else v.between(F.lit(low).cast(kind), F.lit(high).cast(kind)) for low, high in intervals]
+    own = F.coalesce(*[F.when(test, F.lit(i)) for i, test in enumerate(inside)])
+    rows = held.withColumn("__i", own).where(F.col("__i").isNotNull())
+    shares = F.array(*[F.lit(i / pivots) for i in range(1, pivots)])
+    sketched = rows.groupBy("__i").agg(F.array_distinct(F.percentile_approx("__v", shares, 20 * pivots)).alias("cuts"))
+    cuts = {r["__i"]: r.cuts for r in sketched.collect()}
+    arrays = F.array(*[F.array(*[F.lit(c).cast(kind) for c in cuts[i]]) for i in range(len(intervals))])
+    mine = F.get(arrays, F.col("__i"))
+    part = F.size(F.filter(mine, lambda c: c < v)) + F.size(F.filter(mine, lambda c: c <= v))
+    counted = rows.groupBy("__i", part.alias("__p")).agg(F.count("__v").alias("n"), F.min("__v").alias("low"), F.max("__v").alias("high"))
+    out: list[list[Row]] = [[] for _ in intervals]
+    for row in counted.withColumn("single", F.col("low") == F.col("high")).sort("__i", "__p").collect():
+        out[row["__i"]].append(row)
+    return out
 
 
 def distance_summary(df: DataFrame, first: str, second: str) -> DataFrame:

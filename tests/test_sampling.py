@@ -178,3 +178,23 @@ def test_quantiles_of_any_range(spark, scale, shift):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     got = E.exact_quantiles(df, "v", {"a": 0.5, "b": 0.95, "c": 0.0, "d": 1.0}).first()
     assert got == pytest.approx(tuple(np.quantile(values, [0.5, 0.95, 0.0, 1.0])), rel=1e-12)
+
+
+def test_quantiles_of_ties_and_few_values(spark):
+    """One value with nearly all the weight, at either end; a single row; none; NaN as the greatest; a few pivots and many passes."""
+    for values in ([0.0] * 5000 + [1.0, 2.0, 3.0], [9.0] * 5000 + [1.0, 2.0], [4.0], [float(i % 7) for i in range(700)]):
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        got = E.exact_quantiles(df, "v", {"a": 0.5, "b": 0.9997, "c": 0.0, "d": 1.0}, pivots=3).first()
+        assert got == pytest.approx(tuple(np.quantile(values, [0.5, 0.9997, 0.0, 1.0])), rel=1e-12)
+    none = spark.createDataFrame([(None,)], "v double")
+    assert E.exact_quantiles(none, "v", {"a": 0.5}).first().a is None
+    odd = E.exact_quantiles(spark.createDataFrame([(1.0,), (2.0,), (float("nan"),)], "v double"), "v", {"a": 0.5, "b": 1.0}).first()
+    assert odd.a == 2.0 and np.isnan(odd.b)
+
+
+def test_quantiles_shuffle_counts_only(spark):
+    """A pass reads the stored values and shuffles at most a row per part and task, however many distinct values there are."""
+    df = spark.range(0, 400_000, 1, 8).select((F.xxhash64("id") / 1e6).alias("__v"))
+    parts = E._count_parts(df, df.schema["__v"].dataType, [(None, None)], 64)[0]
+    assert len(parts) <= 127 and sum(p.n for p in parts) == 400_000
+    assert max(p.n for p in parts) < 2 * 400_000 / 64
