@@ -51,6 +51,7 @@ def asof_join(
     match_time: str | None = None,
     delta_days: str | None = None,
     cell: timedelta = CELL,
+    most: int | None = None,
 ) -> DataFrame:
     """Every left row with the columns of one right row of the same key, NULL when none fits.
 
@@ -59,16 +60,16 @@ def asof_join(
     earlier and a later row at the same distance: ``later``, ``earlier`` or ``null``; with
     ``null`` several right rows at the chosen time also give NULL.
     ``match_time`` and ``delta_days`` name optional outputs: the time of the right row and its
-    signed distance in days.
+    signed distance in days. ``most`` bounds the rows of a time cell: crowded cells are cut at measured times.
     """
     both = _both_sides(left, right, by, left_on, right_on, cols, unique=tie == "null")
     order = (SIDE, RIGHT)
     source = F.col(RIGHT)
-    if tolerance is not None:
+    if tolerance is not None and most is None:
         scanned = halo_scan(both, by, source, us(tolerance), order=order, cell=cell)
     else:
         want = {"nearest": ("prev", "next"), "prev": ("prev",), "next": ("next",)}[direction]
-        scanned = carry_scan(both, by, {"r": source}, order=order, want=want, cell=cell, sparse=True)
+        scanned = carry_scan(both, by, {"r": source}, order=order, want=want, cell=cell, sparse=True, most=most)
 
     scanned = scanned.where(F.col(SIDE) == 1)
     have = set(scanned.columns)
@@ -105,11 +106,11 @@ def asof_join(
 
 def between_join(
     left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, *, start: str = "slot", following: str = "next_slot",
-    cell: timedelta = CELL,
+    cell: timedelta = CELL, most: int | None = None,
 ) -> DataFrame:
     """Left rows with the right times around them: ``start <= left_on < following``; NULL outside."""
     both = _both_sides(left, right, by, left_on, right_on, [], unique=False)
-    scanned = carry_scan(both, by, {"r": F.col(RIGHT)}, order=(SIDE, RIGHT), cell=cell, sparse=True).where(F.col(SIDE) == 1)
+    scanned = carry_scan(both, by, {"r": F.col(RIGHT)}, order=(SIDE, RIGHT), cell=cell, sparse=True, most=most).where(F.col(SIDE) == 1)
     return scanned.select(
         f"{LEFT}.*",
         F.when(F.col(T).isNotNull(), F.col(f"prev_r.v.{RIGHT}.__ts")).alias(start),

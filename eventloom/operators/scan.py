@@ -6,6 +6,9 @@ and every window runs over (key, cell). What a cell needs from the cells around
 extra boundary rows, computed from one summary row per (key, cell). The only window over a
 whole key runs on those summary rows: at most time span / cell width of them per key,
 however many rows the key has.
+
+Cells of one width suit evenly spread rows. With ``most`` the cells are measured: one that holds more rows is cut at quantiles
+of its times, so a burst inside one cell is several tasks, too.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import cell_start, micros
+from ..session import materialize
 
 CELL = timedelta(hours=12)
 T, CELL_COL, ORD = "__t", "__cell", "__ord"
@@ -28,6 +32,47 @@ def _cell(rows: DataFrame, width: timedelta) -> Column:
     return F.coalesce(cell_start(F.col(T), width), scattered)
 
 
+def measured_cells(rows: DataFrame, by: list[str], most: int, pieces: int = 64) -> DataFrame:
+    """``rows`` with the cells in ``__cell`` that hold more than ``most`` rows cut into cells of about equal row counts.
+
+    Crowded cells are counted, their times ``__t`` sketched, and the cuts kept as a stored boundary table with one row per crowded cell, until no cell
+    is crowded; a round cuts a cell into at most ``pieces`` parts and the times at the cuts, which are cells of their own. A single
+    instant stays one cell, however many rows it has. Cells still grow with time. Without crowded cells the cost is one count.
+    """
+    key = [*by, CELL_COL]
+    shares = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+    while True:
+        sizes = rows.where(F.col(T).isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.min(T).alias("__lo"), F.max(T).alias("__hi"))
+        crowded = materialize(sizes.where((F.col("__n") > most) & (F.col("__lo") < F.col("__hi"))).select(*key, "__n"), "crowded-cells")
+        if crowded.isEmpty():
+            return rows
+        times = _join_cells(rows.select(*key, T), crowded, key, "inner").where(F.col(T).isNotNull())
+        sketched = times.groupBy(*key, "__n").agg(F.percentile_approx(T, shares, 20 * pieces).alias("__q"))
+        parts = F.least(F.ceil(F.col("__n") / most), F.lit(pieces))
+        picked = F.transform(F.sequence(F.lit(1).cast("long"), parts - 1), lambda i: F.element_at("__q", F.floor(i * pieces / parts).cast("int")))
+        edges = F.array_distinct(F.flatten(F.transform(picked, lambda c: F.array(c, c + 1))))
+        cuts = materialize(sketched.select(*key, edges.alias("__cuts")), "cell-cuts")
+        placed = _join_cells(rows, cuts, key, "left")
+        cut = F.array_max(F.filter("__cuts", lambda c: c <= F.col(T)))
+        rows = placed.withColumn(CELL_COL, F.coalesce(cut, CELL_COL)).drop("__cuts")
+
+
+def _join_cells(rows: DataFrame, cells: DataFrame, key: list[str], how: str) -> DataFrame:
+    """Join on (key, cell), where a missing key equals a missing key."""
+    named = cells.withColumnsRenamed({c: f"__k_{c}" for c in key})
+    same = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in key]
+    return rows.join(named, same, how).drop(*[f"__k_{c}" for c in key])
+
+
+def _timed_cells(df: DataFrame, by: list[str], on: str, cell: timedelta, most: int | None) -> tuple[DataFrame, Column]:
+    """``df`` and the cell of its rows, measured if ``most`` is given."""
+    start = cell_start(micros(F.col(on)), cell)
+    if most is None:
+        return df, start
+    timed = df.withColumns({T: micros(F.col(on)), CELL_COL: start})
+    return measured_cells(timed, by, most).drop(T), F.col(CELL_COL)
+
+
 def _desc(names: list[str]) -> list[Column]:
     return [F.col(n).desc() for n in names]
 
@@ -42,6 +87,7 @@ def carry_scan(
     want: tuple[str, ...] = ("prev", "next"),
     cell: timedelta = CELL,
     sparse: bool = False,
+    most: int | None = None,
 ) -> DataFrame:
     """Latest earlier and earliest later non-NULL value of each source, per row.
 
@@ -49,11 +95,14 @@ def carry_scan(
     ``s`` the result has ``prev_s`` and/or ``next_s``, structs of (t, order columns, v).
     With ``inclusive`` a row's own value counts for ``prev``; ``next`` then starts after it.
     ``sparse`` suits sources that are NULL on most rows: the summary then sorts only rows with a value.
+    ``most`` cuts cells with more rows than that (``measured_cells``).
     """
     key = [*by, CELL_COL]
     sort = [T, *order]
     slots = {name: f"__src_{name}" for name in sources}
     base = rows.withColumn(CELL_COL, _cell(rows, cell))
+    if most is not None:
+        base = measured_cells(base, by, most)
     for name, value in sources.items():
         packed = F.struct(*[F.col(c) for c in sort], value.alias("v"))
         base = base.withColumn(slots[name], F.when(value.isNotNull(), packed))
@@ -114,11 +163,11 @@ def halo_scan(
 
 def neighbours(
     df: DataFrame, by: list[str], on: str, cols: list[str], *, order: tuple[str, ...] = (),
-    want: tuple[str, ...] = ("prev", "next"), cell: timedelta = CELL,
+    want: tuple[str, ...] = ("prev", "next"), cell: timedelta = CELL, most: int | None = None,
 ) -> DataFrame:
     """Columns of the row before and after, as ``prev_<col>`` and ``next_<col>``."""
     packed = F.struct(*cols)
-    out = carry_scan(df.withColumn(T, micros(F.col(on))), by, {"r": packed}, order=order, inclusive=False, want=want, cell=cell)
+    out = carry_scan(df.withColumn(T, micros(F.col(on))), by, {"r": packed}, order=order, inclusive=False, want=want, cell=cell, most=most)
     for direction in want:
         out = out.withColumns({f"{direction}_{c}": F.col(f"{direction}_r.v.{c}") for c in cols})
     return out.drop(T, *[f"{d}_r" for d in want])
@@ -178,21 +227,26 @@ def ranked(
     )
 
 
-def positions(df: DataFrame, by: list[str], on: str, *, tie: tuple[str, ...] = (), cell: timedelta = CELL, pos: str = "pos", total: str = "n") -> DataFrame:
+def positions(
+    df: DataFrame, by: list[str], on: str, *, tie: tuple[str, ...] = (), cell: timedelta = CELL, pos: str = "pos", total: str = "n",
+    most: int | None = None,
+) -> DataFrame:
     """0-based row position in time order and the length of the series."""
-    return ranked(df, by, cell_start(micros(F.col(on)), cell), [on, *tie], pos=pos, total=total)
+    df, cells = _timed_cells(df, by, on, cell, most)
+    return ranked(df, by, cells, [on, *tie], pos=pos, total=total)
 
 
 def running_sum(
     df: DataFrame, by: list[str], on: str, value: Column, out: str, *, tie: tuple[str, ...] = (), total: str | None = None,
-    cell: timedelta = CELL,
+    cell: timedelta = CELL, most: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the key up to this row."""
     based = df.withColumn("__value", value)
     combine = {"__before": ("before", "__sum")}
     if total:
         combine[total] = ("sum", "__sum")
-    rows = with_cell_facts(based, by, cell_start(micros(F.col(on)), cell), {"__sum": F.sum("__value")}, combine)
+    based, cells = _timed_cells(based, by, on, cell, most)
+    rows = with_cell_facts(based, by, cells, {"__sum": F.sum("__value")}, combine)
     rows, in_cell = _spread_facts(rows, by, [F.col(on), *[F.col(c) for c in tie]])
     inside = F.coalesce(F.sum("__value").over(in_cell.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
     rows = rows.withColumn(out, inside + F.col("__got.__before"))

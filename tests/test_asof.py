@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators.asof import asof_join, between_join
-from eventloom.operators.scan import neighbours, positions, running_sum
+from eventloom.operators.scan import CELL_COL, T, measured_cells, neighbours, positions, running_sum
 
 T0 = datetime(2020, 1, 1)
 LEFT = "lid long, k long, t timestamp_ntz"
@@ -121,3 +121,40 @@ def test_missing_keys_match_nothing(spark, direction, tolerance):
     right = spark.createDataFrame([(10, None, at(4)), (11, 7, at(4)), (12, 7, at(6)), (13, None, at(6))], RIGHT)
     got = {r.lid: r.rid for r in asof_join(left, right, ["k"], "t", "rt", ["rid"], direction=direction, tolerance=tolerance).collect()}
     assert got == {1: None, 2: 11 if direction == "prev" else 12, 3: None}
+
+
+def burst(spark, n=40_000):
+    """Key 1 holds nearly all rows, 90 percent of them inside one hour, 5 percent at one instant."""
+    i, spread = F.col("id"), F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
+    seconds = F.when(i % 20 == 0, F.lit(1800.0)).when(i % 20 == 1, spread * 30 * 86400).otherwise(spread * 3600)
+    at = F.timestamp_micros((F.lit(1_577_836_800_000_000) + seconds * 1_000_000).cast("long")).cast("timestamp_ntz")
+    return spark.range(0, n, 1, 8).select(i.alias("lid"), F.when(i % 1000 == 1, F.lit(2)).otherwise(F.lit(1)).cast("long").alias("k"), at.alias("t"))
+
+
+def test_measured_cells_divide_a_burst(spark):
+    rows = burst(spark).withColumn(T, F.unix_micros(F.col("t").cast("timestamp"))).withColumn(CELL_COL, F.col(T) - F.pmod(F.col(T), F.lit(43_200_000_000)))
+    cut = measured_cells(rows, ["k"], 500)
+    cells = cut.groupBy("k", CELL_COL).agg(F.count("*").alias("n"), F.min(T).alias("lo"), F.max(T).alias("hi")).collect()
+    assert sum(c.n for c in cells) == 40_000 and max(c.n for c in cells if c.lo < c.hi) <= 500
+    for key in (1, 2):  # cells grow with time and do not overlap
+        mine = sorted((c[CELL_COL], c.lo, c.hi) for c in cells if c.k == key)
+        assert all(a[2] < b[1] for a, b in zip(mine, mine[1:]))
+    tasks = cut.repartition(8, "k", CELL_COL).groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r["count"] for r in tasks)
+    assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+
+
+@pytest.mark.parametrize("tolerance", [None, timedelta(minutes=2)])
+def test_asof_over_a_burst_equals_plain_cells(spark, tolerance):
+    left = burst(spark, 6000)
+    right = left.where("lid % 3 = 0").select((F.col("lid") + 100_000).alias("rid"), "k", (F.col("t") + F.expr("interval 1 second")).alias("rt"))
+    measured = asof_join(left, right, ["k"], "t", "rt", ["rid"], tolerance=tolerance, most=100)
+    plain = asof_join(left, right, ["k"], "t", "rt", ["rid"], tolerance=tolerance)
+    assert measured.exceptAll(plain).count() == 0 and plain.exceptAll(measured).count() == 0
+
+
+def test_positions_and_sums_over_a_burst(spark):
+    rows = burst(spark, 6000).unionByName(spark.createDataFrame([(i, None, at(i % 7)) for i in range(300)], LEFT))
+    for make in (lambda m: positions(rows, ["k"], "t", tie=("lid",), most=m), lambda m: running_sum(rows, ["k"], "t", F.col("lid"), "s", tie=("lid",), most=m)):
+        measured, plain = make(50), make(None)
+        assert measured.columns == plain.columns and measured.exceptAll(plain).count() == 0 and measured.count() == 6300
