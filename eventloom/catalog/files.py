@@ -214,7 +214,7 @@ def stored_dataset(t):
 
 @query("write_dataset", "S14 R7", "SELECT upper(sp) || CASE WHEN flaring THEN '-F' ELSE '-NF' END AS role, sample_id AS item FROM validsplit WHERE rn <= least(f, q)")
 def _(t):
-    return t.spark.read.parquet(f"{stored_dataset(t)}/manifest")
+    return RD.read_manifest(t.spark, stored_dataset(t))
 
 
 @query("read_dataset", "S15", "SELECT v.sample_id, s.price FROM validsplit v JOIN samples s ON v.sample_id = s.sample_id WHERE rn <= least(f, q) AND sp = 'train' AND v.flaring")
@@ -252,8 +252,7 @@ def _(t):
     WR.write_match_report(H.match_reports(t.goes.select("id", "goes_class"), by_key(t), by_place(t), "user_id", own_pairs=own), path)
     listed = F.array_join(F.array_sort(F.transform("series", lambda k: k.cast("string"))), ",")
     out = None
-    for name in (*LISTS, *REPORTS):
-        rows = t.spark.read.parquet(f"{path}/{name}")
+    for name, rows in RD.read_match_report(t.spark, path, (*LISTS, *REPORTS)).items():
         rows = rows.select(F.lit(name).alias("report"), "id", (F.col("goes_class") if "goes_class" in rows.columns else F.lit(None).cast("string")).alias("goes_class"), listed.alias("series"))
         out = rows if out is None else out.unionByName(rows)
     return out

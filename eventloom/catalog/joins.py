@@ -47,6 +47,15 @@ def _(t):
     return out.withColumn("delta_days", F.round("delta_days", 9) + F.lit(0.0))
 
 
+@query("asof_measured_cells", "J1", """
+SELECT g.id, h.hts AS match_time FROM goes g ASOF LEFT JOIN (SELECT DISTINCT hts FROM header) h ON g.start_time >= h.hts""")
+def _(t):
+    """All events and all header rows under one key, in cells of at most 200 rows."""
+    one = F.lit(1).alias("axis")
+    left, right = t.goes.select(one, "id", "start_time"), t.header.select(one, "hts")
+    return A.asof_join(left, right, ["axis"], "start_time", "hts", [], direction="prev", match_time="match_time", most=200).select("id", "match_time")
+
+
 @query("attach_header_checked", "J1", """
 SELECT g.user_id, g.start_time AS ts, (SELECT arg_min(h.hid, abs(epoch_us(h.hts) - epoch_us(g.start_time))) FROM header h
                          WHERE h.user_id = g.user_id AND abs(epoch_us(h.hts) - epoch_us(g.start_time)) <= 21600000000) AS hid

@@ -4,10 +4,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-
 from ..operators import history as H
 from ..operators import interval as I
 from ..operators import series as S
+from ..operators.scan import positions
 from .registry import query
 from .scalars import candidate_numbers
 from .tables import CTES, HOUR, R, r6
@@ -22,6 +22,14 @@ def _(t):
     return S.regrid(t.hourly, U, "ts", HOUR).select("user_id", "ts", r6(F.col("p_avg")).alias("p_avg"), "p_max", "p_n")
 
 
+@query("positions_measured_cells", "J1 W9", """
+SELECT id, row_number() OVER (ORDER BY start_time, id) - 1 AS pos, count(*) OVER () AS n FROM goes WHERE start_time IS NOT NULL""")
+def _(t):
+    """Place of every event among all events: one key, in cells of at most 200 rows."""
+    rows = t.goes.where(F.col("start_time").isNotNull()).select(F.lit(1).alias("axis"), "id", "start_time")
+    return positions(rows, ["axis"], "start_time", tie=("id",), most=200).select("id", "pos", "n")
+
+
 ODD = "date_diff('hour', first_ts, last_ts) % 2 <> 0"
 
 

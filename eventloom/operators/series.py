@@ -174,16 +174,16 @@ def _has_place(series: DataFrame) -> bool:
     return {"pos", "n"} <= set(series.columns)
 
 
-def _placed(series: DataFrame, by: list[str], on: str, cell: timedelta = CELL) -> DataFrame:
+def _placed(series: DataFrame, by: list[str], on: str, cell: timedelta = CELL, most: int | None = None) -> DataFrame:
     """Series with ``pos`` and ``n``, computed only when they are not there yet."""
-    return series if _has_place(series) else positions(series, by, on, cell=cell)
+    return series if _has_place(series) else positions(series, by, on, cell=cell, most=most)
 
 
-def interpolate_linear(series: DataFrame, by: list[str], on: str, cols: list[str], cell: timedelta = CELL) -> DataFrame:
-    """Gaps filled linearly by row position, then forward, then backward."""
-    placed = _placed(series, by, on, cell).withColumn(T, micros(F.col(on)))
+def interpolate_linear(series: DataFrame, by: list[str], on: str, cols: list[str], cell: timedelta = CELL, most: int | None = None) -> DataFrame:
+    """Gaps filled linearly by row position, then forward, then backward; ``most`` bounds the rows of a time cell."""
+    placed = _placed(series, by, on, cell, most).withColumn(T, micros(F.col(on)))
     sources = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("pos").alias("p"), F.col(c).alias("x"))) for c in cols}
-    scanned = carry_scan(placed, by, sources, cell=cell)
+    scanned = carry_scan(placed, by, sources, cell=cell, most=most)
 
     def filled(c: str) -> Column:
         a, b = F.col(f"prev_{c}.v"), F.col(f"next_{c}.v")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..functions.keys import KEY_OFFSET, numeric_coerce
 from ..functions.places import parse_compass
 from ..functions.times import parse_time
 from .schemas import HEADER_FIELDS, REGION_FIXED_WIDTH, SERIES_RAW, text_schema
+from .versions import current_version
 
 TIME_COLUMNS = ("start_time", "peak_time", "end_time")
 DEFAULT_TIME = "yyyyMMdd_HHmmss"
@@ -203,8 +206,19 @@ def read_flux_series(spark: SparkSession, path: str, fmt: str = "spaced") -> Dat
 
 
 def read_dataset(spark: SparkSession, path: str, split: str | None = None, label: str | None = None) -> DataFrame:
-    """A written dataset, or one of its roles by partition pruning."""
-    rows = spark.read.parquet(f"{path}/rows")
+    """The current version of a written dataset, or one of its roles by partition pruning."""
+    rows = spark.read.parquet(f"{current_version(spark, path)}/rows")
     if split is not None:
         rows = rows.where(F.col("split") == split)
     return rows if label is None else rows.where(F.col("role") == label)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Role and item of every row of the current version of a dataset."""
+    return spark.read.parquet(f"{current_version(spark, path)}/manifest")
+
+
+def read_match_report(spark: SparkSession, path: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Named tables of the current version of the match reports."""
+    folder = current_version(spark, path)
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
