@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.places import advance_centroid, distance
-from ..functions.times import cell_start, days_between, floor_time, micros, us
+from ..functions.times import DAY_US, cell_start, days_between, micros, us
 from ..session import materialize
+from . import sphere
 from .asof import asof_join
 from .scan import neighbours
 
@@ -388,75 +389,76 @@ def pre_event_window(
     return rows.join(ev, [*by, "__cell"]).where(hit).drop("__cell", "__peak")
 
 
-def _deg_cells(low: Column, high: Column, size: int) -> Column:
-    return F.sequence(F.floor(low / size).cast("int"), F.floor(high / size).cast("int"))
+BOX = ["lat_min", "lat_max", "lon_min", "lon_max"]
+LATS, LONS = ("lat_min", "lat_max"), ("lon_min", "lon_max")
+
+
+def _boxes(df: DataFrame, *keep: str | Column, slack: float = 0.0, wrap: bool = False) -> DataFrame:
+    """Rows whose box is given in full, widened by ``slack``, as doubles."""
+    south, north, west, east = (F.col(c).cast("double") for c in BOX)
+    east = sphere.unwrapped(west, east) if wrap else east
+    edges = [south - slack, north + slack, west - slack, east + slack]
+    return df.where(placed(*BOX)).select(*keep, *[e.alias(c) for e, c in zip(edges, BOX)])
+
+
+def region_candidates(
+    series: DataFrame, regions: DataFrame, by: list[str], on: str, window: timedelta, slack: float, wrap: bool = False
+) -> DataFrame:
+    """Boxes and the region records that share their cell: time cells of a quarter of ``window``, and cells of the box's size.
+
+    The few records are listed under the times they count for, each with the stretch that the region passes in that time.
+    """
+    step = window / 4
+    boxes = sphere.box_corners(_boxes(series, *by, on, slack=slack, wrap=wrap), LATS, LONS, wrap).withColumn("__tc", cell_start(micros(F.col(on)), step))
+    at = micros(F.col("__at"))
+    points = regions.where(placed("lat", "lon")).select("region", F.col("ar_time").alias("__at"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"))
+    cells = F.sequence(cell_start(at - us(window) + 1, step), cell_start(at + us(window), step), F.lit(us(step)))
+    points = points.withColumn("__tc", F.explode(cells))
+    ends = [advance_centroid(F.col("__lon"), F.col("__lat"), (F.col("__tc") + late - at) / float(DAY_US)) for late in (0, us(step))]
+    points = sphere.corner_cells(points, F.col("__lat"), F.least(*ends), F.greatest(*ends), sphere.shapes(boxes), wrap)
+    return boxes.join(points, ["__tc", *sphere.CELL]).drop("__tc", *sphere.CELL)
 
 
 def regions_in_box(
     series: DataFrame, regions: DataFrame, by: list[str], on: str, window: timedelta = timedelta(hours=12), slack: float = 3.0,
-    out: str = "region_numbers", degrees: int = 20, keyed: DataFrame | None = None,
+    out: str = "region_numbers", keyed: DataFrame | None = None, wrap: bool = False,
 ) -> DataFrame:
     """Numbers of the region records in ``[t - window, t + window)`` inside each row's box widened by ``slack``, ``;``-joined.
 
-    Rows and records meet on the days the window touches, then the exact times decide; a record counts as
-    often as it is listed. Latitude and longitude cells keep regions and boxes apart that cannot
-    meet; the longitude cells allow for the greatest rotation inside the window. With ``keyed``
-    series that have no entry there get an empty text.
+    A record counts as often as it is listed, at the place to which rotation has moved it by ``t``. Boxes with a missing edge hold nothing.
+    With ``keyed`` series that have no entry there get an empty text. Longitudes are plain numbers; with ``wrap`` they are
+    angles, so that 180 and -180 are one meridian and a box whose ``lon_min`` is above its ``lon_max`` lies across it.
     """
-    day = timedelta(days=1)
-    drift = 14.2 * (window / day)
-    boxes = series.select(*by, on, "lat_min", "lat_max", "lon_min", "lon_max").dropna()
-    if keyed is not None:
-        boxes = boxes.join(keyed.select(*by).distinct(), by, "left_semi")
-    first, last = floor_time(F.col(on) - F.lit(window), day), floor_time(F.col(on) + F.lit(window) - F.lit(timedelta(microseconds=1)), day)
-    boxes = (
-        boxes.withColumn("__day", F.explode(F.sequence(first, last, F.lit(day))))
-        .withColumn("__la", F.explode(_deg_cells(F.col("lat_min") - slack, F.col("lat_max") + slack, degrees)))
-        .withColumn("__lo", F.explode(_deg_cells(F.col("lon_min") - slack - drift, F.col("lon_max") + slack + drift, degrees)))
-    )
-    points = regions.select(
-        "region", F.col("ar_time").alias("__at"), floor_time(F.col("ar_time"), day).alias("__day"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"),
-        F.floor(F.col("lat") / degrees).cast("int").alias("__la"), F.floor(F.col("lon") / degrees).cast("int").alias("__lo"),
-    )
-    pairs = boxes.join(points, ["__day", "__la", "__lo"])
+    boxed = series if keyed is None else series.join(keyed.select(*by).distinct(), by, "left_semi")
+    pairs = region_candidates(boxed, regions, by, on, window, slack, wrap)
     lon_at = advance_centroid(F.col("__lon"), F.col("__lat"), days_between(F.col(on), F.col("__at")))
     during = (F.col("__at") >= F.col(on) - F.lit(window)) & (F.col("__at") < F.col(on) + F.lit(window))
-    inside = during & F.col("__lat").between(F.col("lat_min") - slack, F.col("lat_max") + slack) & lon_at.between(
-        F.col("lon_min") - slack, F.col("lon_max") + slack
-    )
+    inside = during & sphere.in_box(F.col("__lat"), lon_at, LATS, LONS, wrap)
     found = pairs.where(inside).groupBy(*by, on).agg(F.concat_ws(";", F.sort_array(F.collect_list("region"))).alias(out))
     return series.join(found, [*by, on], "left").withColumn(out, F.coalesce(out, F.lit("")))
 
 
 def match_by_location(
-    events: DataFrame, series: DataFrame, by: list[str], on: str, width: timedelta = timedelta(hours=6), degrees: int = 30,
+    events: DataFrame, series: DataFrame, by: list[str], on: str, width: timedelta = timedelta(minutes=1), wrap: bool = False,
 ) -> DataFrame:
     """(event id, series key) pairs: the event overlaps the series' lifetime and lies in the box
     of the series row nearest to the event start (the later row on ties).
 
-    A row is nearest for starts between the midpoints to its neighbours, so each row with a
-    box becomes a small region of time, latitude and longitude, and events are looked up
-    in it by cell. Starts before the first row belong to the first row.
-    ``events``: id, start_time, end_time, lat, lon. ``series``: lat_min, lat_max, lon_min, lon_max.
+    A row is nearest for starts between the midpoints to its neighbours, so each row with a whole box becomes a small region of time,
+    latitude and longitude. It lies under one cell, that of its first instant and low corner on the levels of its size (times: ``width`` * 2^level),
+    and events look at the cells in which such a corner can lie. Starts before the first row belong to the first row.
+    ``events``: id, start_time, end_time, lat, lon. ``series``: lat_min, lat_max, lon_min, lon_max. For ``wrap`` see ``regions_in_box``.
     """
-    box = ["lat_min", "lat_max", "lon_min", "lon_max"]
-    rows = series.select(*by, F.col(on).alias("__ts"), *box).where(F.col("lat_min").isNotNull())
+    parts = 2
+    rows = _boxes(series, *by, F.col(on).alias("__ts"), wrap=wrap)
     lifetimes = rows.groupBy(*by).agg(
-        F.min("__ts").alias("__first"), F.max("__ts").alias("__last"), F.min(F.struct("__ts", *box)).alias("__row")
+        F.min("__ts").alias("__first"), F.max("__ts").alias("__last"), F.min(F.struct("__ts", *BOX)).alias("__row")
     )
-    where_ = ["__tc", "__la", "__lo"]
-    ev = events.select("id", "start_time", "end_time", "lat", "lon").where(placed("lat", "lon"))
-    ev = ev.withColumns({
-        "__la": F.floor(F.col("lat") / degrees).cast("int"),
-        "__lo": F.floor(F.col("lon") / degrees).cast("int"),
-        "__s": micros(F.col("start_time")),
-    })
-    inside = F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("lon").between(F.col("lon_min"), F.col("lon_max"))
+    ev = events.select("id", "start_time", "end_time", "lat", "lon", micros(F.col("start_time")).alias("__s")).where(placed("lat", "lon"))
+    inside = sphere.in_box(F.col("lat"), F.col("lon"), LATS, LONS, wrap)
 
-    def in_degree_cells(df: DataFrame) -> DataFrame:
-        return df.withColumn("__la", F.explode(_deg_cells(F.col("lat_min"), F.col("lat_max"), degrees))).withColumn(
-            "__lo", F.explode(_deg_cells(F.col("lon_min"), F.col("lon_max"), degrees))
-        )
+    def looking(df: DataFrame, found: Column) -> DataFrame:
+        return sphere.corner_cells(df, F.col("lat").cast("double"), F.col("lon").cast("double"), F.col("lon").cast("double"), found, wrap, parts)
 
     near = neighbours(rows, by, "__ts", ["__ts"])
     t, before, after = micros(F.col("__ts")), micros(F.col("prev___ts")), micros(F.col("next___ts"))
@@ -464,20 +466,24 @@ def match_by_location(
         "__from": F.coalesce(F.ceil((before + t) / 2), t),
         "__to": F.coalesce(F.ceil((t + after) / 2) - 1, t),
     })
-    cells = F.sequence(cell_start(F.col("__from"), width), cell_start(F.col("__to"), width), F.lit(us(width)))
-    near = in_degree_cells(near.select(*by, *box, "__from", "__to", F.explode(cells).alias("__tc")))
-    during = ev.withColumn("__tc", cell_start(F.col("__s"), width)).join(near, where_).where(
-        inside & F.col("__s").between(F.col("__from"), F.col("__to"))
-    )
-    opening = in_degree_cells(
-        lifetimes.select(*by, "__row.*").withColumn("__tc", cell_start(micros(F.col("__ts")), width))
-    )
-    early = (
-        ev.where(F.col("end_time") >= F.col("start_time"))
-        .withColumn("__tc", F.explode(_cells(F.col("start_time"), F.col("end_time"), width)))
-        .join(opening, where_)
-        .where(inside & (F.col("start_time") < F.col("__ts")) & (F.col("end_time") >= F.col("__ts")))
+    longer = (F.col("__to") - F.col("__from")) / us(width)
+    near = near.select(*by, *BOX, "__from", "__to", F.greatest(F.ceil(F.log2(F.greatest(longer, F.lit(1.0)))), F.lit(0)).cast("int").alias("__t_level"))
+    size = F.lit(us(width)) * F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__t_level"))
+    near = materialize(sphere.box_corners(near, LATS, LONS, wrap, parts), "row-boxes").withColumn("__tc", F.col("__from") - F.pmod(F.col("__from"), size))
+    earliest = F.col("__s") - size
+    starts = F.sequence(earliest - F.pmod(earliest, size), F.col("__s") - F.pmod(F.col("__s"), size), size)
+    during = (
+        looking(ev, sphere.shapes(near, "__t_level"))
+        .withColumn("__tc", F.explode(starts))
+        .join(near, ["__t_level", "__tc", *sphere.CELL])
+        .where(inside & F.col("__s").between(F.col("__from"), F.col("__to")))
     )
+    opening = sphere.box_corners(lifetimes.select(*by, "__row.*"), LATS, LONS, wrap, parts).withColumn("__te", F.col("__ts"))
+    early = ev.where(F.col("end_time") >= F.col("start_time"))
+    early = overlap_pairs(
+        looking(early, sphere.shapes(opening)), opening.withColumnsRenamed({c: f"{c}_of" for c in sphere.CELL}),
+        ("start_time", "end_time"), ("__ts", "__te"), [(c, f"{c}_of") for c in sphere.CELL], "both",
+    ).where(inside & (F.col("start_time") < F.col("__ts")))
     out = ["id", *by, "start_time", "end_time"]
     hits = during.select(*out).unionByName(early.select(*out))
     alive = overlaps(F.col("start_time"), F.col("end_time"), F.col("__first"), F.col("__last"), "both")

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.functions.places import ROTATION_A, ROTATION_B, ROTATION_C
 from eventloom.operators import interval as I
 from eventloom.operators.series import slot_flux_stats, slot_stats_join
 
@@ -279,3 +280,75 @@ def test_closest_pairs_equal_all_pairs_and_stay_few(spark, monkeypatch):
     assert sum(made) < 50 * 20_000
     px, py, qx, qy = (np.array([e[k] for e in s]) for s in (a, b) for k in (5, 6))
     assert one.d2 == min(((px - x) ** 2 + (py - y) ** 2).min() for x, y in zip(qx, qy))
+
+
+def boxes_and_regions(spark, boxes, regions):
+    s = spark.createDataFrame(boxes, "k long, ts timestamp_ntz, lat_min double, lat_max double, lon_min double, lon_max double")
+    return s, spark.createDataFrame(regions, "region long, ar_time timestamp_ntz, lat double, lon double")
+
+
+def moved(lon, lat, days):
+    s2 = math.sin(math.radians(lat)) ** 2
+    return lon + (ROTATION_A + ROTATION_B * s2 + ROTATION_C * s2 * s2) * days
+
+
+def test_boxes_across_the_border(spark):
+    rnd, w = random.Random(11), timedelta(hours=12)
+    boxes, regions = [], []
+    for k in range(150):
+        la, lo, high, wide = rnd.uniform(-60, 40), rnd.uniform(-180, 180), rnd.choice([0.0, 5.0, 30.0]), rnd.choice([0.0, 8.0, 50.0, 200.0, 350.0])
+        boxes.append((k, at(rnd.randrange(0, 3000)), la, la + high, lo, lo + wide - (360 if lo + wide > 180 else 0)))
+    boxes += [(900, at(50), None, 1.0, 0.0, 1.0), (901, at(50), 0.0, float("nan"), 0.0, 1.0), (902, at(50), 50.0, -50.0, 0.0, 90.0), (903, None, 0.0, 1.0, 0.0, 1.0)]
+    for i in range(600):
+        regions.append((11000 + i, at(rnd.randrange(0, 3000)), rnd.uniform(-65, 75), rnd.uniform(-180, 180)))
+    regions += [(12000, at(100), float("nan"), 0.0), (12001, at(100), 0.0, None), (12002, None, 0.0, 0.0)]
+    s, r = boxes_and_regions(spark, boxes, regions)
+    for wrap in (False, True):
+        got = {x.k: x.region_numbers for x in I.regions_in_box(s, r, ["k"], "ts", window=w, slack=1.0, wrap=wrap).collect()}
+        hits = 0
+        for k, t, south, north, west, east in boxes[:150]:
+            east += 360 if wrap and east < west else 0
+            want = []
+            for n, t0, la, lo in regions[:600]:
+                if t - w <= t0 < t + w and south - 1 <= la <= north + 1:
+                    lo = moved(lo, la, (t - t0) / timedelta(days=1))
+                    if any(west - 1 <= lo + 360 * j <= east + 1 for j in ((-2, -1, 0, 1, 2) if wrap else (0,))):
+                        want.append(n)
+            hits += len(want)
+            assert got[k] == ";".join(map(str, want)), (k, wrap)
+        assert hits > 300 and all(got[k] == "" for k in (900, 901, 902, 903))
+
+
+def test_a_crowded_cell_meets_few_regions_in_vain(spark):
+    rnd = random.Random(12)
+    boxes, regions = [], []
+    for k in range(3000):
+        la, lo, high, wide = rnd.uniform(0, 15), rnd.uniform(0, 15), rnd.uniform(2, 12), rnd.uniform(4, 25)
+        boxes.append((k, at(rnd.randrange(600, 900)), la, la + high, lo, lo + wide))
+    for i in range(300):
+        regions.append((11000 + i, at(rnd.randrange(0, 1500)), rnd.uniform(-5, 30), rnd.uniform(-5, 40)))
+    s, r = boxes_and_regions(spark, boxes, regions)
+    window, slack = timedelta(hours=12), 3.0
+    met = I.region_candidates(s, r, ["k"], "ts", window, slack).count()
+    got = I.regions_in_box(s, r, ["k"], "ts", window, slack).collect()
+    hits = sum(len(x.region_numbers.split(";")) for x in got if x.region_numbers)
+    assert hits > 10_000 and met < 4 * hits
+
+
+def test_location_match_across_the_border(spark):
+    rnd = random.Random(13)
+    rows = [(k, at(60 * i), la, la + 10.0, lo, lo + 30.0 - (360 if lo + 30 > 180 else 0)) for k in range(12) for la, lo in [(rnd.uniform(-40, 30), rnd.uniform(-180, 180))] for i in range(5)]
+    events = [(i, at(s), at(s + 90), rnd.uniform(-40, 40), rnd.uniform(-180, 180)) for i in range(400) for s in [rnd.randrange(-80, 330)]]
+    want = set()
+    for e in events:
+        for k in range(12):
+            mine = [r for r in rows if r[0] == k]
+            if e[2] < mine[0][1] or e[1] > mine[-1][1]:
+                continue
+            n = min(mine, key=lambda r: (abs(r[1] - e[1]), -r[1].timestamp()))
+            if n[2] <= e[3] <= n[3] and n[4] <= e[4] + (360 if e[4] < n[4] else 0) <= n[5] + (360 if n[5] < n[4] else 0):
+                want.add((e[0], k))
+    s = spark.createDataFrame(rows, "k long, ts timestamp_ntz, lat_min double, lat_max double, lon_min double, lon_max double")
+    ev = spark.createDataFrame(events, "id long, start_time timestamp_ntz, end_time timestamp_ntz, lat double, lon double")
+    got = [(r.id, r.k) for r in I.match_by_location(ev, s, ["k"], "ts", wrap=True).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
