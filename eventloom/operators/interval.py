@@ -14,8 +14,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.places import advance_centroid, distance
-from ..functions.times import DAY_US, cell_start, days_between, micros, us
+from ..functions.places import distance, rotation_lon_delta
+from ..functions.times import DAY_US, cell_start, micros, us
 from ..session import materialize
 from . import sphere
 from .asof import asof_join
@@ -409,14 +409,23 @@ def region_candidates(
     The few records are listed under the times they count for, each with the stretch that the region passes in that time.
     """
     step = window / 4
-    boxes = sphere.box_corners(_boxes(series, *by, on, slack=slack, wrap=wrap), LATS, LONS, wrap).withColumn("__tc", cell_start(micros(F.col(on)), step))
-    at = micros(F.col("__at"))
-    points = regions.where(placed("lat", "lon")).select("region", F.col("ar_time").alias("__at"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"))
+    t = micros(F.col(on))
+    boxes = _boxes(series, *by, on, t.alias("__t"), cell_start(t, step).alias("__tc"), slack=slack, wrap=wrap)
+    at, a_day = F.col("__at"), rotation_lon_delta(F.col("lat"), F.lit(1.0))
+    points = regions.where(placed("lat", "lon")).select(
+        "region", micros(F.col("ar_time")).alias("__at"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), a_day.alias("__a_day")
+    )
+
+    def passed(until: Column) -> Column:
+        return F.col("__lon") + F.col("__a_day") * ((until - at) / float(DAY_US))
+
     cells = F.sequence(cell_start(at - us(window) + 1, step), cell_start(at + us(window), step), F.lit(us(step)))
     points = points.withColumn("__tc", F.explode(cells))
-    ends = [advance_centroid(F.col("__lon"), F.col("__lat"), (F.col("__tc") + late - at) / float(DAY_US)) for late in (0, us(step))]
-    points = sphere.corner_cells(points, F.col("__lat"), F.least(*ends), F.greatest(*ends), sphere.shapes(boxes), wrap)
-    return boxes.join(points, ["__tc", *sphere.CELL]).drop("__tc", *sphere.CELL)
+    ends = [passed(F.col("__tc")), passed(F.col("__tc") + us(step))]
+    points = sphere.point_cells(points, F.col("__lat"), F.least(*ends), sphere.shapes(boxes, LATS, LONS, wrap=wrap), wrap, F.greatest(*ends))
+    pairs = sphere.box_cells(boxes, LATS, LONS, wrap).join(points, ["__tc", *sphere.CELL])
+    pairs = pairs.withColumn("__lon_at", passed(F.col("__t")))
+    return pairs.where(F.col("__lo") == sphere.lon_cell(F.col("__lon_at"), F.col("__lo_level"), wrap)).drop("__tc", *sphere.CELL)
 
 
 def regions_in_box(
@@ -431,9 +440,8 @@ def regions_in_box(
     """
     boxed = series if keyed is None else series.join(keyed.select(*by).distinct(), by, "left_semi")
     pairs = region_candidates(boxed, regions, by, on, window, slack, wrap)
-    lon_at = advance_centroid(F.col("__lon"), F.col("__lat"), days_between(F.col(on), F.col("__at")))
-    during = (F.col("__at") >= F.col(on) - F.lit(window)) & (F.col("__at") < F.col(on) + F.lit(window))
-    inside = during & sphere.in_box(F.col("__lat"), lon_at, LATS, LONS, wrap)
+    during = (F.col("__at") >= F.col("__t") - us(window)) & (F.col("__at") < F.col("__t") + us(window))
+    inside = during & sphere.in_box(F.col("__lat"), F.col("__lon_at"), LATS, LONS, wrap)
     found = pairs.where(inside).groupBy(*by, on).agg(F.concat_ws(";", F.sort_array(F.collect_list("region"))).alias(out))
     return series.join(found, [*by, on], "left").withColumn(out, F.coalesce(out, F.lit("")))
 
@@ -445,11 +453,10 @@ def match_by_location(
     of the series row nearest to the event start (the later row on ties).
 
     A row is nearest for starts between the midpoints to its neighbours, so each row with a whole box becomes a small region of time,
-    latitude and longitude. It lies under one cell, that of its first instant and low corner on the levels of its size (times: ``width`` * 2^level),
-    and events look at the cells in which such a corner can lie. Starts before the first row belong to the first row.
+    latitude and longitude. It lies under the time cell of its first instant, on the level of its length (``width`` * 2^level), and under the
+    cells of its box; events look at the two time cells in which such an instant can lie. Starts before the first row belong to the first row.
     ``events``: id, start_time, end_time, lat, lon. ``series``: lat_min, lat_max, lon_min, lon_max. For ``wrap`` see ``regions_in_box``.
     """
-    parts = 2
     rows = _boxes(series, *by, F.col(on).alias("__ts"), wrap=wrap)
     lifetimes = rows.groupBy(*by).agg(
         F.min("__ts").alias("__first"), F.max("__ts").alias("__last"), F.min(F.struct("__ts", *BOX)).alias("__row")
@@ -458,7 +465,7 @@ def match_by_location(
     inside = sphere.in_box(F.col("lat"), F.col("lon"), LATS, LONS, wrap)
 
     def looking(df: DataFrame, found: Column) -> DataFrame:
-        return sphere.corner_cells(df, F.col("lat").cast("double"), F.col("lon").cast("double"), F.col("lon").cast("double"), found, wrap, parts)
+        return sphere.point_cells(df, F.col("lat").cast("double"), F.col("lon").cast("double"), found, wrap)
 
     near = neighbours(rows, by, "__ts", ["__ts"])
     t, before, after = micros(F.col("__ts")), micros(F.col("prev___ts")), micros(F.col("next___ts"))
@@ -469,20 +476,24 @@ def match_by_location(
     longer = (F.col("__to") - F.col("__from")) / us(width)
     near = near.select(*by, *BOX, "__from", "__to", F.greatest(F.ceil(F.log2(F.greatest(longer, F.lit(1.0)))), F.lit(0)).cast("int").alias("__t_level"))
     size = F.lit(us(width)) * F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__t_level"))
-    near = materialize(sphere.box_corners(near, LATS, LONS, wrap, parts), "row-boxes").withColumn("__tc", F.col("__from") - F.pmod(F.col("__from"), size))
+    near = materialize(near, "row-boxes")
+    cells = sphere.box_cells(near.withColumn("__tc", F.col("__from") - F.pmod(F.col("__from"), size)), LATS, LONS, wrap)
     earliest = F.col("__s") - size
+    found = sphere.shapes(near, LATS, LONS, "__t_level", wrap=wrap)
+    anytime = F.array_distinct(F.transform(found, lambda s: s.dropFields("__t_level")))
     starts = F.sequence(earliest - F.pmod(earliest, size), F.col("__s") - F.pmod(F.col("__s"), size), size)
     during = (
-        looking(ev, sphere.shapes(near, "__t_level"))
+        looking(ev, found)
         .withColumn("__tc", F.explode(starts))
-        .join(near, ["__t_level", "__tc", *sphere.CELL])
+        .join(cells, ["__t_level", "__tc", *sphere.CELL])
         .where(inside & F.col("__s").between(F.col("__from"), F.col("__to")))
     )
-    opening = sphere.box_corners(lifetimes.select(*by, "__row.*"), LATS, LONS, wrap, parts).withColumn("__te", F.col("__ts"))
+    opening = lifetimes.select(*by, "__row.*").withColumn("__te", F.col("__ts"))
     early = ev.where(F.col("end_time") >= F.col("start_time"))
     early = overlap_pairs(
-        looking(early, sphere.shapes(opening)), opening.withColumnsRenamed({c: f"{c}_of" for c in sphere.CELL}),
+        early, sphere.box_cells(opening, LATS, LONS, wrap).withColumnsRenamed({c: f"{c}_of" for c in sphere.CELL}),
         ("start_time", "end_time"), ("__ts", "__te"), [(c, f"{c}_of") for c in sphere.CELL], "both",
+        copies=lambda df: looking(df, anytime),
     ).where(inside & (F.col("start_time") < F.col("__ts")))
     out = ["id", *by, "start_time", "end_time"]
     hits = during.select(*out).unionByName(early.select(*out))
