@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import events as E
 from eventloom.operators import series as S
+from eventloom.operators.labels import explode_observations
 
 T0 = datetime(2020, 1, 1)
 SCHEMA = "k long, ts timestamp_ntz, v double"
@@ -131,3 +132,16 @@ def test_union_counts_its_rows(spark):
     assert counts == [5, 3, 0] and rows.count() == 8 and rows.filter("x is null").count() == 3
     with pytest.raises(ValueError):
         E.union_checked([a, b], "union", expected=[5, 4])
+
+
+def test_grid_points_are_not_broadcast(spark):
+    """Two rows far apart make many points; joins on the grid take them for as small as the two rows."""
+    rows = spark.createDataFrame([(k, datetime(2020, 1, 1) + timedelta(hours=h), 1) for k in range(4) for h in (0, 50_000)], "user_id long, ts timestamp_ntz, p_n int")
+    hourly = rows.groupBy("user_id", "ts").agg(F.sum("p_n").alias("p_n"))
+    grid = S.regrid(hourly, ["user_id"], "ts", timedelta(hours=1), placed=True)
+    active = S.active_slots(grid.select("user_id", "ts", F.coalesce("p_n", F.lit(0)).alias("p_n")), "p_n")
+    instances = grid.where(F.col("pos") < 3).select("user_id", F.col("pos").alias("slice_pos"))
+    exploded = explode_observations(instances, grid.select("user_id", "ts", "pos", "n"), ["user_id"], "ts", 12)
+    for df, n in ((active, 8), (exploded, 4 * 3 * 12)):
+        assert len(df.collect()) == n
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
