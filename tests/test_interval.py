@@ -352,3 +352,16 @@ def test_location_match_across_the_border(spark):
     ev = spark.createDataFrame(events, "id long, start_time timestamp_ntz, end_time timestamp_ntz, lat double, lon double")
     got = [(r.id, r.k) for r in I.match_by_location(ev, s, ["k"], "ts", wrap=True).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+
+def test_location_pairs_are_final_where_they_are_found(spark):
+    """No join and no exchange follows the joins on the cells: the pairs are many more than events and rows."""
+    events = spark.range(50).select("id", *[F.timestamp_millis(F.col("id") * 60_000 + d).cast("timestamp_ntz").alias(c) for c, d in (("start_time", 0), ("end_time", 90_000))], F.col("id").alias("lat"), F.col("id").alias("lon"))
+    rows = spark.range(400).select((F.col("id") % 20).alias("k"), F.timestamp_millis(F.col("id") * 10_000).cast("timestamp_ntz").alias("ts"), *[F.lit(v).alias(c) for c, v in (("lat_min", 0), ("lat_max", 30), ("lon_min", 0), ("lon_max", 30))])
+    pairs = I.match_by_location(events, rows, ["k"], "ts")
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan[: plan.index("Union")] and "Exchange" not in plan[: plan.index("Union")]
+    assert pairs.count() == 31 * 20 - 14  # the first two events end before 10 and 4 of the series begin
+    near_series = pairs.join(spark.createDataFrame([(3,)], "k long"), "k", "left_anti").select("id").distinct()
+    plan = near_series._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan[: plan.index("Union")]  # series are dropped before they meet events
