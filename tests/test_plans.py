@@ -113,3 +113,20 @@ def test_flux_columns_by_header_and_rejected_files(spark, tmp_path):
     assert [(r.ts.day, r.b_avg, r.lacking) for r in got] == [(1, 1.5, None), (1, None, None), (2, 2.5, None)]
     bad = {r.file.rsplit("/", 1)[1]: r.reason for r in flux_file_rejects(spark, str(tmp_path), columns).collect()}
     assert bad == {"c.csv": "no marker", "d.csv": "no time column"}
+
+
+def test_shuffles_grow_with_the_rows(spark):
+    """With a fixed number of partitions the memory of a task grew with the input; settings never go back."""
+    from eventloom.session import PARTITION_BYTES, ROWS_PER_PARTITION, fit_shuffles
+
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    session = spark.newSession()
+    assert [int(session.conf.get(names[0]))] == [8]
+    session.conf.set(names[1], "64MB")
+    for rows, n in ((0, 8), (3 * ROWS_PER_PARTITION, 8), (20 * ROWS_PER_PARTITION, 20), (20 * ROWS_PER_PARTITION + 1, 21), (1, 21)):
+        fit_shuffles(session, rows)
+        assert int(session.conf.get(names[0])) == n
+    assert int(session.conf.get(names[1]).rstrip("b")) == PARTITION_BYTES
+    session.conf.set(names[1], "1m")
+    fit_shuffles(session, 30 * ROWS_PER_PARTITION)
+    assert session.conf.get(names[1]) == "1m"
