@@ -365,3 +365,55 @@ def test_location_pairs_are_final_where_they_are_found(spark):
     near_series = pairs.join(spark.createDataFrame([(3,)], "k long"), "k", "left_anti").select("id").distinct()
     plan = near_series._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" not in plan[: plan.index("Union")]  # series are dropped before they meet events
+
+
+def overlapping_pairs(a, b, c, closed="none"):
+    """Per event its closest pair, as (d2, start, id, start, id), by a plain loop."""
+    out = {}
+    for e in a:
+        sides = [[(e[0], False, None, x[1], x[0], x[4], x[5], x[6]) for x in side if HITS[closed](e, x) and e[3] == x[3]] for side in (b, c)]
+        if all(sides):
+            out[e[0]] = plain_pair(*sides)
+    return out
+
+
+@pytest.mark.parametrize("closed, grain, wanted, rounds", [("none", 1.0, 8.0, 2), ("left", 300.0, 8.0, 1), ("both", 1.0, 0.05, 1), ("none", 10.0, 0.5, 2)])
+def test_closest_pairs_without_all_candidates_equal_all_pairs(spark, monkeypatch, closed, grain, wanted, rounds):
+    monkeypatch.setattr(I, "PAIRS_WANTED", wanted)
+    a, b, c = ([(*x[:4], *(None if v is None else v // grain * grain for v in x[4:6]), x[6]) for x in random_events(s, 200, f)] for s, f in ((21, 0), (22, 1000), (23, 2000)))
+    got = I.closest_overlapping_pair(*[spark.createDataFrame(x, EVENT) for x in (a, b, c)], closed=closed, rounds=rounds).collect()
+    want = overlapping_pairs(a, b, c, closed)
+    assert {x.id: (x.d2, x.a.start_time, x.a.id, x.b.start_time, x.b.id) for x in got} == want and len(got) == len(want) > 100
+
+
+def test_dense_events_leave_few_candidates_for_closest_pair(spark, monkeypatch):
+    rnd = random.Random(24)
+
+    def dense(first):
+        return [(first + i, at(s := rnd.randrange(0, 1400)), at(s + rnd.randrange(20, 80)), "C1.0", rnd.uniform(-900, 900), rnd.uniform(-900, 900), 0) for i in range(1500)]
+
+    left, second, third = (spark.createDataFrame(dense(f), EVENT) for f in (0, 10_000, 20_000))
+    all_candidates = I.overlap_candidates(left, second).count()
+    listed, search = [], I.overlap_candidates
+
+    def counted(*args, **kw):
+        out = search(*args, **kw)
+        listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(I, "overlap_candidates", counted)
+    assert I.closest_overlapping_pair(left, second, third).count() == 1500
+    assert all_candidates > 100_000 and sum(listed) < all_candidates / 20
+
+
+def test_resolution_of_sources_equals_resolution_of_candidates(spark):
+    base, second, third = (spark.createDataFrame(random_events(s, 150, f), EVENT) for s, f in ((31, 0), (32, 1000), (33, 2000)))
+    base = base.unionByName(base.limit(60).select(F.col("id") + 500, *[F.col(c) for c in EVENT_COLS[1:4]], F.lit(None).cast("double"), F.lit(None).cast("double"), "ar").toDF(*EVENT_COLS))
+    near = 400.0
+    want = I.resolve_secondary_matches(I.overlap_candidates(base, second), I.overlap_candidates(base, third), near)
+    got = I.resolve_secondary_matches(second, third, near, base, 275.0)
+    rows = [{r.id: (r.second, r.second_dist, r.third, r.third_dist) for r in x.collect()} for x in (want, got)]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
+
+
+EVENT_COLS = ["id", "start_time", "end_time", "goes_class", "x", "y", "ar"]
