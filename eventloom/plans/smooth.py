@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.series import interpolate_linear, rolling_mean, scale, trim_edges
+from ..operators.series import _placed, interpolate_linear, rolling_mean, scale, trim_edges
 from ..session import materialize
 
 
@@ -14,10 +14,11 @@ def smooth_series(
 ) -> DataFrame:
     """Interpolate, cut ``edge`` rows at both ends, scale to 0..1, average over ``window`` rows, cut ``lead`` first rows.
 
-    Steps that read their input twice start from a stored table.
+    Rows are placed once; every step hands their places on to the next. The step that reads its input twice starts from a stored table.
     """
-    filled = interpolate_linear(series, by, on, cols).select(*by, on, *cols)
-    cut = materialize(trim_edges(filled, by, on, edge, edge), "trimmed-series")
-    scaled = materialize(scale(cut, by, on, cols), "scaled-series")
-    means = rolling_mean(scaled, by, on, cols, window).select(*by, on, *[F.col(f"{c}_mean").alias(c) for c in cols])
+    rows = _placed(series, by, on).select(*by, on, "pos", "n", *cols)
+    filled = interpolate_linear(rows, by, on, cols)
+    cut = materialize(trim_edges(filled, by, on, edge, edge, keep_place=True), "trimmed-series")
+    means = rolling_mean(scale(cut, by, on, cols), by, on, cols, window, keep_place=True)
+    means = means.select(*by, on, "pos", "n", *[F.col(f"{c}_mean").alias(c) for c in cols])
     return trim_edges(means, by, on, lead, 0)

@@ -67,6 +67,29 @@ def test_scale_and_rolling_equal_pandas(spark):
     assert rolled[rolled.k == 2].v_mean.isna().all()
 
 
+@pytest.mark.parametrize("given", [True, False])
+def test_smoothing_places_rows_once(spark, monkeypatch, given):
+    """Positions are a scan of the whole series: none when they are given, one when they are not."""
+    from eventloom.plans.smooth import smooth_series
+
+    data = {1: gappy(150), 2: gappy(60, 6), 3: gappy(20, 7), 4: gappy(21, 8)}
+    rows = [(k, at(12 * i), None if np.isnan(x) else float(x), i, len(v)) for k, v in data.items() for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, SCHEMA + ", pos long, n long")
+    calls, positions = [], S.positions
+    monkeypatch.setattr(S, "positions", lambda *a, **b: calls.append(1) or positions(*a, **b))
+    out = smooth_series(df if given else df.drop("pos", "n"), ["k"], "ts", ["v"], edge=10, window=5, lead=7)
+    assert out.columns == ["k", "ts", "v"]
+    got = {(r.k, r.ts): r.v for r in out.collect()}
+    assert len(calls) == (0 if given else 1)
+    want = {}
+    for k, v in data.items():
+        cut = pd.Series(v).interpolate(method="linear").ffill().bfill()[10 : len(v) - 10]
+        means = ((cut - cut.min()) / ((cut.max() - cut.min()) or 1.0)).rolling(5).mean()
+        want |= {(k, at(12 * i)): x for i, x in list(means.items())[7:]}
+    assert got.keys() == want.keys()
+    np.testing.assert_allclose([got[i] for i in want], list(want.values()))
+
+
 def test_chunks_give_whole_frames(spark):
     rows = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("pos"), F.lit(1000).alias("n"))
     from pyspark.sql import Window
