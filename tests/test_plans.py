@@ -130,3 +130,22 @@ def test_shuffles_grow_with_the_rows(spark):
     session.conf.set(names[1], "1m")
     fit_shuffles(session, 30 * ROWS_PER_PARTITION)
     assert session.conf.get(names[1]) == "1m"
+
+
+def test_no_task_reads_or_merges_too_much(spark, tmp_path):
+    """A task read up to 128 MB of packed columns, and partitions were merged up to 64 MB where many were set before."""
+    from eventloom.session import PARTITION_BYTES, ROWS_PER_PARTITION, fit_shuffles
+
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"]
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.minPartitionNum", 1)
+    session.conf.set("spark.sql.shuffle.partitions", 5000)
+    session.range(3_000_000, numPartitions=1).select(F.rand(7).alias("x")).write.option("parquet.block.size", 1 << 20).parquet(str(tmp_path / "t"))
+    before = [session.conf.get(s) for s in sizes]
+    fit_shuffles(session, 8 * ROWS_PER_PARTITION)
+    assert [session.conf.get(s) for s in sizes] == before
+    assert session.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions() == 1
+    fit_shuffles(session, 20 * ROWS_PER_PARTITION)
+    assert session.conf.get("spark.sql.shuffle.partitions") == "5000"
+    assert [int(session.conf.get(s).rstrip("b")) for s in sizes] == [PARTITION_BYTES] * 2
+    assert session.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions() >= 3
