@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.places import ROTATION_A, ROTATION_B, ROTATION_C
 from eventloom.operators import interval as I
+from eventloom.operators.history import event_history
 from eventloom.operators.series import slot_flux_stats, slot_stats_join
 
 T0 = datetime(2020, 1, 1)
@@ -367,6 +368,71 @@ def test_location_pairs_are_final_where_they_are_found(spark):
     assert "LeftAnti" not in plan[: plan.index("Union")]  # series are dropped before they meet events
 
 
+LISTED_EVENT = "id long, goes_class string, start_time timestamp_ntz, peak_time timestamp_ntz, end_time timestamp_ntz, noaa_active_region long, hinode_ar long, ssw_ar long, fl_lat double, fl_lon double, primary_verified boolean, secondary_verified boolean"
+LISTED_ROW = "k long, ts timestamp_ntz, lat_min double, lat_max double, lon_min double, lon_max double, hid long"
+
+
+@pytest.mark.parametrize("slots,pack", [(16_000, (32, 4096)), (3, (1, 2))])
+def test_location_history_equals_search(spark, monkeypatch, slots, pack):
+    """Slots of all lengths, lags of both signs, rows without box, key or time, repeated rows; many parts and arrays with the small limits."""
+    monkeypatch.setattr(I, "SLOTS_OF_A_PART", slots)
+    monkeypatch.setattr(I, "EVENTS_OF_A_PACK", pack)
+    rnd = random.Random(29)
+    rows = [(None, at(5), 0.0, 10.0, 0.0, 10.0, 9000), (3, None, 0.0, 10.0, 0.0, 10.0, 9001)]
+    for k in range(9):
+        t = rnd.randrange(-3000, 3000)
+        for i in range(rnd.choice([1, 2, 12, 40])):
+            la, lo = rnd.uniform(-40, 20), rnd.uniform(-80, 40)
+            box = (None,) * 4 if rnd.random() < 0.15 else (la, la + rnd.choice([15.0, 60.0]), lo, lo + rnd.choice([20.0, 110.0]))
+            rows += [(k, at(t), *box, 1000 * k + i)] * (2 if rnd.random() < 0.1 else 1)
+            t += rnd.choice([1, 12, 400, 3000, 20_000])
+    events = []
+    for i in range(900):
+        s = rnd.randrange(-6000, 40_000) if i % 3 else rnd.randrange(-3500, 3500)
+        here = (None, None) if i % 17 == 0 else (rnd.uniform(-40, 50), rnd.uniform(-80, 90))
+        sources = [rnd.choice([None, 100, 200, 300]) for _ in range(3)]
+        peak = None if i % 41 == 0 else at(s + rnd.choice([-30, 0, 5, 700]))
+        events.append((i, rnd.choice("ABCMX") + "1.0", at(s), peak, at(s + rnd.choice([-40, 20, 5000])), *sources, *here, i % 2 == 0, i % 3 == 0))
+    keys = {k: [100, 200] if k % 2 else [300] for k in range(7)}
+    want, hits = {}, 0
+    for k in range(9):
+        times = sorted({r[1] for r in rows if r[0] == k and r[1]})
+        mine = [r for r in rows if r[0] == k and r[1] and r[2] is not None]
+        slot_of = {t: [] for t in times}
+        for e in events if mine else ():
+            if e[8] is None or e[3] is None or e[4] < min(r[1] for r in mine) or e[2] > max(r[1] for r in mine):
+                continue
+            n = min(mine, key=lambda r: (abs(r[1] - e[2]), -r[1].timestamp()))
+            held = [t for t in times if t <= e[3]]
+            if n[2] <= e[8] <= n[3] and n[4] <= e[9] <= n[5] and held and e[3] < times[-1]:
+                number, source = next(((x, y) for x, y in zip(e[5:8], ("GOES", "XRT", "SSW")) if x is not None), (None, None))
+                number, source = (number, f'"{source}"') if number in keys.get(k, []) else (-1, "null")
+                tag = "Primary" if e[10] else "Secondary" if e[11] else "Non-verified"
+                slot_of[held[-1]].append((e[1][0], f'{{"magnitude": "{e[1]}", "id": {e[0]}, "NOAA_AR": {number}, "narn_source": {source}, "verification": "{tag}"}}'))
+                hits += 1
+        want |= {(k, t): found for t, found in slot_of.items()}
+    series = spark.createDataFrame(rows, LISTED_ROW)
+    ev = spark.createDataFrame(events, LISTED_EVENT)
+    key_map = spark.createDataFrame(list(keys.items()), "k long, keys array<long>")
+    got = event_history(series, ev, key_map, "k", "ts", mode="location").collect()
+    assert sorted(r.hid for r in got) == sorted(r[6] for r in rows) and hits > 100
+    for r in got:
+        for c in "BCMX":
+            labels = [x for letter, x in want.get((r.k, r.ts), []) if letter == c]
+            assert r[f"{c}FLARE_LOC"] == len(labels) and r[f"{c}FLARE_LABEL_LOC"] == (";".join(labels) or "None")
+
+
+def test_location_lists_are_whole_where_they_are_found(spark):
+    """Neither pairs nor lists nor labels are shuffled or sorted: nothing but one aggregate in order follows the join with the events."""
+    series, ev = spark.createDataFrame([(1, at(0), 0.0, 9.0, 0.0, 9.0, 1), (1, at(60), 0.0, 9.0, 0.0, 9.0, 2)], LISTED_ROW), spark.createDataFrame(
+        [(7, "M1.0", at(1), at(2), at(3), None, None, None, 1.0, 1.0, True, True)], LISTED_EVENT)
+    out = event_history(series, ev, spark.createDataFrame([(1, [5])], "k long, keys array<long>"), "k", "ts", mode="location")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("ShuffledHashJoin")]
+    assert "Exchange" not in after and "Sort [" not in after and after.count("Aggregate") == 1 and "SortAggregate" in after
+    assert sorted((r.hid, r.MFLARE_LOC) for r in out.collect()) == [(1, 1), (2, 0)]
+
+
 def overlapping_pairs(a, b, c, closed="none"):
     """Per event its closest pair, as (d2, start, id, start, id), by a plain loop."""
     out = {}
