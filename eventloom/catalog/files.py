@@ -122,7 +122,7 @@ def _(t):
 
 
 def reports(t):
-    """Daily region reports as text files; at most 1000 regions go into one report."""
+    """Daily region reports as text files, one report a file; at most 1000 regions go into one report."""
     spot = F.concat_ws(" ", (F.col("region") - 10000).cast("string"), "location", F.abs("lon").cast("string"), F.lit("0120 Dai  08   12 Beta"))
     plage = F.concat_ws(" ", (F.col("region") - 10000).cast("string"), "location", F.abs("lon").cast("string"))
     is_plage = F.col("region") % 4 == 0
@@ -139,7 +139,7 @@ def reports(t):
         F.lit("II. Regions Due to Return 13 Jan to 15 Jan"), F.lit("Nmbr Lat    Lo"), F.lit("9999 N15    110"),
     )
     path = shared_path(t.spark, "reports")
-    lines.groupBy("day", "bucket").agg(body.alias("value")).select("day", "value").write.partitionBy("day").option("lineSep", "\x00").text(path)
+    lines.groupBy("day", "bucket").agg(body.alias("value")).select("day", "value").write.partitionBy("day").option("lineSep", "\x00").option("maxRecordsPerFile", 1).text(path)
     return {"folder": path, "files": "*/*.txt", "day_pattern": r"day=(\d{8})/"}
 
 

@@ -106,15 +106,25 @@ SPOTS, PLAGES, RETURN = "I.  Regions with Sunspots.", "IA. H-alpha Plages withou
 def read_sectioned_report(
     spark: SparkSession, folder: str, preamble: int = 9, files: str = "*SRS.txt", day_pattern: str = REPORT_DAY
 ) -> DataFrame:
-    """Daily region reports: spot and plage sections up to section II, numbers plus 10000."""
+    """Daily region reports: spot and plage sections up to section II, numbers plus 10000.
+
+    Sections are cut while a report is still one row, so a line takes nothing but itself, its day and its section along.
+    """
     reports = _report_lines(spark, folder, files, day_pattern)
-    plage_at = F.array_position(F.transform("lines", lambda l: F.startswith(l, F.lit(PLAGES))), True)
-    stop_at = F.array_position(F.transform("lines", lambda l: F.startswith(l, F.lit(RETURN))), True)
-    rows = reports.select("date", plage_at.alias("p"), stop_at.alias("s"), F.posexplode("lines").alias("i", "line"))
-    body = rows.where((F.col("i") >= preamble) & ((F.col("s") == 0) | (F.col("i") + 1 < F.col("s"))))
-    body = body.where(F.rlike("line", F.lit(r"^\s*\d+\s")))
+    plage_at = F.array_position(F.transform("lines", lambda l: F.startswith(l, F.lit(PLAGES))), True).cast("int")
+    stop_at = F.array_position(F.transform("lines", lambda l: F.startswith(l, F.lit(RETURN))), True).cast("int")
+    last = F.when(F.col("s") > 0, F.col("s") - 1).otherwise(F.size("lines"))
+
+    def section(after: Column, to: Column, is_plage: bool) -> Column:
+        lines = F.slice("lines", after + 1, F.greatest(to - after, F.lit(0)))
+        return F.transform(F.filter(lines, lambda l: F.rlike(l, F.lit(r"^\s*\d+\s"))), lambda l: F.struct(l.alias("line"), F.lit(is_plage).alias("plage")))
+
+    spots = section(F.lit(preamble), F.when(F.col("p") > 0, F.least("p", last)).otherwise(last), False)
+    plages = section(F.greatest("p", F.lit(preamble)), F.when(F.col("p") > 0, last).otherwise(0), True)
+    cut = reports.withColumns({"p": plage_at, "s": stop_at}).select("date", F.explode(F.concat(spots, plages)).alias("row"))
+    body = cut.select("date", "row.*")
     w = F.split(F.trim("line"), r"\s+")
-    plage = (F.col("p") > 0) & (F.col("i") + 1 > F.col("p"))
+    plage = F.col("plage")
     lon, lat = parse_compass(F.get(w, F.lit(1)))
 
     def spot_field(index: int, to: str | None = None) -> Column:
