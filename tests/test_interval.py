@@ -336,6 +336,43 @@ def test_a_crowded_cell_meets_few_regions_in_vain(spark):
     assert hits > 10_000 and met < 4 * hits
 
 
+def test_region_lists_are_whole_where_they_are_found(spark):
+    """Neither pairs nor lists are shuffled or sorted: nothing but one aggregate in order follows the join with the regions."""
+    s, r = boxes_and_regions(spark, [(1, at(0), 0.0, 9.0, 0.0, 9.0), (2, at(60), 0.0, 9.0, 0.0, 9.0)], [(11000, at(30), 1.0, 1.0), (11001, at(-5000), 1.0, 1.0)])
+    out = I.regions_in_box(s, r, ["k"], "ts")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("ShuffledHashJoin")]
+    assert "Exchange" not in after and "Sort [" not in after and after.count("Aggregate") == 1 and "SortAggregate" in after
+    assert sorted((x.k, x.region_numbers) for x in out.collect()) == [(1, "11000"), (2, "11000")]
+
+
+@pytest.mark.parametrize("slots", [16_000, 2])
+def test_region_lists_of_repeated_rows(spark, monkeypatch, slots):
+    """Rows of one series and time share the regions of all their boxes; rows without a time, a box or a key stay."""
+    monkeypatch.setattr(I, "SLOTS_OF_A_PART", slots)
+    rnd = random.Random(15)
+    boxes = []
+    for k in range(60):
+        t = at(rnd.randrange(0, 900))
+        for _ in range(rnd.choice([1, 1, 3])):
+            la, lo = rnd.uniform(-50, 30), rnd.uniform(-60, 30)
+            boxes.append((k, t, *((None,) * 4 if rnd.random() < 0.2 else (la, la + rnd.choice([-5.0, 8.0, 30.0]), lo, lo + 40.0))))
+    boxes += [(None, at(5), -50.0, 50.0, -50.0, 50.0), (70, None, -50.0, 50.0, -50.0, 50.0)]
+    regions = [(11000 + i // 2, at(rnd.randrange(0, 1500)), rnd.uniform(-50, 60), rnd.uniform(-60, 70)) for i in range(200)]
+    s, r = boxes_and_regions(spark, boxes, regions)
+    s = s.withColumn("other", F.monotonically_increasing_id())
+    got, w, hits = I.regions_in_box(s, r, ["k"], "ts", slack=0.0, keyed=s.where("k < 50").select("k")).collect(), timedelta(hours=12), 0
+    assert len(got) == len({x.other for x in got}) == len(boxes)
+    for x in got:
+        want = []
+        for k, t, south, north, west, east in boxes:
+            if x.k is not None and x.k < 50 and (k, t) == (x.k, x.ts) and south is not None:
+                want += [n for n, t0, la, lo in regions if t - w <= t0 < t + w and south <= la <= north and west <= moved(lo, la, (t - t0) / timedelta(days=1)) <= east]
+        hits += len(want)
+        assert x.region_numbers == ";".join(map(str, sorted(want)))
+    assert hits > 100
+
+
 def test_location_match_across_the_border(spark):
     rnd = random.Random(13)
     rows = [(k, at(60 * i), la, la + 10.0, lo, lo + 30.0 - (360 if lo + 30 > 180 else 0)) for k in range(12) for la, lo in [(rnd.uniform(-40, 30), rnd.uniform(-180, 180))] for i in range(5)]
