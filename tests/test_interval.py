@@ -470,6 +470,26 @@ def test_location_lists_are_whole_where_they_are_found(spark):
     assert sorted((r.hid, r.MFLARE_LOC) for r in out.collect()) == [(1, 1), (2, 0)]
 
 
+def test_slots_meet_only_the_events_of_their_cells(spark):
+    """Events of a part are looked up by place and time, and lists and labels are not made element by element; every slot of the part went through all its events."""
+    rows = [(k, at(60 * i), float(10 * k), 10.0 * k + 9, 0.0, 9.0, 10 * k + i) for k in range(3) for i in range(3)]
+    events = [(i, "M1.0", at(i), at(i + 1), at(i + 2), 5, None, None, float(i % 40), 1.0, i % 2 == 0, False) for i in range(120)]
+    series, ev = spark.createDataFrame(rows, LISTED_ROW), spark.createDataFrame(events, LISTED_EVENT)
+    key_map = spark.createDataFrame([(0, [5]), (0, [6]), (1, [6])], "k long, keys array<long>")  # the first series has two entries
+    out = event_history(series, ev, key_map, "k", "ts", mode="location", best=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "ShuffledHashJoin" in line)
+    keys = join[join.index("["): join.index("]")]
+    assert all(c in keys for c in ("__part", "__la#", "__lo#", "__stretch")) and "lambdafunction" not in plan[plan.index("SortAggregate") : plan.index("ShuffledHashJoin")]
+    for r in out.collect():
+        mine = [e for e in events if 10 * r.k <= e[8] <= 10 * r.k + 9 and r.ts <= e[3] < r.ts + timedelta(minutes=60) and r.ts < at(120)]
+        numbers = {0: [5, -1], 1: [-1], 2: [-1]}[r.k]
+        assert r.MFLARE_LOC == len(mine) * len(numbers)
+        for n in numbers:
+            assert r.MFLARE_LABEL_LOC.count(f'"NOAA_AR": {n},') == len(mine)
+        assert r.MFLARE_BEST_LOC == (f"M1.0@{mine[0][0]}:{'Primary' if mine[0][10] else 'Non-verified'}" if mine else "None")
+
+
 def overlapping_pairs(a, b, c, closed="none"):
     """Per event its closest pair, as (d2, start, id, start, id), by a plain loop."""
     out = {}
